@@ -54,8 +54,8 @@ def employee_cte(order: str | None) -> str:
     FROM employees) WHERE rn = 1)"""
 
 
-def policy_ctes(policy: str) -> str:
-    """CTEs shifts, staff, gross, rates for one policy (after oracle_views)."""
+def policy_ctes(policy: str, source: str = "timesheets") -> str:
+    """CTEs filled, shifts, staff, gross, rates for one policy (after oracle_views)."""
     fill, duration, order, salary_ok, drop_null = _POLICY[policy]
     ci, co = _FILL[fill]
     duration = _DURATION[duration]
@@ -64,14 +64,14 @@ def policy_ctes(policy: str) -> str:
     return f""",
 filled AS (
   SELECT timesheet_id, employee_id, date, checkin, checkout,
-         {ci} AS ci, {co} AS co FROM timesheets),
+         {ci} AS ci, {co} AS co FROM {source}),
 shifts AS (SELECT *, CAST({duration} AS BIGINT) AS work_seconds FROM filled),
 {employee_cte(order)},
 gross AS (
   SELECT t.employee_id, s.branch_id,
          CAST(year(t.date) AS INTEGER) AS year, CAST(month(t.date) AS INTEGER) AS month,
          COUNT(t.employee_id) AS total_day,
-         SUM(t.work_seconds) / 3600.0 AS total_hours,
+         CAST(SUM(t.work_seconds) AS DOUBLE) / 3600.0 AS total_hours,
          MIN(s.salary) AS salary
   FROM shifts t LEFT JOIN staff s ON t.employee_id = s.employee_id
   WHERE s.{salary_ok} {null_keys}
@@ -85,8 +85,9 @@ rates AS (
 """
 
 
-def with_policy(policy: str, body: str, batches: bool = False) -> str:
-    return oracle_views(batches=batches).rstrip() + policy_ctes(policy) + body
+def with_policy(policy: str, body: str, batches: bool = False, source: str = "timesheets",
+                extra: str = "") -> str:
+    return oracle_views(batches=batches).rstrip() + extra + policy_ctes(policy, source) + body
 
 
 def branch_rate_sql(policy: str) -> str:
@@ -102,9 +103,162 @@ ORDER BY branch_id NULLS LAST, year NULLS LAST, month NULLS LAST
 """)
 
 
+def _views(body: str, batches: bool = False, extra: str = "") -> str:
+    return oracle_views(batches=batches).rstrip() + extra + "\n" + body
+
+
+_RESULT_A = "CAST(ROUND(CAST(AVG(salary_per_hour) AS DECIMAL(38,10)), 2) AS DECIMAL({p},2))"
+
+_KEEP_LAST_NEW = """,
+latest_new AS (
+  SELECT timesheet_id, employee_id, date, checkin, checkout FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY timesheet_id
+                                 ORDER BY timesheet_id DESC NULLS LAST) AS rn
+    FROM new_batch) WHERE rn = 1)"""
+
+_FINAL_TS = _KEEP_LAST_NEW + """,
+final_ts AS (
+  SELECT * FROM old_batch
+  UNION ALL
+  SELECT * FROM latest_new n
+  WHERE NOT EXISTS (SELECT 1 FROM old_batch o
+                    WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id))"""
+
+
+def _describe_sql() -> str:
+    parts = []
+    for c in ("branch_id", "year", "month", "salary_per_hour"):
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, COUNT({x}) AS \"count\", ROUND(AVG({x}), 6) AS mean, "
+            f"ROUND(STDDEV_SAMP({x}), 6) AS std, ROUND(MIN({x}), 6) AS \"min\", "
+            f"ROUND(QUANTILE_CONT({x}, 0.25), 6) AS p25, ROUND(QUANTILE_CONT({x}, 0.5), 6) AS p50, "
+            f"ROUND(QUANTILE_CONT({x}, 0.75), 6) AS p75, ROUND(MAX({x}), 6) AS \"max\" FROM result")
+    result = (",\nresult AS (SELECT branch_id, year, month, AVG(salary_per_hour) AS salary_per_hour\n"
+              "           FROM rates GROUP BY branch_id, year, month)\n")
+    return with_policy("b", result + "\nUNION ALL\n".join(parts))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    q: dict[str, str] = {
         "branch_rate_a": branch_rate_sql("a"),
         "branch_rate_b": branch_rate_sql("b"),
         "branch_rate_c": branch_rate_sql("c"),
     }
+    for p in ("a", "b", "c"):
+        q[f"fill_times_{p}"] = with_policy(p, """
+SELECT timesheet_id, employee_id, date, ci AS checkin_new, co AS checkout_new FROM filled""")
+        q[f"shift_hours_{p}"] = with_policy(p, """
+SELECT timesheet_id, employee_id, date, work_seconds,
+       ROUND(CAST(work_seconds AS DOUBLE) / 3600.0, 6) AS total_hours FROM shifts""")
+        q[f"gross_hours_{p}"] = with_policy(p, """
+SELECT employee_id, branch_id, year, month, total_day, ROUND(total_hours, 6) AS total_hours,
+       salary FROM gross""")
+        q[f"employee_rate_{p}"] = with_policy(p, """
+SELECT employee_id, branch_id, year, month, total_day, ROUND(total_hours, 6) AS total_hours,
+       salary, prorated_salary, ROUND(salary_per_hour, 6) AS salary_per_hour FROM rates""")
+    q["prorated_salary"] = with_policy("a", """
+SELECT employee_id, branch_id, year, month, total_day, salary, prorated_salary FROM rates""")
+    q["dedupe_employees_nulls_first"] = _views(
+        "SELECT * FROM staff", extra=",\n" + employee_cte("NULLS FIRST"))
+    q["dedupe_employees_nulls_last"] = _views(
+        "SELECT * FROM staff", extra=",\n" + employee_cte("NULLS LAST"))
+    join = """SELECT t.timesheet_id, t.employee_id, t.date, e.branch_id, e.salary
+FROM timesheets t LEFT JOIN {emp} e ON t.employee_id = e.employee_id"""
+    q["join_left_raw"] = _views(join.format(emp="employees"))
+    q["join_left_deduped"] = _views(join.format(emp="staff"),
+                                    extra=",\n" + employee_cte("NULLS FIRST"))
+
+    # quality checks
+    q["dup_check_timesheets"] = _views("""
+SELECT COUNT(timesheet_id) AS raw_timesheet_id, COUNT(DISTINCT timesheet_id) AS unique_timesheet_id,
+       COUNT(timesheet_id) > COUNT(DISTINCT timesheet_id) AS has_duplicates FROM timesheets""")
+    q["dup_check_employees"] = _views("""
+SELECT COUNT(employee_id) AS raw_total_employee, COUNT(DISTINCT employee_id) AS unique_total_employee,
+       COUNT(employee_id) > COUNT(DISTINCT employee_id) AS has_duplicates FROM employees""")
+    q["checkin_range"] = _views(
+        "SELECT MAX(checkin) AS max_checkin, MIN(checkin) AS min_checkin FROM timesheets")
+    q["missing_either"] = _views(
+        "SELECT * FROM timesheets WHERE checkin IS NULL OR checkout IS NULL")
+    q["missing_either_top5"] = _views(
+        "SELECT * FROM timesheets WHERE checkin IS NULL OR checkout IS NULL "
+        "ORDER BY timesheet_id NULLS LAST LIMIT 5")
+    q["missing_both"] = _views(
+        "SELECT * FROM timesheets WHERE checkin IS NULL AND checkout IS NULL")
+    q["missing_flags"] = _views("""
+SELECT missing_either, missing_both, missing_either > 0 AS has_missing_either,
+       missing_both > 0 AS has_missing_both
+FROM (SELECT COUNT(*) FILTER (WHERE checkin IS NULL OR checkout IS NULL) AS missing_either,
+             COUNT(*) FILTER (WHERE checkin IS NULL AND checkout IS NULL) AS missing_both
+      FROM timesheets)""")
+    q["quality_report"] = _views("""
+SELECT *, raw_ids > unique_ids AS has_duplicates FROM (
+  SELECT 'timesheets' AS table_name, COUNT(timesheet_id) AS raw_ids,
+         COUNT(DISTINCT timesheet_id) AS unique_ids,
+         COUNT(*) FILTER (WHERE checkin IS NULL OR checkout IS NULL) AS missing_either,
+         COUNT(*) FILTER (WHERE checkin IS NULL AND checkout IS NULL) AS missing_both,
+         MIN(checkin) AS min_checkin, MAX(checkin) AS max_checkin
+  FROM timesheets
+  UNION ALL
+  SELECT 'employees', COUNT(employee_id), COUNT(DISTINCT employee_id),
+         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  FROM employees)""")
+    q["describe_rates"] = _describe_sql()
+    q["sort_employees"] = _views(
+        "SELECT * FROM employees ORDER BY join_date DESC NULLS LAST, salary DESC NULLS LAST")
+
+    # set operations and incremental loads
+    q["union_all_sources"] = _views(
+        "SELECT * FROM old_batch UNION ALL SELECT * FROM new_batch", batches=True)
+    q["distinct_rates"] = with_policy("b", """
+SELECT DISTINCT * FROM (
+  SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
+         ROUND(AVG(salary_per_hour), 6) AS salary_per_hour
+  FROM rates GROUP BY branch_id, year, month)""")
+    q["keep_last"] = _views("""
+SELECT timesheet_id, employee_id, date, checkin, checkout FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY employee_id
+                               ORDER BY timesheet_id DESC NULLS LAST) AS rn
+  FROM timesheets) WHERE rn = 1""")
+    q["append_new_keys"] = _views("""
+SELECT * FROM latest_new n
+WHERE NOT EXISTS (SELECT 1 FROM old_batch o WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id)""",
+                                  batches=True, extra=_KEEP_LAST_NEW)
+    q["upsert_keep_last"] = _views("""
+SELECT timesheet_id, employee_id, date, checkin, checkout FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY timesheet_id
+                               ORDER BY src DESC, timesheet_id DESC NULLS LAST) AS rn
+  FROM (SELECT *, 0 AS src FROM old_batch UNION ALL SELECT *, 1 AS src FROM new_batch))
+WHERE rn = 1""", batches=True)
+    q["load_counts"] = _views("""
+SELECT COUNT(*) FILTER (WHERE NOT hit) AS new_keys, COUNT(*) FILTER (WHERE hit) AS matched_keys
+FROM (SELECT EXISTS (SELECT 1 FROM old_batch o
+                     WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id) AS hit
+      FROM latest_new n)""", batches=True, extra=_KEEP_LAST_NEW)
+    q["incremental_first_load"] = _views("SELECT * FROM old_batch", batches=True)
+
+    # scans, sinks and loads
+    q["scan_employees"] = _views("SELECT * FROM employees")
+    q["rename_header"] = _views("SELECT * FROM employees")
+    q["scan_timesheets"] = _views("SELECT * FROM timesheets")
+    q["time_to_seconds"] = ("SELECT event_id, CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) "
+                            "AS BIGINT) AS seconds FROM events")
+    q["parse_time_coerce"] = _views("SELECT timesheet_id, checkin, checkout FROM timesheets")
+    cast_b = with_policy("b", """
+SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
+       CAST(AVG(salary_per_hour) AS DECIMAL(10,2)) AS salary_per_hour
+FROM rates GROUP BY branch_id, year, month""")
+    q["load_cast_decimal"] = cast_b
+    q["final_select"] = cast_b.replace(
+        "SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,",
+        "SELECT year, month, CAST(branch_id AS INTEGER) AS branch_id,")
+    result_a = with_policy("a", f"""
+SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month, {_RESULT_A.format(p=10)} AS salary_per_hour
+FROM rates GROUP BY branch_id, year, month""")
+    q["full_refresh"] = result_a
+    q["job_full_refresh"] = result_a
+    q["job_incremental"] = with_policy("c", """
+SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
+       ROUND(AVG(salary_per_hour), 6) AS salary_per_hour
+FROM rates GROUP BY branch_id, year, month""", batches=True, source="final_ts", extra=_FINAL_TS)
+    return q

@@ -1,8 +1,11 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each query reads the whole test tables of ``sf_dir`` (through the derived
-employee and attendance views) and returns a lazy DataFrame whose column
-names equal those of the matching oracle SQL.
+employee and attendance views, ``sources.testdata``) and returns a
+DataFrame whose column names equal those of the matching oracle SQL.
+Unrounded DOUBLE results are reported at 6 places so that summation order
+cannot change them. Queries that exercise sinks write below the shared
+checkpoint folder and return the re-read table.
 """
 
 from __future__ import annotations
@@ -12,9 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import scratch_path
 from ..functions.pay import round_double
-from ..operators import rates
-from ..sources import testdata
+from ..functions.timeofday import format_time, parse_time, seconds_of_day
+from ..operators import dedupe, merge, quality, rates
+from ..schemas import RESULT
+from ..sources import csv as csv_io
+from ..sources import tables, testdata
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -41,9 +49,15 @@ def _rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, name, create_local=True)
+
+
+# -- Q1-Q3: pay per hour by branch and month -----------------------------------
+
 @query("branch_rate_a")
 def branch_rate_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q1 (flagship): pay per hour by branch and month, rule set A."""
+    """Q1 (flagship): rule set A, DECIMAL rounded to 2 places, ordered."""
     ts, emp = _tables(spark, sf_dir)
     return rates.branch_rates(ts, emp, "a")
 
@@ -60,3 +74,358 @@ def branch_rate_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3: rule set C = D (NULLs last, zero salaries and NULL keys dropped)."""
     ts, emp = _tables(spark, sf_dir)
     return _rounded(rates.branch_rates(ts, emp, "c"), "salary_per_hour")
+
+
+# -- per-step queries (F1-F6, A1, J1, W1/W2) -----------------------------------
+
+def _fill(spark: SparkSession, sf_dir: str, policy: str, text: bool = False) -> DataFrame:
+    ts, _ = _tables(spark, sf_dir)
+    if text:
+        ts = testdata.timesheets_text(ts)
+    return (rates.shift_hours(ts, policy)
+            .select("timesheet_id", "employee_id", "date", "checkin_new", "checkout_new"))
+
+
+@query("fill_times_a")
+def fill_times_a(spark, sf_dir):
+    return _fill(spark, sf_dir, "a")
+
+
+@query("fill_times_b")
+def fill_times_b(spark, sf_dir):
+    return _fill(spark, sf_dir, "b")
+
+
+@query("fill_times_c")
+def fill_times_c(spark, sf_dir):
+    """Rule set C reads times as text; they are parsed with coercion."""
+    return _fill(spark, sf_dir, "c", text=True)
+
+
+def _shift(spark: SparkSession, sf_dir: str, policy: str, text: bool = False) -> DataFrame:
+    ts, _ = _tables(spark, sf_dir)
+    if text:
+        ts = testdata.timesheets_text(ts)
+    return _rounded(
+        rates.shift_hours(ts, policy).select(
+            "timesheet_id", "employee_id", "date", "work_seconds",
+            (F.col("work_seconds") / F.lit(3600.0)).alias("total_hours")),
+        "total_hours")
+
+
+@query("shift_hours_a")
+def shift_hours_a(spark, sf_dir):
+    return _shift(spark, sf_dir, "a")
+
+
+@query("shift_hours_b")
+def shift_hours_b(spark, sf_dir):
+    return _shift(spark, sf_dir, "b")
+
+
+@query("shift_hours_c")
+def shift_hours_c(spark, sf_dir):
+    return _shift(spark, sf_dir, "c", text=True)
+
+
+def _gross(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
+    ts, emp = _tables(spark, sf_dir)
+    return _rounded(rates.gross_hours(ts, emp, policy), "total_hours")
+
+
+@query("gross_hours_a")
+def gross_hours_a(spark, sf_dir):
+    return _gross(spark, sf_dir, "a")
+
+
+@query("gross_hours_b")
+def gross_hours_b(spark, sf_dir):
+    return _gross(spark, sf_dir, "b")
+
+
+@query("gross_hours_c")
+def gross_hours_c(spark, sf_dir):
+    return _gross(spark, sf_dir, "c")
+
+
+@query("prorated_salary")
+def prorated_salary_q(spark, sf_dir):
+    ts, emp = _tables(spark, sf_dir)
+    return rates.employee_rates(ts, emp, "a").select(
+        "employee_id", "branch_id", "year", "month", "total_day", "salary", "prorated_salary")
+
+
+def _employee_rate(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
+    ts, emp = _tables(spark, sf_dir)
+    return _rounded(rates.employee_rates(ts, emp, policy), "total_hours", "salary_per_hour")
+
+
+@query("employee_rate_a")
+def employee_rate_a(spark, sf_dir):
+    return _employee_rate(spark, sf_dir, "a")
+
+
+@query("employee_rate_b")
+def employee_rate_b(spark, sf_dir):
+    return _employee_rate(spark, sf_dir, "b")
+
+
+@query("employee_rate_c")
+def employee_rate_c(spark, sf_dir):
+    return _employee_rate(spark, sf_dir, "c")
+
+
+@query("dedupe_employees_nulls_first")
+def dedupe_employees_nulls_first(spark, sf_dir):
+    """Latest record per employee, NULL dates/salaries first."""
+    return dedupe.latest_employee(testdata.employees(spark, sf_dir), nulls_first=True)
+
+
+@query("dedupe_employees_nulls_last")
+def dedupe_employees_nulls_last(spark, sf_dir):
+    """Latest record per employee, NULL dates/salaries last."""
+    return dedupe.latest_employee(testdata.employees(spark, sf_dir), nulls_first=False)
+
+
+def _join_left(ts: DataFrame, emp: DataFrame) -> DataFrame:
+    return (ts.join(emp.select("employee_id", "branch_id", "salary"), "employee_id", "left")
+              .select("timesheet_id", "employee_id", "date", "branch_id", "salary"))
+
+
+@query("join_left_raw")
+def join_left_raw(spark, sf_dir):
+    """J1 against the raw employee table (a duplicated id doubles its rows)."""
+    ts, emp = _tables(spark, sf_dir)
+    return _join_left(ts, emp)
+
+
+@query("join_left_deduped")
+def join_left_deduped(spark, sf_dir):
+    """J1 against the latest employee records."""
+    ts, emp = _tables(spark, sf_dir)
+    return _join_left(ts, dedupe.latest_employee(emp, nulls_first=True))
+
+
+# -- quality checks (A4-A6, P2, P3, P8, P9, O3) ----------------------------------
+
+@query("dup_check_timesheets")
+def dup_check_timesheets(spark, sf_dir):
+    ts, _ = _tables(spark, sf_dir)
+    return quality.duplicate_check(ts, "timesheet_id", "raw_timesheet_id", "unique_timesheet_id")
+
+
+@query("dup_check_employees")
+def dup_check_employees(spark, sf_dir):
+    emp = testdata.employees(spark, sf_dir)
+    return quality.duplicate_check(emp, "employee_id", "raw_total_employee",
+                                   "unique_total_employee")
+
+
+@query("checkin_range")
+def checkin_range(spark, sf_dir):
+    ts, _ = _tables(spark, sf_dir)
+    return quality.checkin_range(ts)
+
+
+@query("missing_either")
+def missing_either(spark, sf_dir):
+    ts, _ = _tables(spark, sf_dir)
+    return quality.missing_either(ts)
+
+
+@query("missing_either_top5")
+def missing_either_top5(spark, sf_dir):
+    ts, _ = _tables(spark, sf_dir)
+    return quality.first_rows(quality.missing_either(ts), ["timesheet_id"], 5)
+
+
+@query("missing_both")
+def missing_both(spark, sf_dir):
+    ts, _ = _tables(spark, sf_dir)
+    return quality.missing_both(ts)
+
+
+@query("missing_flags")
+def missing_flags(spark, sf_dir):
+    ts, _ = _tables(spark, sf_dir)
+    return quality.missing_flags(ts)
+
+
+@query("quality_report")
+def quality_report(spark, sf_dir):
+    ts, emp = _tables(spark, sf_dir)
+    return quality.quality_report(ts, emp)
+
+
+@query("describe_rates")
+def describe_rates(spark, sf_dir):
+    """A6 over the rule-set-B result (as the notebook validates it)."""
+    ts, emp = _tables(spark, sf_dir)
+    result = rates.branch_rates(ts, emp, "b")
+    out = quality.describe(result, ["branch_id", "year", "month", "salary_per_hour"])
+    return _rounded(out, *quality.DESCRIBE_STATS[1:])
+
+
+@query("sort_employees")
+def sort_employees(spark, sf_dir):
+    """O2: employees by join_date DESC, salary DESC (NULLs last)."""
+    emp = testdata.employees(spark, sf_dir)
+    return emp.orderBy(F.col("join_date").desc_nulls_last(), F.col("salary").desc_nulls_last())
+
+
+# -- set operations and incremental loads (U1-U3, W3, S9, S13, S14, S16) ----------
+
+def _batches(spark: SparkSession, sf_dir: str):
+    ts, _ = _tables(spark, sf_dir)
+    return testdata.old_batch(ts), testdata.new_batch(ts)
+
+
+@query("union_all_sources")
+def union_all_sources(spark, sf_dir):
+    old, new = _batches(spark, sf_dir)
+    return merge.union_all(old, new)
+
+
+@query("distinct_rates")
+def distinct_rates(spark, sf_dir):
+    """Whole-row distinct of the rule-set-B result."""
+    return merge.distinct_rows(branch_rate_b(spark, sf_dir))
+
+
+@query("keep_last")
+def keep_last(spark, sf_dir):
+    """Last attendance row per employee, arrival order = timesheet_id."""
+    ts, _ = _tables(spark, sf_dir)
+    return dedupe.keep_last(ts, "employee_id", "timesheet_id")
+
+
+@query("append_new_keys")
+def append_new_keys(spark, sf_dir):
+    old, new = _batches(spark, sf_dir)
+    return merge.append_new_keys(new, old, "timesheet_id", "timesheet_id")
+
+
+@query("upsert_keep_last")
+def upsert_keep_last(spark, sf_dir):
+    old, new = _batches(spark, sf_dir)
+    return merge.upsert(old, new, "timesheet_id", "timesheet_id")
+
+
+@query("load_counts")
+def load_counts(spark, sf_dir):
+    old, new = _batches(spark, sf_dir)
+    return merge.load_counts(new, old, "timesheet_id", "timesheet_id")
+
+
+@query("incremental_first_load")
+def incremental_first_load(spark, sf_dir):
+    """The first load stores the batch as it is; read back."""
+    old, _ = _batches(spark, sf_dir)
+    target = _scratch(spark, "first-load")
+    tables.first_load(spark, old, target)
+    return tables.read_table(spark, target)
+
+
+# -- scans, sinks and loads (S1-S3, S6, S10-S12, P1) -------------------------------
+
+def _employees_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Write the employee view as CSV with the misspelt header; return its folder."""
+    path = _scratch(spark, "employees-csv")
+    emp = testdata.employees(spark, sf_dir).withColumnRenamed("employee_id", "employe_id")
+    csv_io.write_csv(emp, path)
+    return path
+
+
+def _timesheets_csv(spark: SparkSession, sf_dir: str) -> str:
+    path = _scratch(spark, "timesheets-csv")
+    ts, _ = _tables(spark, sf_dir)
+    csv_io.write_csv(testdata.timesheets_text(ts), path)
+    return path
+
+
+@query("scan_employees")
+def scan_employees(spark, sf_dir):
+    """Positional typed CSV scan (the header, misspelt or not, is skipped)."""
+    return csv_io.read_employees_csv(spark, _employees_csv(spark, sf_dir))
+
+
+@query("scan_timesheets")
+def scan_timesheets(spark, sf_dir):
+    """S1 + F8: positional scan, text times parsed strictly to seconds."""
+    df = csv_io.read_timesheets_csv(spark, _timesheets_csv(spark, sf_dir))
+    return df.withColumn("checkin", parse_time(F.col("checkin"))) \
+             .withColumn("checkout", parse_time(F.col("checkout")))
+
+
+@query("rename_header")
+def rename_header(spark, sf_dir):
+    """S2 + S3: scan by header name with ``employe_id`` repaired."""
+    return csv_io.read_employees_csv(spark, _employees_csv(spark, sf_dir), by_name=True)
+
+
+@query("time_to_seconds")
+def time_to_seconds(spark, sf_dir):
+    """seconds of day of every event timestamp."""
+    ev = testdata.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", seconds_of_day(F.col("ts")).alias("seconds"))
+
+
+@query("parse_time_coerce")
+def parse_time_coerce(spark, sf_dir):
+    """tolerant parse of times written without a leading zero (``8:05:00``)."""
+    ts, _ = _tables(spark, sf_dir)
+    unpadded = F.format_string("%d:%02d:%02d", F.floor(F.col("checkin") / 3600).cast("int"),
+                               F.floor((F.col("checkin") % 3600) / 60).cast("int"),
+                               (F.col("checkin") % 60).cast("int"))
+    text = F.when(F.col("checkin").isNull(), F.lit(None)).otherwise(unpadded)
+    return ts.select("timesheet_id",
+                     parse_time(text, coerce=True).alias("checkin"),
+                     parse_time(format_time(F.col("checkout")), coerce=True).alias("checkout"))
+
+
+@query("load_cast_decimal")
+def load_cast_decimal(spark, sf_dir):
+    """The unrounded rule-set-B result cast to the DECIMAL(10,2) table type."""
+    ts, emp = _tables(spark, sf_dir)
+    return tables.cast_to_schema(rates.branch_rates(ts, emp, "b"), RESULT)
+
+
+@query("full_refresh")
+def full_refresh(spark, sf_dir):
+    """Stage, validate and publish the rule-set-A result; read back."""
+    ts, emp = _tables(spark, sf_dir)
+    target = _scratch(spark, "salary-per-hours")
+    tables.full_refresh(spark, rates.branch_rates(ts, emp, "a"), target, RESULT,
+                        partition_by=jobs.PARTITIONS)
+    return tables.read_table(spark, target).select(*RESULT.fieldNames())
+
+
+@query("final_select")
+def final_select(spark, sf_dir):
+    """Read-back projection of the loaded result table."""
+    return rates.final_select(load_cast_decimal(spark, sf_dir))
+
+
+# -- jobs (Q5, Q6) on CSV files written from the test tables ------------------------
+
+@query("job_full_refresh")
+def job_full_refresh(spark, sf_dir):
+    """Q5 end to end: CSV -> staged sources -> rule set A -> DECIMAL(10,2) table."""
+    wh = _scratch(spark, "warehouse")
+    jobs.full_refresh_job(spark, _employees_csv(spark, sf_dir), _timesheets_csv(spark, sf_dir), wh)
+    return tables.read_table(spark, f"{wh}/salary_per_hours_a").select(*RESULT.fieldNames())
+
+
+@query("job_incremental")
+def job_incremental(spark, sf_dir):
+    """Q6 end to end, two runs: the stored batch, then the arriving batch
+    (append of new keys to the sources, rule set C, keyed upsert of the result)."""
+    ts, emp = _tables(spark, sf_dir)
+    wh = _scratch(spark, "warehouse")
+    emp_csv = _employees_csv(spark, sf_dir)
+    for batch in (testdata.old_batch(ts), testdata.new_batch(ts)):
+        path = _scratch(spark, "timesheets-batch")
+        csv_io.write_csv(testdata.timesheets_text(batch), path)
+        jobs.incremental_job(spark, emp_csv, path, wh)
+    out = tables.read_table(spark, f"{wh}/salary_per_hours_c")
+    return _rounded(out.select(*jobs.RESULT_DOUBLE.fieldNames()), "salary_per_hour")
