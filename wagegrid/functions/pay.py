@@ -1,42 +1,66 @@
-"""Calendar keys, proration, hourly rate and rounding as Column expressions."""
+"""Calendar keys, proration, hourly rate and rounding (Spark SQL expressions)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import WORKING_DAYS, WORKING_DAYS_DEC
+from ..schemas import WORKING_DAYS
 
 
-def year_of(date: Column) -> Column:
-    return F.year(date).cast("int")
+def year_sql(date: str) -> str:
+    return f"CAST(year({date}) AS INT)"
 
 
-def month_of(date: Column) -> Column:
-    return F.month(date).cast("int")
+def month_sql(date: str) -> str:
+    return f"CAST(month({date}) AS INT)"
 
 
-def prorated_salary(total_day: Column, salary: Column) -> Column:
+def prorated_salary_sql(total_day: str = "total_day", salary: str = "salary") -> str:
     """More than 22 days -> salary, else round(days / 22.0, 2) * salary.
 
     Exact decimal arithmetic: ``days / 22.0`` is DECIMAL division, so the
     two-place rounding never sees binary noise (and can never be a tie).
     """
-    ratio = F.round(total_day.cast("decimal(20,0)") / F.lit(WORKING_DAYS_DEC), 2)
-    return (F.when(total_day > WORKING_DAYS, salary.cast("decimal(24,4)"))
-            .otherwise((ratio * salary).cast("decimal(24,4)")))
+    return (f"CAST(CASE WHEN {total_day} > {WORKING_DAYS} THEN {salary} "
+            f"ELSE round(CAST({total_day} AS DECIMAL(20,0)) / {WORKING_DAYS}.0BD, 2) * {salary} "
+            f"END AS DECIMAL(24,4))")
 
 
-def hourly_rate(prorated: Column, hours: Column) -> Column:
+def hourly_rate_sql(prorated: str = "prorated_salary", hours: str = "total_hours") -> str:
     """prorated / hours as DOUBLE; zero hours give NULL (skipped by AVG)."""
-    return F.try_divide(prorated.cast("double"), hours.cast("double"))
+    return f"try_divide(CAST({prorated} AS DOUBLE), CAST({hours} AS DOUBLE))"
 
 
-def round_half_up(value: Column, places: int = 2, precision: int = 20) -> Column:
+def round_half_up_sql(value: str, places: int = 2, precision: int = 20) -> str:
     """ROUND(x::NUMERIC, places): half away from zero, as a DECIMAL."""
-    return F.round(value.cast("decimal(38,10)"), places).cast(f"decimal({precision},{places})")
+    return f"CAST(round(CAST({value} AS DECIMAL(38,10)), {places}) AS DECIMAL({precision},{places}))"
 
 
-def round_double(value: Column, places: int = 6) -> Column:
+def round_double_sql(value: str, places: int = 6) -> str:
     """Unrounded rates are reported at 6 places so summation order cannot show."""
-    return F.round(value.cast("double"), places)
+    return f"round(CAST({value} AS DOUBLE), {places})"
+
+
+def year_of(date: str) -> Column:
+    return F.expr(year_sql(date))
+
+
+def month_of(date: str) -> Column:
+    return F.expr(month_sql(date))
+
+
+def prorated_salary(total_day: str = "total_day", salary: str = "salary") -> Column:
+    return F.expr(prorated_salary_sql(total_day, salary))
+
+
+def hourly_rate(prorated: str = "prorated_salary", hours: str = "total_hours") -> Column:
+    return F.expr(hourly_rate_sql(prorated, hours))
+
+
+def round_half_up(value: str, places: int = 2, precision: int = 20) -> Column:
+    return F.expr(round_half_up_sql(value, places, precision))
+
+
+def round_double(value: str, places: int = 6) -> Column:
+    return F.expr(round_double_sql(value, places))

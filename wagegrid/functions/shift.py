@@ -3,6 +3,10 @@
 Inputs are BIGINT seconds of day. Each rule is written in its effective form
 (conditions no time of day can satisfy are left out) and keeps the
 workload's quirks: no wrap over midnight, negative or mirrored durations.
+
+The rules are Spark SQL ``CASE`` expressions over column names (or any SQL
+operand): one parse in the JVM instead of one Python call per node. The
+``*_sql`` functions return the text; the others wrap it in a Column.
 """
 
 from __future__ import annotations
@@ -13,12 +17,8 @@ from pyspark.sql import functions as F
 from ..schemas import DEFAULT_SHIFT_SECONDS, EVENING_END, MORNING_START, NOON
 
 
-def _lit(v: int) -> Column:
-    return F.lit(v).cast("bigint")
-
-
-def fill_checkin(checkin: Column, checkout: Column, rule: str,
-                 checkin_missing: Column | None = None) -> Column:
+def fill_checkin_sql(checkin: str = "checkin", checkout: str = "checkout", rule: str = "noon",
+                     checkin_missing: str | None = None) -> str:
     """Check-in with a missing value filled from the check-out.
 
     ``checkin_missing`` tells whether the *raw* value was absent; it differs
@@ -28,36 +28,37 @@ def fill_checkin(checkin: Column, checkout: Column, rule: str,
     * ``morning``: out > 08:00 -> 08:00; out < 08:00 -> 17:00; else stays NULL.
     * ``noon``: 0 < out < 12:00 -> 17:00; else stays NULL.
     """
-    missing = checkin.isNull() if checkin_missing is None else checkin_missing
+    missing = checkin_missing or f"({checkin}) IS NULL"
     if rule == "morning":
-        return (F.when(missing & (checkout > MORNING_START), _lit(MORNING_START))
-                .when(missing & (checkout < MORNING_START), _lit(EVENING_END))
-                .otherwise(checkin))
+        return (f"CASE WHEN {missing} AND ({checkout}) > {MORNING_START} THEN {MORNING_START}L "
+                f"WHEN {missing} AND ({checkout}) < {MORNING_START} THEN {EVENING_END}L "
+                f"ELSE CAST({checkin} AS BIGINT) END")
     if rule == "noon":
-        return (F.when(missing & (checkout > 0) & (checkout < NOON), _lit(EVENING_END))
-                .otherwise(checkin))
+        return (f"CASE WHEN {missing} AND ({checkout}) > 0 AND ({checkout}) < {NOON} "
+                f"THEN {EVENING_END}L ELSE CAST({checkin} AS BIGINT) END")
     raise ValueError(f"unknown fill rule {rule!r}")
 
 
-def fill_checkout(checkin: Column, checkout: Column, rule: str,
-                  checkout_missing: Column | None = None) -> Column:
+def fill_checkout_sql(checkin: str = "checkin", checkout: str = "checkout", rule: str = "noon",
+                      checkout_missing: str | None = None) -> str:
     """Check-out with a missing value filled from the (raw) check-in.
 
     * ``morning``: in > 08:00 -> 17:00; in < 08:00 -> 08:00; else stays NULL.
     * ``noon``: 0 < in < 12:00 -> 17:00; else stays NULL.
     """
-    missing = checkout.isNull() if checkout_missing is None else checkout_missing
+    missing = checkout_missing or f"({checkout}) IS NULL"
     if rule == "morning":
-        return (F.when(missing & (checkin > MORNING_START), _lit(EVENING_END))
-                .when(missing & (checkin < MORNING_START), _lit(MORNING_START))
-                .otherwise(checkout))
+        return (f"CASE WHEN {missing} AND ({checkin}) > {MORNING_START} THEN {EVENING_END}L "
+                f"WHEN {missing} AND ({checkin}) < {MORNING_START} THEN {MORNING_START}L "
+                f"ELSE CAST({checkout} AS BIGINT) END")
     if rule == "noon":
-        return (F.when(missing & (checkin > 0) & (checkin < NOON), _lit(EVENING_END))
-                .otherwise(checkout))
+        return (f"CASE WHEN {missing} AND ({checkin}) > 0 AND ({checkin}) < {NOON} "
+                f"THEN {EVENING_END}L ELSE CAST({checkout} AS BIGINT) END")
     raise ValueError(f"unknown fill rule {rule!r}")
 
 
-def shift_seconds(checkin: Column, checkout: Column, rule: str) -> Column:
+def shift_seconds_sql(checkin: str = "checkin_new", checkout: str = "checkout_new",
+                      rule: str = "noon") -> str:
     """Worked seconds of one day, first matching branch wins.
 
     * ``evening``: in < 17:00 -> out-in; in > 17:00 -> in-out;
@@ -68,26 +69,33 @@ def shift_seconds(checkin: Column, checkout: Column, rule: str) -> Column:
       in >= 12:00 -> in-out; out > 12:00 -> out-in; 0 < out < 12:00 -> in-out;
       else 9 h.
     """
-    forward = checkout - checkin
-    backward = checkin - checkout
-    default = _lit(DEFAULT_SHIFT_SECONDS)
+    i, o = f"({checkin})", f"({checkout})"
+    fwd, bwd, default = f"{o} - {i}", f"{i} - {o}", f"{DEFAULT_SHIFT_SECONDS}L"
     if rule == "evening":
-        expr = (F.when(checkin < EVENING_END, forward)
-                .when(checkin > EVENING_END, backward)
-                .when(checkout < EVENING_END, backward)
-                .when(checkout > EVENING_END, forward)
-                .otherwise(default))
+        body = (f"WHEN {i} < {EVENING_END} THEN {fwd} WHEN {i} > {EVENING_END} THEN {bwd} "
+                f"WHEN {o} < {EVENING_END} THEN {bwd} WHEN {o} > {EVENING_END} THEN {fwd}")
     elif rule == "noon":
-        expr = (F.when((checkin > 0) & (checkin < NOON), forward)
-                .when((checkout > 0) & (checkout < NOON), backward)
-                .otherwise(default))
+        body = (f"WHEN {i} > 0 AND {i} < {NOON} THEN {fwd} "
+                f"WHEN {o} > 0 AND {o} < {NOON} THEN {bwd}")
     elif rule == "noon_default":
-        expr = (F.when(checkin.isNull() | checkout.isNull(), default)
-                .when((checkin > 0) & (checkin < NOON), forward)
-                .when(checkin >= NOON, backward)
-                .when(checkout > NOON, forward)
-                .when((checkout > 0) & (checkout < NOON), backward)
-                .otherwise(default))
+        body = (f"WHEN {i} IS NULL OR {o} IS NULL THEN {default} "
+                f"WHEN {i} > 0 AND {i} < {NOON} THEN {fwd} WHEN {i} >= {NOON} THEN {bwd} "
+                f"WHEN {o} > {NOON} THEN {fwd} WHEN {o} > 0 AND {o} < {NOON} THEN {bwd}")
     else:
         raise ValueError(f"unknown duration rule {rule!r}")
-    return expr.cast("bigint")
+    return f"CAST(CASE {body} ELSE {default} END AS BIGINT)"
+
+
+def fill_checkin(checkin: str = "checkin", checkout: str = "checkout", rule: str = "noon",
+                 checkin_missing: str | None = None) -> Column:
+    return F.expr(fill_checkin_sql(checkin, checkout, rule, checkin_missing))
+
+
+def fill_checkout(checkin: str = "checkin", checkout: str = "checkout", rule: str = "noon",
+                  checkout_missing: str | None = None) -> Column:
+    return F.expr(fill_checkout_sql(checkin, checkout, rule, checkout_missing))
+
+
+def shift_seconds(checkin: str = "checkin_new", checkout: str = "checkout_new",
+                  rule: str = "noon") -> Column:
+    return F.expr(shift_seconds_sql(checkin, checkout, rule))

@@ -1,6 +1,7 @@
 """Time-of-day helpers: text or timestamp <-> BIGINT seconds since midnight.
 
-All are Column expressions (JVM side, inside whole-stage codegen).
+All are Spark SQL expressions (JVM side, inside whole-stage codegen); the
+``*_sql`` forms return the text for use in ``selectExpr``.
 """
 
 from __future__ import annotations
@@ -20,35 +21,49 @@ def time_literal(text: str) -> int:
     return h * 3600 + m * 60 + s
 
 
-def seconds_of_day(ts: Column) -> Column:
+def seconds_of_day_sql(ts: str) -> str:
     """hour*3600 + minute*60 + second of a timestamp, fraction floored."""
-    return (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("bigint")
+    return f"CAST(hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}) AS BIGINT)"
 
 
-def parse_time(text: Column, coerce: bool = False) -> Column:
+def parse_time_sql(text: str, coerce: bool = False) -> str:
     """Seconds of day of a time text.
 
     ``coerce=False`` behaves like a typed TIME column: a malformed value fails
     the query (ANSI). ``coerce=True`` turns malformed or empty text into NULL.
     """
-    trimmed = F.trim(text)
     if coerce:
-        ts = F.try_to_timestamp(trimmed, F.lit(TIME_PATTERN))
-        return F.when(trimmed == "", F.lit(None)).otherwise(seconds_of_day(ts)).cast("bigint")
-    return seconds_of_day(F.to_timestamp(trimmed, TIME_PATTERN))
+        ts = f"try_to_timestamp(nullif(trim({text}), ''), '{TIME_PATTERN}')"
+    else:
+        ts = f"to_timestamp(trim({text}), '{TIME_PATTERN}')"
+    return seconds_of_day_sql(ts)
 
 
-def format_time(seconds: Column) -> Column:
-    """``HH:MM:SS`` text of seconds of day (NULL stays NULL)."""
-    text = F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(seconds / 3600).cast("int"),
-        F.floor((seconds % 3600) / 60).cast("int"),
-        (seconds % 60).cast("int"),
-    )
-    return F.when(seconds.isNull(), F.lit(None).cast("string")).otherwise(text)
+def format_time_sql(seconds: str, pad_hour: bool = True) -> str:
+    """``HH:MM:SS`` (or ``H:MM:SS``) text of seconds of day; NULL stays NULL."""
+    fmt = "%02d:%02d:%02d" if pad_hour else "%d:%02d:%02d"
+    s = f"({seconds})"
+    return (f"CASE WHEN {s} IS NULL THEN CAST(NULL AS STRING) ELSE format_string('{fmt}', "
+            f"CAST(floor({s} / 3600) AS INT), CAST(floor(({s} % 3600) / 60) AS INT), "
+            f"CAST({s} % 60 AS INT)) END")
 
 
-def seconds_to_hours(seconds: Column) -> Column:
+def seconds_of_day(ts: str) -> Column:
+    return F.expr(seconds_of_day_sql(ts))
+
+
+def parse_time(text: str, coerce: bool = False) -> Column:
+    return F.expr(parse_time_sql(text, coerce))
+
+
+def format_time(seconds: str, pad_hour: bool = True) -> Column:
+    return F.expr(format_time_sql(seconds, pad_hour))
+
+
+def seconds_to_hours_sql(seconds: str) -> str:
     """Hours as DOUBLE; divide once, after summing integer seconds."""
-    return seconds.cast("double") / F.lit(3600.0)
+    return f"CAST({seconds} AS DOUBLE) / 3600.0D"
+
+
+def seconds_to_hours(seconds: str) -> Column:
+    return F.expr(seconds_to_hours_sql(seconds))

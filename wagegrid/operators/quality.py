@@ -16,7 +16,7 @@ from ..functions.timeofday import parse_time
 
 def _seconds(df: DataFrame, name: str, coerce: bool = True) -> Column:
     if isinstance(df.schema[name].dataType, T.StringType):
-        return parse_time(F.col(name), coerce=coerce)
+        return parse_time(f"`{name}`", coerce=coerce)
     return F.col(name).cast("bigint")
 
 

@@ -27,21 +27,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.pay import (hourly_rate, month_of, prorated_salary, round_half_up,
-                             year_of)
-from ..functions.shift import fill_checkin, fill_checkout, shift_seconds
-from ..functions.timeofday import parse_time, seconds_to_hours
+from ..functions.pay import (hourly_rate_sql, month_sql, prorated_salary_sql, round_half_up_sql,
+                             year_sql)
+from ..functions.shift import fill_checkin_sql, fill_checkout_sql, shift_seconds_sql
+from ..functions.timeofday import parse_time_sql, seconds_to_hours_sql
 from ..policies import Policy, get_policy
 from .dedupe import latest_employee
 
 
-def _time_seconds(df: DataFrame, name: str, coerce: bool):
-    """(seconds, raw-missing) for a time column given as text or seconds."""
-    dtype = df.schema[name].dataType
-    raw = F.col(name)
-    if isinstance(dtype, T.StringType):
-        return parse_time(raw, coerce=coerce), raw.isNull() | (F.trim(raw) == "")
-    return raw.cast("bigint"), raw.isNull()
+def _time_operand(df: DataFrame, name: str, coerce: bool) -> tuple[str, str]:
+    """(seconds SQL, raw-missing SQL) for a time column given as text or seconds."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return (parse_time_sql(f"`{name}`", coerce),
+                f"(`{name}` IS NULL OR trim(`{name}`) = '')")
+    return f"CAST(`{name}` AS BIGINT)", f"`{name}` IS NULL"
 
 
 def shift_hours(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
@@ -51,15 +50,14 @@ def shift_hours(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
     ``work_seconds`` (BIGINT, may be NULL or negative under the rules).
     """
     p = get_policy(policy)
-    ci, ci_missing = _time_seconds(timesheets, "checkin", p.coerce_times)
-    co, co_missing = _time_seconds(timesheets, "checkout", p.coerce_times)
-    checkin_new = fill_checkin(ci, co, p.fill, ci_missing)
-    checkout_new = fill_checkout(ci, co, p.fill, co_missing)
-    return (timesheets
-            .withColumn("checkin_new", checkin_new)
-            .withColumn("checkout_new", checkout_new)
-            .withColumn("work_seconds", shift_seconds(F.col("checkin_new"),
-                                                      F.col("checkout_new"), p.duration)))
+    ci, ci_missing = _time_operand(timesheets, "checkin", p.coerce_times)
+    co, co_missing = _time_operand(timesheets, "checkout", p.coerce_times)
+    filled = timesheets.selectExpr(
+        "*",
+        f"{fill_checkin_sql(ci, co, p.fill, ci_missing)} AS checkin_new",
+        f"{fill_checkout_sql(ci, co, p.fill, co_missing)} AS checkout_new")
+    return filled.selectExpr(
+        "*", f"{shift_seconds_sql('checkin_new', 'checkout_new', p.duration)} AS work_seconds")
 
 
 def monthly_attendance(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
@@ -70,15 +68,12 @@ def monthly_attendance(timesheets: DataFrame, policy: Policy | str) -> DataFrame
     does); ``work_seconds`` is NULL when every day of the month is NULL.
     """
     p = get_policy(policy)
-    ts = timesheets.filter(F.col("employee_id").isNotNull())
-    if p.drop_null_keys:
-        ts = ts.filter(F.col("date").isNotNull())
-    return (shift_hours(ts, p)
-            .groupBy("employee_id",
-                     year_of(F.col("date")).alias("year"),
-                     month_of(F.col("date")).alias("month"))
-            .agg(F.count(F.lit(1)).alias("days"),
-                 F.sum("work_seconds").alias("work_seconds")))
+    cond = "employee_id IS NOT NULL" + (" AND date IS NOT NULL" if p.drop_null_keys else "")
+    return (shift_hours(timesheets.filter(cond), p)
+            .selectExpr("employee_id", f"{year_sql('date')} AS year",
+                        f"{month_sql('date')} AS month", "work_seconds")
+            .groupBy("employee_id", "year", "month")
+            .agg(F.count(F.lit(1)).alias("days"), F.sum("work_seconds").alias("work_seconds")))
 
 
 def payroll_employees(employees: DataFrame, policy: Policy | str) -> DataFrame:
@@ -89,22 +84,20 @@ def payroll_employees(employees: DataFrame, policy: Policy | str) -> DataFrame:
     every record and counts the copies per (employee_id, branch_id).
     """
     p = get_policy(policy)
-    emp = employees.select("employee_id", "branch_id", "salary", "join_date", "resign_date") \
-        if "resign_date" in employees.columns else \
-        employees.select("employee_id", "branch_id", "salary", "join_date",
-                         F.lit(None).cast("date").alias("resign_date"))
-    emp = emp.filter(F.col("employee_id").isNotNull())
+    resign = "resign_date" if "resign_date" in employees.columns else \
+        "CAST(NULL AS DATE) AS resign_date"
+    emp = employees.selectExpr("employee_id", "branch_id", "salary", "join_date", resign) \
+        .filter("employee_id IS NOT NULL")
     if p.latest_employee is not None:
         emp = latest_employee(emp, nulls_first=(p.latest_employee == "nulls_first"))
-    keep = F.col("salary").isNotNull()
+    keep = "salary IS NOT NULL"
     if p.drop_zero_salary:
-        keep = keep & (F.col("salary") != 0)
+        keep += " AND salary <> 0"
     if p.drop_null_keys:
-        keep = keep & F.col("branch_id").isNotNull()
+        keep += " AND branch_id IS NOT NULL"
     emp = emp.filter(keep)
     if p.latest_employee is not None:
-        return emp.select("employee_id", "branch_id", "salary",
-                          F.lit(1).cast("bigint").alias("copies"))
+        return emp.selectExpr("employee_id", "branch_id", "salary", "1L AS copies")
     return (emp.groupBy("employee_id", "branch_id")
             .agg(F.min("salary").alias("salary"), F.count(F.lit(1)).alias("copies")))
 
@@ -118,22 +111,20 @@ def gross_hours(timesheets: DataFrame, employees: DataFrame, policy: Policy | st
     p = get_policy(policy)
     monthly = monthly_attendance(timesheets, p)
     staff = payroll_employees(employees, p)
-    joined = monthly.join(staff, "employee_id", "inner")
-    return joined.select(
+    return monthly.join(staff, "employee_id", "inner").selectExpr(
         "employee_id", "branch_id", "year", "month",
-        (F.col("days") * F.col("copies")).alias("total_day"),
-        seconds_to_hours(F.col("work_seconds") * F.col("copies")).alias("total_hours"),
-        "salary",
-    )
+        "days * copies AS total_day",
+        f"{seconds_to_hours_sql('work_seconds * copies')} AS total_hours",
+        "salary")
 
 
 def employee_rates(timesheets: DataFrame, employees: DataFrame, policy: Policy | str) -> DataFrame:
     """F5 + F6: prorated salary and pay per hour per employee and month."""
     p = get_policy(policy)
     g = gross_hours(timesheets, employees, p)
-    return (g.withColumn("prorated_salary", prorated_salary(F.col("total_day"), F.col("salary")))
-             .withColumn("salary_per_hour",
-                         hourly_rate(F.col("prorated_salary"), F.col("total_hours"))))
+    return (g.selectExpr("*", f"{prorated_salary_sql('total_day', 'salary')} AS prorated_salary")
+             .selectExpr("*", f"{hourly_rate_sql('prorated_salary', 'total_hours')} "
+                              "AS salary_per_hour"))
 
 
 def branch_rates(timesheets: DataFrame, employees: DataFrame, policy: Policy | str) -> DataFrame:
@@ -146,12 +137,9 @@ def branch_rates(timesheets: DataFrame, employees: DataFrame, policy: Policy | s
     rates = employee_rates(timesheets, employees, p)
     out = rates.groupBy("branch_id", "year", "month").agg(
         F.avg("salary_per_hour").alias("salary_per_hour"))
-    if p.rounding == "query":
-        out = out.withColumn("salary_per_hour", round_half_up(F.col("salary_per_hour"), 2))
-    out = out.select(F.col("branch_id").cast("int").alias("branch_id"),
-                     F.col("year").cast("int").alias("year"),
-                     F.col("month").cast("int").alias("month"),
-                     "salary_per_hour")
+    value = round_half_up_sql("salary_per_hour", 2) if p.rounding == "query" else "salary_per_hour"
+    out = out.selectExpr("CAST(branch_id AS INT) AS branch_id", "year", "month",
+                         f"{value} AS salary_per_hour")
     if p.order_by:
         # ASC places NULLs last, as the SQL engine of the workload does.
         out = out.orderBy(*[F.col(c).asc_nulls_last() for c in p.order_by])

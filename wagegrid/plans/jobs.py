@@ -33,8 +33,8 @@ PARTITIONS = ("year", "month")
 
 def _times_as_seconds(ts: DataFrame) -> DataFrame:
     """Strict parse of text times, as a typed TIME column would do on load."""
-    return ts.withColumn("checkin", parse_time(F.col("checkin"))) \
-             .withColumn("checkout", parse_time(F.col("checkout")))
+    return ts.withColumn("checkin", parse_time("checkin")) \
+             .withColumn("checkout", parse_time("checkout"))
 
 
 def full_refresh_job(spark: SparkSession, employees_csv: str, timesheets_csv: str,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import scratch_path
 from ..functions.pay import round_double
-from ..functions.timeofday import format_time, parse_time, seconds_of_day
+from ..functions.timeofday import parse_time, seconds_of_day
 from ..operators import dedupe, merge, quality, rates
 from ..schemas import RESULT
 from ..sources import csv as csv_io
@@ -45,7 +45,7 @@ def _tables(spark: SparkSession, sf_dir: str):
 
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
-        df = df.withColumn(c, round_double(F.col(c)))
+        df = df.withColumn(c, round_double(c))
     return df
 
 
@@ -109,7 +109,7 @@ def _shift(spark: SparkSession, sf_dir: str, policy: str, text: bool = False) ->
     return _rounded(
         rates.shift_hours(ts, policy).select(
             "timesheet_id", "employee_id", "date", "work_seconds",
-            (F.col("work_seconds") / F.lit(3600.0)).alias("total_hours")),
+            F.expr("work_seconds / 3600.0D").alias("total_hours")),
         "total_hours")
 
 
@@ -353,8 +353,8 @@ def scan_employees(spark, sf_dir):
 def scan_timesheets(spark, sf_dir):
     """S1 + F8: positional scan, text times parsed strictly to seconds."""
     df = csv_io.read_timesheets_csv(spark, _timesheets_csv(spark, sf_dir))
-    return df.withColumn("checkin", parse_time(F.col("checkin"))) \
-             .withColumn("checkout", parse_time(F.col("checkout")))
+    return df.withColumn("checkin", parse_time("checkin")) \
+             .withColumn("checkout", parse_time("checkout"))
 
 
 @query("rename_header")
@@ -367,20 +367,17 @@ def rename_header(spark, sf_dir):
 def time_to_seconds(spark, sf_dir):
     """seconds of day of every event timestamp."""
     ev = testdata.read_table(spark, sf_dir, "events")
-    return ev.select("event_id", seconds_of_day(F.col("ts")).alias("seconds"))
+    return ev.select("event_id", seconds_of_day("ts").alias("seconds"))
 
 
 @query("parse_time_coerce")
 def parse_time_coerce(spark, sf_dir):
     """tolerant parse of times written without a leading zero (``8:05:00``)."""
     ts, _ = _tables(spark, sf_dir)
-    unpadded = F.format_string("%d:%02d:%02d", F.floor(F.col("checkin") / 3600).cast("int"),
-                               F.floor((F.col("checkin") % 3600) / 60).cast("int"),
-                               (F.col("checkin") % 60).cast("int"))
-    text = F.when(F.col("checkin").isNull(), F.lit(None)).otherwise(unpadded)
-    return ts.select("timesheet_id",
-                     parse_time(text, coerce=True).alias("checkin"),
-                     parse_time(format_time(F.col("checkout")), coerce=True).alias("checkout"))
+    text = testdata.timesheets_text(ts, pad_hour=False)
+    return text.select("timesheet_id",
+                       parse_time("checkin", coerce=True).alias("checkin"),
+                       parse_time("checkout", coerce=True).alias("checkout"))
 
 
 @query("load_cast_decimal")

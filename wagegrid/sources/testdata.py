@@ -11,9 +11,8 @@ factor. ``oracle_views()`` is the same derivation as SQL text for DuckDB.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.timeofday import seconds_of_day
+from ..functions.timeofday import format_time_sql, seconds_of_day_sql
 
 DATE_BASE = "2018-01-01"
 
@@ -24,50 +23,38 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def employees_from(customer: DataFrame) -> DataFrame:
     """employees(employee_id, branch_id, salary, join_date, resign_date)."""
-    key = F.col("c_custkey")
-    base = customer.filter(key % 13 != 7)
-    join_date = F.date_add(F.lit(DATE_BASE).cast("date"), (key * 7 % 1000).cast("int"))
-    first = base.select(
-        key.alias("employee_id"),
-        F.col("c_nationkey").alias("branch_id"),
-        F.when(key % 17 == 3, F.lit(None))
-         .when(key % 29 == 5, F.lit(0.0))
-         .otherwise(F.round(F.abs(F.col("c_acctbal")) * 1000 + 1000000, 0))
-         .cast("decimal(10,2)").alias("salary"),
-        join_date.alias("join_date"),
-        F.lit(None).cast("date").alias("resign_date"),
-    )
-    copies = base.filter(key % 11 == 2).select(
-        key.alias("employee_id"),
-        F.col("c_nationkey").alias("branch_id"),
-        F.round(F.abs(F.col("c_acctbal")) * 1000 + 3000000, 0).cast("decimal(10,2)").alias("salary"),
-        F.when(key % 4 == 0, F.lit(None).cast("date")).otherwise(join_date).alias("join_date"),
-        F.lit(None).cast("date").alias("resign_date"),
-    )
+    join_date = f"date_add(DATE'{DATE_BASE}', CAST(c_custkey * 7 % 1000 AS INT))"
+    base = customer.filter("c_custkey % 13 <> 7")
+    first = base.selectExpr(
+        "c_custkey AS employee_id",
+        "c_nationkey AS branch_id",
+        "CAST(CASE WHEN c_custkey % 17 = 3 THEN NULL WHEN c_custkey % 29 = 5 THEN 0.0D "
+        "ELSE round(abs(c_acctbal) * 1000 + 1000000, 0) END AS DECIMAL(10,2)) AS salary",
+        f"{join_date} AS join_date",
+        "CAST(NULL AS DATE) AS resign_date")
+    copies = base.filter("c_custkey % 11 = 2").selectExpr(
+        "c_custkey AS employee_id",
+        "c_nationkey AS branch_id",
+        "CAST(round(abs(c_acctbal) * 1000 + 3000000, 0) AS DECIMAL(10,2)) AS salary",
+        f"CASE WHEN c_custkey % 4 = 0 THEN CAST(NULL AS DATE) ELSE {join_date} END AS join_date",
+        "CAST(NULL AS DATE) AS resign_date")
     return first.unionByName(copies)
 
 
 def timesheets_from(events: DataFrame) -> DataFrame:
     """timesheets(timesheet_id, employee_id, date, checkin, checkout), times in seconds."""
-    eid = F.col("event_id")
-    ev = events.filter(eid % (F.lit(1) + F.col("user_id") % 5) == 0)
-    s = seconds_of_day(F.col("ts"))
-    day = F.to_date(F.col("ts"))
-    return ev.select(
-        eid.alias("timesheet_id"),
-        F.col("user_id").alias("employee_id"),
-        F.when(eid % 3 == 0, F.date_add(day, 31)).otherwise(day).alias("date"),
-        F.when(eid % 17 == 0, F.lit(None).cast("bigint"))
-         .when(eid % 23 == 0, F.lit(61200).cast("bigint"))
-         .when(eid % 31 == 0, F.lit(0).cast("bigint"))
-         .when(eid % 37 == 0, F.lit(43200).cast("bigint"))
-         .otherwise(s).alias("checkin"),
-        F.when(eid % 19 == 0, F.lit(None).cast("bigint"))
-         .when(eid % 29 == 0, F.lit(28800).cast("bigint"))
-         .when(eid % 41 == 0, F.lit(61200).cast("bigint"))
-         .when(eid % 43 == 0, F.lit(0).cast("bigint"))
-         .otherwise((s + 28800 + eid * 7919 % 7200) % 86400).alias("checkout"),
-    )
+    ev = events.filter("event_id % (1 + user_id % 5) = 0") \
+        .selectExpr("event_id", "user_id", "ts", f"{seconds_of_day_sql('ts')} AS s")
+    return ev.selectExpr(
+        "event_id AS timesheet_id",
+        "user_id AS employee_id",
+        "CASE WHEN event_id % 3 = 0 THEN date_add(to_date(ts), 31) ELSE to_date(ts) END AS date",
+        "CAST(CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 23 = 0 THEN 61200 "
+        "WHEN event_id % 31 = 0 THEN 0 WHEN event_id % 37 = 0 THEN 43200 "
+        "ELSE s END AS BIGINT) AS checkin",
+        "CAST(CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 29 = 0 THEN 28800 "
+        "WHEN event_id % 41 = 0 THEN 61200 WHEN event_id % 43 = 0 THEN 0 "
+        "ELSE (s + 28800 + event_id * 7919 % 7200) % 86400 END AS BIGINT) AS checkout")
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,24 +70,23 @@ def load_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return timesheets(spark, sf_dir), employees(spark, sf_dir)
 
 
-def timesheets_text(ts: DataFrame) -> DataFrame:
+def timesheets_text(ts: DataFrame, pad_hour: bool = True) -> DataFrame:
     """The attendance table with times as ``HH:MM:SS`` text (as read from CSV)."""
-    from ..functions.timeofday import format_time
-    return ts.select("timesheet_id", "employee_id", "date",
-                     format_time(F.col("checkin")).alias("checkin"),
-                     format_time(F.col("checkout")).alias("checkout"))
+    return ts.selectExpr("timesheet_id", "employee_id", "date",
+                         f"{format_time_sql('checkin', pad_hour)} AS checkin",
+                         f"{format_time_sql('checkout', pad_hour)} AS checkout")
 
 
 # Incremental batches over the attendance table: the stored table holds the
 # ids divisible by 3, the arriving batch the even ids with check-in moved by
 # one minute, so the two overlap only in part on the key.
 def old_batch(ts: DataFrame) -> DataFrame:
-    return ts.filter(F.col("timesheet_id") % 3 == 0)
+    return ts.filter("timesheet_id % 3 = 0")
 
 
 def new_batch(ts: DataFrame) -> DataFrame:
-    return (ts.filter(F.col("timesheet_id") % 2 == 0)
-              .withColumn("checkin", (F.col("checkin") + 60) % 86400))
+    return ts.filter("timesheet_id % 2 = 0").selectExpr(
+        "timesheet_id", "employee_id", "date", "(checkin + 60) % 86400 AS checkin", "checkout")
 
 
 # -- the same derivation as SQL text (DuckDB oracle) --------------------------
