@@ -20,8 +20,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime broadcast only when the measured shuffle output is below 32 MB;
-    # larger employee sides stay sort-merge joins.
+    # No broadcast from planning-time estimates (compressed file sizes prove
+    # nothing about the decoded rows). AQE broadcasts a join side only after
+    # its shuffle ran and measured at most 32 MB; larger sides stay
+    # sort-merge joins.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
