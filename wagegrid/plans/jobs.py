@@ -24,8 +24,8 @@ from ..operators.rates import branch_rates
 from ..policies import get_policy
 from ..schemas import EMPLOYEES, RESULT, RESULT_KEYS, TIMESHEETS
 from ..sources.csv import read_employees_csv, read_timesheets_csv, write_csv
-from ..sources.tables import (append_load, cast_to_schema, full_refresh, read_table,
-                              upsert_load)
+from ..sources.tables import (append_load, append_rows, cast_to_schema, full_refresh,
+                              path_exists, read_table, upsert_load)
 from ..functions.timeofday import parse_time
 
 PARTITIONS = ("year", "month")
@@ -67,31 +67,71 @@ RESULT_DOUBLE = T.StructType([
 ])
 
 
+def affected_months(timesheets: DataFrame, new_timesheets: DataFrame,
+                    new_employees: DataFrame | None) -> DataFrame:
+    """(year, month) whose result can change after an append.
+
+    A branch-month result depends only on that month's attendance and on the
+    employee records, so it changes when attendance rows were appended to it,
+    or when an employee with attendance in it got a new record (which can
+    change the latest record, or make unmatched attendance match).
+    """
+    ym = ["CAST(year(date) AS INT) AS year", "CAST(month(date) AS INT) AS month"]
+    months = new_timesheets.selectExpr(*ym)
+    if new_employees is not None:
+        changed = new_employees.select("employee_id").dropDuplicates()
+        months = months.unionByName(
+            timesheets.join(changed, "employee_id", "left_semi").selectExpr(*ym))
+    return months.filter("year IS NOT NULL").dropDuplicates()
+
+
+def _month_filter(months: list[tuple[int, int]]) -> str:
+    """Predicate on the ``date`` partition column (prunes whole folders)."""
+    firsts = ", ".join(f"DATE'{y:04d}-{m:02d}-01'" for y, m in sorted(months))
+    return f"trunc(date, 'MM') IN ({firsts})"
+
+
 def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str,
                     warehouse: str, result_csv: str | None = None,
                     policy: str = "c") -> dict[str, int]:
     """Q6: scans by header name, append-new-keys extract of both sources,
     transform, then keyed upsert (C) or append of new keys (D) of the result.
 
+    The stored attendance table is partitioned by ``date``. After the first
+    run only the months an append can change are recomputed (see
+    ``affected_months``) and only their result partitions are rewritten;
+    the result equals a full recomputation. The list of affected months is
+    bounded by the calendar (twelve per year), not by the data, so it is
+    taken to the driver to build a partition filter.
+
     Arrival order inside the CSV files (for keep-last) is taken from the file
-    metadata and the row position, see ``arrival_order``.
+    metadata and the row position, see ``sources.csv.arrival_order``.
     """
     p = get_policy(policy)
     wh = warehouse.rstrip("/")
     emp = read_employees_csv(spark, employees_csv, by_name=True, arrival=True)
     ts = read_timesheets_csv(spark, timesheets_csv, by_name=True, arrival=True)
-    counts = {
-        "employees": append_load(spark, emp, f"{wh}/employees_python",
-                                 ["employee_id", "branch_id"], "__arrival"),
-        "timesheets": append_load(spark, ts, f"{wh}/timesheets_python",
-                                  ["timesheet_id"], "__arrival"),
-    }
-    employees = read_table(spark, f"{wh}/employees_python").drop("__arrival")
-    timesheets = read_table(spark, f"{wh}/timesheets_python").drop("__arrival")
-    result = cast_to_schema(branch_rates(timesheets, employees, p), RESULT_DOUBLE)
+    n_emp, new_emp, emp_first = append_rows(spark, emp, f"{wh}/employees_python",
+                                            ["employee_id", "branch_id"], "__arrival")
+    n_ts, new_ts, ts_first = append_rows(spark, ts, f"{wh}/timesheets_python",
+                                         ["timesheet_id"], "__arrival", partition_by=["date"])
+    counts = {"employees": n_emp, "timesheets": n_ts}
+    employees = read_table(spark, f"{wh}/employees_python")
+    timesheets = read_table(spark, f"{wh}/timesheets_python")
+    target = f"{wh}/salary_per_hours_{p.name}"
+
+    scope = timesheets
+    if not (emp_first or ts_first or not path_exists(spark, target)):
+        months = [(r.year, r.month) for r in affected_months(
+            timesheets, new_ts, new_emp if n_emp else None).collect()]
+        if not months:
+            counts["result"] = 0
+            return counts
+        scope = timesheets.filter(_month_filter(months))
+
+    result = cast_to_schema(branch_rates(scope, employees, p), RESULT_DOUBLE)
     if result_csv:
         write_csv(result, result_csv)
-    target = f"{wh}/salary_per_hours_{p.name}"
     if p.load == "upsert":
         counts["result"] = upsert_load(spark, result, target, list(RESULT_KEYS),
                                        partition_by=PARTITIONS)

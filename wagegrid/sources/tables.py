@@ -111,15 +111,20 @@ def first_load(spark: SparkSession, new: DataFrame, target: str,
     return n
 
 
-def append_load(spark: SparkSession, new: DataFrame, target: str,
+def append_rows(spark: SparkSession, new: DataFrame, target: str,
                 keys: Sequence[str] | str, sequence: Sequence[str] | str,
-                partition_by: Sequence[str] | None = None) -> int:
+                partition_by: Sequence[str] | None = None) -> tuple[int, DataFrame, bool]:
     """Append rows whose key is new (S13, S16); stored rows never change.
 
-    Creates the table on the first run (S9). Returns the appended row count.
+    Creates the table on the first run from all rows (S9). Returns the
+    appended row count, the appended rows (re-read from their staged copy)
+    and whether this was the first load.
     """
     if not path_exists(spark, target):
-        return first_load(spark, new, target, partition_by)
+        staged, _ = stage(spark, _public(new), "first")
+        n = staged.count()
+        _publish(staged, target, "overwrite", partition_by)
+        return n, staged, True
     existing = read_table(spark, target)
     rows = append_new_keys(new, existing, normalize_keys(keys), sequence)
     staged, _ = stage(spark, _public(rows).select(*existing.columns), "append")
@@ -129,7 +134,14 @@ def append_load(spark: SparkSession, new: DataFrame, target: str,
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(target)
-    return n
+    return n, staged, False
+
+
+def append_load(spark: SparkSession, new: DataFrame, target: str,
+                keys: Sequence[str] | str, sequence: Sequence[str] | str,
+                partition_by: Sequence[str] | None = None) -> int:
+    """Append rows whose key is new; returns the appended row count."""
+    return append_rows(spark, new, target, keys, sequence, partition_by)[0]
 
 
 def upsert_load(spark: SparkSession, new: DataFrame, target: str,
