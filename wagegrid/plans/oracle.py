@@ -261,4 +261,6 @@ FROM rates GROUP BY branch_id, year, month""")
 SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
        ROUND(AVG(salary_per_hour), 6) AS salary_per_hour
 FROM rates GROUP BY branch_id, year, month""", batches=True, source="final_ts", extra=_FINAL_TS)
+    q["stream_ingest_timesheets"] = _views("SELECT * FROM final_ts", batches=True,
+                                           extra=_FINAL_TS)
     return q

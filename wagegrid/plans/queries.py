@@ -426,3 +426,24 @@ def job_incremental(spark, sf_dir):
         jobs.incremental_job(spark, emp_csv, path, wh)
     out = tables.read_table(spark, f"{wh}/salary_per_hours_c")
     return _rounded(out.select(*jobs.RESULT_DOUBLE.fieldNames()), "salary_per_hour")
+
+
+# -- streaming extract (S13 driven by file arrival) --------------------------------
+
+@query("stream_ingest_timesheets")
+def stream_ingest_timesheets(spark, sf_dir):
+    """The stored batch, then the arriving batch, delivered as files to a
+    landing folder and loaded by the availableNow stream (append new keys)."""
+    from ..schemas import TIMESHEETS_TEXT
+    from ..streaming import ingest
+
+    ts, _ = _tables(spark, sf_dir)
+    landing, target = _scratch(spark, "landing"), _scratch(spark, "timesheets-stream")
+    for batch in (testdata.old_batch(ts), testdata.new_batch(ts)):
+        testdata.timesheets_text(batch).write.mode("append").option("header", True).csv(landing)
+    ingest(spark, landing, TIMESHEETS_TEXT, target, "timesheet_id",
+           checkpoint=_scratch(spark, "stream-checkpoint")).awaitTermination()
+    out = tables.read_table(spark, target)
+    return out.select("timesheet_id", "employee_id", "date",
+                      parse_time("checkin").alias("checkin"),
+                      parse_time("checkout").alias("checkout"))

@@ -79,21 +79,24 @@ def read_timesheets_csv(spark: SparkSession, path: str, by_name: bool = False,
     return arrival_order(df) if arrival else df
 
 
-def arrival_order(df: DataFrame, name: str = "__arrival") -> DataFrame:
+def arrival_order(df: DataFrame, name: str = "__arrival", meta: str = "_metadata") -> DataFrame:
     """Add a sortable arrival position to rows of a file scan.
 
     A distributed scan has no row order, so "keep the last row" needs one
     made explicit: (file modification time, file path, split start, row
     position within the split). Rows of one split are read by one task in
     file order, so ``monotonically_increasing_id`` ranks them correctly.
+    ``meta`` names the file-metadata struct (a carried copy of ``_metadata``
+    for streams, where the position is taken per micro-batch).
     """
-    meta = F.col("_metadata")
-    return df.withColumn(name, F.struct(
-        meta.getField("file_modification_time").alias("mtime"),
-        meta.getField("file_path").alias("path"),
-        meta.getField("file_block_start").alias("block"),
+    m = F.col(meta)
+    out = df.withColumn(name, F.struct(
+        m.getField("file_modification_time").alias("mtime"),
+        m.getField("file_path").alias("path"),
+        m.getField("file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     ))
+    return out.drop(meta) if meta != "_metadata" else out
 
 
 def write_csv(df: DataFrame, path: str) -> None:
