@@ -16,9 +16,19 @@ from ..functions.timeofday import format_time_sql, seconds_of_day_sql
 
 DATE_BASE = "2018-01-01"
 
+# Declared types of the source columns the views use (no footer inference;
+# only these columns are read).
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT",
+}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def employees_from(customer: DataFrame) -> DataFrame:
