@@ -17,8 +17,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .dedupe import keep_last, normalize_keys, top_per_key
+from .dedupe import normalize_keys, top_per_key
 
 SOURCE = "__source"
 
@@ -46,17 +47,51 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return cond
 
 
-def _key_frame(existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _zero(dtype: T.DataType) -> str:
+    if isinstance(dtype, T.NumericType):
+        return f"CAST(0 AS {dtype.simpleString()})"
+    if isinstance(dtype, T.StringType):
+        return "''"
+    if isinstance(dtype, T.BooleanType):
+        return "false"
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return f"CAST('1970-01-01' AS {dtype.simpleString()})"
+    raise TypeError(f"unsupported key type {dtype.simpleString()}")
+
+
+def with_key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add NULL-safe key columns: ``coalesce(k, zero)`` and ``k IS NULL``.
+
+    Equal pairs mean equal keys, NULL included, and the pairs themselves are
+    never NULL, so plain equi-joins on them are NULL-safe joins. Using the
+    same columns to partition the top-1 window and to join lets the join
+    reuse the window's partitioning instead of shuffling again.
+    """
+    exprs, cols = [], []
+    for i, k in enumerate(keys):
+        zero = _zero(df.schema[k].dataType)
+        exprs += [f"coalesce(`{k}`, {zero}) AS __key{i}", f"`{k}` IS NULL AS __null{i}"]
+        cols += [f"__key{i}", f"__null{i}"]
+    return df.selectExpr("*", *exprs), cols
+
+
+def _latest_keyed(new: DataFrame, keys: Sequence[str], sequence) -> tuple[DataFrame, list[str]]:
+    keyed, cols = with_key_columns(new, keys)
+    order = [F.col(c).desc_nulls_last() for c in normalize_keys(sequence)]
+    return top_per_key(keyed, cols, order), cols
+
+
+def _stored_keys(existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Only the key columns of the stored table move; duplicates are removed
     # map-side first (partial aggregation) so the shuffle carries distinct keys.
-    return existing.select(*keys).dropDuplicates(list(keys))
+    keyed, cols = with_key_columns(existing.select(*keys), keys)
+    return keyed.select(*cols).dropDuplicates()
 
 
 def without_stored_keys(rows: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``existing`` (J3/U3: NULL-safe left anti join)."""
-    stored = _key_frame(existing, keys).alias("__stored")
-    r = rows.alias("__rows")
-    return r.join(stored, null_safe_on(r, stored, keys), "left_anti").select(rows.columns)
+    keyed, cols = with_key_columns(rows, keys)
+    return keyed.join(_stored_keys(existing, keys), cols, "left_anti").drop(*cols)
 
 
 def append_new_keys(new: DataFrame, existing: DataFrame, keys: Sequence[str] | str,
@@ -65,10 +100,11 @@ def append_new_keys(new: DataFrame, existing: DataFrame, keys: Sequence[str] | s
 
     Equal to taking the last row per key of (stored ++ arriving) and keeping
     the keys that were not stored, without shuffling the stored rows -- only
-    their keys.
+    their distinct keys.
     """
     keys = validate_keys(new, existing, keys)
-    return without_stored_keys(keep_last(new, keys, sequence), existing, keys)
+    latest, cols = _latest_keyed(new, keys, sequence)
+    return latest.join(_stored_keys(existing, keys), cols, "left_anti").drop(*cols)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str] | str,
@@ -92,9 +128,9 @@ def load_counts(new: DataFrame, existing: DataFrame, keys: Sequence[str] | str,
     """Rows whose key is new (S16, the number the workload reports) and rows
     whose key was already stored (updated by an upsert, ignored by append)."""
     keys = validate_keys(new, existing, keys)
-    latest = keep_last(new, keys, sequence).alias("__rows")
-    stored = _key_frame(existing, keys).withColumn("__hit", F.lit(True)).alias("__stored")
-    flagged = latest.join(stored, null_safe_on(latest, stored, keys), "left")
+    latest, cols = _latest_keyed(new, keys, sequence)
+    stored = _stored_keys(existing, keys).withColumn("__hit", F.lit(True))
+    flagged = latest.join(stored, cols, "left")
     return flagged.agg(F.count_if(F.col("__hit").isNull()).alias("new_keys"),
                        F.count_if(F.col("__hit")).alias("matched_keys"))
 

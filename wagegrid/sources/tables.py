@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..config import scratch_path
 from ..operators.dedupe import normalize_keys
-from ..operators.merge import append_new_keys, null_safe_on, upsert
+from ..operators.merge import append_new_keys, upsert, with_key_columns
 from ..schemas import ddl
 
 
@@ -161,10 +161,11 @@ def upsert_load(spark: SparkSession, new: DataFrame, target: str,
             raise ValueError("partition columns must be part of the upsert key")
         touched = new.select(*partition_by).dropDuplicates()
         existing = existing.join(touched, list(partition_by), "left_semi")
-    merged = upsert(existing, _public(new).select(*existing.columns), keys, sequence).alias("__m")
-    stored = existing.select(*keys).dropDuplicates().withColumn("__stored", F.lit(True)).alias("__s")
-    flagged = merged.join(stored, null_safe_on(merged, stored, keys), "left") \
-        .select(*[merged[c] for c in merged.columns], stored["__stored"])
+    merged, cols = with_key_columns(
+        upsert(existing, _public(new).select(*existing.columns), keys, sequence), keys)
+    stored, _ = with_key_columns(existing.select(*keys), keys)
+    flagged = merged.join(stored.select(*cols).dropDuplicates().withColumn("__stored", F.lit(True)),
+                          cols, "left").drop(*cols)
     staged, _ = stage(spark, flagged, "upsert")
     n_new = staged.filter(F.col("__stored").isNull()).count()
     _publish(staged.drop("__stored").select(*existing.columns), target,
