@@ -39,14 +39,6 @@ def union_all(existing: DataFrame, new: DataFrame) -> DataFrame:
     return existing.unionByName(new, allowMissingColumns=True)
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def _zero(dtype: T.DataType) -> str:
     if isinstance(dtype, T.NumericType):
         return f"CAST(0 AS {dtype.simpleString()})"

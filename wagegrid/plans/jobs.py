@@ -17,7 +17,6 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.rates import branch_rates
