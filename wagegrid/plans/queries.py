@@ -268,9 +268,15 @@ def describe_rates(spark, sf_dir):
 
 @query("sort_employees")
 def sort_employees(spark, sf_dir):
-    """O2: employees by join_date DESC, salary DESC (NULLs last)."""
+    """O2: employees by join_date DESC, salary DESC (NULLs last).
+
+    employee_id and branch_id are appended as tie-breakers: rows with equal
+    sort keys could otherwise not be split across range partitions, so a
+    date shared by a third of all rows would land in one task.
+    """
     emp = testdata.employees(spark, sf_dir)
-    return emp.orderBy(F.col("join_date").desc_nulls_last(), F.col("salary").desc_nulls_last())
+    return emp.orderBy(F.col("join_date").desc_nulls_last(), F.col("salary").desc_nulls_last(),
+                       "employee_id", "branch_id")
 
 
 # -- set operations and incremental loads (U1-U3, W3, S9, S13, S14, S16) ----------
