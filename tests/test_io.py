@@ -188,3 +188,30 @@ def test_incremental_job_equals_full_recompute(spark, scratch):
     run2 = rows(full)
     keys2 = {r[:3] for r in run2}
     assert rows(stored) == sorted(run2 + [r for r in run1 if r[:3] not in keys2])
+
+
+def test_incremental_job_policy_d_appends_new_result_keys_only(spark, scratch):
+    folder_e, folder_t = scratch("e"), scratch("t")
+    write_text(folder_e, "employees.csv", EMP_CSV)
+    write_text(folder_t, "timesheets.csv", TS_CSV)
+    wh = scratch("wh")
+    assert jobs.incremental_job(spark, folder_e, folder_t, wh, policy="d")["result"] == 2
+    more = scratch("t2")
+    write_text(more, "timesheets.csv", "timesheet_id,employee_id,date,checkin,checkout\n"
+                                       "4,1,2020-01-03,08:00:00,18:00:00\n"
+                                       "5,1,2020-02-03,08:00:00,17:00:00\n")
+    c = jobs.incremental_job(spark, folder_e, more, wh, policy="d")
+    assert c["timesheets"] == 2 and c["result"] == 1        # only (3, 2020, 2) is new
+    stored = {(r.branch_id, r.month): r.salary_per_hour
+              for r in tables.read_table(spark, f"{wh}/salary_per_hours_d").collect()}
+    assert set(stored) == {(3, 1), (1, 1), (3, 2)}
+
+
+def test_missing_checks_with_coerced_checkin(spark):
+    from wagegrid.operators import quality
+    df = spark.createDataFrame([(1, "xx", "17:00:00"), (2, None, "17:00:00"), (3, "08:00:00", None),
+                                (4, "xx", None)], "timesheet_id long, checkin string, checkout string")
+    assert quality.missing_either(df).count() == 3
+    assert quality.missing_either(df, coerce_checkin=True).count() == 4
+    assert quality.missing_both(df).count() == 0
+    assert quality.missing_both(df, coerce_checkin=True).count() == 1

@@ -20,14 +20,24 @@ def _seconds(df: DataFrame, name: str, coerce: bool = True) -> Column:
     return F.col(name).cast("bigint")
 
 
-def missing_either(timesheets: DataFrame) -> DataFrame:
+def _missing(df: DataFrame, name: str, coerce: bool) -> Column:
+    """NULL test; with ``coerce`` a text time that does not parse counts as
+    missing (the check-in column was coerced before the check in one form)."""
+    if coerce and isinstance(df.schema[name].dataType, T.StringType):
+        return _seconds(df, name, coerce=True).isNull()
+    return F.col(name).isNull()
+
+
+def missing_either(timesheets: DataFrame, coerce_checkin: bool = False) -> DataFrame:
     """Rows with a missing check-in or check-out."""
-    return timesheets.filter(F.col("checkin").isNull() | F.col("checkout").isNull())
+    return timesheets.filter(_missing(timesheets, "checkin", coerce_checkin)
+                             | F.col("checkout").isNull())
 
 
-def missing_both(timesheets: DataFrame) -> DataFrame:
+def missing_both(timesheets: DataFrame, coerce_checkin: bool = False) -> DataFrame:
     """Rows with both times missing."""
-    return timesheets.filter(F.col("checkin").isNull() & F.col("checkout").isNull())
+    return timesheets.filter(_missing(timesheets, "checkin", coerce_checkin)
+                             & F.col("checkout").isNull())
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
