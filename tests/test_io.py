@@ -215,3 +215,14 @@ def test_missing_checks_with_coerced_checkin(spark):
     assert quality.missing_either(df, coerce_checkin=True).count() == 4
     assert quality.missing_both(df).count() == 0
     assert quality.missing_both(df, coerce_checkin=True).count() == 1
+
+
+def test_job_command_line(spark, scratch, capsys):
+    import json
+    folder_e, folder_t = scratch("e"), scratch("t")
+    write_text(folder_e, "employees.csv", EMP_CSV)
+    write_text(folder_t, "timesheets.csv", TS_CSV)
+    jobs.main(["full-refresh", "--employees", folder_e, "--timesheets", folder_t,
+               "--warehouse", scratch("wh"), "--policy", "b"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"timesheets": 3, "employees": 4, "result": 2}

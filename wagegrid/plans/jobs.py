@@ -3,10 +3,12 @@ application each: extract -> transform -> load, no file hop between steps.
 
 Run from a scheduler with e.g.::
 
-    spark-submit -m wagegrid.plans.jobs full-refresh \
+    python -m wagegrid.plans.jobs full-refresh \
         --employees s3://.../employees.csv --timesheets s3://.../timesheets/ \
         --warehouse s3://.../warehouse [--result-csv s3://.../out]
 
+(or ``spark-submit wagegrid_job.py ...`` with the package on ``--py-files``).
+
 Stored tables live below ``warehouse``; the result is partitioned by
 (year, month). Staging goes to ``spark.checkpoint.dir``.
 """
