@@ -125,20 +125,22 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
     if not (emp_first or ts_first or not path_exists(spark, target)):
         months = [(r.year, r.month) for r in affected_months(
             timesheets, new_ts, new_emp if n_emp else None).collect()]
-        if not months:
-            counts["result"] = 0
-            return counts
-        scope = timesheets.filter(_month_filter(months))
+        scope = timesheets.filter(_month_filter(months)) if months else None
 
-    result = cast_to_schema(branch_rates(scope, employees, p), RESULT_DOUBLE)
-    if result_csv:
-        write_csv(result, result_csv)
-    if p.load == "upsert":
-        counts["result"] = upsert_load(spark, result, target, list(RESULT_KEYS),
-                                       partition_by=PARTITIONS)
+    if scope is None:
+        counts["result"] = 0
     else:
-        counts["result"] = append_load(spark, result, target, list(RESULT_KEYS),
-                                       list(RESULT_KEYS), partition_by=PARTITIONS)
+        result = cast_to_schema(branch_rates(scope, employees, p), RESULT_DOUBLE)
+        if p.load == "upsert":
+            counts["result"] = upsert_load(spark, result, target, list(RESULT_KEYS),
+                                           partition_by=PARTITIONS)
+        else:
+            counts["result"] = append_load(spark, result, target, list(RESULT_KEYS),
+                                           list(RESULT_KEYS), partition_by=PARTITIONS)
+    if result_csv:
+        # the complete current result, untouched months included
+        write_csv(read_table(spark, target).select(*RESULT_DOUBLE.fieldNames())
+                  .orderBy(*RESULT_KEYS), result_csv)
     return counts
 
 
