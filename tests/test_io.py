@@ -226,3 +226,34 @@ def test_job_command_line(spark, scratch, capsys):
                "--warehouse", scratch("wh"), "--policy", "b"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out == {"timesheets": 3, "employees": 4, "result": 2}
+
+
+def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypatch):
+    """Crash after the result load, before the source appends are published:
+    running the job again must give the same tables as an uninterrupted run."""
+    from wagegrid.sources.tables import StagedAppend
+
+    folder_e, folder_t = scratch("e"), scratch("t")
+    write_text(folder_e, "employees.csv", EMP_CSV)
+    write_text(folder_t, "timesheets.csv", TS_CSV)
+    more = scratch("t2")
+    write_text(more, "timesheets.csv", "timesheet_id,employee_id,date,checkin,checkout\n"
+                                       "4,1,2020-01-03,08:00:00,18:00:00\n"
+                                       "5,9,2020-02-03,08:00:00,17:00:00\n")
+
+    def run_all(wh, crash):
+        jobs.incremental_job(spark, folder_e, folder_t, wh)
+        if crash:
+            original = StagedAppend.publish
+
+            def boom(self):
+                raise RuntimeError("driver lost")
+            monkeypatch.setattr(StagedAppend, "publish", boom)
+            with pytest.raises(RuntimeError):
+                jobs.incremental_job(spark, folder_e, more, wh)
+            monkeypatch.setattr(StagedAppend, "publish", original)
+        jobs.incremental_job(spark, folder_e, more, wh)
+        return {name: sorted(tuple(r) for r in tables.read_table(spark, f"{wh}/{name}").collect())
+                for name in ("salary_per_hours_c", "timesheets_python", "employees_python")}
+
+    assert run_all(scratch("wh"), crash=True) == run_all(scratch("wh"), crash=False)

@@ -25,8 +25,8 @@ from ..operators.rates import branch_rates
 from ..policies import get_policy
 from ..schemas import EMPLOYEES, RESULT, RESULT_KEYS, TIMESHEETS
 from ..sources.csv import read_employees_csv, read_timesheets_csv, write_csv
-from ..sources.tables import (append_load, append_rows, cast_to_schema, full_refresh,
-                              path_exists, read_table, upsert_load)
+from ..sources.tables import (append_load, cast_to_schema, full_refresh, path_exists,
+                              read_table, stage_append, upsert_load)
 from ..functions.timeofday import parse_time
 
 PARTITIONS = ("year", "month")
@@ -112,19 +112,23 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
     wh = warehouse.rstrip("/")
     emp = read_employees_csv(spark, employees_csv, by_name=True, arrival=True)
     ts = read_timesheets_csv(spark, timesheets_csv, by_name=True, arrival=True)
-    n_emp, new_emp, emp_first = append_rows(spark, emp, f"{wh}/employees_python",
-                                            ["employee_id", "branch_id"], "__arrival")
-    n_ts, new_ts, ts_first = append_rows(spark, ts, f"{wh}/timesheets_python",
-                                         ["timesheet_id"], "__arrival", partition_by=["date"])
-    counts = {"employees": n_emp, "timesheets": n_ts}
-    employees = read_table(spark, f"{wh}/employees_python")
-    timesheets = read_table(spark, f"{wh}/timesheets_python")
+    # Stage the source appends; they are published only after the result,
+    # so a run that fails anywhere is completed by simply running it again.
+    emp_stage = stage_append(spark, emp, f"{wh}/employees_python",
+                             ["employee_id", "branch_id"], "__arrival")
+    ts_stage = stage_append(spark, ts, f"{wh}/timesheets_python",
+                            ["timesheet_id"], "__arrival", partition_by=["date"])
+    counts = {"employees": emp_stage.count, "timesheets": ts_stage.count}
+
+    def current(s):  # stored rows plus the staged, unpublished ones
+        return s.rows if s.first else read_table(spark, s.target).unionByName(s.rows)
+    employees, timesheets = current(emp_stage), current(ts_stage)
     target = f"{wh}/salary_per_hours_{p.name}"
 
     scope = timesheets
-    if not (emp_first or ts_first or not path_exists(spark, target)):
+    if not (emp_stage.first or ts_stage.first or not path_exists(spark, target)):
         months = [(r.year, r.month) for r in affected_months(
-            timesheets, new_ts, new_emp if n_emp else None).collect()]
+            timesheets, ts_stage.rows, emp_stage.rows if emp_stage.count else None).collect()]
         scope = timesheets.filter(_month_filter(months)) if months else None
 
     if scope is None:
@@ -137,6 +141,8 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
         else:
             counts["result"] = append_load(spark, result, target, list(RESULT_KEYS),
                                            list(RESULT_KEYS), partition_by=PARTITIONS)
+    emp_stage.publish()
+    ts_stage.publish()
     if result_csv:
         # the complete current result, untouched months included
         write_csv(read_table(spark, target).select(*RESULT_DOUBLE.fieldNames())

@@ -17,6 +17,7 @@ overwrite): a daily load touches only the (year, month) folders it changes.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -111,30 +112,53 @@ def first_load(spark: SparkSession, new: DataFrame, target: str,
     return n
 
 
-def append_rows(spark: SparkSession, new: DataFrame, target: str,
-                keys: Sequence[str] | str, sequence: Sequence[str] | str,
-                partition_by: Sequence[str] | None = None) -> tuple[int, DataFrame, bool]:
-    """Append rows whose key is new (S13, S16); stored rows never change.
-
-    Creates the table on the first run from all rows (S9). Returns the
-    appended row count, the appended rows (re-read from their staged copy)
-    and whether this was the first load.
+@dataclass
+class StagedAppend:
+    """Rows staged for an append-new-keys load, not yet published."""
+    target: str
+    rows: DataFrame          # re-read from the staging folder
+    count: int
+    first: bool              # the target does not exist yet
+    partition_by: Sequence[str] | None = None
+
+    def publish(self) -> int:
+        if self.first:
+            _publish(self.rows, self.target, "overwrite", self.partition_by)
+        elif self.count:
+            w = self.rows.write.mode("append")
+            if self.partition_by:
+                w = w.partitionBy(*self.partition_by)
+            w.parquet(self.target)
+        return self.count
+
+
+def stage_append(spark: SparkSession, new: DataFrame, target: str,
+                 keys: Sequence[str] | str, sequence: Sequence[str] | str,
+                 partition_by: Sequence[str] | None = None) -> StagedAppend:
+    """Stage the rows an append-new-keys load adds.
+
+    On the first run every row is staged, without de-duplication (S9).
     """
     if not path_exists(spark, target):
         staged, _ = stage(spark, _public(new), "first")
-        n = staged.count()
-        _publish(staged, target, "overwrite", partition_by)
-        return n, staged, True
+        return StagedAppend(target, staged, staged.count(), True, partition_by)
     existing = read_table(spark, target)
     rows = append_new_keys(new, existing, normalize_keys(keys), sequence)
     staged, _ = stage(spark, _public(rows).select(*existing.columns), "append")
-    n = staged.count()
-    if n:
-        w = staged.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(target)
-    return n, staged, False
+    return StagedAppend(target, staged, staged.count(), False, partition_by)
+
+
+def append_rows(spark: SparkSession, new: DataFrame, target: str,
+                keys: Sequence[str] | str, sequence: Sequence[str] | str,
+                partition_by: Sequence[str] | None = None) -> tuple[int, DataFrame, bool]:
+    """Append rows whose key is new; stored rows never change.
+
+    Returns the appended row count, the appended rows (re-read from their
+    staged copy) and whether this was the first load.
+    """
+    s = stage_append(spark, new, target, keys, sequence, partition_by)
+    s.publish()
+    return s.count, s.rows, s.first
 
 
 def append_load(spark: SparkSession, new: DataFrame, target: str,
