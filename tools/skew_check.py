@@ -17,13 +17,12 @@ import glob
 import json
 import os
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from wagegrid.config import session  # noqa: E402
+from wagegrid.config import scratch_path, session  # noqa: E402
 from wagegrid.operators.rates import branch_rates, shift_hours  # noqa: E402
 from wagegrid.sources import testdata  # noqa: E402
 
@@ -76,15 +75,17 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     parts = 8
     results = []
-    data_dir = tempfile.mkdtemp(prefix="wagegrid-skewed-")
     prep = session(master=f"local[{parts}]", app="skew-prepare", shuffle_partitions=parts)
+    data_dir = scratch_path(prep, "skewed", create_local=True)
+    log_dirs = [scratch_path(prep, "eventlog", create_local=True) for _ in range(4)]
     rows = write_skewed_inputs(prep, sf_dir, parts, data_dir)
     prep.stop()
     for label, build in [("branch_rates_a", lambda t, e: branch_rates(t, e, "a")),
                          ("branch_rates_b", lambda t, e: branch_rates(t, e, "b")),
                          ("branch_rates_c", lambda t, e: branch_rates(t, e, "c")),
                          ("join_then_aggregate", lambda t, e: join_first(t, e, "b"))]:
-        log_dir = tempfile.mkdtemp(prefix="wagegrid-eventlog-")
+        log_dir = log_dirs.pop()
+        os.makedirs(log_dir, exist_ok=True)  # local event logs of this diagnostic run
         spark = session(master=f"local[{parts}]", app=f"skew-{label}", shuffle_partitions=parts,
                         conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                               "spark.eventLog.compress": "false",
