@@ -13,8 +13,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the rules rely on (UTC dates, ANSI errors) and that keep the plans
-# adaptive. Applied with ``setIfMissing`` semantics.
-SESSION_DEFAULTS = {
+# adaptive. Each is applied only where the session has no value for it, so a
+# submitter's --conf or spark-defaults always win.
+SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -29,6 +30,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+}
+# No web UI or console progress for batch runs.
+STATIC_SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -37,19 +41,23 @@ SESSION_DEFAULTS = {
 def session(master: str | None = None, app: str = "wagegrid",
             shuffle_partitions: int | None = None,
             conf: dict[str, str] | None = None) -> SparkSession:
-    """Get or create a session with the defaults above (tests, bench, CLI)."""
+    """Get or create a session (tests, bench, CLI).
+
+    ``master``, ``shuffle_partitions`` and ``conf`` are applied as given;
+    ``SQL_DEFAULTS`` only where the session has no value yet.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(SESSION_DEFAULTS)
+    explicit = dict(STATIC_SETTINGS)
     if shuffle_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
-    for key, value in settings.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    explicit.update(conf or {})
+    for key, value in explicit.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    for key, value in settings.items():
-        if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
+    for key, value in SQL_DEFAULTS.items():
+        if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("WARN")
     return spark

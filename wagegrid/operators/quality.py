@@ -42,7 +42,8 @@ def missing_both(timesheets: DataFrame, coerce_checkin: bool = False) -> DataFra
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows under an explicit order (O3; a top-k, planned as
-    TakeOrderedAndProject: each task keeps n rows, the driver merges them)."""
+    TakeOrderedAndProject: each task keeps its n best rows, one final task
+    merges those few)."""
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
 
 
