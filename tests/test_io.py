@@ -90,7 +90,12 @@ def test_full_refresh_replaces_and_failed_stage_keeps_old(spark, scratch):
     stored = tables.read_table(spark, target).collect()
     assert {r.salary_per_hour for r in stored} == {Decimal("10.01"), Decimal("20.00")}
     second = first.filter("branch_id = 1")
+    from wagegrid.config import checkpoint_dir
+    ckpt = checkpoint_dir(spark)
+    before = {n for n in os.listdir(ckpt) if n.startswith("refresh-")}
     assert tables.full_refresh(spark, second, target, RESULT) == 1
+    # the staging folder of a published load is removed
+    assert {n for n in os.listdir(ckpt) if n.startswith("refresh-")} == before
     assert tables.read_table(spark, target).count() == 1
     # A value that overflows DECIMAL(10,2) fails while staging: target intact.
     bad = spark.createDataFrame([(3, 2020, 1, 1e12)], first.schema)

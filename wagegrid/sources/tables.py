@@ -69,6 +69,21 @@ def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[Data
     return spark.read.parquet(path), path
 
 
+def discard(spark: SparkSession, path: str) -> bool:
+    """Delete a staging folder after its content was published.
+
+    Uses the Hadoop file system of the session (any scheme the cluster is
+    configured for). Returns False, leaving the folder to the retention of
+    the checkpoint location, when no JVM handle is available.
+    """
+    try:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True))
+    except Exception:  # noqa: BLE001 - cleanup is best effort
+        return False
+
+
 def _public(df: DataFrame) -> DataFrame:
     """Drop helper columns (``__`` prefix, e.g. arrival order) before storing."""
     return df.drop(*[c for c in df.columns if c.startswith("__")])
@@ -91,7 +106,7 @@ def full_refresh(spark: SparkSession, df: DataFrame, target: str,
     """
     if schema is not None:
         df = cast_to_schema(df, schema)
-    staged, _ = stage(spark, df, "refresh")
+    staged, path = stage(spark, df, "refresh")
     n = staged.count()
     if partition_by:
         # Full refresh replaces every partition, not only the ones written.
@@ -99,6 +114,7 @@ def full_refresh(spark: SparkSession, df: DataFrame, target: str,
             .option("partitionOverwriteMode", "static").parquet(target)
     else:
         staged.write.mode("overwrite").parquet(target)
+    discard(spark, path)
     return n
 
 
@@ -106,9 +122,10 @@ def first_load(spark: SparkSession, new: DataFrame, target: str,
                partition_by: Sequence[str] | None = None) -> int:
     """Create the table from the data as it is -- no de-duplication -- and
     report every row as new (S9)."""
-    staged, _ = stage(spark, new, "first")
+    staged, path = stage(spark, new, "first")
     n = staged.count()
     _publish(staged, target, "overwrite", partition_by)
+    discard(spark, path)
     return n
 
 
@@ -117,11 +134,14 @@ class StagedAppend:
     """Rows staged for an append-new-keys load, not yet published."""
     target: str
     rows: DataFrame          # re-read from the staging folder
+    path: str                # the staging folder
     count: int
     first: bool              # the target does not exist yet
     partition_by: Sequence[str] | None = None
 
     def publish(self) -> int:
+        """Write the staged rows to the target, then drop the staging folder
+        (``rows`` is unusable afterwards)."""
         if self.first:
             _publish(self.rows, self.target, "overwrite", self.partition_by)
         elif self.count:
@@ -129,6 +149,7 @@ class StagedAppend:
             if self.partition_by:
                 w = w.partitionBy(*self.partition_by)
             w.parquet(self.target)
+        discard(self.rows.sparkSession, self.path)
         return self.count
 
 
@@ -140,25 +161,24 @@ def stage_append(spark: SparkSession, new: DataFrame, target: str,
     On the first run every row is staged, without de-duplication (S9).
     """
     if not path_exists(spark, target):
-        staged, _ = stage(spark, _public(new), "first")
-        return StagedAppend(target, staged, staged.count(), True, partition_by)
+        staged, path = stage(spark, _public(new), "first")
+        return StagedAppend(target, staged, path, staged.count(), True, partition_by)
     existing = read_table(spark, target)
     rows = append_new_keys(new, existing, normalize_keys(keys), sequence)
-    staged, _ = stage(spark, _public(rows).select(*existing.columns), "append")
-    return StagedAppend(target, staged, staged.count(), False, partition_by)
+    staged, path = stage(spark, _public(rows).select(*existing.columns), "append")
+    return StagedAppend(target, staged, path, staged.count(), False, partition_by)
 
 
 def append_rows(spark: SparkSession, new: DataFrame, target: str,
                 keys: Sequence[str] | str, sequence: Sequence[str] | str,
-                partition_by: Sequence[str] | None = None) -> tuple[int, DataFrame, bool]:
+                partition_by: Sequence[str] | None = None) -> tuple[int, bool]:
     """Append rows whose key is new; stored rows never change.
 
-    Returns the appended row count, the appended rows (re-read from their
-    staged copy) and whether this was the first load.
+    Returns the appended row count and whether this was the first load.
     """
     s = stage_append(spark, new, target, keys, sequence, partition_by)
     s.publish()
-    return s.count, s.rows, s.first
+    return s.count, s.first
 
 
 def append_load(spark: SparkSession, new: DataFrame, target: str,
@@ -190,8 +210,9 @@ def upsert_load(spark: SparkSession, new: DataFrame, target: str,
     stored, _ = with_key_columns(existing.select(*keys), keys)
     flagged = merged.join(stored.select(*cols).dropDuplicates().withColumn("__stored", F.lit(True)),
                           cols, "left").drop(*cols)
-    staged, _ = stage(spark, flagged, "upsert")
+    staged, path = stage(spark, flagged, "upsert")
     n_new = staged.filter(F.col("__stored").isNull()).count()
     _publish(staged.drop("__stored").select(*existing.columns), target,
              "overwrite", partition_by)
+    discard(spark, path)
     return n_new
