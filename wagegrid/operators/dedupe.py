@@ -16,20 +16,26 @@ from pyspark.sql import functions as F
 _RANK = "__rank"
 
 
-def _desc(col: str, nulls_first: bool) -> Column:
-    return F.col(col).desc_nulls_first() if nulls_first else F.col(col).desc_nulls_last()
+def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """Rows ranked first within each key under ``order`` (P7: keep rank 1).
 
-
-def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Rows ranked first within each key under ``order`` (P7: keep rank 1)."""
+    ``order`` items are Columns or SQL sort items such as ``"d DESC NULLS LAST"``.
+    """
     keys = normalize_keys(keys)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)
+    if all(isinstance(o, str) for o in order):
+        part = ", ".join(f"`{k}`" for k in keys)
+        ranked = df.selectExpr(
+            "*", f"row_number() OVER (PARTITION BY {part} ORDER BY {', '.join(order)}) AS {_RANK}")
+    else:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        ranked = df.withColumn(_RANK, F.row_number().over(w))
+    return ranked.filter(f"{_RANK} = 1").drop(_RANK)
 
 
-def employee_order(nulls_first: bool) -> list[Column]:
+def employee_order(nulls_first: bool) -> list[str]:
     """join_date DESC, salary DESC, then branch_id and resign_date as tie-breaks."""
-    return [_desc(c, nulls_first) for c in ("join_date", "salary", "branch_id", "resign_date")]
+    nulls = "NULLS FIRST" if nulls_first else "NULLS LAST"
+    return [f"`{c}` DESC {nulls}" for c in ("join_date", "salary", "branch_id", "resign_date")]
 
 
 def latest_employee(employees: DataFrame, nulls_first: bool) -> DataFrame:
@@ -49,7 +55,7 @@ def keep_last(df: DataFrame, keys: Sequence[str] | str, sequence: Sequence[str]
     given as ``sequence`` columns (higher = later).
     """
     seq = normalize_keys(sequence)
-    return top_per_key(df, keys, [F.col(c).desc_nulls_last() for c in seq])
+    return top_per_key(df, keys, [f"`{c}` DESC NULLS LAST" for c in seq])
 
 
 def normalize_keys(keys: Sequence[str] | str) -> list[str]:

@@ -69,7 +69,7 @@ def with_key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, lis
 
 def _latest_keyed(new: DataFrame, keys: Sequence[str], sequence) -> tuple[DataFrame, list[str]]:
     keyed, cols = with_key_columns(new, keys)
-    order = [F.col(c).desc_nulls_last() for c in normalize_keys(sequence)]
+    order = [f"`{c}` DESC NULLS LAST" for c in normalize_keys(sequence)]
     return top_per_key(keyed, cols, order), cols
 
 
@@ -111,7 +111,7 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str] | str,
     both = union_all(existing.withColumn(SOURCE, F.lit(0)), new.withColumn(SOURCE, F.lit(1)))
     seq = normalize_keys(sequence) if sequence is not None else \
         [c for c in both.columns if c not in keys and c != SOURCE]
-    order = [F.col(SOURCE).desc()] + [F.col(c).desc_nulls_last() for c in seq]
+    order = [f"{SOURCE} DESC"] + [f"`{c}` DESC NULLS LAST" for c in seq]
     return top_per_key(both, keys, order).drop(SOURCE)
 
 

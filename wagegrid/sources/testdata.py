@@ -53,18 +53,17 @@ def employees_from(customer: DataFrame) -> DataFrame:
 
 def timesheets_from(events: DataFrame) -> DataFrame:
     """timesheets(timesheet_id, employee_id, date, checkin, checkout), times in seconds."""
-    ev = events.filter("event_id % (1 + user_id % 5) = 0") \
-        .selectExpr("event_id", "user_id", "ts", f"{seconds_of_day_sql('ts')} AS s")
-    return ev.selectExpr(
+    s = seconds_of_day_sql("ts")
+    return events.filter("event_id % (1 + user_id % 5) = 0").selectExpr(
         "event_id AS timesheet_id",
         "user_id AS employee_id",
         "CASE WHEN event_id % 3 = 0 THEN date_add(to_date(ts), 31) ELSE to_date(ts) END AS date",
         "CAST(CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 23 = 0 THEN 61200 "
         "WHEN event_id % 31 = 0 THEN 0 WHEN event_id % 37 = 0 THEN 43200 "
-        "ELSE s END AS BIGINT) AS checkin",
+        f"ELSE {s} END AS BIGINT) AS checkin",
         "CAST(CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 29 = 0 THEN 28800 "
         "WHEN event_id % 41 = 0 THEN 61200 WHEN event_id % 43 = 0 THEN 0 "
-        "ELSE (s + 28800 + event_id * 7919 % 7200) % 86400 END AS BIGINT) AS checkout")
+        f"ELSE ({s} + 28800 + event_id * 7919 % 7200) % 86400 END AS BIGINT) AS checkout")
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
