@@ -233,32 +233,41 @@ def test_job_command_line(spark, scratch, capsys):
     assert out == {"timesheets": 3, "employees": 4, "result": 2}
 
 
-def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypatch):
-    """Crash after the result load, before the source appends are published:
-    running the job again must give the same tables as an uninterrupted run."""
+@pytest.mark.parametrize("crash_at", [1, 2, 3])
+def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypatch, crash_at):
+    """Crash after the result load, at each publish of the staged source
+    appends: running the job again must give the same tables as an
+    uninterrupted run."""
     from wagegrid.sources.tables import StagedAppend
 
     folder_e, folder_t = scratch("e"), scratch("t")
     write_text(folder_e, "employees.csv", EMP_CSV)
     write_text(folder_t, "timesheets.csv", TS_CSV)
-    more = scratch("t2")
-    write_text(more, "timesheets.csv", "timesheet_id,employee_id,date,checkin,checkout\n"
-                                       "4,1,2020-01-03,08:00:00,18:00:00\n"
-                                       "5,9,2020-02-03,08:00:00,17:00:00\n")
+    more_e, more_t = scratch("e2"), scratch("t2")
+    write_text(more_e, "employees.csv", EMP_CSV + "9,4,14000000,2021-01-01,\n")
+    write_text(more_t, "timesheets.csv", "timesheet_id,employee_id,date,checkin,checkout\n"
+                                         "4,1,2020-01-03,08:00:00,18:00:00\n"
+                                         "5,9,2020-02-03,08:00:00,17:00:00\n")
+    original = StagedAppend.publish
 
     def run_all(wh, crash):
         jobs.incremental_job(spark, folder_e, folder_t, wh)
         if crash:
-            original = StagedAppend.publish
-
-            def boom(self):
-                raise RuntimeError("driver lost")
-            monkeypatch.setattr(StagedAppend, "publish", boom)
+            calls = {"n": 0}
+
+            def flaky(self):
+                calls["n"] += 1
+                if calls["n"] == crash_at:
+                    raise RuntimeError("driver lost")
+                return original(self)
+            monkeypatch.setattr(StagedAppend, "publish", flaky)
             with pytest.raises(RuntimeError):
-                jobs.incremental_job(spark, folder_e, more, wh)
+                jobs.incremental_job(spark, more_e, more_t, wh)
             monkeypatch.setattr(StagedAppend, "publish", original)
-        jobs.incremental_job(spark, folder_e, more, wh)
-        return {name: sorted(tuple(r) for r in tables.read_table(spark, f"{wh}/{name}").collect())
-                for name in ("salary_per_hours_c", "timesheets_python", "employees_python")}
+        jobs.incremental_job(spark, more_e, more_t, wh)
+        names = ("salary_per_hours_c", "timesheets_python", "employees_python",
+                 "timesheets_python_employee_months")
+        return {n: sorted(tuple(r) for r in tables.read_table(spark, f"{wh}/{n}").collect())
+                for n in names}
 
-    assert run_all(scratch("wh"), crash=True) == run_all(scratch("wh"), crash=False)
+    assert run_all(scratch("wh"), crash=True) == run_all(scratch("wh"), crash=False)
\ No newline at end of file

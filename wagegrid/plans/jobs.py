@@ -68,21 +68,32 @@ RESULT_DOUBLE = T.StructType([
 ])
 
 
-def affected_months(timesheets: DataFrame, new_timesheets: DataFrame,
+def employee_months(timesheets: DataFrame) -> DataFrame:
+    """Distinct (employee_id, year, month) with attendance: the summary the
+    incremental job keeps next to the attendance table."""
+    return (timesheets.selectExpr("employee_id", "CAST(year(date) AS INT) AS year",
+                                  "CAST(month(date) AS INT) AS month")
+            .filter("employee_id IS NOT NULL AND year IS NOT NULL")
+            .dropDuplicates())
+
+
+def affected_months(months_index: DataFrame, new_timesheets: DataFrame,
                     new_employees: DataFrame | None) -> DataFrame:
     """(year, month) whose result can change after an append.
 
     A branch-month result depends only on that month's attendance and on the
     employee records, so it changes when attendance rows were appended to it,
     or when an employee with attendance in it got a new record (which can
-    change the latest record, or make unmatched attendance match).
+    change the latest record, or make unmatched attendance match). The
+    second set is looked up in ``months_index`` (distinct employee-months,
+    see ``employee_months``) instead of the attendance history.
     """
     ym = ["CAST(year(date) AS INT) AS year", "CAST(month(date) AS INT) AS month"]
     months = new_timesheets.selectExpr(*ym)
     if new_employees is not None:
         changed = new_employees.select("employee_id").dropDuplicates()
         months = months.unionByName(
-            timesheets.join(changed, "employee_id", "left_semi").selectExpr(*ym))
+            months_index.join(changed, "employee_id", "left_semi").select("year", "month"))
     return months.filter("year IS NOT NULL").dropDuplicates()
 
 
@@ -125,10 +136,18 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
     employees, timesheets = current(emp_stage), current(ts_stage)
     target = f"{wh}/salary_per_hours_{p.name}"
 
+    # Distinct employee-months next to the attendance table; rebuilt from the
+    # whole history only when it is missing.
+    index_path = f"{wh}/timesheets_python_employee_months"
+    index_source = ts_stage.rows if path_exists(spark, index_path) else timesheets
+    index_stage = stage_append(spark, employee_months(index_source), index_path,
+                               ["employee_id", "year", "month"], "employee_id")
+    months_index = current(index_stage)
+
     scope = timesheets
     if not (emp_stage.first or ts_stage.first or not path_exists(spark, target)):
         months = [(r.year, r.month) for r in affected_months(
-            timesheets, ts_stage.rows, emp_stage.rows if emp_stage.count else None).collect()]
+            months_index, ts_stage.rows, emp_stage.rows if emp_stage.count else None).collect()]
         scope = timesheets.filter(_month_filter(months)) if months else None
 
     if scope is None:
@@ -141,7 +160,10 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
         else:
             counts["result"] = append_load(spark, result, target, list(RESULT_KEYS),
                                            list(RESULT_KEYS), partition_by=PARTITIONS)
+    # Publish order keeps every prefix recoverable by a rerun: the result
+    # first, the month summary before the attendance rows it summarises.
     emp_stage.publish()
+    index_stage.publish()
     ts_stage.publish()
     if result_csv:
         # the complete current result, untouched months included
