@@ -110,3 +110,18 @@ def test_policies_agree_on_clean_data(spark, staff):
         # A is rounded to 2 places in the query, B and C are not.
         assert abs(results[1][k] - results[2][k]) < 1e-6
         assert abs(a - results[1][k]) <= 0.005 + 1e-9
+
+
+def test_negative_hours_give_negative_rate_and_count_in_the_mean(spark):
+    # Rule A: in 16:59:59, out 00:00:00 -> out - in = -61199 s; the rate is
+    # negative and still averaged with the other employee of the branch.
+    ts_rows = [(1, 1, D(2020, 1, 2), 61199, 0), (2, 2, D(2020, 1, 2), 28800, 61200)]
+    emp_rows = [(1, 5, Decimal("2200000.00"), D(2019, 1, 1), None),
+                (2, 5, Decimal("2200000.00"), D(2019, 1, 1), None)]
+    ts, emp = frames(spark, ts_rows, emp_rows)
+    rates = {r.employee_id: r.salary_per_hour for r in employee_rates(ts, emp, "a").collect()}
+    assert rates[1] == pytest.approx(110000 / (-61199 / 3600))
+    assert rates[2] == pytest.approx(110000 / 9)
+    out = branch_rates(ts, emp, "a").collect()[0]
+    want = Decimal(str(round((rates[1] + rates[2]) / 2, 2)))
+    assert out.salary_per_hour == want
