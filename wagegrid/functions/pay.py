@@ -38,8 +38,9 @@ def round_half_up_sql(value: str, places: int = 2, precision: int = 20) -> str:
 
 
 def round_double_sql(value: str, places: int = 6) -> str:
-    """Unrounded rates are reported at 6 places so summation order cannot show."""
-    return f"round(CAST({value} AS DOUBLE), {places})"
+    """Unrounded rates are reported at 6 places so summation order cannot
+    show; ``+ 0.0`` turns a negative zero into zero."""
+    return f"(round(CAST({value} AS DOUBLE), {places}) + 0.0D)"
 
 
 def year_of(date: str) -> Column:

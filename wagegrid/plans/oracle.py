@@ -95,7 +95,7 @@ def branch_rate_sql(policy: str) -> str:
         value = ("CAST(ROUND(CAST(AVG(salary_per_hour) AS DECIMAL(38,10)), 2) "
                  "AS DECIMAL(20,2))")
     else:
-        value = "ROUND(AVG(salary_per_hour), 6)"
+        value = "(ROUND(AVG(salary_per_hour), 6) + 0.0)"
     return with_policy(policy, f"""
 SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month, {value} AS salary_per_hour
 FROM rates GROUP BY branch_id, year, month
@@ -130,10 +130,10 @@ def _describe_sql() -> str:
     for c in ("branch_id", "year", "month", "salary_per_hour"):
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS column_name, COUNT({x}) AS \"count\", ROUND(AVG({x}), 6) AS mean, "
-            f"ROUND(STDDEV_SAMP({x}), 6) AS std, ROUND(MIN({x}), 6) AS \"min\", "
-            f"ROUND(QUANTILE_CONT({x}, 0.25), 6) AS p25, ROUND(QUANTILE_CONT({x}, 0.5), 6) AS p50, "
-            f"ROUND(QUANTILE_CONT({x}, 0.75), 6) AS p75, ROUND(MAX({x}), 6) AS \"max\" FROM result")
+            f"SELECT '{c}' AS column_name, COUNT({x}) AS \"count\", (ROUND(AVG({x}), 6) + 0.0) AS mean, "
+            f"(ROUND(STDDEV_SAMP({x}), 6) + 0.0) AS std, (ROUND(MIN({x}), 6) + 0.0) AS \"min\", "
+            f"(ROUND(QUANTILE_CONT({x}, 0.25), 6) + 0.0) AS p25, (ROUND(QUANTILE_CONT({x}, 0.5), 6) + 0.0) AS p50, "
+            f"(ROUND(QUANTILE_CONT({x}, 0.75), 6) + 0.0) AS p75, (ROUND(MAX({x}), 6) + 0.0) AS \"max\" FROM result")
     result = (",\nresult AS (SELECT branch_id, year, month, AVG(salary_per_hour) AS salary_per_hour\n"
               "           FROM rates GROUP BY branch_id, year, month)\n")
     return with_policy("b", result + "\nUNION ALL\n".join(parts))
@@ -150,13 +150,13 @@ def oracle_sql() -> dict[str, str]:
 SELECT timesheet_id, employee_id, date, ci AS checkin_new, co AS checkout_new FROM filled""")
         q[f"shift_hours_{p}"] = with_policy(p, """
 SELECT timesheet_id, employee_id, date, work_seconds,
-       ROUND(CAST(work_seconds AS DOUBLE) / 3600.0, 6) AS total_hours FROM shifts""")
+       (ROUND(CAST(work_seconds AS DOUBLE) / 3600.0, 6) + 0.0) AS total_hours FROM shifts""")
         q[f"gross_hours_{p}"] = with_policy(p, """
-SELECT employee_id, branch_id, year, month, total_day, ROUND(total_hours, 6) AS total_hours,
+SELECT employee_id, branch_id, year, month, total_day, (ROUND(total_hours, 6) + 0.0) AS total_hours,
        salary FROM gross""")
         q[f"employee_rate_{p}"] = with_policy(p, """
-SELECT employee_id, branch_id, year, month, total_day, ROUND(total_hours, 6) AS total_hours,
-       salary, prorated_salary, ROUND(salary_per_hour, 6) AS salary_per_hour FROM rates""")
+SELECT employee_id, branch_id, year, month, total_day, (ROUND(total_hours, 6) + 0.0) AS total_hours,
+       salary, prorated_salary, (ROUND(salary_per_hour, 6) + 0.0) AS salary_per_hour FROM rates""")
     q["prorated_salary"] = with_policy("a", """
 SELECT employee_id, branch_id, year, month, total_day, salary, prorated_salary FROM rates""")
     q["dedupe_employees_nulls_first"] = _views(
@@ -213,7 +213,7 @@ SELECT *, raw_ids > unique_ids AS has_duplicates FROM (
     q["distinct_rates"] = with_policy("b", """
 SELECT DISTINCT * FROM (
   SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
-         ROUND(AVG(salary_per_hour), 6) AS salary_per_hour
+         (ROUND(AVG(salary_per_hour), 6) + 0.0) AS salary_per_hour
   FROM rates GROUP BY branch_id, year, month)""")
     q["keep_last"] = _views("""
 SELECT timesheet_id, employee_id, date, checkin, checkout FROM (
@@ -259,7 +259,7 @@ FROM rates GROUP BY branch_id, year, month""")
     q["job_full_refresh"] = result_a
     q["job_incremental"] = with_policy("c", """
 SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
-       ROUND(AVG(salary_per_hour), 6) AS salary_per_hour
+       (ROUND(AVG(salary_per_hour), 6) + 0.0) AS salary_per_hour
 FROM rates GROUP BY branch_id, year, month""", batches=True, source="final_ts", extra=_FINAL_TS)
     q["stream_ingest_timesheets"] = _views("SELECT * FROM final_ts", batches=True,
                                            extra=_FINAL_TS)
