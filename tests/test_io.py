@@ -270,4 +270,11 @@ def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypat
         return {n: sorted(tuple(r) for r in tables.read_table(spark, f"{wh}/{n}").collect())
                 for n in names}
 
-    assert run_all(scratch("wh"), crash=True) == run_all(scratch("wh"), crash=False)
\ No newline at end of file
+    assert run_all(scratch("wh"), crash=True) == run_all(scratch("wh"), crash=False)
+
+def test_run_sql_with_views_and_parameters(spark):
+    df = spark.createDataFrame([(1, 2020, 1, 5.0), (2, 2020, 2, 7.0)],
+                               "branch_id int, year int, month int, salary_per_hour double")
+    out = tables.run_sql(spark, "SELECT branch_id FROM rates_view WHERE month = :m",
+                         {"rates_view": df}, {"m": 2})
+    assert [r.branch_id for r in out.collect()] == [2]

@@ -405,8 +405,10 @@ def full_refresh(spark, sf_dir):
 
 @query("final_select")
 def final_select(spark, sf_dir):
-    """Read-back projection of the loaded result table."""
-    return rates.final_select(load_cast_decimal(spark, sf_dir))
+    """Read-back of the loaded result table with a SQL text."""
+    return tables.run_sql(
+        spark, "SELECT year, month, branch_id, salary_per_hour FROM salary_per_hours_b",
+        {"salary_per_hours_b": load_cast_decimal(spark, sf_dir)})
 
 
 # -- jobs (Q5, Q6) on CSV files written from the test tables ------------------------

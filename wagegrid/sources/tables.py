@@ -56,6 +56,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def run_sql(spark: SparkSession, query: str, views: dict[str, DataFrame] | None = None,
+            args: dict | None = None) -> DataFrame:
+    """Run a SQL text over named frames (S5): each frame becomes a temporary
+    view of the session; ``args`` bind ``:name`` parameters."""
+    for name, df in (views or {}).items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(query, args=args) if args else spark.sql(query)
+
+
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns by name and cast them (S12; decimals round
     half up, ANSI: an overflowing value fails the load)."""
