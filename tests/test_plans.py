@@ -49,3 +49,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["branch_id", "year", "month", "salary_per_hour"]
     assert df.count() > 0
+
+
+def test_bounded_batch_keys_are_broadcast_and_stored_table_not_shuffled(spark, tables):
+    from wagegrid.operators.merge import latest_keyed
+    from wagegrid.sources.tables import rows_with_new_keys
+    ts, _ = tables
+    stored = ts.filter("timesheet_id % 3 = 0")
+    batch, cols = latest_keyed(ts.filter("timesheet_id % 2 = 0"), ["timesheet_id"], "timesheet_id")
+    small = rows_with_new_keys(batch, 1000, stored, ["timesheet_id"], cols)
+    small.collect()
+    plan = plan_text(small)
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    # the stored key scan feeds the semi join directly, with no shuffle between
+    lines = plan.split("\n")
+    semi = next(i for i, l in enumerate(lines) if "LeftSemi" in l)
+    scan = next(i for i in range(semi, len(lines)) if "FileScan" in lines[i])
+    assert not any("Exchange" in lines[i] for i in range(semi, scan))
+    big = rows_with_new_keys(batch, 10**9, stored, ["timesheet_id"], cols)
+    assert big.count() == small.count()

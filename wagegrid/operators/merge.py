@@ -67,17 +67,26 @@ def with_key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, lis
     return df.selectExpr("*", *exprs), cols
 
 
-def _latest_keyed(new: DataFrame, keys: Sequence[str], sequence) -> tuple[DataFrame, list[str]]:
+def latest_keyed(new: DataFrame, keys: Sequence[str], sequence) -> tuple[DataFrame, list[str]]:
+    """Last row per key (keep-last), with its NULL-safe key columns."""
     keyed, cols = with_key_columns(new, keys)
     order = [f"`{c}` DESC NULLS LAST" for c in normalize_keys(sequence)]
     return top_per_key(keyed, cols, order), cols
 
 
+_latest_keyed = latest_keyed
+
+
+def stored_key_columns(existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The NULL-safe key columns of a stored table (only its key columns are read)."""
+    keyed, cols = with_key_columns(existing.select(*keys), keys)
+    return keyed.select(*cols)
+
+
 def _stored_keys(existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Only the key columns of the stored table move; duplicates are removed
     # map-side first (partial aggregation) so the shuffle carries distinct keys.
-    keyed, cols = with_key_columns(existing.select(*keys), keys)
-    return keyed.select(*cols).dropDuplicates()
+    return stored_key_columns(existing, keys).dropDuplicates()
 
 
 def without_stored_keys(rows: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 
 from ..config import scratch_path
 from ..operators.dedupe import normalize_keys
-from ..operators.merge import append_new_keys, upsert, with_key_columns
+from ..operators.merge import (latest_keyed, stored_key_columns, upsert, validate_keys,
+                               with_key_columns)
 from ..schemas import ddl
 
 
@@ -162,22 +163,64 @@ class StagedAppend:
         return self.count
 
 
+# Largest broadcast of batch keys, as a bound computed from the row count and
+# fixed key widths (hash-relation overhead included), not an estimate.
+BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
+
+
+def _key_bytes_bound(schema: T.StructType) -> int | None:
+    """Upper bound of one key row in a broadcast hash relation; None when a
+    key column has no fixed width (strings)."""
+    width = 0
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return None
+        width += 16
+    return 2 * (32 + width)
+
+
 def stage_append(spark: SparkSession, new: DataFrame, target: str,
                  keys: Sequence[str] | str, sequence: Sequence[str] | str,
                  partition_by: Sequence[str] | None = None) -> StagedAppend:
     """Stage the rows an append-new-keys load adds.
 
     On the first run every row is staged, without de-duplication (S9).
+    Otherwise the batch is reduced to its last row per key and staged; its
+    row count then bounds the size of its keys. Within
+    ``BROADCAST_LIMIT_BYTES`` the batch keys are broadcast and the stored key
+    column is semi-joined against them where it lies -- the stored table is
+    not shuffled. Beyond it, the stored keys are de-duplicated and
+    shuffled for a sort-merge anti join.
     """
     if not path_exists(spark, target):
         staged, path = stage(spark, _public(new), "first")
         return StagedAppend(target, staged, path, staged.count(), True, partition_by)
     existing = read_table(spark, target)
-    rows = append_new_keys(new, existing, normalize_keys(keys), sequence)
+    keys = validate_keys(new, existing, keys)
+    latest, cols = latest_keyed(new, keys, sequence)
+    batch, batch_path = stage(spark, latest, "batch")
+    rows = rows_with_new_keys(batch, batch.count(), existing, keys, cols)
     staged, path = stage(spark, _public(rows).select(*existing.columns), "append")
+    discard(spark, batch_path)
     return StagedAppend(target, staged, path, staged.count(), False, partition_by)
 
 
+def rows_with_new_keys(batch: DataFrame, batch_rows: int, existing: DataFrame,
+                       keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Rows of a staged, keep-last batch (with key columns ``cols``) whose key
+    is not stored; picks the broadcast plan when ``batch_rows`` bounds the
+    batch keys within ``BROADCAST_LIMIT_BYTES``."""
+    per_row = _key_bytes_bound(batch.select(*cols).schema)
+    stored = stored_key_columns(existing, keys)
+    if per_row is not None and batch_rows * per_row <= BROADCAST_LIMIT_BYTES:
+        hits = stored.join(F.broadcast(batch.select(*cols)), list(cols), "left_semi") \
+            .dropDuplicates()
+        rows = batch.join(F.broadcast(hits), list(cols), "left_anti")
+    else:
+        rows = batch.join(stored.dropDuplicates(), list(cols), "left_anti")
+    return rows.drop(*cols)
+
+
 def append_rows(spark: SparkSession, new: DataFrame, target: str,
                 keys: Sequence[str] | str, sequence: Sequence[str] | str,
                 partition_by: Sequence[str] | None = None) -> tuple[int, bool]:
