@@ -201,6 +201,8 @@ def test_incremental_job_policy_d_appends_new_result_keys_only(spark, scratch):
     write_text(folder_t, "timesheets.csv", TS_CSV)
     wh = scratch("wh")
     assert jobs.incremental_job(spark, folder_e, folder_t, wh, policy="d")["result"] == 2
+    first = {(r.branch_id, r.month): r.salary_per_hour
+             for r in tables.read_table(spark, f"{wh}/salary_per_hours_d").collect()}
     more = scratch("t2")
     write_text(more, "timesheets.csv", "timesheet_id,employee_id,date,checkin,checkout\n"
                                        "4,1,2020-01-03,08:00:00,18:00:00\n"
@@ -210,6 +212,14 @@ def test_incremental_job_policy_d_appends_new_result_keys_only(spark, scratch):
     stored = {(r.branch_id, r.month): r.salary_per_hour
               for r in tables.read_table(spark, f"{wh}/salary_per_hours_d").collect()}
     assert set(stored) == {(3, 1), (1, 1), (3, 2)}
+    # (3, 2020-01) got a longer shift in run 2, but an append never updates
+    assert stored[(3, 1)] == first[(3, 1)]
+    wh_c = scratch("wh")
+    jobs.incremental_job(spark, folder_e, folder_t, wh_c, policy="c")
+    jobs.incremental_job(spark, folder_e, more, wh_c, policy="c")
+    upserted = {(r.branch_id, r.month): r.salary_per_hour
+                for r in tables.read_table(spark, f"{wh_c}/salary_per_hours_c").collect()}
+    assert upserted[(3, 1)] != first[(3, 1)]                # the upsert does update
 
 
 def test_missing_checks_with_coerced_checkin(spark):

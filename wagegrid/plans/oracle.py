@@ -43,10 +43,10 @@ _POLICY = {
 }
 
 
-def employee_cte(order: str | None) -> str:
+def employee_cte(order: str | None, name: str = "staff") -> str:
     if order is None:
-        return "staff AS (SELECT * FROM employees)"
-    return f"""staff AS (
+        return f"{name} AS (SELECT * FROM employees)"
+    return f"""{name} AS (
   SELECT employee_id, branch_id, salary, join_date, resign_date FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY employee_id ORDER BY
         join_date DESC {order}, salary DESC {order}, branch_id DESC {order},
@@ -54,34 +54,35 @@ def employee_cte(order: str | None) -> str:
     FROM employees) WHERE rn = 1)"""
 
 
-def policy_ctes(policy: str, source: str = "timesheets") -> str:
-    """CTEs filled, shifts, staff, gross, rates for one policy (after oracle_views)."""
+def policy_ctes(policy: str, source: str = "timesheets", prefix: str = "") -> str:
+    """CTEs filled, shifts, staff, gross, rates (names prefixed by ``prefix``)
+    for one policy, to follow ``oracle_views``."""
     fill, duration, order, salary_ok, drop_null = _POLICY[policy]
     ci, co = _FILL[fill]
     duration = _DURATION[duration]
     null_keys = ("AND t.employee_id IS NOT NULL AND t.date IS NOT NULL "
                  "AND s.branch_id IS NOT NULL") if drop_null else ""
     return f""",
-filled AS (
+{prefix}filled AS (
   SELECT timesheet_id, employee_id, date, checkin, checkout,
          {ci} AS ci, {co} AS co FROM {source}),
-shifts AS (SELECT *, CAST({duration} AS BIGINT) AS work_seconds FROM filled),
-{employee_cte(order)},
-gross AS (
+{prefix}shifts AS (SELECT *, CAST({duration} AS BIGINT) AS work_seconds FROM {prefix}filled),
+{employee_cte(order, prefix + "staff")},
+{prefix}gross AS (
   SELECT t.employee_id, s.branch_id,
          CAST(year(t.date) AS INTEGER) AS year, CAST(month(t.date) AS INTEGER) AS month,
          COUNT(t.employee_id) AS total_day,
          CAST(SUM(t.work_seconds) AS DOUBLE) / 3600.0 AS total_hours,
          MIN(s.salary) AS salary
-  FROM shifts t LEFT JOIN staff s ON t.employee_id = s.employee_id
+  FROM {prefix}shifts t LEFT JOIN {prefix}staff s ON t.employee_id = s.employee_id
   WHERE s.{salary_ok} {null_keys}
   GROUP BY t.employee_id, s.branch_id, year(t.date), month(t.date)),
-rates AS (
+{prefix}rates AS (
   SELECT *, CAST(prorated_salary AS DOUBLE) / NULLIF(total_hours, 0) AS salary_per_hour
   FROM (SELECT *, CASE WHEN total_day > 22 THEN CAST(salary AS DECIMAL(24,4))
                        ELSE CAST(CAST((total_day * 100 + 11) // 22 AS DECIMAL(18,0))
                                  * CAST(0.01 AS DECIMAL(3,2)) * salary AS DECIMAL(24,4))
-                  END AS prorated_salary FROM gross))
+                  END AS prorated_salary FROM {prefix}gross))
 """
 
 
@@ -263,4 +264,17 @@ SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
 FROM rates GROUP BY branch_id, year, month""", batches=True, source="final_ts", extra=_FINAL_TS)
     q["stream_ingest_timesheets"] = _views("SELECT * FROM final_ts", batches=True,
                                            extra=_FINAL_TS)
+    per_branch = """{p}result AS (
+  SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
+         (ROUND(AVG(salary_per_hour), 6) + 0.0) AS salary_per_hour
+  FROM {p}rates GROUP BY branch_id, year, month)"""
+    q["job_incremental_d"] = (
+        oracle_views(batches=True).rstrip() + _FINAL_TS
+        + policy_ctes("c", "old_batch", "r1_") + ",\n" + per_branch.format(p="r1_")
+        + policy_ctes("c", "final_ts", "r2_") + ",\n" + per_branch.format(p="r2_") + """
+SELECT * FROM r1_result
+UNION ALL
+SELECT * FROM r2_result n
+WHERE NOT EXISTS (SELECT 1 FROM r1_result o WHERE o.branch_id IS NOT DISTINCT FROM n.branch_id
+                  AND o.year IS NOT DISTINCT FROM n.year AND o.month IS NOT DISTINCT FROM n.month)""")
     return q
