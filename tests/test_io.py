@@ -116,6 +116,12 @@ def test_upsert_load_rewrites_touched_partitions_only(spark, scratch):
     got = sorted((r.branch_id, r.month, r.salary_per_hour)
                  for r in tables.read_table(spark, target).collect())
     assert got == [(1, 1, 1.0), (1, 2, 3.0), (2, 2, 4.0)]
+    # only the touched partition folders are read
+    scoped = tables._touched_partitions(tables.read_table(spark, target), second, ["year", "month"])
+    scan = [l for l in scoped._jdf.queryExecution().executedPlan().toString().split("\n")
+            if "FileScan" in l][0]
+    assert "PartitionFilters: [" in scan and "month" in scan.split("PartitionFilters:")[1]
+    assert scoped.count() == 2
 
 
 def test_append_load_twice_adds_nothing(spark, scratch):

@@ -240,6 +240,48 @@ def append_load(spark: SparkSession, new: DataFrame, target: str,
     return append_rows(spark, new, target, keys, sequence, partition_by)[0]
 
 
+# Most partition values turned into a static partition filter.
+MAX_PARTITION_FILTER = 10_000
+
+
+def _sql_literal(v) -> str | None:
+    import datetime as dt
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, dt.date) and not isinstance(v, dt.datetime):
+        return f"DATE'{v.isoformat()}'"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return None
+
+
+def _touched_partitions(existing: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
+    """Stored rows in the partitions ``new`` touches.
+
+    The distinct partition values of the batch are counted first; up to
+    ``MAX_PARTITION_FILTER`` of them become a predicate on the partition
+    columns, so only those folders are listed and read. Otherwise the stored
+    table is semi-joined with the values (correct, but it reads every
+    partition).
+    """
+    touched = new.select(*cols).dropDuplicates()
+    if touched.count() <= MAX_PARTITION_FILTER:
+        terms = []
+        for row in touched.collect():
+            lits = [_sql_literal(row[c]) for c in cols]
+            if any(x is None for x in lits):
+                terms = None
+                break
+            terms.append("(" + " AND ".join(f"`{c}` <=> {x}" for c, x in zip(cols, lits)) + ")")
+        if terms is not None:
+            return existing.filter(" OR ".join(terms) if terms else "false")
+    return existing.join(touched, cols, "left_semi")
+
+
 def upsert_load(spark: SparkSession, new: DataFrame, target: str,
                 keys: Sequence[str] | str, sequence: Sequence[str] | str | None = None,
                 partition_by: Sequence[str] | None = None) -> int:
@@ -255,8 +297,7 @@ def upsert_load(spark: SparkSession, new: DataFrame, target: str,
     if partition_by:
         if not set(partition_by) <= set(keys):
             raise ValueError("partition columns must be part of the upsert key")
-        touched = new.select(*partition_by).dropDuplicates()
-        existing = existing.join(touched, list(partition_by), "left_semi")
+        existing = _touched_partitions(existing, new, list(partition_by))
     merged, cols = with_key_columns(
         upsert(existing, _public(new).select(*existing.columns), keys, sequence), keys)
     stored, _ = with_key_columns(existing.select(*keys), keys)
