@@ -181,7 +181,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--timesheets", required=True)
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--result-csv")
-    ap.add_argument("--policy")
+    ap.add_argument("--policy", choices=["a", "b", "c", "d"])
     a = ap.parse_args(argv)
     spark = session()
     checkpoint_dir(spark)  # fail early when no shared folder is configured
