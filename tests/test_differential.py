@@ -70,3 +70,37 @@ def test_branch_rates_equal_join_then_aggregate(spark, policy, ts, emp):
     got = canon_rows(out.columns, [tuple(r) for r in out.collect()])
     want = canon_rows(*oracle(policy, ts_rows, emp_rows))
     assert got == want
+
+
+key_row = st.tuples(st.one_of(st.none(), st.integers(1, 6)), st.integers(0, 9))
+
+
+@settings(max_examples=int(os.environ.get("DIFF_EXAMPLES", "12")), deadline=None,
+          suppress_health_check=list(HealthCheck))
+@given(old=st.lists(key_row, max_size=12), new=st.lists(key_row, min_size=1, max_size=12))
+def test_append_and_upsert_equal_sql(spark, old, new):
+    """NULL keys, duplicate keys inside a batch; seq orders arrival."""
+    from wagegrid.operators.merge import append_new_keys, upsert
+    old_rows = [(k, v, i) for i, (k, v) in enumerate(old)]
+    new_rows = [(k, v, i) for i, (k, v) in enumerate(new)]
+    schema = "k long, v long, seq long"
+    o = spark.createDataFrame(old_rows, schema)
+    n = spark.createDataFrame(new_rows, schema)
+    con = duckdb.connect()
+    arrow = pa.schema([("k", pa.int64()), ("v", pa.int64()), ("seq", pa.int64())])
+    con.register("old_t", pa.Table.from_pylist([dict(zip(arrow.names, r)) for r in old_rows], schema=arrow))
+    con.register("new_t", pa.Table.from_pylist([dict(zip(arrow.names, r)) for r in new_rows], schema=arrow))
+    append_sql = """
+      SELECT n.k, n.v, n.seq
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY seq DESC) rn FROM new_t) n
+      WHERE n.rn = 1 AND NOT EXISTS (SELECT 1 FROM old_t o WHERE o.k IS NOT DISTINCT FROM n.k)"""
+    upsert_sql = """
+      SELECT k, v, seq FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY src DESC, seq DESC) rn
+        FROM (SELECT *, 0 AS src FROM old_t UNION ALL SELECT *, 1 AS src FROM new_t))
+      WHERE rn = 1"""
+    for df, sql in [(append_new_keys(n, o, "k", "seq"), append_sql), (upsert(o, n, "k", "seq"), upsert_sql)]:
+        res = con.execute(sql)
+        want = canon_rows([d[0] for d in res.description], res.fetchall())
+        got = canon_rows(df.columns, [tuple(r) for r in df.collect()])
+        assert got == want, sql
