@@ -294,3 +294,21 @@ def test_run_sql_with_views_and_parameters(spark):
     out = tables.run_sql(spark, "SELECT branch_id FROM rates_view WHERE month = :m",
                          {"rates_view": df}, {"m": 2})
     assert [r.branch_id for r in out.collect()] == [2]
+
+
+def test_full_refresh_table_switches_location(spark, scratch):
+    import uuid
+    name = f"wagegrid_result_{uuid.uuid4().hex[:8]}"
+    root = scratch("tables")
+    first = spark.createDataFrame([(1, 2020, 1, 10.0), (2, 2020, 2, 20.0)],
+                                  "branch_id int, year int, month int, salary_per_hour double")
+    assert tables.full_refresh_table(spark, first, name, root, RESULT, ["year", "month"]) == 2
+    loc1 = tables.table_location(spark, name)
+    assert spark.table(name).count() == 2
+    second = first.filter("branch_id = 2")
+    assert tables.full_refresh_table(spark, second, name, root, RESULT, ["year", "month"]) == 1
+    loc2 = tables.table_location(spark, name)
+    assert loc1 != loc2 and not os.path.exists(loc1.replace("file:", ""))
+    rows = spark.table(name).collect()
+    assert [(r.branch_id, r.month, r.salary_per_hour) for r in rows] == [(2, 2, Decimal("20.00"))]
+    spark.sql(f"DROP TABLE {name}")

@@ -16,6 +16,7 @@ overwrite): a daily load touches only the (year, month) folders it changes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -128,6 +129,50 @@ def full_refresh(spark: SparkSession, df: DataFrame, target: str,
     return n
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Storage location of a catalog table."""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row["col_name"] == "Location":
+            return row["data_type"]
+    raise ValueError(f"no location for table {table}")
+
+
+def full_refresh_table(spark: SparkSession, df: DataFrame, table: str, root: str,
+                       schema: T.StructType | None = None,
+                       partition_by: Sequence[str] | None = None) -> int:
+    """Full refresh of a catalog table without copying the data.
+
+    The new content is written once, to a fresh folder below ``root``; the
+    table is then pointed at it (``ALTER TABLE ... SET LOCATION``, a catalog
+    metadata change), and the previous folder is deleted. Readers see the
+    old or the new table, never a half-written one, and a failure before
+    the switch leaves the table as it was.
+    """
+    if schema is not None:
+        df = cast_to_schema(df, schema)
+    location = f"{root.rstrip('/')}/{table}-{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(location)
+    written = spark.read.parquet(location)
+    n = written.count()
+    if table_exists(spark, table):
+        old = table_location(spark, table)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        if partition_by:
+            spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
+        discard(spark, old)
+    else:
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet{parts} LOCATION '{location}'")
+        if partition_by:
+            spark.catalog.recoverPartitions(table)
+    return n
+
+
 def first_load(spark: SparkSession, new: DataFrame, target: str,
                partition_by: Sequence[str] | None = None) -> int:
     """Create the table from the data as it is -- no de-duplication -- and
