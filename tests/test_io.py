@@ -312,3 +312,16 @@ def test_full_refresh_table_switches_location(spark, scratch):
     rows = spark.table(name).collect()
     assert [(r.branch_id, r.month, r.salary_per_hour) for r in rows] == [(2, 2, Decimal("20.00"))]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_full_refresh_job_on_catalog_tables(spark, scratch):
+    folder_e, folder_t = scratch("e"), scratch("t")
+    write_text(folder_e, "employees.csv", EMP_CSV)
+    write_text(folder_t, "timesheets.csv", TS_CSV)
+    root = scratch("catalog")
+    for _ in range(2):  # the second run replaces all three tables
+        counts = jobs.full_refresh_job(spark, folder_e, folder_t, root, catalog=True)
+        assert counts == {"timesheets": 3, "employees": 4, "result": 2}
+    assert spark.table("salary_per_hours_a").count() == 2
+    for t in ("timesheets", "employees", "salary_per_hours_a"):
+        spark.sql(f"DROP TABLE {t}")

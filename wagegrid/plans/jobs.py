@@ -25,8 +25,8 @@ from ..operators.rates import branch_rates
 from ..policies import get_policy
 from ..schemas import EMPLOYEES, RESULT, RESULT_KEYS, TIMESHEETS
 from ..sources.csv import read_employees_csv, read_timesheets_csv, write_csv
-from ..sources.tables import (append_load, cast_to_schema, full_refresh, path_exists,
-                              read_table, stage_append, upsert_load)
+from ..sources.tables import (append_load, cast_to_schema, full_refresh, full_refresh_table,
+                              path_exists, read_table, stage_append, upsert_load)
 from ..functions.timeofday import parse_time
 
 PARTITIONS = ("year", "month")
@@ -40,23 +40,42 @@ def _times_as_seconds(ts: DataFrame) -> DataFrame:
 
 def full_refresh_job(spark: SparkSession, employees_csv: str, timesheets_csv: str,
                      warehouse: str, result_csv: str | None = None,
-                     policy: str = "a") -> dict[str, int]:
+                     policy: str = "a", catalog: bool = False) -> dict[str, int]:
     """Q5: positional typed scans, full refresh of both sources, transform,
-    optional CSV of the result, full refresh of the DECIMAL(10,2) result."""
+    optional CSV of the result, full refresh of the DECIMAL(10,2) result.
+
+    With ``catalog`` the three tables are catalog tables (``timesheets``,
+    ``employees``, ``salary_per_hours_<policy>``) whose data lives below
+    ``warehouse`` and is replaced by switching locations (no copy);
+    otherwise they are Parquet folders below ``warehouse``, replaced through
+    a staged copy.
+    """
     p = get_policy(policy)
     wh = warehouse.rstrip("/")
     emp = read_employees_csv(spark, employees_csv)
     ts = _times_as_seconds(read_timesheets_csv(spark, timesheets_csv))
-    counts = {
-        "timesheets": full_refresh(spark, ts, f"{wh}/timesheets", TIMESHEETS),
-        "employees": full_refresh(spark, emp, f"{wh}/employees", EMPLOYEES),
-    }
-    result = branch_rates(read_table(spark, f"{wh}/timesheets"),
-                          read_table(spark, f"{wh}/employees"), p)
+    result_name = f"salary_per_hours_{p.name}"
+    if catalog:
+        counts = {
+            "timesheets": full_refresh_table(spark, ts, "timesheets", wh, TIMESHEETS),
+            "employees": full_refresh_table(spark, emp, "employees", wh, EMPLOYEES),
+        }
+        result = branch_rates(spark.table("timesheets"), spark.table("employees"), p)
+    else:
+        counts = {
+            "timesheets": full_refresh(spark, ts, f"{wh}/timesheets", TIMESHEETS),
+            "employees": full_refresh(spark, emp, f"{wh}/employees", EMPLOYEES),
+        }
+        result = branch_rates(read_table(spark, f"{wh}/timesheets"),
+                              read_table(spark, f"{wh}/employees"), p)
     if result_csv:
         write_csv(result, result_csv)
-    counts["result"] = full_refresh(spark, result, f"{wh}/salary_per_hours_{p.name}",
-                                    RESULT, partition_by=PARTITIONS)
+    if catalog:
+        counts["result"] = full_refresh_table(spark, result, result_name, wh, RESULT,
+                                              partition_by=PARTITIONS)
+    else:
+        counts["result"] = full_refresh(spark, result, f"{wh}/{result_name}", RESULT,
+                                        partition_by=PARTITIONS)
     return counts
 
 
@@ -182,12 +201,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--result-csv")
     ap.add_argument("--policy", choices=["a", "b", "c", "d"])
+    ap.add_argument("--catalog", action="store_true",
+                    help="full refresh of catalog tables by location switch")
     a = ap.parse_args(argv)
     spark = session()
     checkpoint_dir(spark)  # fail early when no shared folder is configured
     if a.job == "full-refresh":
         out = full_refresh_job(spark, a.employees, a.timesheets, a.warehouse,
-                               a.result_csv, a.policy or "a")
+                               a.result_csv, a.policy or "a", catalog=a.catalog)
     else:
         out = incremental_job(spark, a.employees, a.timesheets, a.warehouse,
                               a.result_csv, a.policy or "c")
