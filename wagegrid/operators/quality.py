@@ -107,20 +107,19 @@ def quality_report(timesheets: DataFrame, employees: DataFrame) -> DataFrame:
 
 
 DESCRIBE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+QUARTILES = (0.25, 0.5, 0.75)
+# Columns with at most this many values get their quartiles from one
+# ``percentile`` aggregate (its final task holds the distinct values);
+# larger ones use distributed rank selection.
+EXACT_PERCENTILE_LIMIT = 1_000_000
+ROWS_PER_SORT_PARTITION = 1_000_000
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, 25/50/75 % (linear), max per column.
-
-    One aggregate computes every statistic of every column; ``stack`` turns
-    it into one row per column. Percentiles are exact (``percentile``), which
-    buffers the column's values per task: use it on aggregated results (the
-    branch-month table), not on raw attendance rows.
-    """
+def _describe_lazy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        q = F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
@@ -130,3 +129,81 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         f"`{c}__q`[1], `{c}__q`[2], `{c}__max`" for c in columns)
     return wide.selectExpr(
         f"stack({len(columns)}, {rows}) AS (column_name, {', '.join(DESCRIBE_STATS)})")
+
+
+def ranked_values(values: DataFrame, n: int, ranks: Sequence[int],
+                  rows_per_partition: int = ROWS_PER_SORT_PARTITION) -> dict[int, float]:
+    """Exact order statistics (0-based ranks) of a one-column frame ``x``
+    without NULLs, holding no more than one sort partition in any task.
+
+    The column is range-partitioned and sorted, checkpointed (so partition
+    ids and row order are fixed), counted per partition; only the rows at
+    the wanted ranks are then fetched.
+    """
+    parts = max(1, min(10_000, -(-n // rows_per_partition)))
+    ordered = values.repartitionByRange(parts, "x").sortWithinPartitions("x").checkpoint()
+    pid = F.spark_partition_id()
+    sizes = {r["p"]: r["c"] for r in ordered.groupBy(pid.alias("p"))
+             .agg(F.count(F.lit(1)).alias("c")).collect()}
+    offsets, acc = {}, 0
+    for p in sorted(sizes):
+        offsets[p] = acc
+        acc += sizes[p]
+    wanted = {}
+    for r in set(ranks):
+        p = max(q for q, off in offsets.items() if off <= r)
+        wanted[(p, r - offsets[p])] = r
+    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    cond = " OR ".join(f"(p = {p} AND i = {i})" for p, i in wanted)
+    found = ordered.select(pid.alias("p"), local.alias("i"), "x").filter(cond).collect()
+    return {wanted[(r["p"], r["i"])]: r["x"] for r in found}
+
+
+def _quartiles(values: DataFrame, n: int, rows_per_partition: int) -> list[float]:
+    """Linear-interpolated quartiles from exact order statistics."""
+    pos = [p * (n - 1) for p in QUARTILES]
+    ranks = [int(x // 1) for x in pos] + [int(-(-x // 1)) for x in pos]
+    v = ranked_values(values, n, ranks, rows_per_partition)
+    out = []
+    for x in pos:
+        lo, hi = int(x // 1), int(-(-x // 1))
+        out.append(v[lo] + (v[hi] - v[lo]) * (x - lo))
+    return out
+
+
+def describe(df: DataFrame, columns: Sequence[str],
+             exact_limit: int = EXACT_PERCENTILE_LIMIT,
+             rows_per_partition: int = ROWS_PER_SORT_PARTITION) -> DataFrame:
+    """count, mean, sample std, min, 25/50/75 % (linear), max per column.
+
+    Percentiles are exact. When no column has more than ``exact_limit``
+    values, one aggregate computes everything (``percentile`` keeps a
+    column's distinct values in its final task). Otherwise the moments come
+    from one distributed aggregate and the quartiles from distributed rank
+    selection (``ranked_values``); the few resulting numbers form the result.
+    """
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first()
+    if all(counts[c] <= exact_limit for c in columns):
+        return _describe_lazy(df, columns)
+    spark = df.sparkSession
+    moments = df.agg(*[e for c in columns for e in (
+        F.avg(F.col(c).cast("double")).alias(f"{c}__mean"),
+        F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__std"),
+        F.min(F.col(c).cast("double")).alias(f"{c}__min"),
+        F.max(F.col(c).cast("double")).alias(f"{c}__max"))]).first()
+    rows = []
+    for c in columns:
+        n = counts[c]
+        values = df.select(F.col(c).cast("double").alias("x")).filter("x IS NOT NULL")
+        if n == 0:
+            q = [None, None, None]
+        elif n <= exact_limit:
+            q = list(values.agg(F.percentile("x", F.array(
+                *[F.lit(p) for p in QUARTILES]))).first()[0])
+        else:
+            q = _quartiles(values, n, rows_per_partition)
+        rows.append((c, n, moments[f"{c}__mean"], moments[f"{c}__std"], moments[f"{c}__min"],
+                     *q, moments[f"{c}__max"]))
+    schema = ("column_name string, count bigint, mean double, std double, min double, "
+              "p25 double, p50 double, p75 double, max double")
+    return spark.createDataFrame(rows, schema)
