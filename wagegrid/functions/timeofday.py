@@ -30,13 +30,19 @@ def parse_time_sql(text: str, coerce: bool = False) -> str:
     """Seconds of day of a time text.
 
     ``coerce=False`` behaves like a typed TIME column: a malformed value fails
-    the query (ANSI). ``coerce=True`` turns malformed or empty text into NULL.
+    the query (ANSI). ``coerce=True`` is the tolerant ``%H:%M:%S`` reading of
+    the dataframe-library forms: one or two digits per field, hour <= 23,
+    minute <= 59, second <= 61 (60 and 61 roll into the next minute, and past
+    midnight into the next day's time), no blanks or fractions; anything else
+    becomes NULL.
     """
-    if coerce:
-        ts = f"try_to_timestamp(nullif(trim({text}), ''), '{TIME_PATTERN}')"
-    else:
-        ts = f"to_timestamp(trim({text}), '{TIME_PATTERN}')"
-    return seconds_of_day_sql(ts)
+    if not coerce:
+        return seconds_of_day_sql(f"to_timestamp(trim({text}), '{TIME_PATTERN}')")
+    t = f"({text})"
+    h, m, sec = (f"try_cast(try_element_at(split({t}, ':'), {i}) AS INT)" for i in (1, 2, 3))
+    return (f"CASE WHEN {t} RLIKE '^[0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}$' "
+            f"AND {h} <= 23 AND {m} <= 59 AND {sec} <= 61 "
+            f"THEN CAST(({h} * 3600 + {m} * 60 + {sec}) % 86400 AS BIGINT) END")
 
 
 def format_time_sql(seconds: str, pad_hour: bool = True) -> str:

@@ -38,8 +38,7 @@ from .dedupe import latest_employee
 def _time_operand(df: DataFrame, name: str, coerce: bool) -> tuple[str, str]:
     """(seconds SQL, raw-missing SQL) for a time column given as text or seconds."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return (parse_time_sql(f"`{name}`", coerce),
-                f"(`{name}` IS NULL OR trim(`{name}`) = '')")
+        return (parse_time_sql(f"`{name}`", coerce), f"(`{name}` IS NULL OR `{name}` = '')")
     return f"CAST(`{name}` AS BIGINT)", f"`{name}` IS NULL"
 
 
