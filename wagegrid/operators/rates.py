@@ -51,12 +51,22 @@ def shift_hours(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
     p = get_policy(policy)
     ci, ci_missing = _time_operand(timesheets, "checkin", p.coerce_times)
     co, co_missing = _time_operand(timesheets, "checkout", p.coerce_times)
+    helpers = []
+    if isinstance(timesheets.schema["checkin"].dataType, T.StringType) or \
+            isinstance(timesheets.schema["checkout"].dataType, T.StringType):
+        # parse text once; the rules then refer to the parsed columns
+        timesheets = timesheets.selectExpr("*", f"{ci} AS __ci", f"{co} AS __co",
+                                           f"{ci_missing} AS __ci_missing",
+                                           f"{co_missing} AS __co_missing")
+        ci, co, ci_missing, co_missing = "__ci", "__co", "__ci_missing", "__co_missing"
+        helpers = [ci, co, ci_missing, co_missing]
     filled = timesheets.selectExpr(
         "*",
         f"{fill_checkin_sql(ci, co, p.fill, ci_missing)} AS checkin_new",
         f"{fill_checkout_sql(ci, co, p.fill, co_missing)} AS checkout_new")
     return filled.selectExpr(
-        "*", f"{shift_seconds_sql('checkin_new', 'checkout_new', p.duration)} AS work_seconds")
+        *[f"`{c}`" for c in filled.columns if c not in helpers],
+        f"{shift_seconds_sql('checkin_new', 'checkout_new', p.duration)} AS work_seconds")
 
 
 def monthly_attendance(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
