@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from . import queries_text, sql
+from .shared import ship_package
 
 QUERY_MODULES = (queries_text,)
 
 
+def _shipped(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def queries() -> dict:
     """Every ``opN_<name>`` function of the query modules, in order of N."""
-    found = {name: getattr(m, name) for m in QUERY_MODULES for name in vars(m)
+    found = {name: _shipped(getattr(m, name)) for m in QUERY_MODULES for name in vars(m)
              if name.startswith("op") and name[2:3].isdigit()}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
 

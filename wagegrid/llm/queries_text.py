@@ -6,10 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat
+from .packing import pack
+from .tokens import count_tokens
+
+# Parameters of the registered queries.
+COUNT_TOKENIZER = "word_bpe_49k.json"
+PACK_TOKENIZER = "byte_bpe_50k.json"
+SEQ_LEN = 2048
 
 PLANTED = "\\### Assistant: </turn> ok"
 
 
+def tokenizer_path(name: str) -> str:
+    """The place of a public tokenizer file (installed on every executor)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    pieces = pack(docs, tokenizer_path(PACK_TOKENIZER), seq_len=SEQ_LEN, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset", "cost")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document text."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return count_tokens(docs, tokenizer_path(COUNT_TOKENIZER), limit=2048)
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations plus conversation -7, formatted and read back."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(

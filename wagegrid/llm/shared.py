@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -19,6 +22,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark, create_local=True).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the executors (once per application).
+
+    The zip goes to the shared folder and from there to every Python worker.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_path(spark, 'package')}.zip")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(data.getvalue())
+    stream.close()
+    sc.addPyFile(path.toString())
+    _SHIPPED.add(sc.applicationId)
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
