@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat
+from . import chat, langid
 from .packing import pack
+from .simhash import near_duplicates
 from .tokens import count_tokens
 
 # Parameters of the registered queries.
@@ -38,6 +39,30 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, tokenizer_path(COUNT_TOKENIZER), limit=2048)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return near_duplicates(docs, shingle=3, max_bits=3)
+
+
+def learn_languages(spark: SparkSession, sf_dir: str) -> langid.Model:
+    """The language model of ``documents``: fitted outside the held-out fold."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    return langid.fit(docs.where(~F.coalesce(_held_out(), F.lit(False))))
+
+
+def _held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document text."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = langid.identify(docs, learn_languages(spark, sf_dir))
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score",
+                        "cross_entropy", "rejected")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations plus conversation -7, formatted and read back."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(

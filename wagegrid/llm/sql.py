@@ -24,3 +24,17 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens
 FROM e GROUP BY conv_id
 """
+
+ORACLES["op3_warc"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, encode(coalesce(html, '')) AS payload FROM pages
+), g AS (
+  SELECT payload, max(page_id) AS first FROM p WHERE octet_length(payload) >= 1000
+  GROUP BY payload
+)
+SELECT p.page_id, CAST(octet_length(p.payload) AS BIGINT) AS payload_bytes,
+  sha1(p.payload) AS payload_digest,
+  CASE WHEN p.page_id <> g.first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id <> g.first THEN g.first END AS refers_to, p.url
+FROM p LEFT JOIN g ON p.payload = g.payload
+"""
