@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import queries_pages, queries_text, sql
+from . import queries_pages, queries_text, queries_vectors, sql
 from .shared import ship_package
 
-QUERY_MODULES = (queries_text, queries_pages)
+QUERY_MODULES = (queries_text, queries_pages, queries_vectors)
 
 
 def _shipped(query):
