@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import chat, langid
 from .packing import pack
 from .simhash import near_duplicates
+from .suffix import remove_repeats
 from .tokens import count_tokens
 
 # Parameters of the registered queries.
@@ -33,6 +34,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset", "cost")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings of smaller documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    cut = remove_repeats(docs, width=50)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda t, s: t + s["length"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
