@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_WORD = 64  # longer words are encoded but not remembered
-MAX_WORDS = 250_000  # words remembered by a worker before it starts anew
+MAX_WORDS = 800_000  # words a worker remembers (the first it meets, so the common ones)
 SLICE_BYTES = 1 << 20  # text taken from an Arrow batch at a time
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 
@@ -65,12 +65,24 @@ def stable_spaces(config: dict) -> str | None:
 class _Words(dict):
     """Number of each word; -1 for what cannot be cut off at spaces or is long."""
 
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []  # numbered, but not yet encoded
+        self.flat = _Flat()
+
     def __missing__(self, word: str) -> int:
         if not word or len(word) > MAX_WORD or word[0].isspace() or word[-1].isspace():
             return -1
         self[word] = number = len(self)
+        self.fresh.append(word)
         return number
 
+    def trim(self) -> None:
+        """Forget the latest words beyond ``MAX_WORDS``."""
+        while len(self) > MAX_WORDS:
+            self.popitem()
+        self.flat.trim(len(self))
+
 
 class Encoder:
     """Ids of texts under one tokenizer file (``.json`` or ``.model``)."""
@@ -89,38 +101,37 @@ class Encoder:
             texts, add_special_tokens=False)]
         with open(path, encoding="utf-8") as file:
             self.spaces = stable_spaces(json.load(file))
-        self._forget()
-
-    def _forget(self) -> None:
         self.words, self.firsts = _Words(), _Words()
-        self.flat = {id(self.words): _Flat(), id(self.firsts): _Flat()}
-
-    def _learn(self, words: _Words, lead: str) -> "_Flat":
-        """Encode the words that have been numbered since the last call."""
-        flat = self.flat[id(words)]
-        new = list(words)[len(flat):] if len(flat) < len(words) else []
-        if not new:
-            return flat
-        if lead is None:  # the first word of a text: nothing stands before it
-            flat.extend(self._whole(new))
-            return flat
-        at, texts, starts = 0, [], []
-        while at < len(new):
-            size, end = 0, at
-            while end < len(new) and size < 32768:
-                size += len(new[end]) + 1
-                end += 1
-            texts.append("".join(" " + w for w in new[at:end]))
-            starts.append(np.cumsum([0] + [len(w) + 1 for w in new[at:end]]))
-            at = end
-        for enc, start in zip(self.library.encode_batch(texts, add_special_tokens=False), starts):
-            ids = np.array(enc.ids, np.int32)
-            offsets = np.array(enc.offsets, np.int64).reshape(-1, 2)
-            word = np.searchsorted(start, offsets[:, 0], "right") - 1
-            if len(word) and (offsets[:, 1] > start[word + 1]).any():
-                raise AssertionError("a token reaches over a space")
-            flat.extend_counts(ids, np.bincount(word, minlength=len(start) - 1))
-        return flat
+        # Under "kept", a word's first token, and no other, begins with the space.
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.leads = np.zeros(max(vocab.values()) + 1, bool)
+        self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+
+    def _learn(self) -> None:
+        """Encode the words that were numbered since the last call."""
+        new, self.firsts.fresh = self.firsts.fresh, []
+        if new:  # nothing stands before the first word of a text
+            ids = self._whole(new)
+            self.firsts.flat.extend(np.array([i for x in ids for i in x], np.int32),
+                                    np.array([len(x) for x in ids], np.int64))
+        new, self.words.fresh = self.words.fresh, []
+        for at in range(0, len(new), 4096):
+            part = new[at:at + 4096]
+            text = "".join(" " + w for w in part)
+            start = np.cumsum([0] + [len(w) + 1 for w in part])
+            if self.spaces == "kept":
+                ids = np.array(self._whole([text])[0], np.int32)
+                word = np.cumsum(self.leads[ids]) - 1
+                right = not len(ids) or word[0] == 0 and word[-1] == len(part) - 1
+            else:
+                enc = self.library.encode(text, add_special_tokens=False)
+                ids = np.array(enc.ids, np.int32)
+                offsets = np.array(enc.offsets, np.int64).reshape(-1, 2)
+                word = np.searchsorted(start, offsets[:, 0], "right") - 1
+                right = not (offsets[:, 1] > start[word + 1]).any()
+            if not right:
+                raise AssertionError("words and tokens do not align")
+            self.words.flat.extend(ids, np.bincount(word, minlength=len(part)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each."""
@@ -128,32 +139,28 @@ class Encoder:
             ids = self._whole(texts)
             return (np.concatenate([np.array(x, np.int32) for x in ids] or [np.zeros(0, np.int32)]),
                     np.array([len(x) for x in ids], np.int64))
-        numbers, first, flat, head = self._numbers(texts)
+        numbers, first = self._numbers(texts)
         out, counts = [], np.zeros(len(texts), np.int64)
-        at = 0
         for k, (n, f) in enumerate(zip(numbers, first)):
-            if n is None:
-                ids = self._odd(texts[k])
-            else:
-                ids = np.concatenate([head.ids_of(np.array([f])), flat.ids_of(n)])
+            ids = (self._odd(texts[k]) if n is None else np.concatenate(
+                [self.firsts.flat.ids_of(np.array([f])), self.words.flat.ids_of(n)]))
             out.append(ids)
             counts[k] = len(ids)
-            at += 1
         return (np.concatenate(out) if out else np.zeros(0, np.int32)), counts
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """The number of ids of each text."""
         if self.spaces is None:
             return np.array([len(x) for x in self._whole(texts)], np.int64)
-        numbers, first, flat, head = self._numbers(texts)
-        return np.array([
-            len(self._odd(t)) if n is None else head.sizes[f] + int(flat.sizes[n].sum())
-            for t, n, f in zip(texts, numbers, first)], np.int64)
+        numbers, first = self._numbers(texts)
+        head, rest = self.firsts.flat.sizes, self.words.flat.sizes
+        return np.array([len(self._odd(t)) if n is None else int(head[f]) + int(rest[n].sum())
+                         for t, n, f in zip(texts, numbers, first)], np.int64)
 
     def _numbers(self, texts: list[str]):
         """Word numbers of each text (None: some word must not be cut off)."""
-        if len(self.words) + len(self.firsts) > MAX_WORDS:
-            self._forget()
+        self.words.trim()
+        self.firsts.trim()
         numbers, first = [], []
         words, firsts = self.words.__getitem__, self.firsts.__getitem__
         for text in texts:
@@ -163,7 +170,8 @@ class Encoder:
             odd = f < 0 or (len(n) and n.min() < 0)
             numbers.append(None if odd else n)
             first.append(f)
-        return (numbers, first, self._learn(self.words, " "), self._learn(self.firsts, None))
+        self._learn()
+        return numbers, first
 
     def _odd(self, text: str) -> np.ndarray:
         """Ids of a text with runs of white space or very long words: its parts
@@ -206,27 +214,31 @@ class Encoder:
 
 
 class _Flat:
-    """Ids of numbered words, one after the other."""
+    """Ids of numbered words, one after the other, in arrays that grow."""
 
     def __init__(self):
-        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-
-    def __len__(self) -> int:
-        return len(self.sizes)
-
-    def extend(self, ids: list[list[int]]) -> None:
-        self.extend_counts(np.array([i for x in ids for i in x], np.int32),
-                           np.array([len(x) for x in ids], np.int64))
-
-    def extend_counts(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.ids = np.concatenate([self.ids, ids])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.n = self.used = 0
+        self.ids = np.zeros(1 << 12, np.int32)
+        self.starts, self.sizes = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int32)
+
+    def extend(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.n + len(sizes) > len(self.sizes):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.sizes[self.n:self.n + len(sizes)] = sizes
+        self.starts[self.n:self.n + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.n, self.used = self.n + len(sizes), self.used + len(ids)
+
+    def trim(self, n: int) -> None:
+        if n < self.n:
+            self.n, self.used = n, int(self.starts[n])
 
     def ids_of(self, numbers: np.ndarray) -> np.ndarray:
         sizes = self.sizes[numbers]
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(sizes, dtype=np.int64)
         if not len(ends) or not ends[-1]:
             return np.zeros(0, np.int32)
         return self.ids[np.repeat(self.starts[numbers] - ends + sizes, sizes) + np.arange(ends[-1])]
