@@ -1,16 +1,72 @@
-"""Corpus pipeline: language ID, SimHash near-dedup, suffix-array dedup, packing."""
+"""Corpus pipeline: language ID, SimHash near-dedup, suffix-array dedup, packing.
+
+Every stage takes and (but for the last) returns the columns of ``documents``.
+Rows with a null id pass the deduplicating stages unchanged.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wagegrid.llm import langid, packing, simhash, suffix
+from wagegrid.llm.queries_text import PACK_TOKENIZER, SEQ_LEN, training_fold, tokenizer_path
+from wagegrid.llm.shared import ship_package, store
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a learned language (see ``langid``); texts that
+    are null, hold no letter or look like no learned language go."""
+    ship_package(spark)
+    model = langid.fit(training_fold(docs))
+    return langid.identify(docs.select(*COLUMNS), model).where(~F.col("rejected")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id; of
+    rows that repeat this id, one."""
+    ship_package(spark)
+    groups = simhash.near_duplicates(docs, shingle=3, max_bits=3)
+    stays = groups.where("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select(*COLUMNS)
+    return (rows.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+            .unionByName(rows.where("doc_id is null")).select(*COLUMNS))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings of documents with smaller ids.
+
+    Where a cut leaves a part of a character, that part goes too. ``n_chars``
+    counts the new text. Texts that are wholly repeated stay as empty ones.
+    """
+    ship_package(spark)
+    cut = suffix.remove_repeats(docs.select(*COLUMNS), width=50)
+    text = F.col("kept").cast("string")
+    whole = F.when(F.is_valid_utf8(text), text).otherwise(
+        F.replace(F.make_valid_utf8(text), F.lit("�"), F.lit("")))
+    return cut.select("doc_id", whole.alias("text"), "rest.lang", "rest.source",
+                      F.length(whole).cast("bigint").alias("n_chars"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces of sequences of 2048 tokens."""
+    ship_package(spark)
+    return packing.pack(docs, tokenizer_path(PACK_TOKENIZER), seq_len=SEQ_LEN, end_id=1)
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates),
+          ("repeated_passages", repeated_passages), ("pack", pack)]
 
-STAGES: list = []
+# A learned model, fingerprint components and a tokenizer are beyond SQL;
+# tests/llm checks the rows against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, one after the other."""
+    """The stages applied to ``documents``, each one's result written and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

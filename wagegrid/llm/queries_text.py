@@ -56,21 +56,22 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, shingle=3, max_bits=3)
 
 
-def learn_languages(spark: SparkSession, sf_dir: str) -> langid.Model:
-    """The language model of ``documents``: fitted outside the held-out fold."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    return langid.fit(docs.where(~F.coalesce(_held_out(), F.lit(False))))
+def training_fold(docs: DataFrame) -> DataFrame:
+    """Text and label of the documents outside the held-out fold."""
+    return docs.where(~F.coalesce(held_out(), F.lit(False))).select("text", "lang")
 
 
-def _held_out():
+def held_out():
+    """Whether a document is in the held-out fold, by its id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole document text."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = langid.identify(docs, learn_languages(spark, sf_dir))
-    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score",
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.fit(training_fold(docs))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score",
                         "cross_entropy", "rejected")
 
 
