@@ -41,6 +41,7 @@ INDEX_SCHEMA = ("file string, offset bigint, length bigint, url string, digest s
 SALTS = 16
 ROWS = 512  # records taken or given at a time
 GZIP_LEVEL = 1
+TASK_BYTES = 16 << 20  # compressed records read by one task
 
 
 def _uri(page_id: int | None) -> str:
@@ -202,6 +203,9 @@ def read_records(index: DataFrame, folder: str, gap: int = 65536,
                     [pa.array([r[c] for r in found], t) for c, t in zip(names, types)],
                     names=names)
 
+    # Index rows are small, what they name is not: tasks by the bytes to read.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_BYTES))
     placed = (index.select("file", "offset", "length")
-              .repartitionByRange("file", "offset").sortWithinPartitions("file", "offset"))
+              .repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset"))
     return placed.mapInArrow(read, schema)
