@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .shared import store
 from .tokens import slices
 
 ORDER = 4
@@ -239,8 +240,9 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
              .withColumn("text", F.substr("text", F.col("part") * window + 1, F.lit(window)))
              .withColumn("h", F.xxhash64("text")).drop("part"))
     first = Window.partitionBy("lang").orderBy("h")
-    drawn = (parts.select("lang", "h").distinct()
-             .withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).drop("n"))
+    # Stored first: Spark then knows its size and need not move the texts.
+    drawn = store(parts.select("lang", "h").distinct().withColumn("n", F.row_number().over(first))
+                  .where(F.col("n") <= per_lang).drop("n"), "langid-sample")
     rows = (parts.join(drawn, ["lang", "h"]).groupBy("lang", "h")
             .agg(F.min("text").alias("text")).collect())
     samples: dict[str, list[str]] = {}

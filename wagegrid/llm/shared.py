@@ -19,7 +19,7 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh location below the folder that ``spark.checkpoint.dir`` names."""
-    return f"{checkpoint_dir(spark, create_local=True).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 _SHIPPED: set[str] = set()
