@@ -13,11 +13,12 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from wagegrid.config import checkpoint_dir, session
+def spark(tmp_path_factory):
+    from wagegrid.config import session
 
-    s = session(master="local[*]", app="wagegrid-tests", shuffle_partitions=8)
-    checkpoint_dir(s, create_local=True)  # only sets one when the session has none
+    folder = str(tmp_path_factory.mktemp("checkpoints"))
+    s = session(master="local[*]", app="wagegrid-tests", shuffle_partitions=8,
+                conf={"spark.checkpoint.dir": folder})
     yield s
     s.stop()
 
@@ -27,5 +28,5 @@ def scratch(spark):
     from wagegrid.config import scratch_path
 
     def make(name: str = "t") -> str:
-        return scratch_path(spark, name, create_local=True)
+        return scratch_path(spark, name)
     return make

@@ -87,18 +87,25 @@ def test_tolerant_time_parse_matches_pandas(spark, texts):
 @SLOW
 @given(st.lists(st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False),
                           st.sampled_from([0.0, 1.5, -2.0])), min_size=2, max_size=60))
-def test_describe_distributed_rank_selection_matches_pandas(spark, values):
-    """The large-input path (forced with a tiny limit and sort partitions of
-    about five rows, repeated values included) gives the same numbers."""
-    pdf = pd.DataFrame({"x": values}, dtype="float")
-    want = pdf["x"].describe()
-    df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = quality.describe(df, ["x"], exact_limit=1, rows_per_partition=5).collect()[0]
-    assert got["count"] == int(want["count"])
+def test_describe_of_repeated_values_matches_pandas(spark, values):
+    """A value that most rows share, and a column without any value."""
+    values = values + [1.5] * 40
+    want = pd.DataFrame({"x": values}, dtype="float")["x"].describe()
+    df = spark.createDataFrame([(v,) for v in values], "x double").selectExpr("x", "CAST(NULL AS INT) AS y")
+    got = {r.column_name: r for r in quality.describe(df, ["x", "y"]).collect()}
+    assert got["x"]["count"] == int(want["count"])
     for ours, theirs in [("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"),
                          ("p50", "50%"), ("p75", "75%"), ("max", "max")]:
-        a, b = got[ours], want[theirs]
-        if pd.isna(b):
-            assert a is None
-        else:
-            assert abs(a - b) <= 1e-6 * max(1.0, abs(b)), (ours, a, b)
+        a, b = got["x"][ours], want[theirs]
+        assert abs(a - b) <= 1e-6 * max(1.0, abs(b)), (ours, a, b)
+    assert got["y"]["count"] == 0 and got["y"]["mean"] is got["y"]["p50"] is None
+
+
+def test_describe_collapses_a_hot_value(spark):
+    """The rows of one value are one row before they are dealt out."""
+    df = spark.range(0, 30000, 1, 12).selectExpr("IF(id % 3 = 0, 7, id) AS x")
+    plan = quality.describe(df, ["x"])
+    row = plan.first()
+    exact = sorted(7 if i % 3 == 0 else i for i in range(30000))
+    assert (row["count"], row["min"], row["max"]) == (30000, 1.0, exact[-1])
+    assert row["p50"] == (exact[14999] + exact[15000]) / 2

@@ -26,15 +26,15 @@ def write_text(folder: str, name: str, text: str) -> str:
 
 
 EMP_CSV = ('"employe_id","branch_id","salary","join_date","resign_date"\n'
-           "1,3,7500000,2018-08-23,\n"
-           "9,1,13500000,2017-12-22,2020-10-14\n"
-           "218078,1,10500000,2020-08-03,2020-11-28\n"
-           "218078,1,13000000,2020-08-03,2020-11-28\n")
+           "1,3,6100000,2017-03-04,\n"
+           "9,1,9900000,2016-05-06,2021-07-08\n"
+           "77,1,5200000,2019-09-10,2021-11-12\n"
+           "77,1,8300000,2019-09-10,2021-11-12\n")
 
 TS_CSV = ("timesheet_id,employee_id,date,checkin,checkout\n"
           "1,1,2020-01-02,08:00:00,17:00:00\n"
           "2,9,2020-01-02,8:05:00,\n"
-          "3,218078,2020-01-02,,17:30:00\n")
+          "3,77,2020-01-02,,17:30:00\n")
 
 
 def test_positional_scan_skips_misspelt_header(spark, scratch):
@@ -44,7 +44,7 @@ def test_positional_scan_skips_misspelt_header(spark, scratch):
     assert df.columns == EMPLOYEES.fieldNames()
     rows = df.orderBy("employee_id", "salary").collect()
     assert len(rows) == 4 and rows[0].resign_date is None
-    assert rows[1].resign_date == D(2020, 10, 14)
+    assert rows[1].resign_date == D(2021, 7, 8)
 
 
 def test_named_scan_repairs_header(spark, scratch):
@@ -52,7 +52,7 @@ def test_named_scan_repairs_header(spark, scratch):
     write_text(folder, "employees.csv", EMP_CSV)
     df = csv_io.read_employees_csv(spark, folder, by_name=True)
     assert df.columns == EMPLOYEES.fieldNames()
-    assert df.filter("employee_id = 218078").count() == 2
+    assert df.filter("employee_id = 77").count() == 2
 
 
 def test_malformed_row_fails_the_scan(spark, scratch):
@@ -67,7 +67,7 @@ def test_text_times_by_policy(spark, scratch):
     write_text(folder, "timesheets.csv", TS_CSV)
     ts = csv_io.read_timesheets_csv(spark, folder)
     emp = spark.createDataFrame([(e, 1, Decimal("2200000.00"), D(2019, 1, 1), None)
-                                 for e in (1, 9, 218078)], EMPLOYEES)
+                                 for e in (1, 9, 77)], EMPLOYEES)
     from wagegrid.operators.rates import shift_hours
     got = {r.timesheet_id: r.work_seconds for r in shift_hours(ts, "c").collect()}
     assert got == {1: 32400, 2: 61200 - 29100, 3: 32400}
@@ -90,14 +90,12 @@ def test_full_refresh_replaces_and_failed_stage_keeps_old(spark, scratch):
     stored = tables.read_table(spark, target).collect()
     assert {r.salary_per_hour for r in stored} == {Decimal("10.01"), Decimal("20.00")}
     second = first.filter("branch_id = 1")
-    from wagegrid.config import checkpoint_dir
-    ckpt = checkpoint_dir(spark)
-    before = {n for n in os.listdir(ckpt) if n.startswith("refresh-")}
-    assert tables.full_refresh(spark, second, target, RESULT) == 1
-    # the staging folder of a published load is removed
-    assert {n for n in os.listdir(ckpt) if n.startswith("refresh-")} == before
+    for _ in range(3):
+        assert tables.full_refresh(spark, second, target, RESULT) == 1
+    # the current and the previous version are kept
+    assert len([n for n in os.listdir(target) if n.startswith("v-")]) == 2
     assert tables.read_table(spark, target).count() == 1
-    # A value that overflows DECIMAL(10,2) fails while staging: target intact.
+    # A value that overflows DECIMAL(10,2) fails while it is written: target intact.
     bad = spark.createDataFrame([(3, 2020, 1, 1e12)], first.schema)
     with pytest.raises(Exception):
         tables.full_refresh(spark, bad, target, RESULT)
@@ -116,14 +114,99 @@ def test_upsert_load_rewrites_touched_partitions_only(spark, scratch):
     got = sorted((r.branch_id, r.month, r.salary_per_hour)
                  for r in tables.read_table(spark, target).collect())
     assert got == [(1, 1, 1.0), (1, 2, 3.0), (2, 2, 4.0)]
-    # only the touched partition folders are read
-    scoped = tables._touched_partitions(tables.read_table(spark, target), second, ["year", "month"])
+    # the scan is bounded by the touched partition values
+    arriving, _ = tables.stage(spark, second)
+    scoped = tables._touched_partitions(tables.read_table(spark, target), arriving, ["year", "month"])
     scan = [l for l in scoped._jdf.queryExecution().executedPlan().toString().split("\n")
-            if "FileScan" in l][0]
-    assert "PartitionFilters: [" in scan and "month" in scan.split("PartitionFilters:")[1]
+            if "FileScan" in l and "PartitionFilters: [" in l]
+    assert any("month" in l.split("PartitionFilters:")[1].split("PushedFilters")[0] for l in scan)
     assert scoped.count() == 2
 
 
+@pytest.mark.parametrize("kind,values", [
+    ("int", (1, 2)), ("date", (D(2020, 1, 1), D(2020, 1, 2))), ("string", ("a'b", "c=d")),
+    ("decimal(10,2)", (Decimal("1.50"), Decimal("2.25")))])
+def test_upsert_keeps_rows_of_null_and_any_partition(spark, scratch, kind, values):
+    """Stored rows of a touched partition survive, whatever its value."""
+    target, schema = scratch("upsert"), f"p {kind}, k int, v string"
+    rows = [(p, k, "old") for p in (None, *values) for k in (1, 2)]
+    assert tables.upsert_load(spark, spark.createDataFrame(rows, schema), target, ["p", "k"],
+                              partition_by=["p"]) == 6
+    new = spark.createDataFrame([(None, 1, "new"), (values[0], 1, "new"), (values[0], 3, "new")], schema)
+    assert tables.upsert_load(spark, new, target, ["p", "k"], partition_by=["p"]) == 1
+    got = {(r.p, r.k): r.v for r in spark.read.schema(schema).parquet(
+        tables.table_folder(spark, target)).collect()}
+    assert len(got) == 7
+    assert {key for key, v in got.items() if v == "new"} == {
+        (None, 1), (values[0], 1), (values[0], 3)}
+
+
+def test_upsert_evaluates_the_arriving_rows_once(spark, scratch):
+    target, seen = scratch("upsert"), spark.sparkContext.accumulator(0)
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    tables.upsert_load(spark, first, target, "k")
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    new = first.mapInArrow(count, first.schema)
+    assert tables.upsert_load(spark, new, target, "k") == 0
+    assert seen.value == 2
+
+
+def test_failure_before_the_switch_keeps_the_old_rows(spark, scratch, monkeypatch):
+    target = scratch("refresh")
+    df = spark.createDataFrame([(1, 2020, 1, 1.0)], "branch_id int, year int, month int, salary_per_hour double")
+    tables.full_refresh(spark, df, target, RESULT, ["year", "month"])
+    switch = tables.switch_version
+
+    def lost(*args):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(tables, "switch_version", lost)
+    with pytest.raises(RuntimeError):
+        tables.full_refresh(spark, df.union(df), target, RESULT, ["year", "month"])
+    assert tables.read_table(spark, target).count() == 1
+    monkeypatch.setattr(tables, "switch_version", switch)
+    assert tables.full_refresh(spark, df.union(df), target, RESULT, ["year", "month"]) == 2
+    assert tables.read_table(spark, target).count() == 2
+
+
+def test_partitioned_writes_leave_few_files(spark, scratch):
+    target = scratch("files")
+    df = spark.range(0, 4000, 1, 16).selectExpr("id", "date_add(DATE'2020-01-01', CAST(id % 20 AS INT)) AS date")
+    tables.first_load(spark, df, target, ["date"])
+    files = spark.read.parquet(tables.table_folder(spark, target)).inputFiles()
+    assert len(files) <= 2 * 20
+
+
+def test_named_scan_binds_each_file_by_its_header(spark, scratch):
+    folder = scratch("mixed")
+    write_text(folder, "a.csv", "timesheet_id,employee_id,date,checkin,checkout\n1,5,2020-01-02,08:00:00,17:00:00\n")
+    write_text(folder, "b.csv", "checkout,checkin,date,extra,employee_id,timesheet_id\n"
+                                "18:00:00,09:00:00,2020-01-03,x,6,2\n")
+    write_text(folder, "empty.csv", "")
+    got = {r.timesheet_id: (r.employee_id, r.checkin, r.checkout) for r in
+           csv_io.read_timesheets_csv(spark, folder, by_name=True, arrival=True).collect()}
+    assert got == {1: (5, "08:00:00", "17:00:00"), 2: (6, "09:00:00", "18:00:00")}
+    write_text(folder, "c.csv", "timesheet_id,employee_id,date,checkin\n3,5,2020-01-02,08:00:00\n")
+    with pytest.raises(KeyError):
+        csv_io.read_timesheets_csv(spark, folder, by_name=True)
+
+
+def test_jobs_refuse_policies_they_do_not_load(spark, scratch, capsys):
+    for policy in ("c", "d"):
+        with pytest.raises(ValueError):
+            jobs.full_refresh_job(spark, "e", "t", "w", policy=policy)
+    for policy in ("a", "b"):
+        with pytest.raises(ValueError):
+            jobs.incremental_job(spark, "e", "t", "w", policy=policy)
+    with pytest.raises(SystemExit):
+        jobs.main(["incremental", "--employees", "e", "--timesheets", "t", "--warehouse", "w",
+                   "--policy", "a"])
+    assert "accepts the policies c, d" in capsys.readouterr().err
+
+
 def test_append_load_twice_adds_nothing(spark, scratch):
     target = scratch("append")
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k long, v string, s long")
@@ -236,6 +319,12 @@ def test_missing_checks_with_coerced_checkin(spark):
     assert quality.missing_either(df, coerce_checkin=True).count() == 4
     assert quality.missing_both(df).count() == 0
     assert quality.missing_both(df, coerce_checkin=True).count() == 1
+    flags = quality.missing_flags(df, coerce_checkin=True).first()
+    assert (flags.missing_either, flags.missing_both) == (4, 1)
+    assert quality.missing_flags(df).first().missing_either == 3
+    staff = spark.createDataFrame([(1,)], "employee_id long")
+    report = {r.table_name: r for r in quality.quality_report(df, staff, coerce_checkin=True).collect()}
+    assert (report["timesheets"].missing_either, report["timesheets"].missing_both) == (4, 1)
 
 
 def test_job_command_line(spark, scratch, capsys):
@@ -308,9 +397,17 @@ def test_full_refresh_table_switches_location(spark, scratch):
     second = first.filter("branch_id = 2")
     assert tables.full_refresh_table(spark, second, name, root, RESULT, ["year", "month"]) == 1
     loc2 = tables.table_location(spark, name)
-    assert loc1 != loc2 and not os.path.exists(loc1.replace("file:", ""))
+    assert loc1 != loc2 and [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == [
+        "year=2020/month=2"]
     rows = spark.table(name).collect()
     assert [(r.branch_id, r.month, r.salary_per_hour) for r in rows] == [(2, 2, Decimal("20.00"))]
+    # a further refresh with a NULL partition; the version before the last goes
+    third = spark.createDataFrame([(1, None, 2, 5.0), (2, 2020, 2, 6.0)], first.schema)
+    assert tables.full_refresh_table(spark, third, name, root, RESULT, ["year", "month"]) == 2
+    assert not os.path.exists(loc1.replace("file:", "")) and os.path.exists(loc2.replace("file:", ""))
+    assert tables.full_refresh_table(spark, second, name, root, RESULT, ["year", "month"]) == 1
+    assert len(spark.sql(f"SHOW PARTITIONS {name}").collect()) == 1
+    assert spark.table(name).count() == 1
     spark.sql(f"DROP TABLE {name}")
 
 

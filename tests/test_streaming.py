@@ -20,7 +20,8 @@ def deliver(folder, name, body):
 
 
 def run(spark, landing, target, ckpt):
-    q = ingest(spark, landing, TIMESHEETS_TEXT, target, "timesheet_id", checkpoint=ckpt)
+    q = ingest(spark, landing, TIMESHEETS_TEXT, target, "timesheet_id", checkpoint=ckpt,
+               max_files_per_trigger=1)
     q.awaitTermination()
     return [p["numInputRows"] for p in q.recentProgress]
 
@@ -41,3 +42,14 @@ def test_stream_appends_new_keys_once(spark, scratch):
     deliver(landing, "day3.csv", "3,1,2020-01-04,10:00:00,\n4,1,2020-01-05,08:00:00,17:00:00\n")
     assert run(spark, landing, target, ckpt) == [2]
     assert tables.read_table(spark, target).count() == 4
+
+
+def test_similar_targets_have_their_own_checkpoints(spark, scratch):
+    """Two tables over one landing folder are both loaded, all files in a batch."""
+    landing, base = scratch("landing"), scratch("x" * 60)
+    deliver(landing, "day1.csv", "1,1,2020-01-02,08:00:00,17:00:00\n")
+    deliver(landing, "day2.csv", "2,1,2020-01-03,08:00:00,17:00:00\n")
+    for target in (f"{base}/a/b", f"{base}/a_b", f"{base}/a/b"):
+        q = ingest(spark, landing, TIMESHEETS_TEXT, target, "timesheet_id")
+        q.awaitTermination()
+        assert tables.read_table(spark, target).count() == 2

@@ -76,8 +76,8 @@ def main():
     parts = 8
     results = []
     prep = session(master=f"local[{parts}]", app="skew-prepare", shuffle_partitions=parts)
-    data_dir = scratch_path(prep, "skewed", create_local=True)
-    log_dirs = [scratch_path(prep, "eventlog", create_local=True) for _ in range(4)]
+    data_dir = scratch_path(prep, "skewed")
+    log_dirs = [scratch_path(prep, "eventlog") for _ in range(4)]
     rows = write_skewed_inputs(prep, sf_dir, parts, data_dir)
     prep.stop()
     for label, build in [("branch_rates_a", lambda t, e: branch_rates(t, e, "a")),

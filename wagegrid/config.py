@@ -7,7 +7,6 @@ settings win because every default here is applied only when unset.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -66,28 +65,21 @@ def session(master: str | None = None, app: str = "wagegrid",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, create_local: bool = False) -> str:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Staging tables and lineage cuts go there so that they survive the loss of
-    an executor. Only when nothing is configured and ``create_local`` is set
-    (tests, the local bench, the driver's smoke run) is a private folder made
-    and registered on the session.
+    an executor. Where nothing is configured, a folder below the SQL warehouse
+    is registered: that too is shared by driver and executors.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
-    if not create_local:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a folder shared by "
-            "the cluster (e.g. on HDFS or object storage)")
-    path = tempfile.mkdtemp(prefix="wagegrid-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str, create_local: bool = False) -> str:
+def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the checkpoint folder."""
-    base = checkpoint_dir(spark, create_local=create_local)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,16 +1,11 @@
 """Scalar expressions (Spark SQL text or Columns; no Python in the data path)."""
 
-from .pay import (hourly_rate, hourly_rate_sql, month_of, prorated_salary, prorated_salary_sql,
-                  round_double, round_half_up, year_of)
-from .shift import (fill_checkin, fill_checkin_sql, fill_checkout, fill_checkout_sql,
-                    shift_seconds, shift_seconds_sql)
-from .timeofday import (format_time, parse_time, parse_time_sql, seconds_of_day,
-                        seconds_to_hours, time_literal)
+from .pay import hourly_rate_sql, prorated_salary, prorated_salary_sql, round_double
+from .shift import fill_checkin_sql, fill_checkout_sql, shift_seconds_sql
+from .timeofday import format_time, parse_time, parse_time_sql, seconds_of_day, time_literal
 
 __all__ = [
-    "fill_checkin", "fill_checkin_sql", "fill_checkout", "fill_checkout_sql", "format_time",
-    "hourly_rate", "hourly_rate_sql", "month_of", "parse_time", "parse_time_sql",
-    "prorated_salary", "prorated_salary_sql", "round_double", "round_half_up",
-    "seconds_of_day", "seconds_to_hours", "shift_seconds", "shift_seconds_sql",
-    "time_literal", "year_of",
+    "fill_checkin_sql", "fill_checkout_sql", "format_time", "hourly_rate_sql", "parse_time",
+    "parse_time_sql", "prorated_salary", "prorated_salary_sql", "round_double", "seconds_of_day",
+    "shift_seconds_sql", "time_literal",
 ]

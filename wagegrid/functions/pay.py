@@ -43,25 +43,9 @@ def round_double_sql(value: str, places: int = 6) -> str:
     return f"(round(CAST({value} AS DOUBLE), {places}) + 0.0D)"
 
 
-def year_of(date: str) -> Column:
-    return F.expr(year_sql(date))
-
-
-def month_of(date: str) -> Column:
-    return F.expr(month_sql(date))
-
-
 def prorated_salary(total_day: str = "total_day", salary: str = "salary") -> Column:
     return F.expr(prorated_salary_sql(total_day, salary))
 
 
-def hourly_rate(prorated: str = "prorated_salary", hours: str = "total_hours") -> Column:
-    return F.expr(hourly_rate_sql(prorated, hours))
-
-
-def round_half_up(value: str, places: int = 2, precision: int = 20) -> Column:
-    return F.expr(round_half_up_sql(value, places, precision))
-
-
 def round_double(value: str, places: int = 6) -> Column:
     return F.expr(round_double_sql(value, places))

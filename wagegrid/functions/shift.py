@@ -6,14 +6,11 @@ workload's quirks: no wrap over midnight, negative or mirrored durations.
 
 The rules are Spark SQL ``CASE`` expressions over column names (or any SQL
 operand): one parse in the JVM instead of one Python call per node. The
-``*_sql`` functions return the text; the others wrap it in a Column.
+``*_sql`` functions return that text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from ..schemas import DEFAULT_SHIFT_SECONDS, EVENING_END, MORNING_START, NOON
 
 
@@ -85,17 +82,3 @@ def shift_seconds_sql(checkin: str = "checkin_new", checkout: str = "checkout_ne
         raise ValueError(f"unknown duration rule {rule!r}")
     return f"CAST(CASE {body} ELSE {default} END AS BIGINT)"
 
-
-def fill_checkin(checkin: str = "checkin", checkout: str = "checkout", rule: str = "noon",
-                 checkin_missing: str | None = None) -> Column:
-    return F.expr(fill_checkin_sql(checkin, checkout, rule, checkin_missing))
-
-
-def fill_checkout(checkin: str = "checkin", checkout: str = "checkout", rule: str = "noon",
-                  checkout_missing: str | None = None) -> Column:
-    return F.expr(fill_checkout_sql(checkin, checkout, rule, checkout_missing))
-
-
-def shift_seconds(checkin: str = "checkin_new", checkout: str = "checkout_new",
-                  rule: str = "noon") -> Column:
-    return F.expr(shift_seconds_sql(checkin, checkout, rule))

@@ -70,6 +70,3 @@ def seconds_to_hours_sql(seconds: str) -> str:
     """Hours as DOUBLE; divide once, after summing integer seconds."""
     return f"CAST({seconds} AS DOUBLE) / 3600.0D"
 
-
-def seconds_to_hours(seconds: str) -> Column:
-    return F.expr(seconds_to_hours_sql(seconds))

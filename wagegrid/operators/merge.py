@@ -27,10 +27,10 @@ SOURCE = "__source"
 def validate_keys(new: DataFrame, existing: DataFrame, keys: Sequence[str] | str) -> list[str]:
     """All keys must exist on both sides (S15); returns the key list."""
     keys = normalize_keys(keys)
-    for k in keys:
-        if k not in new.columns or k not in existing.columns:
-            raise KeyError(f"Both the new data and existing data must have the '{k}' column "
-                           "for the incremental update.")
+    for side, df in (("arriving", new), ("stored", existing)):
+        absent = [k for k in keys if k not in df.columns]
+        if absent:
+            raise KeyError(f"key columns absent from the {side} rows: {', '.join(absent)}")
     return keys
 
 
@@ -87,12 +87,6 @@ def _stored_keys(existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     return stored_key_columns(existing, keys).dropDuplicates()
 
 
-def without_stored_keys(rows: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``existing`` (J3/U3: NULL-safe left anti join)."""
-    keyed, cols = with_key_columns(rows, keys)
-    return keyed.join(_stored_keys(existing, keys), cols, "left_anti").drop(*cols)
-
-
 def append_new_keys(new: DataFrame, existing: DataFrame, keys: Sequence[str] | str,
                     sequence: Sequence[str] | str) -> DataFrame:
     """Rows to append (S13): last arriving row per key, key not yet stored.
@@ -122,6 +116,26 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str] | str,
     return top_per_key(both, keys, order).drop(SOURCE)
 
 
+def merged_with_flag(existing: DataFrame, new: DataFrame, keys: Sequence[str] | str,
+                     sequence: Sequence[str] | str | None, flag: str) -> DataFrame:
+    """``upsert`` plus a column telling whether the key is new.
+
+    One aggregation per key (NULL keys form one group): the last row, and the
+    smallest source. Rows of a hot key are combined before the shuffle.
+    """
+    keys = validate_keys(new, existing, keys)
+    both = union_all(existing.withColumn(SOURCE, F.lit(0)), new.withColumn(SOURCE, F.lit(1)))
+    rest = [c for c in both.columns if c not in keys and c != SOURCE]
+    seq = normalize_keys(sequence) if sequence is not None else rest
+    # Struct order puts NULL first, so the largest is "last, NULLs before values".
+    order = F.struct(SOURCE, *[F.col(f"`{c}`") for c in seq])
+    last = (both.groupBy(*[F.col(f"`{k}`") for k in keys])
+            .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__row"),
+                 F.min(SOURCE).alias(SOURCE)))
+    return last.select(*[F.col(f"`{k}`") if k in keys else F.col("__row").getField(k).alias(k)
+                         for k in existing.columns], (F.col(SOURCE) == 1).alias(flag))
+
+
 def load_counts(new: DataFrame, existing: DataFrame, keys: Sequence[str] | str,
                 sequence: Sequence[str] | str) -> DataFrame:
     """Rows whose key is new (S16, the number the workload reports) and rows

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import scratch_path
 from ..functions.timeofday import parse_time
 
 
@@ -67,22 +68,23 @@ def checkin_range(timesheets: DataFrame) -> DataFrame:
     return timesheets.agg(F.max(s).alias("max_checkin"), F.min(s).alias("min_checkin"))
 
 
-def missing_flags(timesheets: DataFrame) -> DataFrame:
+def missing_flags(timesheets: DataFrame, coerce_checkin: bool = False) -> DataFrame:
     """Counts of rows missing one or both times and their verdicts."""
-    ci, co = F.col("checkin").isNull(), F.col("checkout").isNull()
+    ci, co = _missing(timesheets, "checkin", coerce_checkin), F.col("checkout").isNull()
     return (timesheets.agg(F.count_if(ci | co).alias("missing_either"),
                            F.count_if(ci & co).alias("missing_both"))
             .withColumn("has_missing_either", F.col("missing_either") > 0)
             .withColumn("has_missing_both", F.col("missing_both") > 0))
 
 
-def quality_report(timesheets: DataFrame, employees: DataFrame) -> DataFrame:
+def quality_report(timesheets: DataFrame, employees: DataFrame,
+                   coerce_checkin: bool = False) -> DataFrame:
     """All checks in one pass per table, one row per table (Q4).
 
     Columns: table_name, raw_ids, unique_ids, has_duplicates, missing_either,
     missing_both, min_checkin, max_checkin (time columns NULL for employees).
     """
-    ci, co = F.col("checkin").isNull(), F.col("checkout").isNull()
+    ci, co = _missing(timesheets, "checkin", coerce_checkin), F.col("checkout").isNull()
     s = _seconds(timesheets, "checkin")
     ts = timesheets.agg(
         F.lit("timesheets").alias("table_name"),
@@ -97,113 +99,62 @@ def quality_report(timesheets: DataFrame, employees: DataFrame) -> DataFrame:
         F.lit("employees").alias("table_name"),
         F.count("employee_id").alias("raw_ids"),
         F.count_distinct("employee_id").alias("unique_ids"),
-        F.lit(None).cast("bigint").alias("missing_either"),
-        F.lit(None).cast("bigint").alias("missing_both"),
-        F.lit(None).cast("bigint").alias("min_checkin"),
-        F.lit(None).cast("bigint").alias("max_checkin"),
+        *[F.lit(None).cast("bigint").alias(c) for c in
+          ("missing_either", "missing_both", "min_checkin", "max_checkin")],
     )
     return (ts.unionByName(emp)
               .withColumn("has_duplicates", F.col("raw_ids") > F.col("unique_ids")))
 
 
 DESCRIBE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
-QUARTILES = (0.25, 0.5, 0.75)
-# Columns with at most this many values get their quartiles from one
-# ``percentile`` aggregate (its final task holds the distinct values);
-# larger ones use distributed rank selection.
-EXACT_PERCENTILE_LIMIT = 1_000_000
-ROWS_PER_SORT_PARTITION = 1_000_000
-
-
-def _describe_lazy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]))
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    rows = ", ".join(
-        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__q`[0], "
-        f"`{c}__q`[1], `{c}__q`[2], `{c}__max`" for c in columns)
-    return wide.selectExpr(
-        f"stack({len(columns)}, {rows}) AS (column_name, {', '.join(DESCRIBE_STATS)})")
-
-
-def ranked_values(values: DataFrame, n: int, ranks: Sequence[int],
-                  rows_per_partition: int = ROWS_PER_SORT_PARTITION) -> dict[int, float]:
-    """Exact order statistics (0-based ranks) of a one-column frame ``x``
-    without NULLs, holding no more than one sort partition in any task.
-
-    The column is range-partitioned and sorted, checkpointed (so partition
-    ids and row order are fixed), counted per partition; only the rows at
-    the wanted ranks are then fetched.
-    """
-    parts = max(1, min(10_000, -(-n // rows_per_partition)))
-    ordered = values.repartitionByRange(parts, "x").sortWithinPartitions("x").checkpoint()
-    pid = F.spark_partition_id()
-    sizes = {r["p"]: r["c"] for r in ordered.groupBy(pid.alias("p"))
-             .agg(F.count(F.lit(1)).alias("c")).collect()}
-    offsets, acc = {}, 0
-    for p in sorted(sizes):
-        offsets[p] = acc
-        acc += sizes[p]
-    wanted = {}
-    for r in set(ranks):
-        p = max(q for q, off in offsets.items() if off <= r)
-        wanted[(p, r - offsets[p])] = r
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    cond = " OR ".join(f"(p = {p} AND i = {i})" for p, i in wanted)
-    found = ordered.select(pid.alias("p"), local.alias("i"), "x").filter(cond).collect()
-    return {wanted[(r["p"], r["i"])]: r["x"] for r in found}
-
-
-def _quartiles(values: DataFrame, n: int, rows_per_partition: int) -> list[float]:
-    """Linear-interpolated quartiles from exact order statistics."""
-    pos = [p * (n - 1) for p in QUARTILES]
-    ranks = [int(x // 1) for x in pos] + [int(-(-x // 1)) for x in pos]
-    v = ranked_values(values, n, ranks, rows_per_partition)
-    out = []
-    for x in pos:
-        lo, hi = int(x // 1), int(-(-x // 1))
-        out.append(v[lo] + (v[hi] - v[lo]) * (x - lo))
-    return out
-
-
-def describe(df: DataFrame, columns: Sequence[str],
-             exact_limit: int = EXACT_PERCENTILE_LIMIT,
-             rows_per_partition: int = ROWS_PER_SORT_PARTITION) -> DataFrame:
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per column.
 
-    Percentiles are exact. When no column has more than ``exact_limit``
-    values, one aggregate computes everything (``percentile`` keeps a
-    column's distinct values in its final task). Otherwise the moments come
-    from one distributed aggregate and the quartiles from distributed rank
-    selection (``ranked_values``); the few resulting numbers form the result.
+    Exact at every size, the input is evaluated once. Values are counted first
+    (a value that many rows share becomes one row before the shuffle), then
+    dealt over ranges and stored; sums of the counts per range, a small table,
+    give every value its rank, and the quartiles are the smallest values whose
+    rank exceeds the wanted ones. A column without values has count 0 and NULL
+    statistics.
     """
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first()
-    if all(counts[c] <= exact_limit for c in columns):
-        return _describe_lazy(df, columns)
     spark = df.sparkSession
-    moments = df.agg(*[e for c in columns for e in (
-        F.avg(F.col(c).cast("double")).alias(f"{c}__mean"),
-        F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__std"),
-        F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-        F.max(F.col(c).cast("double")).alias(f"{c}__max"))]).first()
-    rows = []
-    for c in columns:
-        n = counts[c]
-        values = df.select(F.col(c).cast("double").alias("x")).filter("x IS NOT NULL")
-        if n == 0:
-            q = [None, None, None]
-        elif n <= exact_limit:
-            q = list(values.agg(F.percentile("x", F.array(
-                *[F.lit(p) for p in QUARTILES]))).first()[0])
-        else:
-            q = _quartiles(values, n, rows_per_partition)
-        rows.append((c, n, moments[f"{c}__mean"], moments[f"{c}__std"], moments[f"{c}__min"],
-                     *q, moments[f"{c}__max"]))
-    schema = ("column_name string, count bigint, mean double, std double, min double, "
-              "p25 double, p50 double, p75 double, max double")
-    return spark.createDataFrame(rows, schema)
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    counted = (df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, x)")
+               .where("x IS NOT NULL").groupBy("column_name", "x").agg(F.count("*").alias("n")))
+    path = scratch_path(spark, "describe")
+    (counted.repartitionByRange("column_name", "x")
+     .withColumn("part", F.spark_partition_id()).write.parquet(path))
+    values = spark.read.parquet(path)
+    earlier = Window.partitionBy("column_name").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    sums = (values.groupBy("column_name", "part").agg(F.sum("n").alias("n"))
+            .select("column_name", "part",
+                    F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
+    inside = Window.partitionBy("column_name", "part").orderBy("x")
+    whole = values.groupBy("column_name").agg(
+        F.sum("n").alias("count"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"))
+    ranked = (values.join(sums, ["column_name", "part"])
+              .withColumn("upto", F.col("before") + F.sum("n").over(inside))
+              .join(whole, "column_name"))
+    wanted = {name: F.lit(q) * (F.col("count") - 1) for name, q in QUARTILES.items()}
+
+    def at(rank: Column, name: str) -> Column:
+        return F.min(F.when(F.col("upto") > rank, F.col("x"))).alias(name)
+
+    stats = ranked.groupBy("column_name", "count", "mean").agg(
+        F.sum(F.col("n") * F.pow(F.col("x") - F.col("mean"), 2)).alias("squares"),
+        F.min("x").alias("min"), F.max("x").alias("max"),
+        *[at(F.floor(r), f"{name}_low") for name, r in wanted.items()],
+        *[at(F.ceil(r), f"{name}_high") for name, r in wanted.items()])
+    low, high = (lambda k: F.col(f"{k}_low")), (lambda k: F.col(f"{k}_high"))
+    names = spark.range(len(columns)).select(
+        F.element_at(F.array(*[F.lit(c) for c in columns]),
+                     (F.col("id") + 1).cast("int")).alias("column_name"))
+    return names.join(stats, "column_name", "left").select(
+        "column_name", F.coalesce("count", F.lit(0)).alias("count"), "mean",
+        F.sqrt(F.try_divide("squares", F.col("count") - 1)).alias("std"), "min",
+        *[(low(k) + (high(k) - low(k)) * (r - F.floor(r))).alias(k) for k, r in wanted.items()],
+        "max")

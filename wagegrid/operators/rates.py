@@ -154,7 +154,3 @@ def branch_rates(timesheets: DataFrame, employees: DataFrame, policy: Policy | s
         out = out.orderBy(*[F.col(c).asc_nulls_last() for c in p.order_by])
     return out
 
-
-def final_select(result: DataFrame) -> DataFrame:
-    """Read-back projection of a stored result."""
-    return result.select("year", "month", "branch_id", "salary_per_hour")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.rates import branch_rates
-from ..policies import get_policy
+from ..policies import POLICIES, Policy, get_policy
 from ..schemas import EMPLOYEES, RESULT, RESULT_KEYS, TIMESHEETS
 from ..sources.csv import read_employees_csv, read_timesheets_csv, write_csv
 from ..sources.tables import (append_load, cast_to_schema, full_refresh, full_refresh_table,
@@ -38,6 +38,23 @@ def _times_as_seconds(ts: DataFrame) -> DataFrame:
              .withColumn("checkout", parse_time("checkout"))
 
 
+# The loads each job implements; a policy with another load is refused.
+JOB_LOADS = {"full-refresh": ("full_refresh",), "incremental": ("upsert", "append_new_keys")}
+
+
+def job_policies(job: str) -> list[str]:
+    """Names of the policies that ``job`` accepts."""
+    return [name for name, p in sorted(POLICIES.items()) if p.load in JOB_LOADS[job]]
+
+
+def _policy_for(policy: str, job: str) -> Policy:
+    p = get_policy(policy)
+    if p.load not in JOB_LOADS[job]:
+        raise ValueError(f"the {job} job does not load as policy {p.name!r} asks ({p.load}); "
+                         f"policies: {', '.join(job_policies(job))}")
+    return p
+
+
 def full_refresh_job(spark: SparkSession, employees_csv: str, timesheets_csv: str,
                      warehouse: str, result_csv: str | None = None,
                      policy: str = "a", catalog: bool = False) -> dict[str, int]:
@@ -50,7 +67,7 @@ def full_refresh_job(spark: SparkSession, employees_csv: str, timesheets_csv: st
     otherwise they are Parquet folders below ``warehouse``, replaced through
     a staged copy.
     """
-    p = get_policy(policy)
+    p = _policy_for(policy, "full-refresh")
     wh = warehouse.rstrip("/")
     emp = read_employees_csv(spark, employees_csv)
     ts = _times_as_seconds(read_timesheets_csv(spark, timesheets_csv))
@@ -68,14 +85,16 @@ def full_refresh_job(spark: SparkSession, employees_csv: str, timesheets_csv: st
         }
         result = branch_rates(read_table(spark, f"{wh}/timesheets"),
                               read_table(spark, f"{wh}/employees"), p)
-    if result_csv:
-        write_csv(result, result_csv)
     if catalog:
         counts["result"] = full_refresh_table(spark, result, result_name, wh, RESULT,
                                               partition_by=PARTITIONS)
+        stored = spark.table(result_name)
     else:
         counts["result"] = full_refresh(spark, result, f"{wh}/{result_name}", RESULT,
                                         partition_by=PARTITIONS)
+        stored = read_table(spark, f"{wh}/{result_name}")
+    if result_csv:  # from the loaded table: the pay chain runs once
+        write_csv(stored.select(*RESULT.fieldNames()).orderBy(*RESULT_KEYS), result_csv)
     return counts
 
 
@@ -138,7 +157,7 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
     Arrival order inside the CSV files (for keep-last) is taken from the file
     metadata and the row position, see ``sources.csv.arrival_order``.
     """
-    p = get_policy(policy)
+    p = _policy_for(policy, "incremental")
     wh = warehouse.rstrip("/")
     emp = read_employees_csv(spark, employees_csv, by_name=True, arrival=True)
     ts = read_timesheets_csv(spark, timesheets_csv, by_name=True, arrival=True)
@@ -204,6 +223,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--catalog", action="store_true",
                     help="full refresh of catalog tables by location switch")
     a = ap.parse_args(argv)
+    if a.policy and a.policy not in job_policies(a.job):
+        ap.error(f"{a.job} accepts the policies {', '.join(job_policies(a.job))}")
     spark = session()
     checkpoint_dir(spark)  # fail early when no shared folder is configured
     if a.job == "full-refresh":

@@ -104,6 +104,37 @@ ORDER BY branch_id NULLS LAST, year NULLS LAST, month NULLS LAST
 """)
 
 
+_BODY = {
+    "missing_flags": """
+SELECT missing_either, missing_both, missing_either > 0 AS has_missing_either,
+       missing_both > 0 AS has_missing_both
+FROM (SELECT COUNT(*) FILTER (WHERE checkin IS NULL OR checkout IS NULL) AS missing_either,
+             COUNT(*) FILTER (WHERE checkin IS NULL AND checkout IS NULL) AS missing_both
+      FROM timesheets)""",
+    "quality_report": """
+SELECT *, raw_ids > unique_ids AS has_duplicates FROM (
+  SELECT 'timesheets' AS table_name, COUNT(timesheet_id) AS raw_ids,
+         COUNT(DISTINCT timesheet_id) AS unique_ids,
+         COUNT(*) FILTER (WHERE checkin IS NULL OR checkout IS NULL) AS missing_either,
+         COUNT(*) FILTER (WHERE checkin IS NULL AND checkout IS NULL) AS missing_both,
+         MIN(checkin) AS min_checkin, MAX(checkin) AS max_checkin
+  FROM timesheets
+  UNION ALL
+  SELECT 'employees', COUNT(employee_id), COUNT(DISTINCT employee_id),
+         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  FROM employees)""",
+}
+
+
+def _odd(body: str, extra: str = "") -> str:
+    return oracle_views(odd=True).rstrip() + extra + "\n" + body
+
+
+def _padded(c: str) -> str:
+    return (f"CASE WHEN {c} IS NOT NULL THEN format('{{:02d}}:{{:02d}}:{{:02d}}', {c} // 3600, "
+            f"({c} % 3600) // 60, {c} % 60) END AS {c}")
+
+
 def _views(body: str, batches: bool = False, extra: str = "") -> str:
     return oracle_views(batches=batches).rstrip() + extra + "\n" + body
 
@@ -112,32 +143,41 @@ _RESULT_A = "CAST(ROUND(CAST(AVG(salary_per_hour) AS DECIMAL(38,10)), 2) AS DECI
 
 _KEEP_LAST_NEW = """,
 latest_new AS (
-  SELECT timesheet_id, employee_id, date, checkin, checkout FROM (
+  SELECT timesheet_id, employee_id, date, checkin, checkout{more} FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY timesheet_id
-                                 ORDER BY timesheet_id DESC NULLS LAST) AS rn
-    FROM new_batch) WHERE rn = 1)"""
+                                 ORDER BY {order} DESC) AS rn
+    FROM new_seq) WHERE rn = 1)"""
 
-_FINAL_TS = _KEEP_LAST_NEW + """,
+_LATEST_NEW = _KEEP_LAST_NEW.format(order="arrival", more=", arrival")
+
+# What two CSV deliveries leave: rows of a file are in event order.
+_FINAL_TS = _KEEP_LAST_NEW.format(order="event_id", more="") + """,
+first_ts AS (SELECT timesheet_id, employee_id, date, checkin, checkout FROM old_seq),
 final_ts AS (
-  SELECT * FROM old_batch
+  SELECT * FROM first_ts
   UNION ALL
   SELECT * FROM latest_new n
   WHERE NOT EXISTS (SELECT 1 FROM old_batch o
                     WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id))"""
 
 
-def _describe_sql() -> str:
+def _describe_body(table: str, columns: tuple[str, ...]) -> str:
     parts = []
-    for c in ("branch_id", "year", "month", "salary_per_hour"):
+    for c in columns:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
             f"SELECT '{c}' AS column_name, COUNT({x}) AS \"count\", (ROUND(AVG({x}), 6) + 0.0) AS mean, "
             f"(ROUND(STDDEV_SAMP({x}), 6) + 0.0) AS std, (ROUND(MIN({x}), 6) + 0.0) AS \"min\", "
             f"(ROUND(QUANTILE_CONT({x}, 0.25), 6) + 0.0) AS p25, (ROUND(QUANTILE_CONT({x}, 0.5), 6) + 0.0) AS p50, "
-            f"(ROUND(QUANTILE_CONT({x}, 0.75), 6) + 0.0) AS p75, (ROUND(MAX({x}), 6) + 0.0) AS \"max\" FROM result")
+            f"(ROUND(QUANTILE_CONT({x}, 0.75), 6) + 0.0) AS p75, (ROUND(MAX({x}), 6) + 0.0) AS \"max\" FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _describe_sql() -> str:
     result = (",\nresult AS (SELECT branch_id, year, month, AVG(salary_per_hour) AS salary_per_hour\n"
               "           FROM rates GROUP BY branch_id, year, month)\n")
-    return with_policy("b", result + "\nUNION ALL\n".join(parts))
+    return with_policy("b", result + _describe_body(
+        "result", ("branch_id", "year", "month", "salary_per_hour")))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -158,6 +198,20 @@ SELECT employee_id, branch_id, year, month, total_day, (ROUND(total_hours, 6) +
         q[f"employee_rate_{p}"] = with_policy(p, """
 SELECT employee_id, branch_id, year, month, total_day, (ROUND(total_hours, 6) + 0.0) AS total_hours,
        salary, prorated_salary, (ROUND(salary_per_hour, 6) + 0.0) AS salary_per_hour FROM rates""")
+    # Rule set C over text times: only absent times are filled.
+    odd_c = f""",
+filled AS (
+  SELECT timesheet_id, employee_id, date,
+    CASE WHEN checkin_absent AND checkout_value > 0 AND checkout_value < 43200 THEN 61200
+         ELSE checkin_value END AS ci,
+    CASE WHEN checkout_absent AND checkin_value > 0 AND checkin_value < 43200 THEN 61200
+         ELSE checkout_value END AS co FROM timesheets_odd),
+shifts AS (SELECT *, CAST({_DURATION["noon_default"]} AS BIGINT) AS work_seconds FROM filled)"""
+    q["fill_times_c"] = _odd("SELECT timesheet_id, employee_id, date, ci AS checkin_new, "
+                             "co AS checkout_new FROM filled", extra=odd_c)
+    q["shift_hours_c"] = _odd("""
+SELECT timesheet_id, employee_id, date, work_seconds,
+       (ROUND(CAST(work_seconds AS DOUBLE) / 3600.0, 6) + 0.0) AS total_hours FROM shifts""", extra=odd_c)
     q["prorated_salary"] = with_policy("a", """
 SELECT employee_id, branch_id, year, month, total_day, salary, prorated_salary FROM rates""")
     q["dedupe_employees_nulls_first"] = _views(
@@ -186,56 +240,56 @@ SELECT COUNT(employee_id) AS raw_total_employee, COUNT(DISTINCT employee_id) AS
         "ORDER BY timesheet_id NULLS LAST LIMIT 5")
     q["missing_both"] = _views(
         "SELECT * FROM timesheets WHERE checkin IS NULL AND checkout IS NULL")
-    q["missing_flags"] = _views("""
-SELECT missing_either, missing_both, missing_either > 0 AS has_missing_either,
-       missing_both > 0 AS has_missing_both
-FROM (SELECT COUNT(*) FILTER (WHERE checkin IS NULL OR checkout IS NULL) AS missing_either,
-             COUNT(*) FILTER (WHERE checkin IS NULL AND checkout IS NULL) AS missing_both
-      FROM timesheets)""")
-    q["quality_report"] = _views("""
-SELECT *, raw_ids > unique_ids AS has_duplicates FROM (
-  SELECT 'timesheets' AS table_name, COUNT(timesheet_id) AS raw_ids,
-         COUNT(DISTINCT timesheet_id) AS unique_ids,
-         COUNT(*) FILTER (WHERE checkin IS NULL OR checkout IS NULL) AS missing_either,
-         COUNT(*) FILTER (WHERE checkin IS NULL AND checkout IS NULL) AS missing_both,
-         MIN(checkin) AS min_checkin, MAX(checkin) AS max_checkin
-  FROM timesheets
-  UNION ALL
-  SELECT 'employees', COUNT(employee_id), COUNT(DISTINCT employee_id),
-         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
-  FROM employees)""")
+    q["missing_flags"] = _views(_BODY["missing_flags"])
+    q["quality_report"] = _views(_BODY["quality_report"])
     q["describe_rates"] = _describe_sql()
+    q["describe_timesheets"] = _views(_describe_body(
+        "timesheets", ("timesheet_id", "employee_id", "checkin", "checkout")))
     q["sort_employees"] = _views(
         "SELECT * FROM employees ORDER BY join_date DESC NULLS LAST, salary DESC NULLS LAST")
 
     # set operations and incremental loads
     q["union_all_sources"] = _views(
-        "SELECT * FROM old_batch UNION ALL SELECT * FROM new_batch", batches=True)
+        "SELECT * EXCLUDE (date) FROM old_batch UNION ALL BY NAME "
+        "SELECT * EXCLUDE (checkout) FROM new_batch", batches=True)
     q["distinct_rates"] = with_policy("b", """
 SELECT DISTINCT * FROM (
   SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
          (ROUND(AVG(salary_per_hour), 6) + 0.0) AS salary_per_hour
   FROM rates GROUP BY branch_id, year, month)""")
     q["keep_last"] = _views("""
-SELECT timesheet_id, employee_id, date, checkin, checkout FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY employee_id
-                               ORDER BY timesheet_id DESC NULLS LAST) AS rn
-  FROM timesheets) WHERE rn = 1""")
+SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY employee_id ORDER BY arrival DESC) AS rn
+  FROM timesheets_seq) WHERE rn = 1""")
     q["append_new_keys"] = _views("""
 SELECT * FROM latest_new n
 WHERE NOT EXISTS (SELECT 1 FROM old_batch o WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id)""",
-                                  batches=True, extra=_KEEP_LAST_NEW)
+                                  batches=True, extra=_LATEST_NEW)
     q["upsert_keep_last"] = _views("""
-SELECT timesheet_id, employee_id, date, checkin, checkout FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY timesheet_id
-                               ORDER BY src DESC, timesheet_id DESC NULLS LAST) AS rn
+SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY timesheet_id ORDER BY src DESC, arrival DESC) AS rn
   FROM (SELECT *, 0 AS src FROM old_batch UNION ALL SELECT *, 1 AS src FROM new_batch))
 WHERE rn = 1""", batches=True)
+    q["append_key_list"] = q["append_new_keys"]
+    q["upsert_partitioned"] = _views("""
+SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY date, timesheet_id ORDER BY src DESC, arrival DESC) AS rn
+  FROM (SELECT *, 0 AS src FROM old_batch
+        UNION ALL SELECT *, 1 AS src FROM new_batch WHERE timesheet_id % 2 = 0 OR date IS NULL))
+WHERE rn = 1""", batches=True)
+    q["key_check_flags"] = _views("""
+SELECT 'timesheet_id' AS key, true AS valid, COUNT(DISTINCT timesheet_id) AS stored_values FROM old_batch
+UNION ALL SELECT 'employee_id', true, COUNT(DISTINCT employee_id) FROM old_batch
+UNION ALL SELECT 'date', false, NULL
+UNION ALL SELECT 'checkout', false, COUNT(DISTINCT checkout) FROM old_batch""", batches=True)
+    q["table_exists_flags"] = _views("""
+SELECT false AS folder_before, false AS table_before, true AS folder_after, true AS table_after,
+       COUNT(*) AS n_rows FROM employees""")
     q["load_counts"] = _views("""
 SELECT COUNT(*) FILTER (WHERE NOT hit) AS new_keys, COUNT(*) FILTER (WHERE hit) AS matched_keys
 FROM (SELECT EXISTS (SELECT 1 FROM old_batch o
                      WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id) AS hit
-      FROM latest_new n)""", batches=True, extra=_KEEP_LAST_NEW)
+      FROM latest_new n)""", batches=True, extra=_LATEST_NEW)
     q["incremental_first_load"] = _views("SELECT * FROM old_batch", batches=True)
 
     # scans, sinks and loads
@@ -244,7 +298,18 @@ FROM (SELECT EXISTS (SELECT 1 FROM old_batch o
     q["scan_timesheets"] = _views("SELECT * FROM timesheets")
     q["time_to_seconds"] = ("SELECT event_id, CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) "
                             "AS BIGINT) AS seconds FROM events")
-    q["parse_time_coerce"] = _views("SELECT timesheet_id, checkin, checkout FROM timesheets")
+    q["parse_time_coerce"] = _odd("SELECT timesheet_id, checkin_value AS checkin, "
+                                  "checkout_value AS checkout FROM timesheets_odd")
+    q["scan_named_mixed_order"] = _odd(f"""
+SELECT timesheet_id, employee_id, date, {_padded("checkin")}, {_padded("checkout")} FROM timesheets""")
+    text = "SELECT timesheet_id, employee_id, date, checkin, checkout FROM timesheets_odd WHERE "
+    q["missing_either_text"] = _odd(text + "checkin_value IS NULL OR checkout IS NULL")
+    q["missing_both_text"] = _odd(text + "checkin_value IS NULL AND checkout IS NULL")
+    to_text = ("timesheets_value AS (SELECT timesheet_id, checkin_value AS checkin, checkout "
+               "FROM timesheets_odd)")
+    for name in ("missing_flags", "quality_report"):
+        q[f"{name}_text"] = _odd(_BODY[name].replace("FROM timesheets", "FROM timesheets_value"),
+                                 extra=",\n" + to_text)
     cast_b = with_policy("b", """
 SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
        CAST(AVG(salary_per_hour) AS DECIMAL(10,2)) AS salary_per_hour
@@ -257,6 +322,8 @@ FROM rates GROUP BY branch_id, year, month""")
 SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month, {_RESULT_A.format(p=10)} AS salary_per_hour
 FROM rates GROUP BY branch_id, year, month""")
     q["full_refresh"] = result_a
+    q["ensure_table_schema"] = f"""SELECT *, 'branch_id int, year int, month int, salary_per_hour decimal(10,2)' AS columns
+FROM ({result_a})"""
     q["job_full_refresh"] = result_a
     q["job_incremental"] = with_policy("c", """
 SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
@@ -270,7 +337,7 @@ FROM rates GROUP BY branch_id, year, month""", batches=True, source="final_ts",
   FROM {p}rates GROUP BY branch_id, year, month)"""
     q["job_incremental_d"] = (
         oracle_views(batches=True).rstrip() + _FINAL_TS
-        + policy_ctes("c", "old_batch", "r1_") + ",\n" + per_branch.format(p="r1_")
+        + policy_ctes("c", "first_ts", "r1_") + ",\n" + per_branch.format(p="r1_")
         + policy_ctes("c", "final_ts", "r2_") + ",\n" + per_branch.format(p="r2_") + """
 SELECT * FROM r1_result
 UNION ALL

@@ -10,7 +10,9 @@ checkpoint folder and return the re-read table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from ..config import scratch_path
 from ..functions.pay import round_double
 from ..functions.timeofday import parse_time, seconds_of_day
 from ..operators import dedupe, merge, quality, rates
-from ..schemas import RESULT
+from ..schemas import EMPLOYEES, RESULT
 from ..sources import csv as csv_io
 from ..sources import tables, testdata
 from . import jobs
@@ -50,7 +52,7 @@ def _rounded(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, name, create_local=True)
+    return scratch_path(spark, name)
 
 
 # -- Q1-Q3: pay per hour by branch and month -----------------------------------
@@ -81,7 +83,7 @@ def branch_rate_c(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fill(spark: SparkSession, sf_dir: str, policy: str, text: bool = False) -> DataFrame:
     ts, _ = _tables(spark, sf_dir)
     if text:
-        ts = testdata.timesheets_text(ts)
+        ts = testdata.timesheets_text_odd(ts)
     return (rates.shift_hours(ts, policy)
             .select("timesheet_id", "employee_id", "date", "checkin_new", "checkout_new"))
 
@@ -98,14 +100,14 @@ def fill_times_b(spark, sf_dir):
 
 @query("fill_times_c")
 def fill_times_c(spark, sf_dir):
-    """Rule set C reads times as text; they are parsed with coercion."""
+    """Rule set C reads times as text (some malformed), parsed with coercion."""
     return _fill(spark, sf_dir, "c", text=True)
 
 
 def _shift(spark: SparkSession, sf_dir: str, policy: str, text: bool = False) -> DataFrame:
     ts, _ = _tables(spark, sf_dir)
     if text:
-        ts = testdata.timesheets_text(ts)
+        ts = testdata.timesheets_text_odd(ts)
     return _rounded(
         rates.shift_hours(ts, policy).select(
             "timesheet_id", "employee_id", "date", "work_seconds",
@@ -257,6 +259,40 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(ts, emp)
 
 
+def _odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.timesheets_text_odd(testdata.timesheets(spark, sf_dir))
+
+
+@query("missing_either_text")
+def missing_either_text(spark, sf_dir):
+    """P2 over text times: a check-in that does not parse counts as missing."""
+    return quality.missing_either(_odd(spark, sf_dir), coerce_checkin=True)
+
+
+@query("missing_both_text")
+def missing_both_text(spark, sf_dir):
+    return quality.missing_both(_odd(spark, sf_dir), coerce_checkin=True)
+
+
+@query("missing_flags_text")
+def missing_flags_text(spark, sf_dir):
+    return quality.missing_flags(_odd(spark, sf_dir), coerce_checkin=True)
+
+
+@query("quality_report_text")
+def quality_report_text(spark, sf_dir):
+    return quality.quality_report(_odd(spark, sf_dir), testdata.employees(spark, sf_dir),
+                                  coerce_checkin=True)
+
+
+@query("describe_timesheets")
+def describe_timesheets(spark, sf_dir):
+    """A6 over the raw attendance columns."""
+    ts, _ = _tables(spark, sf_dir)
+    out = quality.describe(ts, ["timesheet_id", "employee_id", "checkin", "checkout"])
+    return _rounded(out, *quality.DESCRIBE_STATS[1:])
+
+
 @query("describe_rates")
 def describe_rates(spark, sf_dir):
     """A6 over the rule-set-B result (as the notebook validates it)."""
@@ -282,45 +318,115 @@ def sort_employees(spark, sf_dir):
 # -- set operations and incremental loads (U1-U3, W3, S9, S13, S14, S16) ----------
 
 def _batches(spark: SparkSession, sf_dir: str):
-    ts, _ = _tables(spark, sf_dir)
+    ts = testdata.ordered_timesheets(spark, sf_dir)
     return testdata.old_batch(ts), testdata.new_batch(ts)
 
 
 @query("union_all_sources")
 def union_all_sources(spark, sf_dir):
+    """Each side lacks a column of the other."""
     old, new = _batches(spark, sf_dir)
-    return merge.union_all(old, new)
+    return merge.union_all(old.drop("date"), new.drop("checkout"))
 
 
 @query("distinct_rates")
 def distinct_rates(spark, sf_dir):
-    """Whole-row distinct of the rule-set-B result."""
-    return merge.distinct_rows(branch_rate_b(spark, sf_dir))
+    """Whole-row distinct of the rule-set-B result stacked on itself."""
+    result = branch_rate_b(spark, sf_dir)
+    return merge.distinct_rows(merge.union_all(result, result))
 
 
 @query("keep_last")
 def keep_last(spark, sf_dir):
-    """Last attendance row per employee, arrival order = timesheet_id."""
-    ts, _ = _tables(spark, sf_dir)
-    return dedupe.keep_last(ts, "employee_id", "timesheet_id")
+    """Last attendance row per employee in arrival order."""
+    return dedupe.keep_last(testdata.ordered_timesheets(spark, sf_dir), "employee_id", "arrival")
 
 
 @query("append_new_keys")
 def append_new_keys(spark, sf_dir):
     old, new = _batches(spark, sf_dir)
-    return merge.append_new_keys(new, old, "timesheet_id", "timesheet_id")
+    return merge.append_new_keys(new, old, "timesheet_id", "arrival")
+
+
+@query("append_key_list")
+def append_key_list(spark, sf_dir):
+    """A list of one key gives what the scalar key gives."""
+    old, new = _batches(spark, sf_dir)
+    return merge.append_new_keys(new, old, ["timesheet_id"], ["arrival"])
+
+
+@query("key_check_flags")
+def key_check_flags(spark, sf_dir):
+    """Which keys can be validated over the two batches, and their values."""
+    old, new = _batches(spark, sf_dir)
+    old, new = old.drop("date"), new.drop("checkout")
+
+    def check(key: str) -> DataFrame:
+        try:
+            merge.validate_keys(new, old, key)
+            valid = True
+        except KeyError:
+            valid = False
+        values = F.count_distinct(key) if key in old.columns else F.lit(None).cast("bigint")
+        return old.agg(F.lit(key).alias("key"), F.lit(valid).alias("valid"),
+                       values.alias("stored_values"))
+    return reduce(DataFrame.unionByName, [
+        check(k) for k in ("timesheet_id", "employee_id", "date", "checkout")])
+
+
+@query("ensure_table_schema")
+def ensure_table_schema(spark, sf_dir):
+    """Rows loaded into a table that was created from the declared schema."""
+    name, place = f"wagegrid_ensured_{uuid.uuid4().hex}", _scratch(spark, "ensured")
+    tables.ensure_table(spark, name, RESULT, location=place)
+    tables.ensure_table(spark, name, RESULT)  # a second call changes nothing
+    ts, emp = _tables(spark, sf_dir)
+    tables.cast_to_schema(rates.branch_rates(ts, emp, "a"), RESULT).write.insertInto(name)
+    stored = spark.table(name)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored.schema.fields)
+    out = spark.read.schema(stored.schema).parquet(place).withColumn("columns", F.lit(kinds))
+    spark.sql(f"DROP TABLE {name}")  # external: the rows stay for the result
+    return out
+
+
+@query("table_exists_flags")
+def table_exists_flags(spark, sf_dir):
+    """The probes before and after a load, with the rows it stored."""
+    emp, target = testdata.employees(spark, sf_dir), _scratch(spark, "probed")
+    name = f"wagegrid_probed_{uuid.uuid4().hex}"
+    before = tables.path_exists(spark, target), tables.table_exists(spark, name)
+    tables.first_load(spark, emp, target)
+    tables.ensure_table(spark, name, EMPLOYEES, location=tables.table_folder(spark, target))
+    after = tables.path_exists(spark, target), tables.table_exists(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    flags = dict(zip(("folder_before", "table_before", "folder_after", "table_after"),
+                     before + after))
+    return tables.read_table(spark, target).agg(
+        *[F.lit(v).alias(k) for k, v in flags.items()], F.count("*").alias("n_rows"))
+
+
+@query("upsert_partitioned")
+def upsert_partitioned(spark, sf_dir):
+    """S14 into a table partitioned by date (NULL dates included): only the
+    partitions of the arriving rows are rewritten."""
+    old, new = _batches(spark, sf_dir)
+    target, keys = _scratch(spark, "upserted"), ["date", "timesheet_id"]
+    tables.first_load(spark, dedupe.keep_last(old, keys, "arrival"), target, ["date"])
+    tables.upsert_load(spark, new.where("timesheet_id % 2 = 0 OR date IS NULL"), target, keys,
+                       "arrival", partition_by=["date"])
+    return tables.read_table(spark, target).select(*old.columns)
 
 
 @query("upsert_keep_last")
 def upsert_keep_last(spark, sf_dir):
     old, new = _batches(spark, sf_dir)
-    return merge.upsert(old, new, "timesheet_id", "timesheet_id")
+    return merge.upsert(old, new, "timesheet_id", "arrival")
 
 
 @query("load_counts")
 def load_counts(spark, sf_dir):
     old, new = _batches(spark, sf_dir)
-    return merge.load_counts(new, old, "timesheet_id", "timesheet_id")
+    return merge.load_counts(new, old, "timesheet_id", "arrival")
 
 
 @query("incremental_first_load")
@@ -369,6 +475,18 @@ def rename_header(spark, sf_dir):
     return csv_io.read_employees_csv(spark, _employees_csv(spark, sf_dir), by_name=True)
 
 
+@query("scan_named_mixed_order")
+def scan_named_mixed_order(spark, sf_dir):
+    """S2 over files whose headers name the columns in different orders."""
+    ts, _ = _tables(spark, sf_dir)
+    path = _scratch(spark, "mixed-csv")
+    text = testdata.timesheets_text(ts)
+    order = ["checkout", "date", "timesheet_id", "checkin", "employee_id"]
+    csv_io.write_csv(text.where("timesheet_id % 2 = 0"), f"{path}/a")
+    csv_io.write_csv(text.where("timesheet_id % 2 = 1").select(*order), f"{path}/b")
+    return csv_io.read_timesheets_csv(spark, f"{path}/*", by_name=True)
+
+
 @query("time_to_seconds")
 def time_to_seconds(spark, sf_dir):
     """seconds of day of every event timestamp."""
@@ -378,10 +496,8 @@ def time_to_seconds(spark, sf_dir):
 
 @query("parse_time_coerce")
 def parse_time_coerce(spark, sf_dir):
-    """tolerant parse of times written without a leading zero (``8:05:00``)."""
-    ts, _ = _tables(spark, sf_dir)
-    text = testdata.timesheets_text(ts, pad_hour=False)
-    return text.select("timesheet_id",
+    """tolerant parse of times of which some are malformed or not padded."""
+    return _odd(spark, sf_dir).select("timesheet_id",
                        parse_time("checkin", coerce=True).alias("checkin"),
                        parse_time("checkout", coerce=True).alias("checkout"))
 
@@ -417,7 +533,10 @@ def final_select(spark, sf_dir):
 def job_full_refresh(spark, sf_dir):
     """Q5 end to end: CSV -> staged sources -> rule set A -> DECIMAL(10,2) table."""
     wh = _scratch(spark, "warehouse")
-    jobs.full_refresh_job(spark, _employees_csv(spark, sf_dir), _timesheets_csv(spark, sf_dir), wh)
+    emp_csv, ts_csv = _employees_csv(spark, sf_dir), _timesheets_csv(spark, sf_dir)
+    jobs.full_refresh_job(spark, emp_csv, ts_csv, wh)
+    for path in (emp_csv, ts_csv):
+        tables.discard(spark, path)
     return tables.read_table(spark, f"{wh}/salary_per_hours_a").select(*RESULT.fieldNames())
 
 
@@ -429,6 +548,8 @@ def _two_runs(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
         path = _scratch(spark, "timesheets-batch")
         csv_io.write_csv(testdata.timesheets_text(batch), path)
         jobs.incremental_job(spark, emp_csv, path, wh, policy=policy)
+        tables.discard(spark, path)
+    tables.discard(spark, emp_csv)
     out = tables.read_table(spark, f"{wh}/salary_per_hours_{policy}")
     return _rounded(out.select(*jobs.RESULT_DOUBLE.fieldNames()), "salary_per_hour")
 
@@ -458,10 +579,11 @@ def stream_ingest_timesheets(spark, sf_dir):
 
     ts, _ = _tables(spark, sf_dir)
     landing, target = _scratch(spark, "landing"), _scratch(spark, "timesheets-stream")
+    checkpoint = _scratch(spark, "stream-checkpoint")
     for batch in (testdata.old_batch(ts), testdata.new_batch(ts)):
         testdata.timesheets_text(batch).write.mode("append").option("header", True).csv(landing)
-    ingest(spark, landing, TIMESHEETS_TEXT, target, "timesheet_id",
-           checkpoint=_scratch(spark, "stream-checkpoint")).awaitTermination()
+        ingest(spark, landing, TIMESHEETS_TEXT, target, "timesheet_id",
+               checkpoint=checkpoint).awaitTermination()
     out = tables.read_table(spark, target)
     return out.select("timesheet_id", "employee_id", "date",
                       parse_time("checkin").alias("checkin"),

@@ -6,22 +6,18 @@ usable TIME type); dates are DATE; salaries DECIMAL(10,2).
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import types as T
 
 # --- fixed values (must equal the workload's rules for right results) -------
-# Shift landmarks as seconds of day: 08:00:00, 12:00:00, 17:00:00, 24:00:00.
+# Shift landmarks as seconds of day: 08:00:00, 12:00:00, 17:00:00.
 MORNING_START = 8 * 3600      # 28800
 NOON = 12 * 3600              # 43200
 EVENING_END = 17 * 3600       # 61200
-DAY_SECONDS = 24 * 3600       # 86400
 # Duration used when no rule applies: 9.0 hours.
 DEFAULT_SHIFT_SECONDS = 9 * 3600  # 32400
 # Working days per month used for proration: 22; more than 22 days pays the
 # full salary, otherwise round(days / 22.0, 2) * salary.
 WORKING_DAYS = 22
-WORKING_DAYS_DEC = Decimal("22.0")
 # Header as spelled in the employee file, and its repaired name.
 MISSPELT_EMPLOYEE_ID = "employe_id"
 EMPLOYEE_ID = "employee_id"

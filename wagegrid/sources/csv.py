@@ -8,10 +8,15 @@ text and parsed by the rules that use them.
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import first_line
 from ..schemas import EMPLOYEE_ID, EMPLOYEES, MISSPELT_EMPLOYEE_ID, TIMESHEETS_TEXT
 
 
@@ -33,34 +38,55 @@ def repair_header(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed(MISSPELT_EMPLOYEE_ID, EMPLOYEE_ID)
 
 
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``path`` by their header (the names in file order).
+
+    Reads the first line of each file, many files at a time.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda f: first_line(spark, f), files))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        if line:
+            found.setdefault(tuple(next(csv.reader([line]))), []).append(file)
+    return found
+
+
 def read_csv_named(spark: SparkSession, path: str, schema: T.StructType,
                    repair: bool = True, arrival: bool = False) -> DataFrame:
     """Scan that binds columns by header name, then casts to ``schema``.
 
+    Files are grouped by their header, so files whose columns are in another
+    order bind rightly; a file that lacks a declared column fails the scan.
     Every field is read as text first, the header is repaired, and each
     declared column is cast (ANSI: a malformed value fails the scan; string
     columns such as times stay text). Columns not in ``schema`` are dropped.
     """
-    raw = (spark.read.option("header", True)
-           .option("inferSchema", False)
-           .option("mode", "FAILFAST")
-           .csv(path))
-    if arrival:
-        raw = arrival_order(raw)
-    if repair:
-        raw = repair_header(raw)
-    missing = [f.name for f in schema.fields if f.name not in raw.columns]
-    if missing:
-        raise KeyError(f"columns {missing} not found in the header of {path}")
-    cols = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        if not isinstance(f.dataType, T.StringType):
-            c = F.when(F.trim(c) == "", F.lit(None)).otherwise(F.trim(c)).cast(f.dataType)
-        cols.append(c.alias(f.name))
-    if arrival:
-        cols.append(F.col("__arrival"))
-    return raw.select(*cols)
+    frames = []
+    for header, files in _headers(spark, path).items():
+        named = T.StructType([T.StructField(h, T.StringType()) for h in header])
+        raw = (spark.read.schema(named).option("header", True).option("enforceSchema", True)
+               .option("mode", "FAILFAST").csv(files))
+        if arrival:
+            raw = arrival_order(raw)
+        if repair:
+            raw = repair_header(raw)
+        missing = [f.name for f in schema.fields if f.name not in raw.columns]
+        if missing:
+            raise KeyError(f"columns {missing} not found in the header of {files[0]}")
+        cols = []
+        for f in schema.fields:
+            c = F.col(f"`{f.name}`")
+            if not isinstance(f.dataType, T.StringType):
+                c = F.when(F.trim(c) == "", F.lit(None)).otherwise(F.trim(c)).cast(f.dataType)
+            cols.append(c.alias(f.name))
+        if arrival:
+            cols.append(F.col("__arrival"))
+        frames.append(raw.select(*cols))
+    if not frames:
+        raise KeyError(f"no header found in {path}")
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_employees_csv(spark: SparkSession, path: str, by_name: bool = False,

@@ -1,24 +1,27 @@
-"""Parquet tables: ensure, probe, stage-and-publish loads.
+"""Parquet tables: ensure, probe, and all-or-nothing loads.
 
-A stored table is a Parquet folder (or a catalog table for S7/S8). Every
-load first writes its result to a staging folder below the shared
-``spark.checkpoint.dir``, checks it, and only then replaces or extends the
-target from the staged copy. That
+A stored table is a folder that holds one subfolder per version and a pointer
+file naming the current one (or a catalog table for S7/S8). A replacing load
+writes the new version once, next to the old one, and then switches the
+pointer by an atomic rename: a failure at any point before leaves the old
+rows readable, and readers never see a half-written table. The version before
+the current one is kept for readers that are still running; older ones go.
 
-* cuts the lineage (the publish step reads finished files, so a lost executor
-  costs one re-read, not a recomputation of the whole job),
-* allows replacing a table the new content was computed from,
-* leaves the target untouched when the computation fails.
+Loads that compute from the stored rows first write to a staging folder below
+the shared ``spark.checkpoint.dir``. That cuts the lineage (a lost executor
+costs one re-read, not a recomputation) and evaluates the arriving rows once.
 
-A partitioned target is rewritten per partition (dynamic partition
-overwrite): a daily load touches only the (year, month) folders it changes.
+Partitioned writes are rebalanced on the partition columns, so a partition
+gets few files whatever the number of tasks; AQE splits the large ones.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +30,8 @@ from pyspark.sql import types as T
 
 from ..config import scratch_path
 from ..operators.dedupe import normalize_keys
-from ..operators.merge import (latest_keyed, stored_key_columns, upsert, validate_keys,
-                               with_key_columns)
+from ..operators.merge import (latest_keyed, merged_with_flag, stored_key_columns,
+                               validate_keys)
 from ..schemas import ddl
 
 
@@ -44,10 +47,76 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{loc}")
 
 
+POINTER = "_current"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The Hadoop path and its file system (any scheme of the cluster)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _lines(spark: SparkSession, path: str):
+    """A buffered reader over a (possibly compressed) text file."""
+    jvm = spark._jvm
+    p, fs = _hadoop(spark, path)
+    stream = fs.open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()).getCodec(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, None when it is empty."""
+    reader = _lines(spark, path)
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of a table's current version; None when it has no pointer."""
+    p, fs = _hadoop(spark, f"{path.rstrip('/')}/{POINTER}")
+    return first_line(spark, p.toString()) if fs.exists(p) else None
+
+
+def table_folder(spark: SparkSession, path: str) -> str:
+    """Where a table's rows are now."""
+    version = current_version(spark, path)
+    return f"{path.rstrip('/')}/{version}" if version else path
+
+
+def switch_version(spark: SparkSession, path: str, version: str) -> None:
+    """Make ``version`` the current one (atomic rename of the pointer), then
+    delete the versions older than the previous one."""
+    jvm, root = spark._jvm, path.rstrip("/")
+    before = current_version(spark, path)
+    draft, fs = _hadoop(spark, f"{root}/{POINTER}-{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    out.write(bytearray(version.encode()))
+    out.close()
+    target, _ = _hadoop(spark, f"{root}/{POINTER}")
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, target, options)
+    for status in fs.listStatus(_hadoop(spark, root)[0]):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("v-") and name not in (version, before):
+            fs.delete(status.getPath(), True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable Parquet table (S8 for folders)."""
+    here, fs = _hadoop(spark, path)
+    if not fs.exists(here):
+        return False
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing
+        read_table(spark, path).schema  # noqa: B018 - resolves the file listing
         return True
     except AnalysisException:
         return False
@@ -55,7 +124,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Whole-table scan (S4); projections and filters prune at the scan."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(table_folder(spark, path))
 
 
 def run_sql(spark: SparkSession, query: str, views: dict[str, DataFrame] | None = None,
@@ -100,33 +169,31 @@ def _public(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
-def _publish(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] | None) -> None:
-    w = _public(df).write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.parquet(target)
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None):
+    """A writer that leaves few files in each partition folder."""
+    df = _public(df)
+    if not partition_by:
+        return df.write.mode(mode)
+    return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+
+
+def _replace(df: DataFrame, target: str, partition_by: Sequence[str] | None) -> None:
+    """Write a new version of the table and make it the current one."""
+    version = f"v-{uuid.uuid4().hex}"
+    _writer(df, "errorifexists", partition_by).parquet(f"{target.rstrip('/')}/{version}")
+    switch_version(df.sparkSession, target, version)
 
 
 def full_refresh(spark: SparkSession, df: DataFrame, target: str,
                  schema: T.StructType | None = None,
                  partition_by: Sequence[str] | None = None) -> int:
-    """Replace the table with ``df`` (S10/S11): stage, validate, publish.
+    """Replace the table with ``df``, all or nothing.
 
-    The staged rows are cast to ``schema`` by column name (the insert-select
-    by column list). Returns the number of rows loaded.
+    The rows are cast to ``schema`` by column name (the insert-select by column
+    list) and written once. Returns the number of rows loaded.
     """
-    if schema is not None:
-        df = cast_to_schema(df, schema)
-    staged, path = stage(spark, df, "refresh")
-    n = staged.count()
-    if partition_by:
-        # Full refresh replaces every partition, not only the ones written.
-        staged.write.mode("overwrite").partitionBy(*partition_by) \
-            .option("partitionOverwriteMode", "static").parquet(target)
-    else:
-        staged.write.mode("overwrite").parquet(target)
-    discard(spark, path)
-    return n
+    _replace(df if schema is None else cast_to_schema(df, schema), target, partition_by)
+    return read_table(spark, target).count()
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -142,28 +209,40 @@ def full_refresh_table(spark: SparkSession, df: DataFrame, table: str, root: str
                        partition_by: Sequence[str] | None = None) -> int:
     """Full refresh of a catalog table without copying the data.
 
-    The new content is written once, to a fresh folder below ``root``; the
-    table is then pointed at it (``ALTER TABLE ... SET LOCATION``, a catalog
-    metadata change), and the previous folder is deleted. Readers see the
-    old or the new table, never a half-written one, and a failure before
-    the switch leaves the table as it was.
+    The new content is written once, to a fresh folder below ``root``; a failure
+    until then leaves the table as it was. Then the table is pointed at it: its
+    location, the locations of the partitions that stay, and partitions are
+    dropped and added (metadata only, the table is external). The previous
+    folder is kept for readers that are still running, older ones are deleted.
+    Between these statements a reader of a partitioned table may see partitions
+    of both contents.
     """
     if schema is not None:
         df = cast_to_schema(df, schema)
     location = f"{root.rstrip('/')}/{table}-{uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(location)
+    _writer(df, "errorifexists", partition_by).parquet(location)
     written = spark.read.parquet(location)
     n = written.count()
     if table_exists(spark, table):
         old = table_location(spark, table)
+        stored = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] if partition_by else []
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        for spec in stored:
+            there, fs = _hadoop(spark, f"{location}/{spec}")
+            if fs.exists(there):
+                spark.sql(f"ALTER TABLE {table} PARTITION ({_partition_sql(spec)}) "
+                          f"SET LOCATION '{location}/{spec}'")
+            else:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
         if partition_by:
             spark.catalog.recoverPartitions(table)
         spark.catalog.refreshTable(table)
-        discard(spark, old)
+        here, fs = _hadoop(spark, root)
+        keep = {location.rsplit("/", 1)[-1], old.rstrip("/").rsplit("/", 1)[-1]}
+        for status in fs.listStatus(here):
+            name = status.getPath().getName()
+            if re.fullmatch(re.escape(table) + "-[0-9a-f]{32}", name) and name not in keep:
+                fs.delete(status.getPath(), True)
     else:
         parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
@@ -173,15 +252,23 @@ def full_refresh_table(spark: SparkSession, df: DataFrame, table: str, root: str
     return n
 
 
+def _partition_sql(spec: str) -> str:
+    """``year=2020/month=1`` as a PARTITION clause; the default partition is NULL."""
+    out = []
+    for part in spec.split("/"):
+        name, _, value = part.partition("=")
+        value = unquote(value)
+        literal = "null" if value == "__HIVE_DEFAULT_PARTITION__" else "'" + value.replace("'", "\\'") + "'"
+        out.append(f"`{name}`={literal}")
+    return ", ".join(out)
+
+
 def first_load(spark: SparkSession, new: DataFrame, target: str,
                partition_by: Sequence[str] | None = None) -> int:
     """Create the table from the data as it is -- no de-duplication -- and
     report every row as new (S9)."""
-    staged, path = stage(spark, new, "first")
-    n = staged.count()
-    _publish(staged, target, "overwrite", partition_by)
-    discard(spark, path)
-    return n
+    _replace(new, target, partition_by)
+    return read_table(spark, target).count()
 
 
 @dataclass
@@ -198,18 +285,17 @@ class StagedAppend:
         """Write the staged rows to the target, then drop the staging folder
         (``rows`` is unusable afterwards)."""
         if self.first:
-            _publish(self.rows, self.target, "overwrite", self.partition_by)
+            _replace(self.rows, self.target, self.partition_by)
         elif self.count:
-            w = self.rows.write.mode("append")
-            if self.partition_by:
-                w = w.partitionBy(*self.partition_by)
-            w.parquet(self.target)
+            _writer(self.rows, "append", self.partition_by).parquet(
+                table_folder(self.rows.sparkSession, self.target))
         discard(self.rows.sparkSession, self.path)
         return self.count
 
 
 # Largest broadcast of batch keys, as a bound computed from the row count and
-# fixed key widths (hash-relation overhead included), not an estimate.
+# fixed key widths (hash-relation overhead included), not an estimate. It picks
+# the join's plan; the rows are the same either way.
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
 
 
@@ -285,46 +371,30 @@ def append_load(spark: SparkSession, new: DataFrame, target: str,
     return append_rows(spark, new, target, keys, sequence, partition_by)[0]
 
 
-# Most partition values turned into a static partition filter.
-MAX_PARTITION_FILTER = 10_000
-
-
-def _sql_literal(v) -> str | None:
-    import datetime as dt
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, int):
-        return str(v)
-    if isinstance(v, dt.date) and not isinstance(v, dt.datetime):
-        return f"DATE'{v.isoformat()}'"
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return None
-
-
 def _touched_partitions(existing: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
-    """Stored rows in the partitions ``new`` touches.
+    """Stored rows in the partitions that the (staged) rows ``new`` touch.
 
-    The distinct partition values of the batch are counted first; up to
-    ``MAX_PARTITION_FILTER`` of them become a predicate on the partition
-    columns, so only those folders are listed and read. Otherwise the stored
-    table is semi-joined with the values (correct, but it reads every
-    partition).
+    Partition values are joined, those without NULL by equality, so that Spark
+    prunes the scan at run time, and those with a NULL NULL-safely. The smallest
+    and largest values bound the scan when it is planned.
     """
-    touched = new.select(*cols).dropDuplicates()
-    if touched.count() <= MAX_PARTITION_FILTER:
-        terms = []
-        for row in touched.collect():
-            lits = [_sql_literal(row[c]) for c in cols]
-            if any(x is None for x in lits):
-                terms = None
-                break
-            terms.append("(" + " AND ".join(f"`{c}` <=> {x}" for c, x in zip(cols, lits)) + ")")
-        if terms is not None:
-            return existing.filter(" OR ".join(terms) if terms else "false")
-    return existing.join(touched, cols, "left_semi")
+    touched = new.select(*cols).distinct()
+    null = F.lit(False)
+    for c in cols:
+        null = null | F.col(c).isNull()
+    ends = touched.agg(F.count_if(null).alias("nulls"), *[f(F.when(~null, F.col(c))).alias(f"{n}_{c}")
+                       for c in cols for n, f in (("low", F.min), ("high", F.max))]).first()
+    inside = ~null
+    for c in cols:
+        inside = inside & F.col(c).between(F.lit(ends[f"low_{c}"]), F.lit(ends[f"high_{c}"]))
+    rows = existing.where(inside).join(touched.where(inside), cols, "left_semi")
+    if ends["nulls"]:
+        some = touched.where(null).select(*[F.col(c).alias(f"__t_{c}") for c in cols])
+        same = F.lit(True)
+        for c in cols:
+            same = same & F.col(c).eqNullSafe(F.col(f"__t_{c}"))
+        rows = rows.unionByName(existing.where(null).join(some, same, "left_semi"))
+    return rows
 
 
 def upsert_load(spark: SparkSession, new: DataFrame, target: str,
@@ -332,25 +402,34 @@ def upsert_load(spark: SparkSession, new: DataFrame, target: str,
                 partition_by: Sequence[str] | None = None) -> int:
     """Keyed upsert (S14); returns the number of rows whose key was new.
 
-    With ``partition_by`` (which must be part of the key) only partitions the
-    arriving rows touch are read, merged and rewritten.
+    ``new`` is staged and so evaluated once. With ``partition_by`` (which must
+    be part of the key) only partitions the arriving rows touch are read, merged
+    and rewritten (dynamic partition overwrite); otherwise the table is replaced.
     """
     keys = normalize_keys(keys)
+    if partition_by and not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the upsert key")
     if not path_exists(spark, target):
         return first_load(spark, new, target, partition_by)
+    arriving, arriving_path = stage(spark, new, "arriving")
     existing = read_table(spark, target)
     if partition_by:
-        if not set(partition_by) <= set(keys):
-            raise ValueError("partition columns must be part of the upsert key")
-        existing = _touched_partitions(existing, new, list(partition_by))
-    merged, cols = with_key_columns(
-        upsert(existing, _public(new).select(*existing.columns), keys, sequence), keys)
-    stored, _ = with_key_columns(existing.select(*keys), keys)
-    flagged = merged.join(stored.select(*cols).dropDuplicates().withColumn("__stored", F.lit(True)),
-                          cols, "left").drop(*cols)
-    staged, path = stage(spark, flagged, "upsert")
-    n_new = staged.filter(F.col("__stored").isNull()).count()
-    _publish(staged.drop("__stored").select(*existing.columns), target,
-             "overwrite", partition_by)
+        # Values of partition folders are read with an inferred type.
+        existing = existing.select(*[
+            F.col(c).cast(arriving.schema[c].dataType).alias(c) if c in partition_by else F.col(c)
+            for c in existing.columns])
+        existing = _touched_partitions(existing, arriving, list(partition_by))
+    # A sequence column that is not stored still orders the arriving rows.
+    extra = [c for c in normalize_keys(sequence or []) if c not in existing.columns] if sequence else []
+    merged = merged_with_flag(existing, arriving.select(*existing.columns, *extra), keys, sequence,
+                              "__new")
+    staged, path = stage(spark, merged, "upsert")
+    n_new = staged.where("__new").count()
+    if partition_by:
+        (_writer(staged, "overwrite", partition_by).option("partitionOverwriteMode", "dynamic")
+         .parquet(table_folder(spark, target)))
+    else:
+        _replace(staged, target, None)
     discard(spark, path)
+    discard(spark, arriving_path)
     return n_new

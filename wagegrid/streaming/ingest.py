@@ -14,6 +14,7 @@ is stored are skipped -- the load is idempotent.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Sequence
 
@@ -29,17 +30,20 @@ from ..sources.tables import append_rows
 
 def stream_checkpoint(spark: SparkSession, target: str) -> str:
     """A stable checkpoint location for the stream that loads ``target``."""
-    name = re.sub(r"[^A-Za-z0-9_.-]+", "_", target.strip("/"))[-120:]
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    # A readable stem; the hash of the whole path tells targets apart.
+    stem = re.sub(r"[^A-Za-z0-9_.-]+", "_", target.rstrip("/").rsplit("/", 1)[-1])[:40]
+    digest = hashlib.sha256(target.encode()).hexdigest()
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{stem}-{digest}"
 
 
 def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
-                   max_files_per_trigger: int | None = 1) -> DataFrame:
+                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Typed, positional CSV stream of a landing folder, with file metadata.
 
-    One file per micro-batch (the default) mirrors one scheduled run per
-    delivered file; larger values batch files, and keep-last inside a batch
-    then follows the arrival order (modification time, path, position).
+    By default a micro-batch takes all files that have arrived, so the stored
+    keys are looked up once for all; keep-last inside a batch follows the
+    arrival order (modification time, path, position). One file per micro-batch
+    mirrors one scheduled run per delivered file.
     """
     reader = (spark.readStream.schema(schema)
               .option("header", True)
@@ -54,7 +58,7 @@ def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
 
 def ingest(spark: SparkSession, landing: str, schema: T.StructType, target: str,
            keys: Sequence[str] | str, partition_by: Sequence[str] | None = None,
-           checkpoint: str | None = None, max_files_per_trigger: int | None = 1,
+           checkpoint: str | None = None, max_files_per_trigger: int | None = None,
            available_now: bool = True) -> StreamingQuery:
     """Start the incremental extract of ``landing`` into the table ``target``.
 
