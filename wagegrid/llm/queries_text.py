@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid
+from . import chat, langid, pieces
 from .packing import pack
 from .simhash import near_duplicates
 from .suffix import remove_repeats
@@ -13,6 +13,7 @@ from .tokens import count_tokens
 
 # Parameters of the registered queries.
 COUNT_TOKENIZER = "word_bpe_49k.json"
+PIECES_MODEL = "piece_bpe_32k.model"
 PACK_TOKENIZER = "byte_bpe_50k.json"
 SEQ_LEN = 2048
 
@@ -50,6 +51,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, tokenizer_path(COUNT_TOKENIZER), limit=2048)
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document text encoded, verified and decoded again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    path = tokenizer_path(PIECES_MODEL)
+    back = pieces.decode(pieces.encode(docs, path), path)
+    return back.select("doc_id", "n_bytes", "n_tokens", F.crc32("ids").alias("ids_crc32"), "parity",
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
