@@ -35,7 +35,7 @@ def test_a_wrong_merge_is_noticed_and_corrected():
     for p in model["pieces"]:
         p["score"] = -p["score"]
     codec.library = pieces.rebuild(model)
-    texts = ["the thing and the other", "a"]
+    texts = ["reconsideration ononedth unbelievably thinninghe administrations", "a"]
     ids, same = codec.encode(texts)
     assert [x.tolist() for x in ids] == judge.encode(texts) and not same[0]
 
