@@ -157,9 +157,9 @@ def test_smallest_documents_brute_force():
         for t, d in zip(texts, first.tolist()):
             for k in range(len(t) - 5):
                 least[t[k:k + 6]] = min(least.get(t[k:k + 6], 999), d)
-        got = suffix.smallest_documents(texts, first, 6)
-        for t, g in zip(texts, got):
-            assert g.tolist() == [least[t[k:k + 6]] for k in range(len(t) - 5)]
+        got, count = suffix.smallest_documents(texts, first, 6)
+        assert count.tolist() == [len(t) - 5 for t in texts]
+        assert got.tolist() == [least[t[k:k + 6]] for t in texts for k in range(len(t) - 5)]
 
 
 def plain_cut(rows, width=50):

@@ -122,16 +122,16 @@ def _order_names(names: np.ndarray, depth: int) -> np.ndarray:
     while True:
         top = int(rank.max())
         if top == len(rank) - 1 or 2 * step > depth:
-            return np.argsort(rank, kind="stable")
+            return np.argsort(rank)
         key = (rank + 1) * (top + 2)
         key[:-step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         step *= 2
         new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         rank = np.empty_like(rank)
         rank[order] = new
         if step >= len(rank):
-            return np.argsort(rank, kind="stable")
+            return np.argsort(rank)
 
 
 def suffix_array(text: np.ndarray, depth: int = 1 << 62) -> np.ndarray:

@@ -322,9 +322,11 @@ def _parse_segments(body: bytes):
     return bits, lo, hi, [body[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
 
 
-def smallest_documents(texts: list[bytes], first: np.ndarray, width: int) -> list[np.ndarray]:
-    """For every window of every text the smallest ``first`` of all texts that
-    hold the window, by one suffix array over all of them."""
+def smallest_documents(texts: list[bytes], first: np.ndarray, width: int
+                       ) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of every text (one text after the other) the smallest
+    ``first`` of all texts that hold the window, by one suffix array over all of
+    them; and the number of windows of each text."""
     size = np.array([len(t) for t in texts], np.int64)
     raw = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
     begin = np.cumsum(size + 1) - size - 1
@@ -335,15 +337,19 @@ def smallest_documents(texts: list[bytes], first: np.ndarray, width: int) -> lis
     owner = np.repeat(np.arange(len(texts)), size + 1)
     starts = np.zeros(len(text), bool)
     count = size - width + 1
-    within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    at = np.repeat(begin, count) + within
+    at = np.repeat(begin, count) + _ranges(count)
     starts[at] = True
     array = array[starts[array]]  # no other suffix has width bytes in common
     alike = permuted_lcp(text, array, width)[array] >= width
     least = np.minimum.reduceat(first[owner[array]], np.flatnonzero(~alike))
     out = np.empty(len(text), np.int64)
     out[array] = least[np.cumsum(~alike) - 1]
-    return np.split(out[at], np.cumsum(count)[:-1])
+    return out[at], count
+
+
+def _ranges(count: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each count, one after the other."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
 def _sort_shards(width: int):
@@ -351,25 +357,28 @@ def _sort_shards(width: int):
     smallest document is smaller than the segment's largest in the group."""
     def close(bucket, rows):
         number: dict[bytes, int] = {}
-        least, hashes = [], []
-        entries = []  # group, segment, largest document in the group
+        parts = []  # per group: segment, smallest and largest document in the group
+        hashes, lows = [], []
         for g, body in rows:
             bits, lo, hi, texts = _parse_segments(body)
-            for b, a, z, t in zip(bits.tolist(), lo.tolist(), hi.tolist(), texts):
-                n = number.get(t)
-                if n is None:
-                    number[t] = n = len(least)
-                    least.append(a)
-                    hashes.append(b)
-                elif a < least[n]:
-                    least[n] = a
-                entries.append((g, n, z))
-        texts, first = list(number), np.array(least, np.int64)
-        hashes = np.array(hashes, np.uint32)
-        runs: list = [None] * len(texts)  # None: one run of the segment's own document
+            known = len(number)
+            seg = np.fromiter((number.setdefault(t, len(number)) for t in texts), np.int64, len(texts))
+            new = seg >= known
+            hashes.append(bits[new])
+            lows.append((seg, lo))
+            parts.append((np.full(len(seg), g), seg, hi))
+        texts, hashes = list(number), np.concatenate(hashes)
+        first = np.full(len(texts), np.iinfo(np.int64).max)
+        for seg, lo in lows:
+            np.minimum.at(first, seg, lo)
+        # Runs of each segment; one alone under its hash has a single one.
+        runs, begin, doc = np.ones(len(texts), np.int64), [], []
         _, at, kinds = np.unique(hashes, return_inverse=True, return_counts=True)
+        single = np.flatnonzero(kinds[at] == 1)
         several = np.flatnonzero(kinds[at] > 1)
         several = several[np.argsort(hashes[several], kind="stable")]
+        begin.append(np.zeros(len(single), np.int64))
+        doc.append(first[single])
         # Equal windows share the hash, so text may be sorted hash by hash.
         size = np.cumsum(np.array([len(texts[k]) for k in several], np.int64))
         part = 0
@@ -379,29 +388,33 @@ def _sort_shards(width: int):
             while end < len(several) and hashes[several[end]] == hashes[several[end - 1]]:
                 end += 1
             some = several[part:end]
-            docs = smallest_documents([texts[k] for k in some], first[some], width)
-            for k, d in zip(some.tolist(), docs):
-                edge = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1])
-                runs[k] = (edge, d[edge])
+            least, count = smallest_documents([texts[k] for k in some], first[some], width)
+            within = _ranges(count)
+            new = within == 0
+            new[1:] |= least[1:] != least[:-1]
+            begin.append(within[new])
+            doc.append(least[new])
+            runs[some] = np.add.reduceat(new, np.cumsum(count) - count)
             part = end
-        by_group: dict[int, list] = {}
-        digest = [xxhash.xxh3_64_intdigest(t) for t in texts]
-        for g, n, z in entries:
-            if runs[n] is None:
-                if least[n] < z:
-                    by_group.setdefault(g, []).append((n, np.zeros(1, np.int64), first[n:n + 1]))
-            elif runs[n][1].min() < z:
-                by_group.setdefault(g, []).append((n, *runs[n]))
+        order = np.concatenate([single, several])
+        start = np.empty(len(texts), np.int64)
+        start[order] = np.cumsum(runs[order]) - runs[order]
+        begin, doc = np.concatenate(begin), np.concatenate(doc)
+        lowest = np.empty(len(texts), np.int64)
+        lowest[order] = np.minimum.reduceat(doc, start[order])
+        digest = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
+        g, seg, high = (np.concatenate(c) for c in zip(*parts))
+        told = lowest[seg] < high
+        g, seg = g[told], seg[told]
         out = []
-        for g, found in by_group.items():
-            seg = np.array([f[0] for f in found])
-            count = np.array([len(f[1]) for f in found], np.uint16)
-            begin = np.concatenate([f[1] for f in found]).astype(np.uint16)
-            doc = np.concatenate([f[2] for f in found])
-            head = np.array([len(seg), len(begin)], np.uint32)
-            out.append((bucket, g, head.tobytes() + hashes[seg].tobytes()
-                        + np.array([digest[k] for k in seg], np.uint64).tobytes()
-                        + count.tobytes() + begin.tobytes() + doc.tobytes()))
+        for x, y in zip(*_edges(g)):
+            some = seg[x:y]
+            n = runs[some]
+            row = np.repeat(start[some], n) + _ranges(n)
+            head = np.array([len(some), len(row)], np.uint32)
+            out.append((bucket, int(g[x]), head.tobytes() + hashes[some].tobytes()
+                        + digest[some].tobytes() + n.astype(np.uint16).tobytes()
+                        + begin[row].astype(np.uint16).tobytes() + doc[row].tobytes()))
         return _table(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,6 +422,12 @@ def _sort_shards(width: int):
     return run
 
 
+def _edges(values: np.ndarray) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs of equal values."""
+    at = (np.flatnonzero(np.diff(values)) + 1).tolist()
+    return ([0] + at, at + [len(values)]) if len(values) else ([], [])
+
+
 class _Found:
     """What the shards told a group: per segment digest, runs of windows."""
 
@@ -557,11 +576,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     hashes = together(lean, None).mapInArrow(_find_hashes(width, buckets), ROWS)
     shared = store(dealt(hashes).mapInArrow(_shared_hashes, ROWS), "suffix-hashes")
-    segments = store(together(lean, shared).mapInArrow(_segments(width, buckets), ROWS),
-                     "suffix-segments")
-    discard(shared)
+    segments = together(lean, shared).mapInArrow(_segments(width, buckets), ROWS)
     found = store(dealt(segments).mapInArrow(_sort_shards(width), ROWS), "suffix-found")
-    discard(segments)
+    discard(shared)
     kind = rows.schema["rest"].dataType.simpleString()
     return together(rows, found).mapInArrow(
         _cut(width, buckets),
