@@ -5,12 +5,12 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
+from wagegrid.plans import oracle, queries
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = queries.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
