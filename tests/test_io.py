@@ -172,6 +172,16 @@ def test_failure_before_the_switch_keeps_the_old_rows(spark, scratch, monkeypatc
     assert tables.read_table(spark, target).count() == 2
 
 
+def test_a_first_version_counts_only_once_published(spark, scratch):
+    target = scratch("staged")
+    df = spark.createDataFrame([(1, D(2020, 1, 1)), (2, None)], "k int, date date")
+    lost = tables.stage_append(spark, df, target, "k", "k", ["date"])
+    assert lost.first and not tables.path_exists(spark, target)
+    again = tables.stage_append(spark, df, target, "k", "k", ["date"])
+    assert again.first and again.publish() == 2
+    assert tables.read_table(spark, target).count() == 2
+
+
 def test_partitioned_writes_leave_few_files(spark, scratch):
     target = scratch("files")
     df = spark.range(0, 4000, 1, 16).selectExpr("id", "date_add(DATE'2020-01-01', CAST(id % 20 AS INT)) AS date")

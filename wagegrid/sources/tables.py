@@ -115,6 +115,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     here, fs = _hadoop(spark, path)
     if not fs.exists(here):
         return False
+    if fs.exists(_hadoop(spark, f"{path.rstrip('/')}/{POINTER}")[0]):
+        return True
+    if any(f.isDirectory() and f.getPath().getName().startswith("v-") for f in fs.listStatus(here)):
+        return False  # a first version that was never made current
     try:
         read_table(spark, path).schema  # noqa: B018 - resolves the file listing
         return True
@@ -275,21 +279,22 @@ def first_load(spark: SparkSession, new: DataFrame, target: str,
 class StagedAppend:
     """Rows staged for an append-new-keys load, not yet published."""
     target: str
-    rows: DataFrame          # re-read from the staging folder
-    path: str                # the staging folder
+    rows: DataFrame          # re-read from where they are staged
+    path: str                # the staging folder, or the first version's name
     count: int
     first: bool              # the target does not exist yet
     partition_by: Sequence[str] | None = None
 
     def publish(self) -> int:
-        """Write the staged rows to the target, then drop the staging folder
-        (``rows`` is unusable afterwards)."""
+        """Make the first version current, or append the staged rows to the
+        target and drop the staging folder."""
+        spark = self.rows.sparkSession
         if self.first:
-            _replace(self.rows, self.target, self.partition_by)
-        elif self.count:
-            _writer(self.rows, "append", self.partition_by).parquet(
-                table_folder(self.rows.sparkSession, self.target))
-        discard(self.rows.sparkSession, self.path)
+            switch_version(spark, self.target, self.path)
+            return self.count
+        if self.count:
+            _writer(self.rows, "append", self.partition_by).parquet(table_folder(spark, self.target))
+        discard(spark, self.path)
         return self.count
 
 
@@ -324,8 +329,12 @@ def stage_append(spark: SparkSession, new: DataFrame, target: str,
     shuffled for a sort-merge anti join.
     """
     if not path_exists(spark, target):
-        staged, path = stage(spark, _public(new), "first")
-        return StagedAppend(target, staged, path, staged.count(), True, partition_by)
+        # Written once, as a version that becomes current when published.
+        version = f"v-{uuid.uuid4().hex}"
+        folder = f"{target.rstrip('/')}/{version}"
+        _writer(new, "errorifexists", partition_by).parquet(folder)
+        staged = spark.read.parquet(folder).select(*_public(new).columns)
+        return StagedAppend(target, staged, version, staged.count(), True, partition_by)
     existing = read_table(spark, target)
     keys = validate_keys(new, existing, keys)
     latest, cols = latest_keyed(new, keys, sequence)
