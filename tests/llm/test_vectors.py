@@ -58,6 +58,10 @@ def test_hnsw_recall_ties_and_scores(llm, cloud, shard_size):
         for r in rows:
             assert abs(r.score - cos[q][r.vec_id]) < 1e-9
     assert hits / (5 * len(queries)) >= 0.95
+    asked = df.where("vec_id % 50 = 0 AND vec_id < 5000")
+    found = llm.createDataFrame(got)
+    assert hnsw.audit_recall(df, asked, found) >= 0.95
+    assert hnsw.audit_recall(df, asked, found.where("rank <= 2")) == pytest.approx(0.4, abs=0.05)
 
 
 def test_hnsw_few_rows(llm):
@@ -81,6 +85,7 @@ def test_near_duplicates_brute_force(llm, cloud, shard_size):
     true = near.sum(axis=1)
     found = np.array([got[k].n_links for k in range(len(cloud))])
     assert (found <= true).all() and found.sum() >= 0.97 * true.sum()
+    assert vecdedup.audit_recall(df.where("vec_id < 5000"), llm.createDataFrame(list(got.values()))) >= 0.97
     for k in (5000, 5001, 5002, 5003):
         assert (got[k].n_links, got[k].component_id, got[k].kept) == (0, k, True)
     assert got[5004].n_links == got[5005].n_links == 1 and got[5005].component_id == 5004

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .graphs import beam_search, build, unit
 from .shared import store
-from .vectors import as_matrix, norms, spread, valid
+from .vectors import as_matrix, exact_neighbours, norms, spread, valid
 
 INDEX = ("shard int, dim int, ids array<bigint>, vectors binary, level_sizes array<int>, "
          "nodes binary, degrees array<int>, neighbours binary")
@@ -186,3 +186,13 @@ def _nearest(q_ids, q, ids, vecs, x, nodes, graphs, k: int, width: int) -> pa.Re
     return pa.RecordBatch.from_arrays(
         [pa.array(q_ids[owner[keep]]), pa.array(ids[point[keep]]), pa.array(score[keep])],
         names=["query_id", "vec_id", "score"])
+
+
+def audit_recall(vectors: DataFrame, queries: DataFrame, found: DataFrame, k: int = 5) -> float:
+    """Share of the ``k`` nearest (by brute force, over at most 1024 queries)
+    that ``found``, a result of ``search``, has. 1.0 without queries."""
+    true = exact_neighbours(vectors, queries, k=k).select("query_id", "vec_id")
+    row = (true.join(found.select("query_id", "vec_id", F.lit(1).alias("hit")),
+                     ["query_id", "vec_id"], "left")
+           .agg(F.count("*").alias("n"), F.count("hit").alias("hits")).first())
+    return row["hits"] / row["n"] if row["n"] else 1.0

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .components import connected_components, forest
 from .graphs import beam_search, build, unit
 from .shared import store
-from .vectors import as_matrix, norms, spread, takes_part, valid
+from .vectors import as_matrix, exact_neighbours, norms, spread, takes_part, valid
 
 SLACK = 1e-5  # float32 graph distances against the limit in double precision
 QUERY_BLOCK = 1024
@@ -306,3 +306,17 @@ def _search_unit(row: dict, limit: float, width: int) -> pa.RecordBatch:
     every = [np.concatenate(c) for c in zip(*cols)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in every], names=[
         c.split()[0] for c in FOUND.split(", ")])
+
+
+def audit_recall(vectors: DataFrame, found: DataFrame, limit: float = 0.95, sample: int = 512,
+                 id_col: str = "vec_id", vector_col: str = "embedding") -> float:
+    """Share of the true links of ``sample`` rows that ``found``, a result of
+    ``near_duplicates``, counts. Of rows with links the ones with the smallest id
+    hashes are drawn, filled up with others. 1.0 where there are no links."""
+    linked = found.orderBy((F.col("n_links") == 0), F.xxhash64(id_col), id_col).limit(sample)
+    drawn = vectors.join(linked.select(id_col).distinct(), id_col, "left_semi")
+    true = (exact_neighbours(vectors, drawn, limit=limit, id_col=id_col, vector_col=vector_col)
+            .groupBy("query_id").agg(F.count("*").alias("n")))
+    row = (linked.join(true, linked[id_col] == true["query_id"], "left")
+           .agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.sum("n_links").alias("hits")).first())
+    return row["hits"] / row["n"] if row["n"] else 1.0

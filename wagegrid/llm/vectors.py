@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -46,3 +49,46 @@ def spread(spark: SparkSession, units: int) -> int:
     """Tasks for so many heavy units of work: one each, up to four times the
     session's shuffle partitions."""
     return max(1, min(units, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def exact_neighbours(vectors: DataFrame, queries: DataFrame, k: int | None = None,
+                     limit: float | None = None, id_col: str = "vec_id",
+                     vector_col: str = "embedding", most: int = 1024) -> DataFrame:
+    """Brute force for an audit: ``query_id, vec_id, score`` of each query's ``k``
+    nearest other ids, or of all with a cosine of at least ``limit``.
+
+    ``queries`` (``most`` at most, else an error) go to every task; all rows are
+    compared with them in blocks.
+    """
+    asked = valid(queries, id_col, vector_col).limit(most + 1).collect()
+    if len(asked) > most:
+        raise ValueError(f"more than {most} queries")
+    q_ids = np.array([r["id"] for r in asked], np.int64)
+    q = np.array([r["vec"] for r in asked], np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                ids, x = part.column("id").to_numpy(), as_matrix(part.column("vec"))
+                score = (q / norms(q)[:, None]) @ (x / norms(x)[:, None]).T
+                score[q_ids[:, None] == ids[None, :]] = -2.0
+                if limit is None:  # this block's best can be among the nearest
+                    n = min(k, len(ids))
+                    col = np.argpartition(-score, n - 1, axis=1)[:, :n].ravel()
+                    row = np.repeat(np.arange(len(q)), n)
+                    row, col = row[score[row, col] > -2], col[score[row, col] > -2]
+                else:
+                    row, col = np.nonzero(score >= limit)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(q_ids[row]), pa.array(ids[col]), pa.array(score[row, col])],
+                    names=["query_id", "vec_id", "score"])
+
+    if not len(q):
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double")
+    pairs = (valid(vectors, id_col, vector_col).where(F.size("vec") == q.shape[1])
+             .mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
+    if limit is not None:
+        return pairs
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return pairs.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).drop("n")
