@@ -44,6 +44,12 @@ def test_fingerprints_plain():
         assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
 
 
+def test_fingerprints_of_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(simhash, "PART", 7)
+    for text in ("", "a", "a b", "one two three four five six", "x" * 50 + " y z w", "a b c  d " * 30):
+        assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
 def test_fingerprint_hash_is_sparks(llm):
     row = llm.sql("select xxhash64('one two three é') h").first()
     assert row.h % 2 ** 64 == xxhash.xxh64_intdigest("one two three é".encode(), 42)

@@ -52,6 +52,19 @@ def test_stability_is_proven_not_assumed():
         assert stable_spaces(config) is None
 
 
+def test_long_texts_are_worked_on_in_parts(monkeypatch):
+    from wagegrid.llm import tokens
+    monkeypatch.setattr(tokens, "PART", 50)
+    for name in FILES:
+        path = public_tokenizers.path(name)
+        enc, lib = Encoder(path), tokenizers.Tokenizer.from_file(path)
+        texts = [*TRICKY, "one two\nthree  four five's " * 40]
+        want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+        flat, n = enc.encode(texts)
+        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == want
+        assert enc.counts(texts).tolist() == [len(w) for w in want]
+
+
 def test_words_are_forgotten_but_ids_stay_right(monkeypatch):
     from wagegrid.llm import tokens
     monkeypatch.setattr(tokens, "MAX_WORDS", 5)
@@ -260,6 +273,17 @@ def test_probabilities_sum_to_one():
         assert np.allclose(np.exp(model.log_probs(keys)).sum(axis=0), 1, atol=1e-4)
 
 
+def test_long_texts_are_scored_in_parts(monkeypatch):
+    model = langid.train({"x": ["abra cadabra abba"] * 2, "y": ["zyx zyz"] * 2})
+    numbers = model.numbers()
+    texts = ["abra " * 40, "", "zyx", "12 ", "x" * 130]
+    whole = model.entropies(texts, numbers)
+    monkeypatch.setattr(langid, "PART", 64)
+    parts = model.entropies(texts, numbers)
+    assert parts[2].tolist() == whole[2].tolist() and np.allclose(parts[0], whole[0], atol=0.3)
+    assert [r[0] for r in model.predict(texts, numbers)] == ["x", "und", "y", "und", "y"]
+
+
 def test_language_query(llm, queries):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.lang for r in llm.read.parquet(f"{sf}/documents.parquet").collect()}

@@ -35,6 +35,7 @@ from .tokens import slices
 ORDER = 4
 SPACE, UNKNOWN = 0, 1  # numbers of the blank and of letters never learned
 UNDETERMINED = "und"
+PART = 1 << 18  # characters scored at a time
 
 
 def _letters() -> np.ndarray:
@@ -122,17 +123,42 @@ class Model:
 
     def entropies(self, texts: list[str], numbers: np.ndarray
                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per text: cross-entropy under each language, characters, letters."""
+        """Per text: cross-entropy under each language, characters, letters.
+
+        A text longer than ``PART`` is scored in parts of that size, each of
+        which begins like a text.
+        """
+        cuts = [max(1, -(-len(t) // PART)) for t in texts]
+        parts = [t[k * PART:(k + 1) * PART] for t, c in zip(texts, cuts) for k in range(c)]
+        total, n, letters, at = [], [], [], 0
+        while at < len(parts):  # bounded arrays
+            end, size = at, 0
+            while end < len(parts) and (end == at or size + len(parts[end]) <= PART):
+                size += len(parts[end])
+                end += 1
+            for held, more in zip((total, n, letters), self._totals(parts[at:end], numbers)):
+                held.append(more)
+            at = end
+        first = np.cumsum(cuts) - cuts
+        total, n, letters = (np.add.reduceat(np.concatenate(x), first, axis=0)
+                             for x in (total, n, letters))
+        return -total / np.maximum(n, 1)[:, None], n, letters
+
+    def _totals(self, texts: list[str], numbers: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: summed log probabilities, characters, letters."""
         codes, begin, letters = _codes(texts, numbers)
         at = np.ones(len(codes), bool)
         for k in range(ORDER - 1):
             at[begin + k] = False
-        total = np.zeros((len(codes) + 1, len(self.langs)))
-        total[1:][at] = self.log_probs(_keys(codes, np.flatnonzero(at)))
-        total = np.cumsum(total, axis=0)
-        ends = np.append(begin[1:], len(codes))
-        n = ends - begin - (ORDER - 1)
-        return -(total[ends] - total[begin]) / np.maximum(n, 1)[:, None], n, letters
+        n = np.append(begin[1:], len(codes)) - begin - (ORDER - 1)
+        total = np.zeros((len(texts), len(self.langs)))
+        some = n > 0
+        if some.any():
+            first = (np.cumsum(n) - n)[some]
+            total[some] = np.add.reduceat(
+                self.log_probs(_keys(codes, np.flatnonzero(at))).astype(np.float64), first, axis=0)
+        return total, n, letters
 
     def predict(self, texts: list[str], numbers: np.ndarray
                 ) -> list[tuple[str, float, float, bool]]:

@@ -26,13 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import _BOUNDARY, _Words, slices
+from .tokens import _Words, boundaries, slices
 
 # Fixed values of the SentencePiece model format.
 MARK = "▁"  # stands for a space
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PIECE, CONTROL_PIECE, USER_PIECE = 2, 3, 4
 THREADS = 2
+LONG = 1 << 20  # characters; longer texts are encoded part by part
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -187,13 +188,16 @@ class Codec:
             self.equal = [np.concatenate(self.equal)[:len(self.words)]]
         number, rows = self.words.__getitem__, []
         for text in texts:
+            if len(text) > LONG:
+                rows.append(None)
+                continue
             parts = text.split(" ")
             rows.append(np.fromiter(map(number, parts), np.int64, len(parts)))
         self._learn()
         self.equal = [np.concatenate(self.equal)]
         out, equal = [], []
         for text, row in zip(texts, rows):
-            if row.min() < 0 or MARK in text:
+            if row is None or row.min() < 0 or MARK in text:
                 ids, same = self._pieces(text)
             else:
                 ids, same = self.words.flat.ids_of(row), bool(self.equal[0][row].all())
@@ -206,15 +210,18 @@ class Codec:
         between proven boundaries; the model's prefix stands for their spaces."""
         if not text:
             return np.zeros(0, np.int32), True
-        at = [m.start() for m in _BOUNDARY.finditer(text)
-              if text[m.start() - 1] != MARK and text[m.end()] != MARK]
         parts, begin = [], 0
-        for a in at:
-            if a - begin >= 400:
+        for a in boundaries(text, 400):
+            if text[a - 1] != MARK and text[a + 1] != MARK:
                 parts.append(text[begin:a])
                 begin = a + 1
-        ids, same = self._verified([*parts, text[begin:]])
-        return np.concatenate([np.array(x, np.int32) for x in ids]), all(same)
+        parts.append(text[begin:])
+        out, equal = [], True
+        for k in range(0, len(parts), 4096):
+            ids, same = self._verified(parts[k:k + 4096])
+            out += [np.array(x, np.int32) for x in ids]
+            equal = equal and all(same)
+        return np.concatenate(out), equal
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.library.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)

@@ -16,6 +16,7 @@ compared is bounded and nothing is dropped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +32,23 @@ from .tokens import slices
 SEED = 42
 BITS, SEGMENT = 64, 32
 PROBES = 65536  # fingerprints turned into probes at a time
+PART = 1 << 20  # bytes of a text worked on at a time
 
 
-def fingerprint(text: bytes, shingle: int = 3) -> int:
-    """SimHash of UTF-8 text: words of lower-cased (A-Z) text between ASCII white
-    space, ``shingle`` in a row, repeats counted. Without a word: 0."""
-    words = text.lower().split()  # bytes: exactly A-Z and the six white-space bytes
-    if not words:
-        return 0
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _text_parts(text: bytes) -> Iterator[bytes]:
+    """A text cut at white space into parts of at least ``PART`` bytes."""
+    begin = 0
+    while len(text) - begin > PART and (m := _SPACE.search(text, begin + PART)):
+        yield text[begin:m.start()]
+        begin = m.end()
+    yield text[begin:] if begin else text
+
+
+def _ones(words: list[bytes], shingle: int) -> tuple[np.ndarray, int]:
+    """How many shingles' hashes have each bit, and the number of shingles."""
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(size) - 1
@@ -46,15 +56,23 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     last = ends[min(shingle, len(words)) - 1:][:n].tolist()
     first = (ends - size + 1)[:n].tolist()
     h64 = xxhash.xxh64_intdigest
-    ones, at = np.zeros(BITS, np.int64), 0
-    while at < n:  # long texts: bounded arrays
-        upto = min(at + PROBES, n)
-        h = np.array([h64(joined[a:b], SEED) for a, b in zip(first[at:upto], last[at:upto])],
-                     np.uint64)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-        at = upto
-    return sum(1 << k for k in np.flatnonzero(2 * ones > n).tolist())
+    h = np.array([h64(joined[a:b], SEED) for a, b in zip(first, last)], np.uint64)
+    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64), n
+
+
+def fingerprint(text: bytes, shingle: int = 3) -> int:
+    """SimHash of UTF-8 text: words of lower-cased (A-Z) text between ASCII white
+    space, ``shingle`` in a row, repeats counted. Without a word: 0."""
+    ones, n, held = np.zeros(BITS, np.int64), 0, []
+    for part in _text_parts(text):
+        held += part.lower().split()  # bytes: exactly A-Z and the six white-space bytes
+        if len(held) >= shingle:
+            more, k = _ones(held, shingle)
+            ones, n, held = ones + more, n + k, held[len(held) - shingle + 1:]
+    if not n and held:
+        ones, n = _ones(held, shingle)
+    return sum(1 << k for k in np.flatnonzero(2 * ones > n).tolist()) if n else 0
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

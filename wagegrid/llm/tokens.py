@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_WORD = 64  # longer words are encoded but not remembered
-MAX_WORDS = 800_000  # words a worker remembers (the first it meets, so the common ones)
+MAX_WORDS = 700_000  # words a worker remembers (the first it meets, so the common ones)
 SLICE_BYTES = 1 << 20  # text taken from an Arrow batch at a time
+PART = 1 << 18  # characters of a text that are split into words at a time
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -62,6 +63,14 @@ def stable_spaces(config: dict) -> str | None:
     return None
 
 
+def boundaries(text: str, step: int) -> Iterator[int]:
+    """Places of spaces between non-white characters, ``step`` or more apart."""
+    at = 0
+    while m := _BOUNDARY.search(text, at + step):
+        at = m.start()
+        yield at
+
+
 class _Words(dict):
     """Number of each word; -1 for what cannot be cut off at spaces or is long."""
 
@@ -139,51 +148,64 @@ class Encoder:
             ids = self._whole(texts)
             return (np.concatenate([np.array(x, np.int32) for x in ids] or [np.zeros(0, np.int32)]),
                     np.array([len(x) for x in ids], np.int64))
-        numbers, first = self._numbers(texts)
         out, counts = [], np.zeros(len(texts), np.int64)
-        for k, (n, f) in enumerate(zip(numbers, first)):
-            ids = (self._odd(texts[k]) if n is None else np.concatenate(
-                [self.firsts.flat.ids_of(np.array([f])), self.words.flat.ids_of(n)]))
+        for k, row in self._rows(texts):
+            if isinstance(row, str):
+                ids = self._odd(row)
+            else:
+                ids = self.words.flat.ids_of(row[1])
+                if row[0] is not None:
+                    ids = np.concatenate([self.firsts.flat.ids_of(np.array([row[0]])), ids])
             out.append(ids)
-            counts[k] = len(ids)
+            counts[k] += len(ids)
         return (np.concatenate(out) if out else np.zeros(0, np.int32)), counts
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """The number of ids of each text."""
         if self.spaces is None:
             return np.array([len(x) for x in self._whole(texts)], np.int64)
-        numbers, first = self._numbers(texts)
-        head, rest = self.firsts.flat.sizes, self.words.flat.sizes
-        return np.array([len(self._odd(t)) if n is None else int(head[f]) + int(rest[n].sum())
-                         for t, n, f in zip(texts, numbers, first)], np.int64)
-
-    def _numbers(self, texts: list[str]):
-        """Word numbers of each text (None: some word must not be cut off)."""
+        counts = np.zeros(len(texts), np.int64)
+        for k, row in self._rows(texts):
+            if isinstance(row, str):
+                counts[k] += len(self._odd(row))
+            else:
+                counts[k] += int(self.words.flat.sizes[row[1]].sum())
+                if row[0] is not None:
+                    counts[k] += int(self.firsts.flat.sizes[row[0]])
+        return counts
+
+    def _rows(self, texts: list[str]) -> Iterator[tuple[int, tuple | str]]:
+        """For each text, or part of a long one: its place and the numbers of its
+        words (the first word's apart; None in a part that goes on), or the part
+        itself where some word must not be cut off."""
         self.words.trim()
         self.firsts.trim()
-        numbers, first = [], []
+        held, size = [], 0
         words, firsts = self.words.__getitem__, self.firsts.__getitem__
-        for text in texts:
-            parts = text.split(" ")
-            n = np.fromiter(map(words, parts[1:]), np.int64, len(parts) - 1)
-            f = firsts(parts[0])
-            odd = f < 0 or (len(n) and n.min() < 0)
-            numbers.append(None if odd else n)
-            first.append(f)
+        for k, text in enumerate(texts):
+            cuts = [0, *boundaries(text, PART), len(text)] if len(text) > 2 * PART else [0, len(text)]
+            for a, b in zip(cuts, cuts[1:]):
+                part = text[a:b]
+                parts = part.split(" ")
+                n = np.fromiter(map(words, parts[1:]), np.int64, len(parts) - 1)
+                first = None if a else firsts(parts[0])
+                odd = (first is not None and first < 0) or (len(n) and n.min() < 0)
+                held.append((k, part if odd else (first, n)))
+                size += b - a
+                if size > 4 * PART:
+                    self._learn()
+                    yield from held
+                    held, size = [], 0
         self._learn()
-        return numbers, first
+        yield from held
 
     def _odd(self, text: str) -> np.ndarray:
         """Ids of a text with runs of white space or very long words: its parts
         between proven boundaries, each encoded as it stands."""
         if not text:
             return np.zeros(0, np.int32)
-        at = [0] + [m.start() for m in _BOUNDARY.finditer(text)] + [len(text)]
-        step = [at[0]]
-        for a, b in zip(at[1:], at[2:] + [None]):  # parts of some hundred characters
-            if b is None or a - step[-1] >= 400:
-                step.append(a)
-        parts = [text[a:b] for a, b in zip(step, step[1:])]
+        at = [0, *boundaries(text, 400), len(text)]
+        parts = [text[a:b] for a, b in zip(at, at[1:])]
         return np.concatenate([np.array(x, np.int32) for x in self._whole(parts)])
 
     def count_long(self, text: str, chunk: int, overlap: int) -> int:
@@ -265,10 +287,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``SLICE_BYTES`` of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES
+           ) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``most`` bytes of text, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes.astype(np.int64)) // SLICE_BYTES
+    part = np.cumsum(sizes.astype(np.int64)) // most
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges, edges[1:]):
         if b > a:
