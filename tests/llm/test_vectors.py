@@ -73,8 +73,9 @@ def test_hnsw_few_rows(llm):
     assert hnsw.search(none, none).collect() == [] and hnsw.search(df, none).collect() == []
 
 
-@pytest.mark.parametrize("shard_size", [4096, 400])
-def test_near_duplicates_brute_force(llm, cloud, shard_size):
+@pytest.mark.parametrize("shard_size,block", [(4096, 2048), (400, 3)])
+def test_near_duplicates_brute_force(llm, cloud, shard_size, block, monkeypatch):
+    monkeypatch.setattr(vecdedup, "BLOCK", block)
     odd = [(5000, None, 0, "x", 1), (5001, [0.0] * 16, 0, "x", 1), (5002, [NAN] + [1.0] * 15, 0, "x", 1),
            (5003, [], 0, "x", 1), (5004, [1.0, 2.0], 0, "x", 1), (5005, [2.0, 4.0], 0, "x", 1)]
     df = llm.createDataFrame(_rows(cloud) + odd, SCHEMA)
@@ -93,6 +94,18 @@ def test_near_duplicates_brute_force(llm, cloud, shard_size):
         assert r.kept == (r.vec_id == r.component_id) and got[r.component_id].kept
 
 
+def test_a_group_spread_over_clusters_is_counted_whole(llm):
+    """Near copies far from every centroid, so their clusters differ."""
+    rng = np.random.RandomState(11)
+    x = rng.randn(3000, 64)
+    group = x[:1] + 0.09 * rng.randn(200, 64)
+    df = llm.createDataFrame(_rows(np.concatenate([x, group])), SCHEMA)
+    got = vecdedup.near_duplicates(df, shard_size=500)
+    near = _cosines(np.concatenate([x, group]).astype(np.float32)) >= 0.95
+    assert got.agg({"n_links": "sum"}).first()[0] >= 0.98 * (near.sum() - len(near))
+    assert vecdedup.audit_recall(df, got) >= 0.98
+
+
 def test_near_duplicates_empty_and_repeats(llm):
     assert vecdedup.near_duplicates(llm.createDataFrame([], SCHEMA)).collect() == []
     rows = [(1, [1.0, 2.0], 0, "", 0), (1, [1.0, 2.0], 0, "", 0), (None, [1.0, 2.0], 0, "", 0)]

@@ -10,9 +10,14 @@ are united point by point, and every shard takes the united lists of its points.
 Each point is searched in all shards of its home cluster (the nearest
 centroid's), from the shard's medoid and, where it is a member, from itself: a
 beam search, then the range is expanded from every point found in it until
-nothing new lies in it. What is reported is verified on the original vectors in
-double precision, so no link is below the limit. Links within a home cluster
-are counted where they are found; only links between clusters become rows.
+nothing new lies in it. What is found is checked on the original vectors in
+double precision and kept as a spanning forest; points in several clusters tie
+the forests together.
+
+Last, the points of each component are compared with each other, block by block,
+in double precision. That counts every link inside a component, whichever shards
+its points were in; no pair ever becomes a row. ``audit_recall`` compares the
+result with brute force.
 """
 
 from __future__ import annotations
@@ -27,12 +32,13 @@ from pyspark.sql import functions as F
 from .components import connected_components, forest
 from .graphs import beam_search, build, unit
 from .shared import store
-from .vectors import as_matrix, exact_neighbours, norms, spread, takes_part, valid
+from .vectors import (as_matrix, cosines, exact_neighbours, norms, spread, takes_part,
+                      valid)
 
 SLACK = 1e-5  # float32 graph distances against the limit in double precision
 QUERY_BLOCK = 1024
-UNIT = ("cluster int, sub int, dim int, ids array<bigint>, copies array<bigint>, "
-        "homes array<int>, vectors binary, degree int, neighbours binary")
+UNIT = ("cluster int, sub int, dim int, ids array<bigint>, vectors binary, degree int, "
+        "neighbours binary")
 
 
 def fit_centroids(points: DataFrame, clusters: int, sample: int, rounds: int = 6) -> np.ndarray:
@@ -51,8 +57,8 @@ def fit_centroids(points: DataFrame, clusters: int, sample: int, rounds: int = 6
 
 
 def assign(points: DataFrame, centre: np.ndarray, overlap: int) -> DataFrame:
-    """``cluster, home, id, copies, vec``: a row for each cluster of a point.
-    ``home`` is the nearest centroid's."""
+    """``cluster, home, id, vec``: a row for each cluster of a point. ``home`` is
+    the nearest centroid's."""
     shared = points.sparkSession.sparkContext.broadcast(centre)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,11 +73,11 @@ def assign(points: DataFrame, centre: np.ndarray, overlap: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(near.ravel().astype(np.int32)),
                      pa.array(np.repeat(near[:, 0], near.shape[1]).astype(np.int32)),
-                     out.column("id"), out.column("copies"), out.column("vec")],
-                    names=["cluster", "home", "id", "copies", "vec"])
+                     out.column("id"), out.column("vec")],
+                    names=["cluster", "home", "id", "vec"])
 
-    return points.select("id", "copies", "vec").mapInArrow(
-        run, "cluster int, home int, id bigint, copies bigint, vec array<double>")
+    return points.select("id", "vec").mapInArrow(
+        run, "cluster int, home int, id bigint, vec array<double>")
 
 
 def _medoid(x: np.ndarray) -> int:
@@ -114,8 +120,6 @@ def pack_units(members: DataFrame, united: DataFrame, tasks: int) -> DataFrame:
             "sub": pa.array([table["sub"][0].as_py()], pa.int32()),
             "dim": pa.array([x.shape[1]], pa.int32()),
             "ids": pa.array([ids.tolist()], pa.list_(pa.int64())),
-            "copies": pa.array([table["copies"].to_pylist()], pa.list_(pa.int64())),
-            "homes": pa.array([table["home"].to_pylist()], pa.list_(pa.int32())),
             "vectors": pa.array([x.tobytes()], pa.binary()),
             "degree": pa.array([graph.shape[1]], pa.int32()),
             "neighbours": pa.array([graph.tobytes()], pa.binary())})
@@ -152,8 +156,7 @@ def range_search(x: np.ndarray, graph: np.ndarray, q: np.ndarray, own: np.ndarra
     return np.concatenate(owners), np.concatenate(points)
 
 
-FOUND = "u bigint, v bigint, u_copies bigint, v_copies bigint, count bigint, kind int"
-COUNTED, LINK, TREE = 0, 1, 2  # a point's links in its home; a link between homes; a star edge
+BLOCK = 2048  # points of a component that are compared at a time
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -176,27 +179,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     points = store(rows.groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
                    .withColumn("dim", F.size("vec")), "vecdup-points")
     dims = [r["dim"] for r in points.select("dim").distinct().orderBy("dim").collect()]
-    found = [_linked(points.where(F.col("dim") == d), limit, shard_size, overlap, sample, degree,
-                     width, alpha) for d in dims]
     rest = _unlinked(vectors, id_col, vector_col)
-    if not found:
+    if not dims:
         return _result(rest, id_col)
+    found = [_linked(points.where(F.col("dim") == d), limit, shard_size, overlap, sample, degree,
+                     width, alpha) for d in dims]
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
-    links = store(links, "vecdup-links")
-    # Links of points: counted in the home cluster, and single ones between homes.
-    cross = (links.where(F.col("kind") == LINK)
-             .select(F.explode(F.array(
-                 F.struct("u", "v", F.col("v_copies").alias("n")),
-                 F.struct(F.col("v").alias("u"), F.col("u").alias("v"), F.col("u_copies").alias("n"))
-             )).alias("x")).select("x.*").distinct().select("u", "n"))
-    counted = links.where(F.col("kind") == COUNTED).select("u", F.col("count").alias("n"))
-    n_links = counted.unionByName(cross).groupBy("u").agg(F.sum("n").alias("n"))
-    parts = connected_components(links.where(F.col("kind") != COUNTED).select("u", "v"),
-                                 "vecdup-components")
+    parts = store(connected_components(store(links, "vecdup-links"), "vecdup-components"),
+                  "vecdup-parts")
+    counts = count_links(points, parts, limit)
     per_point = (points.select("vec", "id", "copies")
-                 .join(n_links, F.col("id") == F.col("u"), "left")
+                 .join(counts, "id", "left")
                  .join(parts, F.col("id") == F.col("node"), "left")
                  .select("vec", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                          F.coalesce("component", "id").alias("component_id")))
@@ -204,6 +199,107 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return _result(done.unionByName(rest), id_col)
 
 
+def count_links(points: DataFrame, parts: DataFrame, limit: float) -> DataFrame:
+    """``id, n``: for each point of a component the copies of the others in it at
+    a cosine of at least ``limit``.
+
+    A component of up to ``BLOCK`` points is compared where its points meet;
+    a larger one is dealt over blocks and every block is compared with every
+    block of the component.
+    """
+    # Every component has its smallest point, which ``parts`` does not list.
+    node = parts.select(F.col("node").alias("id"), "component").unionByName(
+        parts.select(F.col("component").alias("id"), "component")).distinct()
+    sizes = node.groupBy("component").agg(F.count("*").alias("size"))
+    member = store(points.select("id", "copies", "vec").join(node, "id").join(sizes, "component")
+                   .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")), "vecdup-linked")
+
+    def counted(table: pa.Table) -> pa.RecordBatch:
+        ids, copies = table["id"].to_numpy(), table["copies"].to_numpy()
+        part = table["component"].to_numpy()
+        x = as_matrix(table["vec"].combine_chunks())
+        edge = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        n = np.concatenate([_near_copies(x[a:b], x[a:b], copies[a:b], limit, True)
+                            for a, b in zip(edge, edge[1:])])
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]))
+            table = pa.concat_tables(held).combine_chunks()
+            part = table["component"].to_numpy()
+            edge = np.flatnonzero(np.diff(part)) + 1
+            if not len(edge):
+                held = [table]
+                continue
+            last = int(edge[-1])  # the last component may go on in the next batch
+            yield counted(table.slice(0, last))
+            held = [table.slice(last)]
+        if held:
+            table = pa.concat_tables(held).combine_chunks()
+            if table.num_rows:
+                yield counted(table)
+
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = (member.where("blocks = 1").select("component", "id", "copies", "vec")
+             .repartition(tasks, "component").sortWithinPartitions("component")
+             .mapInArrow(whole, "id bigint, n bigint"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("id")
+        return pa.table({
+            "component": pa.array([table["component"][0].as_py()], pa.int64()),
+            "block": pa.array([table["block"][0].as_py()], pa.int32()),
+            "dim": pa.array([len(table["vec"][0])], pa.int32()),
+            "ids": pa.array([table["id"].to_pylist()], pa.list_(pa.int64())),
+            "copies": pa.array([table["copies"].to_pylist()], pa.list_(pa.int64())),
+            "vectors": pa.array([as_matrix(table["vec"].combine_chunks()).tobytes()], pa.binary())})
+
+    large = store(member.where("blocks > 1")
+                  .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+                  .groupBy("component", "block").applyInArrow(
+                      pack, "component bigint, block int, dim int, ids array<bigint>, "
+                            "copies array<bigint>, vectors binary"), "vecdup-blocks")
+    other = large.select("component", F.col("block").alias("o_block"), F.col("ids").alias("o_ids"),
+                         F.col("copies").alias("o_copies"), F.col("vectors").alias("o_vectors"))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                x, y = (np.frombuffer(row[c]).reshape(-1, row["dim"]) for c in ("vectors", "o_vectors"))
+                ids, copies = np.array(row["ids"], np.int64), np.array(row["o_copies"], np.int64)
+                same = row["block"] == row["o_block"]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.array(_near_copies(x, y, copies, limit, same))],
+                    names=["id", "n"])
+
+    compared = (large.join(other, "component")
+                .repartition(tasks, "component", "block", "o_block")
+                .mapInArrow(pairs, "id bigint, n bigint"))
+    return small.unionByName(compared).groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def _near_copies(x: np.ndarray, y: np.ndarray, copies: np.ndarray, limit: float, same: bool
+                 ) -> np.ndarray:
+    """For each row of ``x`` the copies of the rows of ``y`` within ``limit``;
+    ``same``: both are one block, and a row is not its own neighbour."""
+    size_x, size_y = norms(x), norms(y)
+    out = np.zeros(len(x), np.int64)
+    for at in range(0, len(x), 256):
+        part = slice(at, at + 256)
+        score = (x[part] @ y.T) / (size_x[part, None] * size_y[None, :])
+        # Sums in another order may differ in the last bits: settle close calls.
+        row, col = np.nonzero(np.abs(score - limit) < 1e-12)
+        score[row, col] = cosines(x[part][row], y[col])
+        near = score >= limit
+        if same:
+            near[np.arange(len(near)), at + np.arange(len(near))] = False
+        out[part] = near @ copies
+    return out
+
+
 def _result(rows: DataFrame, id_col: str) -> DataFrame:
     return rows.select(F.col("id").alias(id_col), "n_links", "component_id",
                        F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
@@ -218,7 +314,7 @@ def _unlinked(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, sample: int,
             degree: int, width: int, alpha: float) -> DataFrame:
-    """Link rows (``FOUND``) among points of one dimension."""
+    """Star edges ``u, v`` of the links found among points of one dimension."""
     spark = points.sparkSession
     total = points.count()
     clusters = int(min(max(1, -(-total * overlap // shard_size)), sample // 16))
@@ -244,11 +340,10 @@ def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, samp
             "cluster": pa.array([table["cluster"][0].as_py()], pa.int32()),
             "block": pa.array([table["block"][0].as_py()], pa.int32()),
             "q_ids": pa.array([table["id"].to_pylist()], pa.list_(pa.int64())),
-            "q_copies": pa.array([table["copies"].to_pylist()], pa.list_(pa.int64())),
             "q_vectors": pa.array([as_matrix(table["vec"].combine_chunks()).tobytes()], pa.binary())})
 
     blocks = store(home.withColumn("block", block).groupBy("cluster", "block").applyInArrow(
-        pack, "cluster int, block int, q_ids array<bigint>, q_copies array<bigint>, q_vectors binary"),
+        pack, "cluster int, block int, q_ids array<bigint>, q_vectors binary"),
         "vecdup-queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,27 +354,21 @@ def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, samp
 
     work = blocks.join(units, "cluster").repartitionByRange(
         spread(spark, blocks.count() * 2), "cluster", "sub", "block")
-    return work.mapInArrow(run, FOUND)
+    return work.mapInArrow(run, "u bigint, v bigint")
 
 
 def _search_unit(row: dict, limit: float, width: int) -> pa.RecordBatch:
-    """One block of queries in one shard: verified links in ``FOUND`` form."""
-    ids, copies = np.array(row["ids"], np.int64), np.array(row["copies"], np.int64)
-    homes = np.array(row["homes"], np.int64)
+    """One block of queries in one shard: a forest of the links found."""
+    ids = np.array(row["ids"], np.int64)
     vecs = np.frombuffer(row["vectors"]).reshape(len(ids), row["dim"])
     graph = np.frombuffer(row["neighbours"], np.int32).reshape(len(ids), row["degree"])
-    q_ids, q_copies = np.array(row["q_ids"], np.int64), np.array(row["q_copies"], np.int64)
+    q_ids = np.array(row["q_ids"], np.int64)
     q = np.frombuffer(row["q_vectors"]).reshape(len(q_ids), row["dim"])
-    x, qx, start = unit(vecs), unit(q), 0
+    x, qx = unit(vecs), unit(q)
     start = _medoid(x)
     place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
     own = np.where(ids[place] == q_ids, place, -1)
-    size, q_size = norms(vecs), norms(q)
-    cols: list[list[np.ndarray]] = []
-
-    def add(u, v, uc, vc, count, kind):
-        cols.append([u, v, uc, vc, count, np.full(len(u), kind, np.int32)])
-
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a in range(0, len(q), 256):
         who, to = range_search(x, graph, qx[a:a + 256], own[a:a + 256], start, width,
                                1.0 - limit + SLACK)
@@ -288,24 +377,14 @@ def _search_unit(row: dict, limit: float, width: int) -> pa.RecordBatch:
         who, to = who[other], to[other]
         ok = np.zeros(len(who), bool)
         for b in range(0, len(who), 1 << 16):
-            w, t = who[b:b + (1 << 16)], to[b:b + (1 << 16)]
-            ok[b:b + (1 << 16)] = (q[w] * vecs[t]).sum(axis=1) / (q_size[w] * size[t]) >= limit
-        who, to = who[ok], to[ok]
-        same = homes[to] == row["cluster"]
-        n = np.bincount(who[same], copies[to[same]], len(q)).astype(np.int64)
-        some = np.flatnonzero(n)
-        zero = np.zeros(len(some), np.int64)
-        add(q_ids[some], q_ids[some], zero, zero, n[some], COUNTED)
-        if same.any():
-            u, v = forest(q_ids[who[same]], ids[to[same]])
-            zero = np.zeros(len(u), np.int64)
-            add(u, v, zero, zero, zero, TREE)
-        # From the other home's side the same link may be found again; see distinct().
-        w, t = who[~same], to[~same]
-        add(q_ids[w], ids[t], q_copies[w], copies[t], np.zeros(len(w), np.int64), LINK)
-    every = [np.concatenate(c) for c in zip(*cols)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in every], names=[
-        c.split()[0] for c in FOUND.split(", ")])
+            part = slice(b, b + (1 << 16))
+            ok[part] = cosines(q[who[part]], vecs[to[part]]) >= limit
+        if ok.any():
+            u, v = forest(q_ids[who[ok]], ids[to[ok]])
+            us.append(u)
+            vs.append(v)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
 
 
 def audit_recall(vectors: DataFrame, found: DataFrame, limit: float = 0.95, sample: int = 512,
