@@ -434,3 +434,23 @@ def test_full_refresh_job_on_catalog_tables(spark, scratch):
     assert spark.table("salary_per_hours_a").count() == 2
     for t in ("timesheets", "employees", "salary_per_hours_a"):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_incremental_job_on_catalog_tables(spark, scratch):
+    folder_e, folder_t, more = scratch("e"), scratch("t"), scratch("t2")
+    write_text(folder_e, "employees.csv", EMP_CSV)
+    write_text(folder_t, "timesheets.csv", TS_CSV)
+    write_text(more, "timesheets.csv", "timesheet_id,employee_id,date,checkin,checkout\n"
+                                       "4,1,2020-02-03,08:00:00,18:00:00\n5,9,,08:00:00,17:00:00\n")
+    wh, names = scratch("wh"), ("timesheets_python", "employees_python", "salary_per_hours_c")
+    try:
+        jobs.incremental_job(spark, folder_e, folder_t, wh, catalog=True)
+        assert [spark.table(n).count() for n in names] == [3, 4, 2]
+        jobs.incremental_job(spark, folder_e, more, wh, catalog=True)
+        assert [spark.table(n).count() for n in names] == [5, 4, 3]
+        for n in names:
+            assert sorted(map(str, spark.table(n).collect())) == sorted(
+                map(str, tables.read_table(spark, f"{wh}/{n}").collect()))
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")

@@ -227,33 +227,49 @@ def full_refresh_table(spark: SparkSession, df: DataFrame, table: str, root: str
     _writer(df, "errorifexists", partition_by).parquet(location)
     written = spark.read.parquet(location)
     n = written.count()
-    if table_exists(spark, table):
-        old = table_location(spark, table)
-        stored = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] if partition_by else []
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-        for spec in stored:
-            there, fs = _hadoop(spark, f"{location}/{spec}")
-            if fs.exists(there):
-                spark.sql(f"ALTER TABLE {table} PARTITION ({_partition_sql(spec)}) "
-                          f"SET LOCATION '{location}/{spec}'")
-            else:
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
-        if partition_by:
-            spark.catalog.recoverPartitions(table)
-        spark.catalog.refreshTable(table)
+    old = point_table(spark, table, location, partition_by)
+    if old:
         here, fs = _hadoop(spark, root)
         keep = {location.rsplit("/", 1)[-1], old.rstrip("/").rsplit("/", 1)[-1]}
         for status in fs.listStatus(here):
             name = status.getPath().getName()
             if re.fullmatch(re.escape(table) + "-[0-9a-f]{32}", name) and name not in keep:
                 fs.delete(status.getPath(), True)
-    else:
+    return n
+
+
+def point_table(spark: SparkSession, table: str, location: str,
+                partition_by: Sequence[str] | None = None) -> str | None:
+    """Make the external catalog table ``table`` show the Parquet folder
+    ``location``, created where it does not exist; returns its old location.
+
+    Partitions that stay get their new location, others are dropped or added.
+    """
+    if not table_exists(spark, table):
         parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                         for f in spark.read.parquet(location).schema.fields)
         spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet{parts} LOCATION '{location}'")
         if partition_by:
             spark.catalog.recoverPartitions(table)
-    return n
+        return None
+    old = table_location(spark, table)
+    stored = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] if partition_by else []
+    same = _hadoop(spark, old)[0].equals(_hadoop(spark, location)[0].makeQualified(
+        _hadoop(spark, old)[1].getUri(), _hadoop(spark, old)[1].getWorkingDirectory()))
+    if not same:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    for spec in stored:
+        there, fs = _hadoop(spark, f"{location}/{spec}")
+        if not fs.exists(there):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
+        elif not same:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({_partition_sql(spec)}) "
+                      f"SET LOCATION '{location}/{spec}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return old
 
 
 def _partition_sql(spec: str) -> str:
