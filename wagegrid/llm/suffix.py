@@ -545,6 +545,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole and take no part. Rows that repeat an id do not remove each other's
     text. Texts shorter than ``width`` stay whole. Columns named like the
     results do not clash, being inside ``rest``. An empty table gives no rows.
+    ``docs`` is read four times; where it is costly to compute, store it first.
     """
     if width < 2 * GRAM:
         raise ValueError(f"width: {2 * GRAM} or more")
