@@ -296,6 +296,19 @@ def test_language_query(llm, queries):
     assert all(0 <= r.score <= 1 for r in got) and not any(r.rejected for r in got)
 
 
+def test_sample_is_the_smallest_hashes(llm, monkeypatch):
+    rows = [("x" if i % 3 else "y", f"text number {i // 2} with letters") for i in range(3000)]
+    rows += [("z", "one copy")] * 500 + [(None, "no label"), ("x", None), ("y", "12")]
+    df = llm.createDataFrame(rows, "lang string, text string")
+    got = {}
+    monkeypatch.setattr(langid, "train", lambda samples: got.update(samples))
+    langid.fit(df, per_lang=5)
+    hashes = df.where("lang is not null and text rlike '[a-z]'").selectExpr(
+        "lang", "text", "xxhash64(text) h").distinct().orderBy("h").collect()
+    for lang in "xyz":
+        assert got[lang] == [r.text for r in hashes if r.lang == lang][:5]
+
+
 def test_language_odd_rows(llm, odd_docs, no_docs):
     sf = "/root/testdata/sf0.001"
     model = langid.fit(llm.read.parquet(f"{sf}/documents.parquet"), per_lang=50)

@@ -266,8 +266,16 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
              .withColumn("text", F.substr("text", F.col("part") * window + 1, F.lit(window)))
              .withColumn("h", F.xxhash64("text")).drop("part"))
     first = Window.partitionBy("lang").orderBy("h")
-    # Stored first: Spark then knows its size and need not move the texts.
-    drawn = store(parts.select("lang", "h").distinct().withColumn("n", F.row_number().over(first))
+    # Hashes are even, so the smallest of a language lie below a bound that its
+    # number of windows tells; only some per_lang rows each are ranked.
+    enough = 4 * per_lang + 64
+    bound = store(parts.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).select(
+        "lang", F.when(F.col("n") <= enough, F.lit(2 ** 63 - 1)).otherwise(
+            (F.lit(enough * 2.0 ** 64) / F.col("n") - F.lit(2.0 ** 63)).cast("bigint")).alias("top")),
+        "langid-bounds")
+    # Stored: Spark then knows its size and need not move the texts.
+    drawn = store(parts.select("lang", "h").join(bound, "lang").where("h <= top").select("lang", "h")
+                  .distinct().withColumn("n", F.row_number().over(first))
                   .where(F.col("n") <= per_lang).drop("n"), "langid-sample")
     rows = (parts.join(drawn, ["lang", "h"]).groupBy("lang", "h")
             .agg(F.min("text").alias("text")).collect())
