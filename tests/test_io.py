@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -364,8 +365,11 @@ def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypat
                                          "5,9,2020-02-03,08:00:00,17:00:00\n")
     original = StagedAppend.publish
 
+    first = scratch("wh")
+    jobs.incremental_job(spark, folder_e, folder_t, first)
+
     def run_all(wh, crash_at=0):
-        jobs.incremental_job(spark, folder_e, folder_t, wh)
+        shutil.copytree(first, wh)  # after the first run
         if crash_at:
             calls = {"n": 0}
 
