@@ -18,7 +18,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -154,15 +154,19 @@ class Codec:
     def __init__(self, path: str, threads: int = THREADS):
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-        import sentencepiece
         with open(path, "rb") as file:
-            data = file.read()
-        model = parse_model(data)
+            self.data = file.read()
+        model = parse_model(self.data)
         self.library = rebuild(model)
-        self.judge = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.by_word = splits_at_spaces(model)
         self.words, self.equal = _Words(), [np.zeros(0, bool)]
 
+    @cached_property
+    def judge(self):
+        """The sentencepiece library's own processor (not needed to decode)."""
+        import sentencepiece
+        return sentencepiece.SentencePieceProcessor(model_proto=self.data)
+
     def _verified(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         want = self.judge.encode(texts, num_threads=1)
