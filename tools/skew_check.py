@@ -8,7 +8,9 @@ also runs the textbook plan that joins raw attendance rows before
 aggregating. Prints one JSON object per plan: the most shuffled records any
 single task read, and the size of the largest shuffle.
 
-    python tools/skew_check.py [/root/testdata/sf0.1]
+    python tools/skew_check.py LOCAL_FOLDER [/root/testdata/sf0.1]
+
+LOCAL_FOLDER takes the skewed inputs and event logs of this local run.
 """
 
 from __future__ import annotations
@@ -17,12 +19,13 @@ import glob
 import json
 import os
 import sys
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from wagegrid.config import scratch_path, session  # noqa: E402
+from wagegrid.config import session  # noqa: E402
 from wagegrid.operators.rates import branch_rates, shift_hours  # noqa: E402
 from wagegrid.sources import testdata  # noqa: E402
 
@@ -72,12 +75,13 @@ def task_shares(log_dir):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    folder = os.path.abspath(sys.argv[1])
+    sf_dir = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
     parts = 8
     results = []
     prep = session(master=f"local[{parts}]", app="skew-prepare", shuffle_partitions=parts)
-    data_dir = scratch_path(prep, "skewed")
-    log_dirs = [scratch_path(prep, "eventlog") for _ in range(4)]
+    data_dir = os.path.join(folder, f"skewed-{uuid.uuid4().hex}")
+    log_dirs = [os.path.join(folder, f"eventlog-{uuid.uuid4().hex}") for _ in range(4)]
     rows = write_skewed_inputs(prep, sf_dir, parts, data_dir)
     prep.stop()
     for label, build in [("branch_rates_a", lambda t, e: branch_rates(t, e, "a")),
