@@ -237,13 +237,15 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
     """``id_col, n_bytes, n_tokens, ids`` (little-endian unsigned 32-bit),
     ``parity`` (both libraries agree) of every row.
 
     No begin or end tokens. A null text counts as empty: no ids. Repeated rows
     repeat, null ids stay null, other columns are not read. An empty table gives
-    no rows. ``model`` is the path of a ``.model`` file on every executor.
+    no rows. ``model`` is the path of a ``.model`` file on every executor. With
+    ``decoded`` the same worker decodes the ids again, into a column ``decoded``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = codec(model)
@@ -252,16 +254,18 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
                 ids, same = lib.encode(texts)
                 n_bytes = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
+                back = [pa.array(lib.decode(ids), pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), n_bytes, pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
-                     pa.array(same, pa.bool_())],
-                    names=[id_col, "n_bytes", "n_tokens", "ids", "parity"])
+                     pa.array(same, pa.bool_()), *back],
+                    names=[id_col, "n_bytes", "n_tokens", "ids", "parity", *["decoded"] * decoded])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"{id_col} {kind}, n_bytes bigint, n_tokens bigint, ids binary, parity boolean")
+        run, f"{id_col} {kind}, n_bytes bigint, n_tokens bigint, ids binary, parity boolean"
+             + ", decoded string" * decoded)
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -54,8 +54,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document text encoded, verified and decoded again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    path = tokenizer_path(PIECES_MODEL)
-    back = pieces.decode(pieces.encode(docs, path), path)
+    back = pieces.encode(docs, tokenizer_path(PIECES_MODEL), decoded=True)
     return back.select("doc_id", "n_bytes", "n_tokens", F.crc32("ids").alias("ids_crc32"), "parity",
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
