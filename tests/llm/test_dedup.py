@@ -218,6 +218,39 @@ def test_small_groups_and_parts_change_nothing(llm, monkeypatch):
     _compare(suffix.remove_repeats(docs), rows)
 
 
+def test_hot_hash_is_split(llm, monkeypatch):
+    """Segments that leave a shared passage are different in every document and
+    have one hash; no shard holds them all."""
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(300)
+    rows = [(i // 2 if i < 8 else i, noise(60) + passage + noise(60)) for i in range(400)]
+    rows += [(900 + k, rows[5 * k][1][30:] + noise(20)) for k in range(40)]  # copies of the edges too
+    rows += [(None, passage)]
+    size = 4096
+    for name in ("GROUP_BYTES", "BUCKET_BYTES", "SORT_BYTES"):
+        monkeypatch.setattr(suffix, name, size)
+    sort_shards = suffix._sort_shards
+
+    def watched(*args):
+        run = sort_shards(*args)
+
+        def watch(batches):
+            held = {}
+            for batch in batches:
+                for b, body in zip(batch.column("bucket").to_pylist(), batch.column("body").to_pylist()):
+                    held[b] = held.get(b, 0) + len(body)
+                    if held[b] > 6 * size:
+                        raise ValueError(f"{held[b]} bytes in a shard")
+                yield from run(iter([batch]))
+        return watch
+
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    _compare(suffix.remove_repeats(docs), [(i, t.encode()) for i, t in rows])
+    monkeypatch.setattr(suffix, "_sort_shards", watched)
+    suffix.remove_repeats(docs).count()
+
+
 def test_suffix_query_whole_table(llm, sf, queries):
     docs = llm.read.parquet(f"{sf}/documents.parquet")
     want = {i: (n, gone, runs, hashlib.sha256(kept).hexdigest()) for i, n, gone, runs, kept in

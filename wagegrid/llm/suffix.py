@@ -9,11 +9,14 @@ with a smaller id is removed; strings are judged on the input.
 2. Hashes are dealt over buckets to find those that occur in two documents at
    least. Each group of documents sends a hash once, whatever its copies.
 3. Segments under such hashes go to the shard of their hash, equal ones of a
-   group of documents once, with their smallest document id.
+   group of documents once, with their smallest document id. A hash whose
+   segments may hold more than ``SORT_BYTES`` is split: its different windows go
+   to shards by their own hash, each once a group with its smallest document id.
 4. A shard sorts its different segments into a suffix array by induced sorting;
    common prefixes of ``width`` bytes or more, in text order, give the classes
    of equal windows and the smallest document of each. (Segments alone under
-   their hash have no other to be compared with.)
+   their hash have no other to be compared with.) Single windows are compared
+   by a 128-bit hash.
 5. Groups of documents get back, for their segments, the windows found in
    smaller documents, and cut the bytes these cover.
 
@@ -41,6 +44,9 @@ GROUP_BYTES = 2 << 20    # text of a group of documents
 BUCKET_BYTES = 4 << 20   # text whose hashes share a bucket, and a shard
 FLUSH_BYTES = 16 << 20   # segments a task holds before it sends them
 SORT_BYTES = 4 << 20     # text sorted into one suffix array
+SMALL = 128              # bytes under a hash in a group that are told as none
+SPREAD = 4               # shards of windows a bucket
+WINDOWS = 1 << 17        # windows hashed at a time
 
 ROWS = "bucket int, g int, body binary"
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0x9E3779B97F4A7C15)
@@ -183,13 +189,14 @@ def _known(group: _Group) -> tuple[list[int], list[bytes]]:
 
 
 def _find_hashes(width: int, buckets: int):
-    """Step 2a: the different hashes of a group, flagged if two documents of the
-    group have them."""
+    """Step 2a: the different hashes of a group, with a byte that says whether two
+    documents of the group have them and bounds the bytes of their segments:
+    fewer than ``SMALL << (byte & 127)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
             some, texts = _known(group)
             ids = np.array([group.ids[k] for k in some], np.int64)
-            keys, low, high = [], [], []
+            keys, low, high, held = [], [], [], []
             for c in chunks(texts, width):
                 key = _keys(c.hash, buckets)
                 doc = ids[c.docs[c.part]] if len(key) else np.zeros(0, np.int64)
@@ -199,36 +206,44 @@ def _find_hashes(width: int, buckets: int):
                     keys.append(k)
                     low.append(np.minimum.reduceat(doc[order], first))
                     high.append(np.maximum.reduceat(doc[order], first))
+                    held.append(np.add.reduceat(c.count[order] + width - 1, first))
             if not keys:
                 continue
-            key, lo, hi = (np.concatenate(x) for x in (keys, low, high))
+            key, lo, hi, size = (np.concatenate(x) for x in (keys, low, high, held))
             order = np.argsort(key, kind="stable")
             key, first = np.unique(key[order], return_index=True)
             twice = (np.minimum.reduceat(lo[order], first) != np.maximum.reduceat(hi[order], first))
-            bits, flag = key.astype(np.uint32), twice.astype(np.uint8)
+            _, level = np.frexp((np.add.reduceat(size[order], first) // SMALL).astype(float))
+            bits, flag = key.astype(np.uint32), (twice * 128 + level).astype(np.uint8)
             yield _table([(b, group.g, bits[x:y].tobytes() + flag[x:y].tobytes())
                           for b, x, y in _by_bucket(key)])
     return run
 
 
-def _shared_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2b: per bucket, the hashes that two documents have, back to groups."""
-    def close(bucket, groups, bodies):
+def _shared_hashes(buckets: int, most: int):
+    """Step 2b: per bucket, the hashes that two documents have, back to groups;
+    those that may hold over ``most`` bytes under a number from ``buckets`` on."""
+    def close(bucket, rows):
+        groups, bodies = zip(*rows)
         size = np.array([len(x) // 5 for x in bodies])
         bits = np.concatenate([np.frombuffer(x, np.uint32, n) for x, n in zip(bodies, size)])
         flag = np.concatenate([np.frombuffer(x, np.uint8, n, 4 * n) for x, n in zip(bodies, size)])
         g = np.repeat(np.array(groups), size)
         order = np.argsort(bits, kind="stable")
         value, first, count = np.unique(bits[order], return_index=True, return_counts=True)
-        shared = (count > 1) | (np.maximum.reduceat(flag[order], first) > 0)
-        keep = order[np.repeat(shared, count)]
-        keep = keep[np.argsort(g[keep], kind="stable")]
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(g[keep])) + 1, [len(keep)]])
-        return _table([(bucket, int(g[keep[a]]), bits[keep[a:b]].tobytes())
-                       for a, b in zip(edges[:-1], edges[1:]) if b > a])
+        shared = (count > 1) | (np.maximum.reduceat(flag[order], first) > 127)
+        hot = np.add.reduceat(SMALL << (flag[order] & 127).astype(np.int64), first) > most
+        out = []
+        for num, some in ((bucket, shared & ~hot), (buckets + bucket, shared & hot)):
+            keep = order[np.repeat(some, count)]
+            keep = keep[np.argsort(g[keep], kind="stable")]
+            out += [(num, int(g[keep[a]]), bits[keep[a:b]].tobytes())
+                    for a, b in zip(*_edges(g[keep]))]
+        return _table(out)
 
-    yield from _per_bucket(batches, lambda b, rows: close(b, [r[0] for r in rows],
-                                                          [r[1] for r in rows]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _per_bucket(batches, close)
+    return run
 
 
 def _per_bucket(batches, close) -> Iterator[pa.RecordBatch]:
@@ -244,11 +259,15 @@ def _per_bucket(batches, close) -> Iterator[pa.RecordBatch]:
         yield close(bucket, rows)
 
 
-def _wanted(group: _Group) -> np.ndarray:
-    """Sorted keys of the hashes sent to a group."""
-    keys = [np.uint64(num) << np.uint64(32) | np.frombuffer(body, np.uint32).astype(np.uint64)
-            for num, body in group.sent]
-    return np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+def _wanted(group: _Group, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of the hashes sent to a group, and of those to be split."""
+    keys, hot = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for num, body in group.sent:
+        keys.append(np.uint64(num % buckets) << np.uint64(32)
+                    | np.frombuffer(body, np.uint32).astype(np.uint64))
+        if num >= buckets:
+            hot.append(keys[-1])
+    return np.sort(np.concatenate(keys)), np.sort(np.concatenate(hot))
 
 
 def _member(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -259,12 +278,22 @@ def _member(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _segments(width: int, buckets: int):
     """Step 3: a group's different segments under shared hashes, with their
-    smallest and largest document id, to the shards of the hashes."""
+    smallest and largest document id, to the shards of the hashes; of hashes to
+    be split the different windows, to the shards of the windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def send(g, found):
+        def send(g, found, split):
             text, rows = list(found), np.array(list(found.values()), object)
             key = rows[:, 0].astype(np.uint64)
-            order = np.argsort(key, kind="stable")
+            hot = _member(split, key)
+            some = np.flatnonzero(hot)
+            ends = np.cumsum([len(text[k]) - width + 1 for k in some])
+            for a, b in zip(*_edges(ends // WINDOWS)):
+                part = some[a:b]
+                yield _table(_windows(g, [text[k] for k in part], key[part],
+                                      rows[part, 1].astype(np.int64),
+                                      rows[part, 2].astype(np.int64), width, buckets))
+            order = np.flatnonzero(~hot)
+            order = order[np.argsort(key[order], kind="stable")]
             key = key[order]
             lo, hi = rows[order, 1].astype(np.int64), rows[order, 2].astype(np.int64)
             size = np.array([len(text[k]) for k in order], np.uint16)
@@ -274,10 +303,10 @@ def _segments(width: int, buckets: int):
                 body = b"".join(text[k] for k in order[x:y])
                 out.append((b, g, head + key[x:y].astype(np.uint32).tobytes() + size[x:y].tobytes()
                             + lo[x:y].tobytes() + hi[x:y].tobytes() + body))
-            return _table(out)
+            yield _table(out)
 
         for group in _groups(batches):
-            table = _wanted(group)
+            table, split = _wanted(group, buckets)
             if not len(table):
                 continue
             some, texts = _known(group)
@@ -302,13 +331,60 @@ def _segments(width: int, buckets: int):
                     elif doc > old[2]:
                         old[2] = doc
                 if held > FLUSH_BYTES:
-                    yield send(group.g, found)
+                    yield from send(group.g, found, split)
                     found, held = {}, 0
             if found:
-                yield send(group.g, found)
+                yield from send(group.g, found, split)
     return run
 
 
+def _windows(g: int, texts: list[bytes], key: np.ndarray, lo: np.ndarray, hi: np.ndarray,
+             width: int, buckets: int) -> list[tuple]:
+    """Rows of the different windows of segments: hash, key, smallest and largest
+    document. Their shards are numbered from ``buckets`` on."""
+    h = xxhash.xxh3_128_digest
+    count = np.array([len(t) - width + 1 for t in texts])
+    digest = np.frombuffer(b"".join([h(t[k:k + width]) for t, n in zip(texts, count.tolist())
+                                     for k in range(n)]), np.uint64).reshape(-1, 2)
+    shard = (buckets + digest[:, 0] % np.uint64(SPREAD * buckets)).astype(np.int64)
+    order = np.lexsort((digest[:, 1], digest[:, 0], shard))
+    digest, shard = digest[order], shard[order]
+    first = _first(digest)
+    owner = np.repeat(np.arange(len(texts)), count)[order]
+    lo, hi = np.minimum.reduceat(lo[owner], first), np.maximum.reduceat(hi[owner], first)
+    digest, shard, key = digest[first], shard[first], key[owner[first]]
+    return [(int(shard[x]), g, digest[x:y].tobytes() + key[x:y].tobytes()
+             + lo[x:y].tobytes() + hi[x:y].tobytes()) for x, y in zip(*_edges(shard))]
+
+
+def _first(digest: np.ndarray) -> np.ndarray:
+    """Places of the first of each run of equal rows."""
+    return np.flatnonzero(np.append(True, (digest[1:] != digest[:-1]).any(axis=1)))
+
+
+def _join_windows(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
+    """Step 4 for single windows: back to each group those whose smallest document
+    is smaller than the largest in the group."""
+    digests, keys, lows, highs, groups = [], [], [], [], []
+    for g, body in rows:
+        n = len(body) // 40
+        digests.append(np.frombuffer(body, np.uint64, 2 * n).reshape(-1, 2))
+        keys.append(np.frombuffer(body, np.uint64, n, 16 * n))
+        lows.append(np.frombuffer(body, np.int64, n, 24 * n))
+        highs.append(np.frombuffer(body, np.int64, n, 32 * n))
+        groups.append(np.full(n, g))
+    digest, key, lo, hi, g = (np.concatenate(x) for x in (digests, keys, lows, highs, groups))
+    order = np.lexsort((digest[:, 1], digest[:, 0]))
+    first = _first(digest[order])
+    least = np.empty(len(lo), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(lo[order], first),
+                             np.diff(np.append(first, len(lo))))
+    told = least < hi
+    digest, key, least, g = digest[told], key[told], least[told], g[told]
+    return _table([(bucket, int(g[x]), digest[x:y].tobytes() + key[x:y].tobytes()
+                    + least[x:y].tobytes()) for x, y in zip(*_edges(g))])
+
+
 def _parse_segments(body: bytes):
     n = int(np.frombuffer(body, np.uint32, 1)[0])
     at = 4
@@ -352,10 +428,12 @@ def _ranges(count: np.ndarray) -> np.ndarray:
     return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
-def _sort_shards(width: int):
+def _sort_shards(width: int, buckets: int, most: int):
     """Step 4: back to each group, for its segments, runs of windows whose
     smallest document is smaller than the segment's largest in the group."""
     def close(bucket, rows):
+        if bucket >= buckets:
+            return _join_windows(bucket, rows)
         number: dict[bytes, int] = {}
         parts = []  # per group: segment, smallest and largest document in the group
         hashes, lows = [], []
@@ -384,7 +462,7 @@ def _sort_shards(width: int):
         part = 0
         while part < len(several):
             base = size[part - 1] if part else 0
-            end = int(np.searchsorted(size, base + SORT_BYTES)) + 1
+            end = int(np.searchsorted(size, base + most)) + 1
             while end < len(several) and hashes[several[end]] == hashes[several[end - 1]]:
                 end += 1
             some = several[part:end]
@@ -429,11 +507,19 @@ def _edges(values: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 class _Found:
-    """What the shards told a group: per segment digest, runs of windows."""
+    """What the shards told a group: per segment digest, runs of windows; per hash
+    of a single window, its smallest document."""
 
-    def __init__(self, sent: list[tuple[int, bytes]]):
+    def __init__(self, sent: list[tuple[int, bytes]], buckets: int):
         keys, digests, counts, begins, docs = [], [], [], [], []
+        split, self.least, self.seen = [np.zeros(0, np.uint64)], {}, {}
         for bucket, body in sent:
+            if bucket >= buckets:
+                n = len(body) // 32
+                split.append(np.frombuffer(body, np.uint64, n, 16 * n))
+                for k, doc in enumerate(np.frombuffer(body, np.int64, n, 24 * n).tolist()):
+                    self.least[body[16 * k:16 * k + 16]] = doc
+                continue
             n, r = np.frombuffer(body, np.uint32, 2).astype(int).tolist()
             at = 8
             keys.append(np.uint64(bucket) << np.uint64(32)
@@ -445,6 +531,7 @@ class _Found:
             at += 2 * n
             begins.append(np.frombuffer(body, np.uint8, 2 * r, at).view(np.uint16))
             docs.append(np.frombuffer(body, np.uint8, 8 * r, at + 2 * r).view(np.int64))
+        self.split = np.unique(np.concatenate(split))
         self.keys = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
         digest = np.concatenate(digests) if keys else np.zeros(0, np.uint64)
         self.count = (np.concatenate(counts) if keys else np.zeros(0)).astype(np.int64)
@@ -457,6 +544,43 @@ class _Found:
     def covered(self, c: Chunk, ids: np.ndarray, width: int, buckets: int
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document places and byte ranges (in the texts) to be removed."""
+        return tuple(np.concatenate(x) for x in zip(
+            self._of_segments(c, ids, width, buckets), self._of_windows(c, ids, width, buckets)))
+
+    def _of_windows(self, c: Chunk, ids: np.ndarray, width: int, buckets: int
+                    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hit = np.flatnonzero(_member(self.split, _keys(c.hash, buckets)))
+        a, n, part = c.start[hit], c.count[hit], c.part[hit]
+        doc, begin, end = [], [], []
+        for x, y, d, i, s in zip(a.tolist(), (a + n + width - 1).tolist(), c.docs[part].tolist(),
+                                 ids[c.docs[part]].tolist(), (a + c.shift[part]).tolist()):
+            for least, first, stop in self._runs(c.data[x:y], width):
+                if least < i:
+                    doc.append(d)
+                    begin.append(s + first)
+                    end.append(s + stop + width - 1)
+        return tuple(np.array(x, np.int64) for x in (doc, begin, end))
+
+    def _runs(self, text: bytes, width: int) -> list[tuple[int, int, int]]:
+        """Smallest document and range of each run of windows of a segment."""
+        runs = self.seen.get(text)
+        if runs is None:
+            if len(self.seen) >= WINDOWS:
+                self.seen.clear()
+            h, runs = xxhash.xxh3_128_digest, []
+            for k in range(len(text) - width + 1):
+                least = self.least.get(h(text[k:k + width]))
+                if least is None:
+                    continue
+                if runs and runs[-1][2] == k and runs[-1][0] == least:
+                    runs[-1] = (least, runs[-1][1], k + 1)
+                else:
+                    runs.append((least, k, k + 1))
+            self.seen[text] = runs
+        return runs
+
+    def _of_segments(self, c: Chunk, ids: np.ndarray, width: int, buckets: int
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hit = np.flatnonzero(_member(self.keys, _keys(c.hash, buckets)))
         none = np.zeros(0, np.int64)
         if not len(hit):
@@ -503,11 +627,11 @@ def _cut(width: int, buckets: int):
         for group in _groups(batches):
             if not group.texts:
                 continue
-            found = _Found(group.sent)
+            found = _Found(group.sent, buckets)
             some, texts = _known(group)
             ids = np.array([group.ids[k] for k in some], np.int64)
             marks = ([found.covered(c, ids, width, buckets) for c in chunks(texts, width)]
-                     if len(found.keys) else [])
+                     if len(found.keys) or len(found.split) else [])
             spans: dict[int, list] = {}
             if marks:
                 doc, begin, end = merge_spans(*(np.concatenate(m) for m in zip(*marks)))
@@ -576,9 +700,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return found.repartition(tasks, "bucket").sortWithinPartitions("bucket")
 
     hashes = together(lean, None).mapInArrow(_find_hashes(width, buckets), ROWS)
-    shared = store(dealt(hashes).mapInArrow(_shared_hashes, ROWS), "suffix-hashes")
+    shared = store(dealt(hashes).mapInArrow(_shared_hashes(buckets, SORT_BYTES), ROWS), "suffix-hashes")
     segments = together(lean, shared).mapInArrow(_segments(width, buckets), ROWS)
-    found = store(dealt(segments).mapInArrow(_sort_shards(width), ROWS), "suffix-found")
+    found = store(dealt(segments).mapInArrow(_sort_shards(width, buckets, SORT_BYTES), ROWS), "suffix-found")
     discard(shared)
     kind = rows.schema["rest"].dataType.simpleString()
     return together(rows, found).mapInArrow(
