@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import shutil
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -124,6 +125,30 @@ def test_upsert_load_rewrites_touched_partitions_only(spark, scratch):
     assert scoped.count() == 2
 
 
+def test_upsert_takes_every_arriving_row_and_leaves_other_partitions(spark, scratch):
+    from conftest import SF_SMALL
+    from wagegrid.plans import queries
+    from wagegrid.sources import testdata
+
+    new = testdata.new_batch(testdata.ordered_timesheets(spark, SF_SMALL))
+    want = {r.timesheet_id for r in new.select("timesheet_id").distinct().collect()}
+    whole = queries.queries()["upsert_partitioned_whole"](spark, SF_SMALL)
+    assert want <= {r.timesheet_id for r in whole.select("timesheet_id").collect()}
+
+    target, schema = scratch("upsert"), "p int, k int, v string"
+    tables.first_load(spark, spark.createDataFrame([(p, 1, "old") for p in (1, 2, None)], schema),
+                      target, ["p"])
+    files = lambda: {f: f.stat().st_mtime_ns for f in Path(
+        tables.table_folder(spark, target).removeprefix("file:")).rglob("p=*/*.parquet")}
+    before = files()
+    tables.upsert_load(spark, spark.createDataFrame([(2, 1, "new"), (2, 3, "new")], schema), target,
+                       ["p", "k"], partition_by=["p"])
+    kept = {f: t for f, t in before.items() if f.parent.name != "p=2"}
+    assert len(kept) == 2 and kept.items() <= files().items()
+    assert sorted((r.p or 0, r.k, r.v) for r in tables.read_table(spark, target).collect()) == [
+        (0, 1, "old"), (1, 1, "old"), (2, 1, "new"), (2, 3, "new")]
+
+
 @pytest.mark.parametrize("kind,values", [
     ("int", (1, 2)), ("date", (D(2020, 1, 1), D(2020, 1, 2))), ("string", ("a'b", "c=d")),
     ("decimal(10,2)", (Decimal("1.50"), Decimal("2.25")))])

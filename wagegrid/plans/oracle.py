@@ -276,6 +276,11 @@ SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY date, timesheet_id ORDER BY src DESC, arrival DESC) AS rn
   FROM (SELECT *, 0 AS src FROM old_batch
         UNION ALL SELECT *, 1 AS src FROM new_batch WHERE timesheet_id % 2 = 0 OR date IS NULL))
+WHERE rn = 1""", batches=True)
+    q["upsert_partitioned_whole"] = _views("""
+SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY date, timesheet_id ORDER BY src DESC, arrival DESC) AS rn
+  FROM (SELECT *, 0 AS src FROM old_batch UNION ALL SELECT *, 1 AS src FROM new_batch))
 WHERE rn = 1""", batches=True)
     q["key_check_flags"] = _views("""
 SELECT 'timesheet_id' AS key, true AS valid, COUNT(DISTINCT timesheet_id) AS stored_values FROM old_batch

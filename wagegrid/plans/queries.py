@@ -417,6 +417,16 @@ def upsert_partitioned(spark, sf_dir):
     return tables.read_table(spark, target).select(*old.columns)
 
 
+@query("upsert_partitioned_whole")
+def upsert_partitioned_whole(spark, sf_dir):
+    """S14 into a table partitioned by date: every arriving row."""
+    old, new = _batches(spark, sf_dir)
+    target, keys = _scratch(spark, "upserted"), ["date", "timesheet_id"]
+    tables.first_load(spark, dedupe.keep_last(old, keys, "arrival"), target, ["date"])
+    tables.upsert_load(spark, new, target, keys, "arrival", partition_by=["date"])
+    return tables.read_table(spark, target).select(*old.columns)
+
+
 @query("upsert_keep_last")
 def upsert_keep_last(spark, sf_dir):
     old, new = _batches(spark, sf_dir)
