@@ -25,14 +25,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id; of
-    rows that repeat this id, one."""
+    """Of each group of near-duplicates one row: the one with the smallest id; of
+    its rows in the group the smallest by (fingerprint, text, other columns), nulls
+    first. An id with texts in several groups may stay once for each."""
     ship_package(spark)
-    groups = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    stays = groups.where("doc_id = component_id").select("doc_id").distinct()
+    groups = simhash.components(docs, shingle=3, max_bits=3).where("id is not null")
+    stays = (groups.groupBy("component").agg(F.min(F.struct("id", "fp")).alias("row"))
+             .select(F.col("row.id").alias("doc_id"), F.col("row.fp").alias("fp")))
+    repeated = groups.groupBy(F.col("id").alias("doc_id")).count().where("count > 1").select("doc_id")
     rows = docs.select(*COLUMNS)
-    return (rows.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(rows.where("doc_id is null")).select(*COLUMNS))
+    nameless = rows.where("doc_id is null")
+    if not repeated.limit(1).count():
+        return rows.join(stays, "doc_id", "left_semi").unionByName(nameless).select(*COLUMNS)
+    once = rows.join(stays.join(repeated, "doc_id", "left_anti"), "doc_id", "left_semi")
+    # Which of an id's rows is in which group, its fingerprint tells.
+    others = COLUMNS[1:]
+    again = (simhash.fingerprints(rows.join(repeated, "doc_id", "left_semi"), others=others)
+             .withColumnRenamed("id", "doc_id").join(stays, ["doc_id", "fp"], "left_semi")
+             .groupBy("doc_id", "fp").agg(F.min("rest").alias("rest")).select("doc_id", "rest.*"))
+    return once.unionByName(again).unionByName(nameless).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,6 +60,19 @@ def test_near_duplicate_stage_keeps_one_of_each_group(llm, sf, odd_docs):
     assert len(ids) == len(set(ids)) and {1, 2, 4} <= set(ids) and not {3, 5, 10} & set(ids)
 
 
+def test_near_duplicate_stage_decides_by_row_where_ids_repeat(llm, sf):
+    words = ["alpha beta gamma delta epsilon zeta", "one two three four five six seven",
+             "rain falls on the old stone bridge today", "Rain falls on the old stone bridge today"]
+    rows = [(1, words[0]), (5, words[0]), (5, words[1]), (7, words[2]), (7, words[3]), (7, words[1]),
+            (8, words[0]), (5, words[1]), (None, words[0]), (9, "nine green bottles hang on the wall")]
+    docs = llm.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                               "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for parts in (1, 5):
+        out = corpus_pipeline.near_duplicates(llm, docs.repartition(parts), sf).collect()
+        assert sorted(((r.doc_id or 0), r.text) for r in out) == [
+            (0, words[0]), (1, words[0]), (5, words[1]), (7, words[3]), (9, rows[9][1])]
+
+
 def test_language_stage_keeps_clean_documents(llm):
     docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
     extra = llm.createDataFrame([(9001, "qzxv jjkw xqzp vvkz wqxj " * 20, None, "s", 1),

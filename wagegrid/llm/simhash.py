@@ -76,18 +76,23 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = 3) -> DataFrame:
-    """``id, fp`` (the 64 bits as a long) of every row; a null text is empty."""
+                 shingle: int = 3, others: tuple[str, ...] = ()) -> DataFrame:
+    """``id, fp`` (the 64 bits as a long) of every row, and the columns ``others``
+    as the struct ``rest`` where there are any; a null text is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 texts = batch.column("text").cast(pa.binary()).to_pylist()
                 fps = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64)
+                cols = [batch.column("id"), pa.array(fps.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(fps.view(np.int64))], names=["id", "fp"])
+                    cols + [batch.column("rest")] if others else cols,
+                    names=["id", "fp", "rest"][:3 if others else 2])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, fp bigint")
+    rest = [F.struct(*others).alias("rest")] if others else []
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), *rest)
+    kind = f", rest {rows.schema['rest'].dataType.simpleString()}" if others else ""
+    return rows.mapInArrow(run, f"id bigint, fp bigint{kind}")
 
 
 KEYED = "key bigint, mask bigint, fp bigint"
@@ -246,6 +251,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null id never is a component's id, unless the whole component has null ids.
     Other columns are not read. An empty table gives no rows.
     """
+    return components(docs, id_col, text_col, shingle, max_bits, dense).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id")
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               shingle: int = 3, max_bits: int = 3, dense: int = 4096) -> DataFrame:
+    """``id, fp, component, component_id`` of every row, as ``near_duplicates``;
+    ``component`` tells components apart whose smallest ids are the same."""
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits: 0 to 3 (two segments, radius 1)")
     marked = store(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
@@ -262,7 +276,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = (distinct.join(parts, distinct["fp"] == parts["node"], "left")
                 .select("fp", "first", F.coalesce("component", "fp").alias("component")))
     least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_fp = store(labelled.join(least, "component").select("fp", "component_id"), "simhash-groups")
-    return marked.join(by_fp, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id")
+    by_fp = store(labelled.join(least, "component")
+                  .select("fp", "component", "component_id"), "simhash-groups")
+    return marked.join(by_fp, "fp").select("id", "fp", "component", "component_id")
