@@ -129,3 +129,10 @@ def test_registered_queries(llm, sf, queries):
     assert hits >= 0.9 * 5 * len(asked)
     links = {r.vec_id: r.n_links for r in queries["op10_embedding_near_dedup"](llm, sf).collect()}
     assert links == {int(i): int((cos[k] >= 0.95).sum()) - 1 for k, i in enumerate(ids)}
+
+
+def test_neighbours_of_mixed_dimensions(llm):
+    rows = [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [1.0, 0.0, 0.0]), (4, [0.8, 0.1, 0.0]), (5, [1.0] * 5)]
+    df = llm.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r.query_id, r.vec_id) for r in hnsw.search(df, df, k=3).collect())
+    assert got == [(1, 2), (2, 1), (3, 4), (4, 3)]

@@ -76,7 +76,7 @@ def _descend(x, nodes, graphs, q: np.ndarray) -> np.ndarray:
 
 
 def index(rows: DataFrame, shard_size: int, degree: int, width: int) -> DataFrame:
-    """One row a shard with its vectors and flat neighbour arrays."""
+    """One row a shard and dimension with its vectors and flat neighbour arrays."""
     total = rows.count()
     shards = max(1, -(-total // shard_size))
 
@@ -97,8 +97,9 @@ def index(rows: DataFrame, shard_size: int, degree: int, width: int) -> DataFram
                                    pa.binary())})
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    dealt = dealt.withColumn("dim", F.size("vec"))
     tasks = spread(dealt.sparkSession, shards)
-    return store(dealt.repartitionByRange(tasks, "shard").groupBy("shard").applyInArrow(one, INDEX), "hnsw-index")
+    return store(dealt.repartitionByRange(tasks, "shard").groupBy("shard", "dim").applyInArrow(one, INDEX), "hnsw-index")
 
 
 def _unpack(row: dict):
