@@ -1,11 +1,11 @@
-"""Registered queries over texts: chat formatting, token counts, packing."""
+"""Registered queries over texts and conversations."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, pieces
+from . import chat, langid, lexical, pieces
 from .packing import pack
 from .simhash import near_duplicates
 from .suffix import remove_repeats
@@ -105,3 +105,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
         F.size("attachments").cast("bigint").alias("n_attachments"), "expanded_tokens")
+
+
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for every benchmark item."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return lexical.rank(docs, items, k=20)

@@ -61,8 +61,9 @@ def _setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+def store(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder, with a folder for each
+    value of the columns ``by``, and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
     The shuffle files behind the table are released once it is written.
@@ -70,7 +71,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     with _setting(spark, _CLEANUP, "true"):
-        df.write.parquet(path)
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

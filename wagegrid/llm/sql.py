@@ -38,3 +38,35 @@ SELECT p.page_id, CAST(octet_length(p.payload) AS BIGINT) AS payload_bytes,
   CASE WHEN p.page_id <> g.first THEN g.first END AS refers_to, p.url
 FROM p LEFT JOIN g ON p.payload = g.payload
 """
+
+ORACLES["op11_lexical_search"] = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tf AS (
+  SELECT doc, doc_id, term, count(*) AS tf FROM found GROUP BY ALL
+), n AS (
+  SELECT doc, sum(tf)::BIGINT AS n FROM tf GROUP BY doc
+), whole AS (
+  SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM n
+), df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc, doc_id,
+    sum(CAST(floor(1000 * ln((2.0::DOUBLE * big_n + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT)
+        * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN n USING (doc) JOIN df USING (term), whole
+  GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
