@@ -70,3 +70,121 @@ WITH found AS (
 )
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """
+
+# CRC-32 bit by bit, as SQL has no such function.
+ORACLES["op13_prefix_trie"] = r"""
+WITH RECURSIVE ids AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT conv_id, s, 0 AS i, 4294967295::BIGINT AS r FROM ids
+  UNION ALL
+  SELECT conv_id, s, i + 1, xor(x >> 1, (CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)::BIGINT)
+  FROM (SELECT conv_id, s, i, CASE WHEN i % 8 = 0 THEN xor(r, ascii(s[i // 8 + 1])::BIGINT) ELSE r END AS x
+        FROM crc WHERE i < 8 * length(s))
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(r, 4294967295::BIGINT) % 4 AS h
+  FROM crc WHERE i = 8 * length(s)
+), numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                       sha256(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), mixed AS (
+  SELECT c.conv_id, 0 AS src, pos, role, text FROM convs c JOIN numbered n ON n.conv_id = c.base
+  WHERE pos <= h
+  UNION ALL
+  SELECT c.conv_id, 1, pos, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id WHERE pos > h
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY src, pos) AS depth,
+    sha256(length(role) || ':' || role || text) AS content,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS words
+  FROM mixed
+), paths AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0::BIGINT AS words FROM convs
+  UNION ALL
+  SELECT conv_id, depth, string_agg(content, '') OVER (PARTITION BY conv_id ORDER BY depth), words FROM turns
+), named AS (
+  SELECT *, min(conv_id) OVER (PARTITION BY depth, path) AS top,
+    depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM paths
+), nodes AS (
+  SELECT top, depth, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM named GROUP BY top, depth
+), family AS (
+  SELECT DISTINCT u.top AS top, u.depth AS depth, p.top AS parent
+  FROM named u JOIN named p ON p.conv_id = u.conv_id AND p.depth = u.depth - 1
+), kids AS (
+  SELECT parent AS top, depth - 1 AS depth, count(*) AS n_children FROM family GROUP BY ALL
+), below AS (
+  SELECT DISTINCT a.top, a.depth, d.top AS under, d.depth AS under_depth
+  FROM named a JOIN named d ON d.conv_id = a.conv_id AND d.depth >= a.depth
+), sums AS (
+  SELECT b.top, b.depth, sum((k.n_children IS NULL)::BIGINT)::BIGINT AS n_leaves,
+    sum((n.n_convs - 1) * n.words)::BIGINT AS saved_tokens
+  FROM below b JOIN nodes n ON n.top = b.under AND n.depth = b.under_depth
+  LEFT JOIN kids k ON k.top = b.under AND k.depth = b.under_depth GROUP BY ALL
+)
+SELECT n.top AS conv_id, n.depth::BIGINT AS depth, f.parent AS parent_conv_id, n.n_convs,
+  coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (top, depth) LEFT JOIN kids k USING (top, depth)
+LEFT JOIN family f USING (top, depth)
+"""
+
+_ROUNDS = "".join(rf"""
+, s{k} AS MATERIALIZED (
+  SELECT kind, host, CAST(sum(part) // 20 AS BIGINT) AS score FROM (
+    SELECT kind, host, 3 * mass AS part FROM seeds
+    UNION ALL
+    SELECT a.kind, a.tail, 17 * ((s.score::HUGEINT * a.links) // t.total) FROM s{k - 1} s
+    JOIN arcs a ON a.kind = s.kind AND a.head = s.host
+    JOIN totals t ON t.kind = s.kind AND t.head = s.host
+  ) GROUP BY kind, host
+)""" for k in range(1, 13))
+
+ORACLES["op12_url_filters"] = r"""
+WITH rules(host, path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), cut AS (
+  SELECT row_number() OVER () AS r, page_id, html,
+    CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT r, page_id, html, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut
+), rows_ AS (
+  SELECT r, page_id, html,
+    translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM split
+), fit AS (
+  SELECT p.r, u.host || u.path AS rule, u.verdict,
+    row_number() OVER (PARTITION BY p.r ORDER BY length(u.host || u.path) DESC) AS place
+  FROM rows_ p JOIN rules u ON (p.host = u.host OR ends_with(p.host, '.' || u.host))
+    AND starts_with(p.path, u.path)
+), judged AS (
+  SELECT p.*, f.rule, f.verdict FROM rows_ p LEFT JOIN fit f ON f.r = p.r AND f.place = 1
+), seeds AS (
+  SELECT CASE verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host,
+    count(*) * 1000000 AS mass
+  FROM judged WHERE verdict IS NOT NULL AND host <> '' GROUP BY ALL
+), found AS (
+  SELECT host AS source, translate(unnest(regexp_extract_all(html,
+    '(?i)href[ \t\r\n]*=[ \t\r\n]*["'']?[ \t\r\n]*(?:https?:)?//([^/?#"''<> \t\r\n]+)', 1)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target
+  FROM rows_ WHERE host <> ''
+), edges AS (
+  SELECT source, target, count(*) AS links FROM found WHERE source <> target GROUP BY ALL
+), arcs AS (
+  SELECT 'trust' AS kind, source AS head, target AS tail, links FROM edges
+  UNION ALL SELECT 'distrust', target, source, links FROM edges
+), totals AS (
+  SELECT kind, head, sum(links) AS total FROM arcs GROUP BY ALL
+), s0 AS (
+  SELECT kind, host, mass AS score FROM seeds
+)""" + _ROUNDS + """
+, bad AS (
+  SELECT host FROM s12 GROUP BY host
+  HAVING sum(CASE kind WHEN 'distrust' THEN score ELSE -score END) > 0
+)
+SELECT j.page_id, j.host, j.path, j.rule,
+  coalesce(j.verdict, CASE WHEN b.host IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM judged j LEFT JOIN bad b ON b.host = j.host
+"""
