@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import queries_pages, queries_text, queries_vectors, sql
+from . import queries_conversations, queries_pages, queries_text, queries_vectors, sql
 from .shared import ship_package
 
-QUERY_MODULES = (queries_text, queries_pages, queries_vectors)
+QUERY_MODULES = (queries_text, queries_pages, queries_vectors, queries_conversations)
 
 
 def _shipped(query):

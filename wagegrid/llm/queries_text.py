@@ -1,4 +1,4 @@
-"""Registered queries over texts and conversations."""
+"""Registered queries over texts: chat formatting, token counts, packing, search."""
 
 from __future__ import annotations
 
