@@ -11,7 +11,7 @@ from wagegrid.llm import entry as llm_entry
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in llm_entry.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(llm_entry.queries()) | {"pipeline"} <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

@@ -42,7 +42,7 @@ from .tokens import slices
 
 OWNERS = 4            # stages that a bundle passes
 BLOCK = 256           # items of a bundle
-SHARD_DOCS = 4096     # documents of a shard
+SHARD_DOCS = 2048     # documents of a shard
 SHARD_BYTES = 32 << 20
 BITS = 1 << 24        # positions of the term bitmap (2 MB)
 BUCKET = 32768        # positions of one row of Spark's bitmap functions

@@ -162,7 +162,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataF
             discard(before)
         done += step
         last, mark = mark, tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("kind", "host", "score"))).first())
-        if step > 1 and mark == last:
+        if mark == last and (rounds - done) % STEP == 0:
             break
     return now
 
