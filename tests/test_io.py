@@ -6,7 +6,6 @@ import datetime as dt
 import os
 import shutil
 from decimal import Decimal
-from pathlib import Path
 
 import pytest
 
@@ -14,7 +13,7 @@ from wagegrid.operators.rates import branch_rates
 from wagegrid.plans import jobs
 from wagegrid.schemas import EMPLOYEES, RESULT
 from wagegrid.sources import csv as csv_io
-from wagegrid.sources import tables
+from wagegrid.sources import tables, versions
 
 D = dt.date
 
@@ -94,8 +93,6 @@ def test_full_refresh_replaces_and_failed_stage_keeps_old(spark, scratch):
     second = first.filter("branch_id = 1")
     for _ in range(3):
         assert tables.full_refresh(spark, second, target, RESULT) == 1
-    # the current and the previous version are kept
-    assert len([n for n in os.listdir(target) if n.startswith("v-")]) == 2
     assert tables.read_table(spark, target).count() == 1
     # A value that overflows DECIMAL(10,2) fails while it is written: target intact.
     bad = spark.createDataFrame([(3, 2020, 1, 1e12)], first.schema)
@@ -116,13 +113,10 @@ def test_upsert_load_rewrites_touched_partitions_only(spark, scratch):
     got = sorted((r.branch_id, r.month, r.salary_per_hour)
                  for r in tables.read_table(spark, target).collect())
     assert got == [(1, 1, 1.0), (1, 2, 3.0), (2, 2, 4.0)]
-    # the scan is bounded by the touched partition values
-    arriving, _ = tables.stage(spark, second)
-    scoped = tables._touched_partitions(tables.read_table(spark, target), arriving, ["year", "month"])
-    scan = [l for l in scoped._jdf.queryExecution().executedPlan().toString().split("\n")
-            if "FileScan" in l and "PartitionFilters: [" in l]
-    assert any("month" in l.split("PartitionFilters:")[1].split("PushedFilters")[0] for l in scan)
-    assert scoped.count() == 2
+    # the untouched month is still the first load's
+    at = versions.latest(spark, target)
+    assert {folder for load, folder in at.parts if load == at.parts[0][0]} != {
+        folder for _, folder in at.parts} and len(at.loads()) == 2
 
 
 def test_upsert_takes_every_arriving_row_and_leaves_other_partitions(spark, scratch):
@@ -138,13 +132,12 @@ def test_upsert_takes_every_arriving_row_and_leaves_other_partitions(spark, scra
     target, schema = scratch("upsert"), "p int, k int, v string"
     tables.first_load(spark, spark.createDataFrame([(p, 1, "old") for p in (1, 2, None)], schema),
                       target, ["p"])
-    files = lambda: {f: f.stat().st_mtime_ns for f in Path(
-        tables.table_folder(spark, target).removeprefix("file:")).rglob("p=*/*.parquet")}
+    files = lambda: set(tables.read_table(spark, target).inputFiles())
     before = files()
     tables.upsert_load(spark, spark.createDataFrame([(2, 1, "new"), (2, 3, "new")], schema), target,
                        ["p", "k"], partition_by=["p"])
-    kept = {f: t for f, t in before.items() if f.parent.name != "p=2"}
-    assert len(kept) == 2 and kept.items() <= files().items()
+    kept = {f for f in before if "/p=2/" not in f}
+    assert len(kept) == 2 and kept <= files() and len(files()) == 3
     assert sorted((r.p or 0, r.k, r.v) for r in tables.read_table(spark, target).collect()) == [
         (0, 1, "old"), (1, 1, "old"), (2, 1, "new"), (2, 3, "new")]
 
@@ -160,8 +153,9 @@ def test_upsert_keeps_rows_of_null_and_any_partition(spark, scratch, kind, value
                               partition_by=["p"]) == 6
     new = spark.createDataFrame([(None, 1, "new"), (values[0], 1, "new"), (values[0], 3, "new")], schema)
     assert tables.upsert_load(spark, new, target, ["p", "k"], partition_by=["p"]) == 1
-    got = {(r.p, r.k): r.v for r in spark.read.schema(schema).parquet(
-        tables.table_folder(spark, target)).collect()}
+    stored = tables.read_table(spark, target)
+    assert stored.schema["p"].dataType.simpleString() == kind
+    got = {(r.p, r.k): r.v for r in stored.collect()}
     assert len(got) == 7
     assert {key for key, v in got.items() if v == "new"} == {
         (None, 1), (values[0], 1), (values[0], 3)}
@@ -185,15 +179,15 @@ def test_failure_before_the_switch_keeps_the_old_rows(spark, scratch, monkeypatc
     target = scratch("refresh")
     df = spark.createDataFrame([(1, 2020, 1, 1.0)], "branch_id int, year int, month int, salary_per_hour double")
     tables.full_refresh(spark, df, target, RESULT, ["year", "month"])
-    switch = tables.switch_version
+    commit = versions.commit
 
     def lost(*args):
         raise RuntimeError("driver lost")
-    monkeypatch.setattr(tables, "switch_version", lost)
+    monkeypatch.setattr(versions, "commit", lost)
     with pytest.raises(RuntimeError):
         tables.full_refresh(spark, df.union(df), target, RESULT, ["year", "month"])
     assert tables.read_table(spark, target).count() == 1
-    monkeypatch.setattr(tables, "switch_version", switch)
+    monkeypatch.setattr(versions, "commit", commit)
     assert tables.full_refresh(spark, df.union(df), target, RESULT, ["year", "month"]) == 2
     assert tables.read_table(spark, target).count() == 2
 
@@ -212,7 +206,7 @@ def test_partitioned_writes_leave_few_files(spark, scratch):
     target = scratch("files")
     df = spark.range(0, 4000, 1, 16).selectExpr("id", "date_add(DATE'2020-01-01', CAST(id % 20 AS INT)) AS date")
     tables.first_load(spark, df, target, ["date"])
-    files = spark.read.parquet(tables.table_folder(spark, target)).inputFiles()
+    files = tables.read_table(spark, target).inputFiles()
     assert len(files) <= 2 * 20
 
 
@@ -375,11 +369,8 @@ def test_job_command_line(spark, scratch, capsys):
 
 
 def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypatch):
-    """Crash after the result load, at each publish of the staged source
-    appends: running the job again must give the same tables as an
-    uninterrupted run."""
-    from wagegrid.sources.tables import StagedAppend
-
+    """Crash before or after each commit (two sources, two states, the result): running
+    the job again must give the same tables as an uninterrupted run."""
     folder_e, folder_t = scratch("e"), scratch("t")
     write_text(folder_e, "employees.csv", EMP_CSV)
     write_text(folder_t, "timesheets.csv", TS_CSV)
@@ -388,34 +379,35 @@ def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypat
     write_text(more_t, "timesheets.csv", "timesheet_id,employee_id,date,checkin,checkout\n"
                                          "4,1,2020-01-03,08:00:00,18:00:00\n"
                                          "5,9,2020-02-03,08:00:00,17:00:00\n")
-    original = StagedAppend.publish
-
+    commit = versions.commit
     first = scratch("wh")
     jobs.incremental_job(spark, folder_e, folder_t, first)
 
-    def run_all(wh, crash_at=0):
+    def run_all(wh, crash_at=0, after=False):
         shutil.copytree(first, wh)  # after the first run
         if crash_at:
             calls = {"n": 0}
 
-            def flaky(self):
+            def flaky(*args, **kwargs):
                 calls["n"] += 1
+                if calls["n"] == crash_at and not after:
+                    raise RuntimeError("driver lost")
+                made = commit(*args, **kwargs)
                 if calls["n"] == crash_at:
                     raise RuntimeError("driver lost")
-                return original(self)
-            monkeypatch.setattr(StagedAppend, "publish", flaky)
+                return made
+            monkeypatch.setattr(versions, "commit", flaky)
             with pytest.raises(RuntimeError):
                 jobs.incremental_job(spark, more_e, more_t, wh)
-            monkeypatch.setattr(StagedAppend, "publish", original)
+            monkeypatch.setattr(versions, "commit", commit)
         jobs.incremental_job(spark, more_e, more_t, wh)
         names = ("salary_per_hours_c", "timesheets_python", "employees_python",
-                 "timesheets_python_employee_months")
-        return {n: sorted(tuple(r) for r in tables.read_table(spark, f"{wh}/{n}").collect())
-                for n in names}
+                 "attendance_sums_c", "employees_latest_c")
+        return {n: sorted(map(str, tables.read_table(spark, f"{wh}/{n}").collect())) for n in names}
 
     whole = run_all(scratch("wh"))
-    for crash_at in (1, 2, 3):
-        assert run_all(scratch("wh"), crash_at) == whole
+    for crash_at, after in ((1, True), (2, False), (2, True), (3, False), (4, True), (5, False)):
+        assert run_all(scratch("wh"), crash_at, after) == whole
 
 
 def test_run_sql_with_views_and_parameters(spark):
@@ -426,32 +418,6 @@ def test_run_sql_with_views_and_parameters(spark):
     assert [r.branch_id for r in out.collect()] == [2]
 
 
-def test_full_refresh_table_switches_location(spark, scratch):
-    import uuid
-    name = f"wagegrid_result_{uuid.uuid4().hex[:8]}"
-    root = scratch("tables")
-    first = spark.createDataFrame([(1, 2020, 1, 10.0), (2, 2020, 2, 20.0)],
-                                  "branch_id int, year int, month int, salary_per_hour double")
-    assert tables.full_refresh_table(spark, first, name, root, RESULT, ["year", "month"]) == 2
-    loc1 = tables.table_location(spark, name)
-    assert spark.table(name).count() == 2
-    second = first.filter("branch_id = 2")
-    assert tables.full_refresh_table(spark, second, name, root, RESULT, ["year", "month"]) == 1
-    loc2 = tables.table_location(spark, name)
-    assert loc1 != loc2 and [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == [
-        "year=2020/month=2"]
-    rows = spark.table(name).collect()
-    assert [(r.branch_id, r.month, r.salary_per_hour) for r in rows] == [(2, 2, Decimal("20.00"))]
-    # a further refresh with a NULL partition; the version before the last goes
-    third = spark.createDataFrame([(1, None, 2, 5.0), (2, 2020, 2, 6.0)], first.schema)
-    assert tables.full_refresh_table(spark, third, name, root, RESULT, ["year", "month"]) == 2
-    assert not os.path.exists(loc1.replace("file:", "")) and os.path.exists(loc2.replace("file:", ""))
-    assert tables.full_refresh_table(spark, second, name, root, RESULT, ["year", "month"]) == 1
-    assert len(spark.sql(f"SHOW PARTITIONS {name}").collect()) == 1
-    assert spark.table(name).count() == 1
-    spark.sql(f"DROP TABLE {name}")
-
-
 def test_full_refresh_job_on_catalog_tables(spark, scratch):
     folder_e, folder_t = scratch("e"), scratch("t")
     write_text(folder_e, "employees.csv", EMP_CSV)
@@ -462,7 +428,8 @@ def test_full_refresh_job_on_catalog_tables(spark, scratch):
         assert counts == {"timesheets": 3, "employees": 4, "result": 2}
     assert spark.table("salary_per_hours_a").count() == 2
     for t in ("timesheets", "employees", "salary_per_hours_a"):
-        spark.sql(f"DROP TABLE {t}")
+        spark.sql(f"DROP VIEW {t}")
+        spark.sql(f"DROP TABLE {t}__files")
 
 
 def test_incremental_job_on_catalog_tables(spark, scratch):
@@ -482,4 +449,5 @@ def test_incremental_job_on_catalog_tables(spark, scratch):
                 map(str, tables.read_table(spark, f"{wh}/{n}").collect()))
     finally:
         for n in names:
-            spark.sql(f"DROP TABLE IF EXISTS {n}")
+            spark.sql(f"DROP VIEW IF EXISTS {n}")
+            spark.sql(f"DROP TABLE IF EXISTS {n}__files")

@@ -121,7 +121,8 @@ def merged_with_flag(existing: DataFrame, new: DataFrame, keys: Sequence[str] |
     """``upsert`` plus a column telling whether the key is new.
 
     One aggregation per key (NULL keys form one group): the last row, and the
-    smallest source. Rows of a hot key are combined before the shuffle.
+    smallest source. Rows of a hot key are combined before the shuffle. The
+    columns are those of both sides, the stored ones first.
     """
     keys = validate_keys(new, existing, keys)
     both = union_all(existing.withColumn(SOURCE, F.lit(0)), new.withColumn(SOURCE, F.lit(1)))
@@ -130,10 +131,11 @@ def merged_with_flag(existing: DataFrame, new: DataFrame, keys: Sequence[str] |
     # Struct order puts NULL first, so the largest is "last, NULLs before values".
     order = F.struct(SOURCE, *[F.col(f"`{c}`") for c in seq])
     last = (both.groupBy(*[F.col(f"`{k}`") for k in keys])
-            .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__row"),
+            .agg(F.max_by(F.struct(F.col(SOURCE).alias("__last"), *[F.col(f"`{c}`") for c in rest]),
+                          order).alias("__row"),
                  F.min(SOURCE).alias(SOURCE)))
     return last.select(*[F.col(f"`{k}`") if k in keys else F.col("__row").getField(k).alias(k)
-                         for k in existing.columns], (F.col(SOURCE) == 1).alias(flag))
+                         for k in both.columns if k != SOURCE], (F.col(SOURCE) == 1).alias(flag))
 
 
 def load_counts(new: DataFrame, existing: DataFrame, keys: Sequence[str] | str,

@@ -35,6 +35,9 @@ from ..policies import Policy, get_policy
 from .dedupe import latest_employee
 
 
+SUM_KEYS = ("employee_id", "year", "month")
+
+
 def _time_operand(df: DataFrame, name: str, coerce: bool) -> tuple[str, str]:
     """(seconds SQL, raw-missing SQL) for a time column given as text or seconds."""
     if isinstance(df.schema[name].dataType, T.StringType):
@@ -69,20 +72,39 @@ def shift_hours(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
         f"{shift_seconds_sql('checkin_new', 'checkout_new', p.duration)} AS work_seconds")
 
 
-def monthly_attendance(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
-    """(employee_id, year, month, days, work_seconds) per employee and month.
+def attendance_sums(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
+    """(employee_id, year, month, days, work_seconds, counted): sums that add up.
 
     A row with a NULL employee_id can never match an employee and is dropped
     at the scan. ``days`` counts rows, not distinct dates (as the workload
-    does); ``work_seconds`` is NULL when every day of the month is NULL.
+    does), ``counted`` those whose work_seconds is not NULL.
     """
     p = get_policy(policy)
     cond = "employee_id IS NOT NULL" + (" AND date IS NOT NULL" if p.drop_null_keys else "")
     return (shift_hours(timesheets.filter(cond), p)
             .selectExpr("employee_id", f"{year_sql('date')} AS year",
                         f"{month_sql('date')} AS month", "work_seconds")
-            .groupBy("employee_id", "year", "month")
-            .agg(F.count(F.lit(1)).alias("days"), F.sum("work_seconds").alias("work_seconds")))
+            .groupBy(*SUM_KEYS)
+            .agg(F.count(F.lit(1)).alias("days"),
+                 F.coalesce(F.sum("work_seconds"), F.lit(0)).alias("work_seconds"),
+                 F.count("work_seconds").alias("counted")))
+
+
+def add_sums(sums: DataFrame, more: DataFrame) -> DataFrame:
+    """Two results of ``attendance_sums`` over different rows as one."""
+    return sums.unionByName(more).groupBy(*SUM_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("days", "work_seconds", "counted")])
+
+
+def months_of_sums(sums: DataFrame) -> DataFrame:
+    """The monthly totals that ``attendance_sums`` stand for: ``work_seconds`` is
+    NULL when every day of the month is NULL."""
+    return sums.selectExpr(*SUM_KEYS, "days", "IF(counted = 0, NULL, work_seconds) AS work_seconds")
+
+
+def monthly_attendance(timesheets: DataFrame, policy: Policy | str) -> DataFrame:
+    """(employee_id, year, month, days, work_seconds) per employee and month."""
+    return months_of_sums(attendance_sums(timesheets, policy))
 
 
 def payroll_employees(employees: DataFrame, policy: Policy | str) -> DataFrame:
@@ -117,9 +139,10 @@ def gross_hours(timesheets: DataFrame, employees: DataFrame, policy: Policy | st
     The left join plus salary filter of the workload is an inner join (the
     filter rejects the NULLs the outer side would add).
     """
-    p = get_policy(policy)
-    monthly = monthly_attendance(timesheets, p)
-    staff = payroll_employees(employees, p)
+    return _gross(monthly_attendance(timesheets, policy), payroll_employees(employees, policy))
+
+
+def _gross(monthly: DataFrame, staff: DataFrame) -> DataFrame:
     return monthly.join(staff, "employee_id", "inner").selectExpr(
         "employee_id", "branch_id", "year", "month",
         "days * copies AS total_day",
@@ -129,9 +152,11 @@ def gross_hours(timesheets: DataFrame, employees: DataFrame, policy: Policy | st
 
 def employee_rates(timesheets: DataFrame, employees: DataFrame, policy: Policy | str) -> DataFrame:
     """F5 + F6: prorated salary and pay per hour per employee and month."""
-    p = get_policy(policy)
-    g = gross_hours(timesheets, employees, p)
-    return (g.selectExpr("*", f"{prorated_salary_sql('total_day', 'salary')} AS prorated_salary")
+    return _rates(gross_hours(timesheets, employees, policy))
+
+
+def _rates(gross: DataFrame) -> DataFrame:
+    return (gross.selectExpr("*", f"{prorated_salary_sql('total_day', 'salary')} AS prorated_salary")
              .selectExpr("*", f"{hourly_rate_sql('prorated_salary', 'total_hours')} "
                               "AS salary_per_hour"))
 
@@ -142,8 +167,17 @@ def branch_rates(timesheets: DataFrame, employees: DataFrame, policy: Policy | s
     ``salary_per_hour`` is DECIMAL(20,2) for the policy that rounds in the
     query and an unrounded DOUBLE otherwise.
     """
-    p = get_policy(policy)
-    rates = employee_rates(timesheets, employees, p)
+    return _branch_means(employee_rates(timesheets, employees, policy), get_policy(policy))
+
+
+def branch_rates_of_months(monthly: DataFrame, employees: DataFrame,
+                           policy: Policy | str) -> DataFrame:
+    """``branch_rates`` from monthly totals instead of attendance rows."""
+    return _branch_means(_rates(_gross(monthly, payroll_employees(employees, policy))),
+                         get_policy(policy))
+
+
+def _branch_means(rates: DataFrame, p: Policy) -> DataFrame:
     out = rates.groupBy("branch_id", "year", "month").agg(
         F.avg("salary_per_hour").alias("salary_per_hour"))
     value = round_half_up_sql("salary_per_hour", 2) if p.rounding == "query" else "salary_per_hour"

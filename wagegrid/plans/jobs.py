@@ -17,17 +17,21 @@ from __future__ import annotations
 
 import argparse
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.rates import branch_rates
+from ..operators.dedupe import latest_employee
+from ..operators.rates import (add_sums, attendance_sums, branch_rates, branch_rates_of_months,
+                               months_of_sums)
 from ..policies import POLICIES, Policy, get_policy
 from ..schemas import EMPLOYEES, RESULT, RESULT_KEYS, TIMESHEETS
 from ..sources.csv import read_employees_csv, read_timesheets_csv, write_csv
+from ..sources import versions
+from ..sources.maintained import covered_loads, refresh_state, uncovered_parts
 from ..sources.tables import (append_load, cast_to_schema, full_refresh, full_refresh_table,
-                              path_exists, point_table, read_table, stage_append,
-                              table_folder, upsert_load)
+                              read_table, show_table, stage_append, upsert_load)
 from ..functions.timeofday import parse_time
 
 PARTITIONS = ("year", "month")
@@ -62,11 +66,9 @@ def full_refresh_job(spark: SparkSession, employees_csv: str, timesheets_csv: st
     """Q5: positional typed scans, full refresh of both sources, transform,
     optional CSV of the result, full refresh of the DECIMAL(10,2) result.
 
-    With ``catalog`` the three tables are catalog tables (``timesheets``,
-    ``employees``, ``salary_per_hours_<policy>``) whose data lives below
-    ``warehouse`` and is replaced by switching locations (no copy);
-    otherwise they are Parquet folders below ``warehouse``, replaced through
-    a staged copy.
+    The three tables are stored below ``warehouse`` (``timesheets``, ``employees``,
+    ``salary_per_hours_<policy>``), each replaced by committing a new version. With
+    ``catalog`` they are catalog views of the same names, too.
     """
     p = _policy_for(policy, "full-refresh")
     wh = warehouse.rstrip("/")
@@ -107,39 +109,33 @@ RESULT_DOUBLE = T.StructType([
 ])
 
 
-def employee_months(timesheets: DataFrame) -> DataFrame:
-    """Distinct (employee_id, year, month) with attendance: the summary the
-    incremental job keeps next to the attendance table."""
-    return (timesheets.selectExpr("employee_id", "CAST(year(date) AS INT) AS year",
-                                  "CAST(month(date) AS INT) AS month")
-            .filter("employee_id IS NOT NULL AND year IS NOT NULL")
-            .dropDuplicates())
+def _month_filter(months: list[tuple[int, int]]) -> str:
+    """Predicate on the (year, month) partition columns (prunes whole folders)."""
+    return "(year, month) IN (" + ", ".join(f"({y}, {m})" for y, m in sorted(months)) + ")"
 
 
-def affected_months(months_index: DataFrame, new_timesheets: DataFrame,
-                    new_employees: DataFrame | None) -> DataFrame:
+def affected_months(new_timesheets: DataFrame | None, new_employees: DataFrame | None,
+                    sums: DataFrame) -> list[tuple[int, int]]:
     """(year, month) whose result can change after an append.
 
     A branch-month result depends only on that month's attendance and on the
     employee records, so it changes when attendance rows were appended to it,
     or when an employee with attendance in it got a new record (which can
     change the latest record, or make unmatched attendance match). The
-    second set is looked up in ``months_index`` (distinct employee-months,
-    see ``employee_months``) instead of the attendance history.
+    second set is looked up in the maintained ``sums`` instead of the attendance.
+    The months are bounded by the calendar, so they are taken to the driver.
     """
-    ym = ["CAST(year(date) AS INT) AS year", "CAST(month(date) AS INT) AS month"]
-    months = new_timesheets.selectExpr(*ym)
+    found = []
+    if new_timesheets is not None:
+        found.append(new_timesheets.selectExpr("CAST(year(date) AS INT) AS year",
+                                               "CAST(month(date) AS INT) AS month"))
     if new_employees is not None:
-        changed = new_employees.select("employee_id").dropDuplicates()
-        months = months.unionByName(
-            months_index.join(changed, "employee_id", "left_semi").select("year", "month"))
-    return months.filter("year IS NOT NULL").dropDuplicates()
-
-
-def _month_filter(months: list[tuple[int, int]]) -> str:
-    """Predicate on the ``date`` partition column (prunes whole folders)."""
-    firsts = ", ".join(f"DATE'{y:04d}-{m:02d}-01'" for y, m in sorted(months))
-    return f"trunc(date, 'MM') IN ({firsts})"
+        found.append(sums.join(new_employees.select("employee_id").dropDuplicates(), "employee_id",
+                               "left_semi").select("year", "month"))
+    if not found:
+        return []
+    return [(r.year, r.month) for r in reduce(DataFrame.unionByName, found)
+            .filter("year IS NOT NULL").dropDuplicates().collect()]
 
 
 def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str,
@@ -148,70 +144,70 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
     """Q6: scans by header name, append-new-keys extract of both sources,
     transform, then keyed upsert (C) or append of new keys (D) of the result.
 
-    The stored attendance table is partitioned by ``date``. After the first
-    run only the months an append can change are recomputed (see
-    ``affected_months``) and only their result partitions are rewritten;
-    the result equals a full recomputation. The list of affected months is
-    bounded by the calendar (twelve per year), not by the data, so it is
-    taken to the driver to build a partition filter.
+    Besides the sources and the result two states are maintained, each from the
+    loads that came since (see ``sources.maintained``): sums of attendance per
+    employee and month (``attendance_sums_<policy>``, by year and month), and the
+    latest record per employee (``employees_latest_<policy>``). The result of the
+    months an append can change (see ``affected_months``) comes from these two;
+    the attendance history is read for the key lookup only. It equals a full
+    recomputation.
+
+    The result's version notes the source loads it reflects. A run that fails
+    anywhere is completed by simply running it again, and an append that another
+    job has made is taken in by the next run.
 
-    With ``catalog`` the stored tables are also catalog tables of the same names
+    With ``catalog`` the stored tables are also catalog views of the same names
     (``timesheets_python``, ``employees_python``, ``salary_per_hours_<policy>``):
-    after the load they show the folders' current versions.
+    after the load they show the current versions.
 
     Arrival order inside the CSV files (for keep-last) is taken from the file
     metadata and the row position, see ``sources.csv.arrival_order``.
     """
     p = _policy_for(policy, "incremental")
     wh = warehouse.rstrip("/")
+    timesheets, employees = f"{wh}/timesheets_python", f"{wh}/employees_python"
     emp = read_employees_csv(spark, employees_csv, by_name=True, arrival=True)
     ts = read_timesheets_csv(spark, timesheets_csv, by_name=True, arrival=True)
-    # Stage the source appends; they are published only after the result,
-    # so a run that fails anywhere is completed by simply running it again.
-    emp_stage = stage_append(spark, emp, f"{wh}/employees_python",
-                             ["employee_id", "branch_id"], "__arrival")
-    ts_stage = stage_append(spark, ts, f"{wh}/timesheets_python",
-                            ["timesheet_id"], "__arrival", partition_by=["date"])
-    counts = {"employees": emp_stage.count, "timesheets": ts_stage.count}
-
-    def current(s):  # stored rows plus the staged, unpublished ones
-        return s.rows if s.first else read_table(spark, s.target).unionByName(s.rows)
-    employees, timesheets = current(emp_stage), current(ts_stage)
-    target = f"{wh}/salary_per_hours_{p.name}"
-
-    # Distinct employee-months next to the attendance table; rebuilt from the
-    # whole history only when it is missing.
-    index_path = f"{wh}/timesheets_python_employee_months"
-    index_source = ts_stage.rows if path_exists(spark, index_path) else timesheets
-    index_stage = stage_append(spark, employee_months(index_source), index_path,
-                               ["employee_id", "year", "month"], "employee_id")
-    months_index = current(index_stage)
+    counts = {}
+    for name, rows, target, keys, cluster in (
+            ("employees", emp, employees, ["employee_id", "branch_id"], ()),
+            ("timesheets", ts, timesheets, ["timesheet_id"], ("date", "timesheet_id"))):
+        counts[name] = stage_append(spark, rows, target, keys, "__arrival",
+                                    cluster_by=cluster).publish()
+
+    sums, latest = f"{wh}/attendance_sums_{p.name}", f"{wh}/employees_latest_{p.name}"
+    ts_now = refresh_state(spark, timesheets, sums, lambda rows: attendance_sums(rows, p), add_sums,
+                           PARTITIONS)
+    emp_now = refresh_state(spark, employees, latest, lambda rows: _latest(rows, p),
+                            lambda stored, more: _latest(stored.unionByName(more), p))
 
-    scope = timesheets
-    if not (emp_stage.first or ts_stage.first or not path_exists(spark, target)):
-        months = [(r.year, r.month) for r in affected_months(
-            months_index, ts_stage.rows, emp_stage.rows if emp_stage.count else None).collect()]
-        scope = timesheets.filter(_month_filter(months)) if months else None
+    target = f"{wh}/salary_per_hours_{p.name}"
+    scope, have = read_table(spark, sums), versions.latest(spark, target)
+    if have:
+        noted = [uncovered_parts(now, have.notes[name]) if name in have.notes else None
+                 for name, now in (("timesheets", ts_now), ("employees", emp_now))]
+        if None not in noted:  # else the loads cannot tell what is new: everything
+            new_ts, new_emp = [versions.read(spark, path, now, parts) if parts else None
+                               for path, now, parts in zip((timesheets, employees),
+                                                           (ts_now, emp_now), noted)]
+            months = affected_months(new_ts, new_emp, scope)
+            scope = scope.filter(_month_filter(months)) if months else None
 
     if scope is None:
         counts["result"] = 0
     else:
-        result = cast_to_schema(branch_rates(scope, employees, p), RESULT_DOUBLE)
+        result = cast_to_schema(branch_rates_of_months(
+            months_of_sums(scope), read_table(spark, latest), p), RESULT_DOUBLE)
+        notes = {"timesheets": covered_loads(ts_now), "employees": covered_loads(emp_now)}
         if p.load == "upsert":
             counts["result"] = upsert_load(spark, result, target, list(RESULT_KEYS),
-                                           partition_by=PARTITIONS)
+                                           partition_by=PARTITIONS, notes=notes)
         else:
             counts["result"] = append_load(spark, result, target, list(RESULT_KEYS),
-                                           list(RESULT_KEYS), partition_by=PARTITIONS)
-    # Publish order keeps every prefix recoverable by a rerun: the result
-    # first, the month summary before the attendance rows it summarises.
-    emp_stage.publish()
-    index_stage.publish()
-    ts_stage.publish()
+                                           list(RESULT_KEYS), partition_by=PARTITIONS, notes=notes)
     if catalog:
-        for name, parts in ((f"salary_per_hours_{p.name}", PARTITIONS),
-                            ("timesheets_python", ("date",)), ("employees_python", None)):
-            point_table(spark, name, table_folder(spark, f"{wh}/{name}"), parts)
+        for name in (f"salary_per_hours_{p.name}", "timesheets_python", "employees_python"):
+            show_table(spark, name, f"{wh}/{name}")
     if result_csv:
         # the complete current result, untouched months included
         write_csv(read_table(spark, target).select(*RESULT_DOUBLE.fieldNames())
@@ -219,6 +215,11 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
     return counts
 
 
+def _latest(employees: DataFrame, p: Policy) -> DataFrame:
+    return latest_employee(employees.filter("employee_id IS NOT NULL"),
+                           nulls_first=p.latest_employee == "nulls_first")
+
+
 def main(argv: list[str] | None = None) -> None:
     from ..config import checkpoint_dir, session
 

@@ -272,21 +272,40 @@ SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
 WHERE rn = 1""", batches=True)
     q["append_key_list"] = q["append_new_keys"]
     q["upsert_partitioned"] = _views("""
-SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY date, timesheet_id ORDER BY src DESC, arrival DESC) AS rn
-  FROM (SELECT *, 0 AS src FROM old_batch
-        UNION ALL SELECT *, 1 AS src FROM new_batch WHERE timesheet_id % 2 = 0 OR date IS NULL))
-WHERE rn = 1""", batches=True)
-    q["upsert_partitioned_whole"] = _views("""
 SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY date, timesheet_id ORDER BY src DESC, arrival DESC) AS rn
   FROM (SELECT *, 0 AS src FROM old_batch UNION ALL SELECT *, 1 AS src FROM new_batch))
 WHERE rn = 1""", batches=True)
+    q["upsert_partitioned_whole"] = q["upsert_partitioned"]
+    q["upsert_new_column"] = q["upsert_keep_last"].replace(
+        "SELECT *, 0 AS src FROM old_batch",
+        "SELECT * REPLACE (CAST(NULL AS BIGINT) AS checkout), 0 AS src FROM old_batch")
+    append = """
+SELECT * FROM old_batch UNION ALL
+SELECT * REPLACE ({checkout} AS checkout) FROM latest_new n
+WHERE NOT EXISTS (SELECT 1 FROM old_batch o WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id)"""
+    q["append_absent_column"] = _views(append.format(checkout="CAST(NULL AS BIGINT)"), batches=True,
+                                       extra=_LATEST_NEW)
+    q["maintained_attendance"] = with_policy("c", """
+SELECT employee_id, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+       COUNT(*) AS days, CAST(coalesce(SUM(work_seconds), 0) AS BIGINT) AS work_seconds,
+       COUNT(work_seconds) AS counted
+FROM shifts WHERE employee_id IS NOT NULL AND date IS NOT NULL
+GROUP BY employee_id, year(date), month(date)""", batches=True, source="appended",
+        extra=_LATEST_NEW + ",\nappended AS (" + append.format(checkout="checkout") + ")")
+    for name in ("nulls_first", "nulls_last"):
+        q[f"maintained_latest_{name}"] = q[f"dedupe_employees_{name}"]
+    q["compact_appends"] = _views("""
+SELECT timesheet_id, employee_id, date, checkin, checkout, arrival FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY timesheet_id ORDER BY arrival DESC) AS rn FROM timesheets_seq)
+WHERE timesheet_id % 3 = 0 OR rn = 1""")
     q["key_check_flags"] = _views("""
-SELECT 'timesheet_id' AS key, true AS valid, COUNT(DISTINCT timesheet_id) AS stored_values FROM old_batch
-UNION ALL SELECT 'employee_id', true, COUNT(DISTINCT employee_id) FROM old_batch
-UNION ALL SELECT 'date', false, NULL
-UNION ALL SELECT 'checkout', false, COUNT(DISTINCT checkout) FROM old_batch""", batches=True)
+SELECT 'timesheet_id' AS key, true AS valid, (SELECT COUNT(DISTINCT timesheet_id) FROM old_batch) AS stored_values,
+       (SELECT COUNT(DISTINCT timesheet_id) FROM new_batch) AS arriving_values
+UNION ALL SELECT 'employee_id', true, (SELECT COUNT(DISTINCT employee_id) FROM old_batch),
+                 (SELECT COUNT(DISTINCT employee_id) FROM new_batch)
+UNION ALL SELECT 'date', false, NULL, (SELECT COUNT(DISTINCT date) FROM new_batch)
+UNION ALL SELECT 'checkout', false, (SELECT COUNT(DISTINCT checkout) FROM old_batch), NULL""", batches=True)
     q["table_exists_flags"] = _views("""
 SELECT false AS folder_before, false AS table_before, true AS folder_after, true AS table_after,
        COUNT(*) AS n_rows FROM employees""")
@@ -295,7 +314,7 @@ SELECT COUNT(*) FILTER (WHERE NOT hit) AS new_keys, COUNT(*) FILTER (WHERE hit)
 FROM (SELECT EXISTS (SELECT 1 FROM old_batch o
                      WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id) AS hit
       FROM latest_new n)""", batches=True, extra=_LATEST_NEW)
-    q["incremental_first_load"] = _views("SELECT * FROM old_batch", batches=True)
+    q["incremental_first_load"] = _views("SELECT * EXCLUDE (event_id) FROM timesheets_seq")
 
     # scans, sinks and loads
     q["scan_employees"] = _views("SELECT * FROM employees")
@@ -330,6 +349,7 @@ FROM rates GROUP BY branch_id, year, month""")
     q["ensure_table_schema"] = f"""SELECT *, 'branch_id int, year int, month int, salary_per_hour decimal(10,2)' AS columns
 FROM ({result_a})"""
     q["job_full_refresh"] = result_a
+    q["catalog_refresh"] = result_a
     q["job_incremental"] = with_policy("c", """
 SELECT CAST(branch_id AS INTEGER) AS branch_id, year, month,
        (ROUND(AVG(salary_per_hour), 6) + 0.0) AS salary_per_hour

@@ -23,7 +23,7 @@ from ..functions.timeofday import parse_time, seconds_of_day
 from ..operators import dedupe, merge, quality, rates
 from ..schemas import EMPLOYEES, RESULT
 from ..sources import csv as csv_io
-from ..sources import tables, testdata
+from ..sources import maintained, tables, testdata
 from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -357,7 +357,8 @@ def append_key_list(spark, sf_dir):
 
 @query("key_check_flags")
 def key_check_flags(spark, sf_dir):
-    """Which keys can be validated over the two batches, and their values."""
+    """Which keys can be validated over the two batches, and the values that
+    each batch has of them."""
     old, new = _batches(spark, sf_dir)
     old, new = old.drop("date"), new.drop("checkout")
 
@@ -367,9 +368,11 @@ def key_check_flags(spark, sf_dir):
             valid = True
         except KeyError:
             valid = False
-        values = F.count_distinct(key) if key in old.columns else F.lit(None).cast("bigint")
-        return old.agg(F.lit(key).alias("key"), F.lit(valid).alias("valid"),
-                       values.alias("stored_values"))
+
+        def values(side: DataFrame, name: str) -> DataFrame:
+            n = F.count_distinct(key) if key in side.columns else F.lit(None).cast("bigint")
+            return side.agg(F.lit(key).alias("key"), F.lit(valid).alias("valid"), n.alias(name))
+        return values(old, "stored_values").join(values(new, "arriving_values"), ["key", "valid"])
     return reduce(DataFrame.unionByName, [
         check(k) for k in ("timesheet_id", "employee_id", "date", "checkout")])
 
@@ -407,13 +410,13 @@ def table_exists_flags(spark, sf_dir):
 
 @query("upsert_partitioned")
 def upsert_partitioned(spark, sf_dir):
-    """S14 into a table partitioned by date (NULL dates included): only the
-    partitions of the arriving rows are rewritten."""
+    """S14 into a table partitioned by date, in two loads: arriving rows without a
+    date (one partition is rewritten, the others stay as they are), then the rest."""
     old, new = _batches(spark, sf_dir)
     target, keys = _scratch(spark, "upserted"), ["date", "timesheet_id"]
     tables.first_load(spark, dedupe.keep_last(old, keys, "arrival"), target, ["date"])
-    tables.upsert_load(spark, new.where("timesheet_id % 2 = 0 OR date IS NULL"), target, keys,
-                       "arrival", partition_by=["date"])
+    for rows in (new.where("date IS NULL"), new.where("date IS NOT NULL")):
+        tables.upsert_load(spark, rows, target, keys, "arrival", partition_by=["date"])
     return tables.read_table(spark, target).select(*old.columns)
 
 
@@ -441,13 +444,96 @@ def load_counts(spark, sf_dir):
 
 @query("incremental_first_load")
 def incremental_first_load(spark, sf_dir):
-    """The first load stores the batch as it is; read back."""
-    old, _ = _batches(spark, sf_dir)
+    """The first load stores all attendance as it is, repeated keys too."""
     target = _scratch(spark, "first-load")
+    tables.first_load(spark, testdata.ordered_timesheets(spark, sf_dir), target)
+    return tables.read_table(spark, target)
+
+
+@query("upsert_new_column")
+def upsert_new_column(spark, sf_dir):
+    """The arriving rows bring a column the stored table lacks."""
+    old, new = _batches(spark, sf_dir)
+    target = _scratch(spark, "upserted")
+    tables.first_load(spark, old.drop("checkout"), target)
+    tables.upsert_load(spark, new, target, "timesheet_id", "arrival")
+    return tables.read_table(spark, target)
+
+
+@query("append_absent_column")
+def append_absent_column(spark, sf_dir):
+    """The arriving rows lack a column that is stored."""
+    old, new = _batches(spark, sf_dir)
+    target = _scratch(spark, "appended")
     tables.first_load(spark, old, target)
+    tables.append_load(spark, new.drop("checkout"), target, "timesheet_id", "arrival")
+    return tables.read_table(spark, target)
+
+
+@query("maintained_attendance")
+def maintained_attendance(spark, sf_dir):
+    """A1 as maintained sums: after the arriving batch only its rows are added."""
+    source, target = _scratch(spark, "attendance"), _scratch(spark, "sums")
+    for batch in _batches(spark, sf_dir):
+        tables.append_load(spark, batch, source, "timesheet_id", "arrival")
+        maintained.refresh_state(spark, source, target,
+                                 lambda rows: rates.attendance_sums(rows, "c"), rates.add_sums,
+                                 jobs.PARTITIONS)
+    return tables.read_table(spark, target)
+
+
+def _maintained_latest(spark: SparkSession, sf_dir: str, nulls_first: bool) -> DataFrame:
+    """Employee records in two deliveries, the latest record kept after each."""
+    source, target = _scratch(spark, "employees"), _scratch(spark, "latest")
+    emp = testdata.employees(spark, sf_dir)
+    early = "coalesce(salary, 0) < 3000000"
+
+    def latest(rows: DataFrame) -> DataFrame:
+        return dedupe.latest_employee(rows, nulls_first)
+    for batch in (emp.where(early), emp.where(f"NOT ({early})")):
+        tables.append_load(spark, batch, source, emp.columns, "employee_id")
+        maintained.refresh_state(spark, source, target, latest,
+                                 lambda stored, more: latest(stored.unionByName(more)))
     return tables.read_table(spark, target)
 
 
+@query("maintained_latest_nulls_first")
+def maintained_latest_nulls_first(spark, sf_dir):
+    """W1 as a maintained table."""
+    return _maintained_latest(spark, sf_dir, nulls_first=True)
+
+
+@query("maintained_latest_nulls_last")
+def maintained_latest_nulls_last(spark, sf_dir):
+    """W2 as a maintained table."""
+    return _maintained_latest(spark, sf_dir, nulls_first=False)
+
+
+@query("compact_appends")
+def compact_appends(spark, sf_dir):
+    """S13 + S6: a first load and two appends, whose small files are then merged."""
+    ts, target = testdata.ordered_timesheets(spark, sf_dir), _scratch(spark, "compacted")
+    for k in range(3):
+        tables.append_load(spark, ts.where(f"pmod(timesheet_id, 3) = {k}"), target, "timesheet_id",
+                           "arrival")
+    tables.compact(spark, target, cluster_by=["date", "timesheet_id"])
+    return tables.read_table(spark, target)
+
+
+@query("catalog_refresh")
+def catalog_refresh(spark, sf_dir):
+    """S10 for a catalog table: refreshed twice, read through its view."""
+    ts, emp = _tables(spark, sf_dir)
+    name, root = f"wagegrid_refreshed_{uuid.uuid4().hex}", _scratch(spark, "catalog")
+    for policy in ("b", "a"):
+        tables.full_refresh_table(spark, rates.branch_rates(ts, emp, policy), name, root, RESULT,
+                                  partition_by=jobs.PARTITIONS)
+    shown, _ = tables.stage(spark, spark.table(name), "catalog-read")
+    spark.sql(f"DROP VIEW {name}")
+    spark.sql(f"DROP TABLE {name}__files")
+    return shown
+
+
 # -- scans, sinks and loads (S1-S3, S6, S10-S12, P1) -------------------------------
 
 def _employees_csv(spark: SparkSession, sf_dir: str) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import first_line
+from .versions import first_line
 from ..schemas import EMPLOYEE_ID, EMPLOYEES, MISSPELT_EMPLOYEE_ID, TIMESHEETS_TEXT
 
 

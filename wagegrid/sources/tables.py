@@ -1,11 +1,11 @@
 """Parquet tables: ensure, probe, and all-or-nothing loads.
 
-A stored table is a folder that holds one subfolder per version and a pointer
-file naming the current one (or a catalog table for S7/S8). A replacing load
-writes the new version once, next to the old one, and then switches the
-pointer by an atomic rename: a failure at any point before leaves the old
-rows readable, and readers never see a half-written table. The version before
-the current one is kept for readers that are still running; older ones go.
+A stored table is a folder of loads and versions (see ``versions``). Every load
+writes its rows once, into a folder of its own, and then commits the next version:
+a failure at any point before leaves the rows as they were, readers never see a
+half-written table, and of two loads that ran at the same time the second to commit
+fails with ``ConcurrentLoadError``. That holds for refreshes, appends and upserts,
+also of single partitions. In the catalog a table is a view of its current version.
 
 Loads that compute from the stored rows first write to a staging folder below
 the shared ``spark.checkpoint.dir``. That cuts the lineage (a lost executor
@@ -17,10 +17,9 @@ gets few files whatever the number of tasks; AQE splits the large ones.
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+import math
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -33,6 +32,8 @@ from ..operators.dedupe import normalize_keys
 from ..operators.merge import (latest_keyed, merged_with_flag, stored_key_columns,
                                validate_keys)
 from ..schemas import ddl
+from . import versions
+from .versions import LOAD, Version, hadoop, load_folder
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -47,80 +48,27 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{loc}")
 
 
-POINTER = "_current"
-
-
-def _hadoop(spark: SparkSession, path: str):
-    """The Hadoop path and its file system (any scheme of the cluster)."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _lines(spark: SparkSession, path: str):
-    """A buffered reader over a (possibly compressed) text file."""
-    jvm = spark._jvm
-    p, fs = _hadoop(spark, path)
-    stream = fs.open(p)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark._jsc.hadoopConfiguration()).getCodec(p)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-
-
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of a text file, None when it is empty."""
-    reader = _lines(spark, path)
-    try:
-        return reader.readLine()
-    finally:
-        reader.close()
-
-
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Name of a table's current version; None when it has no pointer."""
-    p, fs = _hadoop(spark, f"{path.rstrip('/')}/{POINTER}")
-    return first_line(spark, p.toString()) if fs.exists(p) else None
-
-
 def table_folder(spark: SparkSession, path: str) -> str:
-    """Where a table's rows are now."""
-    version = current_version(spark, path)
-    return f"{path.rstrip('/')}/{version}" if version else path
-
-
-def switch_version(spark: SparkSession, path: str, version: str) -> None:
-    """Make ``version`` the current one (atomic rename of the pointer), then
-    delete the versions older than the previous one."""
-    jvm, root = spark._jvm, path.rstrip("/")
-    before = current_version(spark, path)
-    draft, fs = _hadoop(spark, f"{root}/{POINTER}-{uuid.uuid4().hex}")
-    out = fs.create(draft)
-    out.write(bytearray(version.encode()))
-    out.close()
-    target, _ = _hadoop(spark, f"{root}/{POINTER}")
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        target.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, target, options)
-    for status in fs.listStatus(_hadoop(spark, root)[0]):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("v-") and name not in (version, before):
-            fs.delete(status.getPath(), True)
+    """The folder of a table that consists of one load."""
+    at = versions.latest(spark, path)
+    if at is None:
+        return path
+    if len(at.loads()) != 1:
+        raise ValueError(f"{path} has rows of {len(at.loads())} loads")
+    return load_folder(path, at.parts[0][0])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable Parquet table (S8 for folders)."""
-    here, fs = _hadoop(spark, path)
+    if versions.latest(spark, path):
+        return True
+    here, fs = hadoop(spark, path)
     if not fs.exists(here):
         return False
-    if fs.exists(_hadoop(spark, f"{path.rstrip('/')}/{POINTER}")[0]):
-        return True
-    if any(f.isDirectory() and f.getPath().getName().startswith("v-") for f in fs.listStatus(here)):
-        return False  # a first version that was never made current
+    if any(s.getPath().getName().startswith(f"{LOAD}=") for s in fs.listStatus(here)):
+        return False  # a first load that was never committed
     try:
-        read_table(spark, path).schema  # noqa: B018 - resolves the file listing
+        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing
         return True
     except AnalysisException:
         return False
@@ -128,7 +76,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Whole-table scan (S4); projections and filters prune at the scan."""
-    return spark.read.parquet(table_folder(spark, path))
+    at = versions.latest(spark, path)
+    return versions.read(spark, path, at) if at else spark.read.parquet(path)
 
 
 def run_sql(spark: SparkSession, query: str, views: dict[str, DataFrame] | None = None,
@@ -173,19 +122,36 @@ def _public(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
-def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None):
-    """A writer that leaves few files in each partition folder."""
-    df = _public(df)
-    if not partition_by:
-        return df.write.mode(mode)
-    return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
 
+def _write(df: DataFrame, target: str, partition_by: Sequence[str],
+           cluster_by: Sequence[str] = ()) -> str:
+    """Write the rows into a new load folder of ``target``; returns the load.
 
-def _replace(df: DataFrame, target: str, partition_by: Sequence[str] | None) -> None:
-    """Write a new version of the table and make it the current one."""
-    version = f"v-{uuid.uuid4().hex}"
-    _writer(df, "errorifexists", partition_by).parquet(f"{target.rstrip('/')}/{version}")
-    switch_version(df.sparkSession, target, version)
+    A partition folder gets few files. Without partitions, ``cluster_by`` sorts the
+    load by ranges of these columns, so that files cover few values of each.
+    """
+    df, load = _public(df), versions.new_load()
+    if partition_by:
+        writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    elif cluster_by:
+        writer = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by).write
+    else:
+        writer = df.write
+    writer.parquet(load_folder(target, load))
+    return load
+
+
+def replace_load(spark: SparkSession, df: DataFrame, target: str,
+                 partition_by: Sequence[str] | None = None, notes: dict | None = None) -> int:
+    """Write ``df`` as the whole next version of the table; returns its rows."""
+    base, partition_by = versions.latest(spark, target), tuple(partition_by or ())
+    load = _write(df, target, partition_by)
+    made = versions.commit(spark, target, base, _nullable(_public(df).schema), partition_by,
+                           versions.written_parts(spark, target, load, len(partition_by)), notes)
+    return versions.read(spark, target, made).count()
 
 
 def full_refresh(spark: SparkSession, df: DataFrame, target: str,
@@ -194,18 +160,11 @@ def full_refresh(spark: SparkSession, df: DataFrame, target: str,
     """Replace the table with ``df``, all or nothing.
 
     The rows are cast to ``schema`` by column name (the insert-select by column
-    list) and written once. Returns the number of rows loaded.
+    list) and written once. Returns the number of rows loaded. When another load
+    commits between start and end, that one stays and this one raises
+    ``ConcurrentLoadError``.
     """
-    _replace(df if schema is None else cast_to_schema(df, schema), target, partition_by)
-    return read_table(spark, target).count()
-
-
-def table_location(spark: SparkSession, table: str) -> str:
-    """Storage location of a catalog table."""
-    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
-        if row["col_name"] == "Location":
-            return row["data_type"]
-    raise ValueError(f"no location for table {table}")
+    return replace_load(spark, df if schema is None else cast_to_schema(df, schema), target, partition_by)
 
 
 def full_refresh_table(spark: SparkSession, df: DataFrame, table: str, root: str,
@@ -213,104 +172,128 @@ def full_refresh_table(spark: SparkSession, df: DataFrame, table: str, root: str
                        partition_by: Sequence[str] | None = None) -> int:
     """Full refresh of a catalog table without copying the data.
 
-    The new content is written once, to a fresh folder below ``root``; a failure
-    until then leaves the table as it was. Then the table is pointed at it: its
-    location, the locations of the partitions that stay, and partitions are
-    dropped and added (metadata only, the table is external). The previous
-    folder is kept for readers that are still running, older ones are deleted.
-    Between these statements a reader of a partitioned table may see partitions
-    of both contents.
+    The rows are stored below ``root``, in a folder of the table's name, as
+    ``full_refresh`` does; then the catalog shows the new version (``show_table``).
     """
-    if schema is not None:
-        df = cast_to_schema(df, schema)
-    location = f"{root.rstrip('/')}/{table}-{uuid.uuid4().hex}"
-    _writer(df, "errorifexists", partition_by).parquet(location)
-    written = spark.read.parquet(location)
-    n = written.count()
-    old = point_table(spark, table, location, partition_by)
-    if old:
-        here, fs = _hadoop(spark, root)
-        keep = {location.rsplit("/", 1)[-1], old.rstrip("/").rsplit("/", 1)[-1]}
-        for status in fs.listStatus(here):
-            name = status.getPath().getName()
-            if re.fullmatch(re.escape(table) + "-[0-9a-f]{32}", name) and name not in keep:
-                fs.delete(status.getPath(), True)
+    target = f"{root.rstrip('/')}/{table}"
+    n = full_refresh(spark, df, target, schema, partition_by)
+    show_table(spark, table, target)
     return n
 
 
-def point_table(spark: SparkSession, table: str, location: str,
-                partition_by: Sequence[str] | None = None) -> str | None:
-    """Make the external catalog table ``table`` show the Parquet folder
-    ``location``, created where it does not exist; returns its old location.
+def show_table(spark: SparkSession, name: str, target: str) -> int:
+    """Make the catalog's ``name`` a view of the current version of the table stored
+    at ``target``; returns the version's number.
 
-    Partitions that stay get their new location, others are dropped or added.
+    The files belong to an external table ``<name>__files`` whose outermost partition
+    is the load. New loads are added there first, which no reader sees; then one
+    statement replaces the view. So a reader gets one version or the other, never
+    rows of both. If another load commits meanwhile, the view is replaced again.
     """
-    if not table_exists(spark, table):
-        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                         for f in spark.read.parquet(location).schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet{parts} LOCATION '{location}'")
-        if partition_by:
-            spark.catalog.recoverPartitions(table)
-        return None
-    old = table_location(spark, table)
-    stored = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] if partition_by else []
-    same = _hadoop(spark, old)[0].equals(_hadoop(spark, location)[0].makeQualified(
-        _hadoop(spark, old)[1].getUri(), _hadoop(spark, old)[1].getWorkingDirectory()))
-    if not same:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-    for spec in stored:
-        there, fs = _hadoop(spark, f"{location}/{spec}")
-        if not fs.exists(there):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
-        elif not same:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({_partition_sql(spec)}) "
-                      f"SET LOCATION '{location}/{spec}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
-    return old
-
-
-def _partition_sql(spec: str) -> str:
-    """``year=2020/month=1`` as a PARTITION clause; the default partition is NULL."""
+    files = f"{name}__files"
+    while True:
+        at = versions.latest(spark, target)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in at.schema.fields)
+        parts = ", ".join(f"`{c}`" for c in (LOAD, *at.partition_by))
+        if not table_exists(spark, files):
+            spark.sql(f"CREATE TABLE {files} ({columns}, `{LOAD}` STRING) USING parquet "
+                      f"PARTITIONED BY ({parts}) LOCATION '{target}'")
+        known = set(spark.table(files).columns)
+        more = [f for f in at.schema.fields if f.name not in known]
+        if more:
+            spark.sql(f"ALTER TABLE {files} ADD COLUMNS ("
+                      + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in more) + ")")
+        spark.catalog.recoverPartitions(files)
+        chosen = ", ".join(f"`{c}`" for c in at.schema.names)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {chosen} FROM {files} "
+                  f"WHERE {_parts_sql(spark, target, at)}")
+        if versions.latest(spark, target).number == at.number:
+            return at.number
+
+
+def _parts_sql(spark: SparkSession, target: str, at: Version) -> str:
+    """A condition on the partition columns that holds for a version's parts."""
+    whole, some = [], []
+    for load in sorted(at.loads()):
+        own = {p for other, p in at.parts if other == load}
+        if own == {p for _, p in versions.written_parts(spark, target, load, len(at.partition_by))}:
+            whole.append(f"'{load}'")
+        else:
+            some.append(f"(`{LOAD}` = '{load}' AND ("
+                        + " OR ".join(_partition_sql(p, at.schema) for p in sorted(own)) + "))")
+    either = ([f"`{LOAD}` IN ({', '.join(whole)})"] if whole else []) + some
+    return " OR ".join(either) or "false"
+
+
+def _partition_sql(folder: str, schema: T.StructType) -> str:
+    """``year=2020/month=1`` as a condition; the default partition is NULL."""
     out = []
-    for part in spec.split("/"):
+    for part in folder.split("/"):
         name, _, value = part.partition("=")
         value = unquote(value)
-        literal = "null" if value == "__HIVE_DEFAULT_PARTITION__" else "'" + value.replace("'", "\\'") + "'"
-        out.append(f"`{name}`={literal}")
-    return ", ".join(out)
+        kind = schema[name].dataType.simpleString()
+        if value == "__HIVE_DEFAULT_PARTITION__":
+            out.append(f"`{name}` IS NULL")
+        else:
+            quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+            out.append(f"`{name}` = CAST('{quoted}' AS {kind})")
+    return "(" + " AND ".join(out) + ")"
 
 
 def first_load(spark: SparkSession, new: DataFrame, target: str,
                partition_by: Sequence[str] | None = None) -> int:
     """Create the table from the data as it is -- no de-duplication -- and
     report every row as new (S9)."""
-    _replace(new, target, partition_by)
-    return read_table(spark, target).count()
+    return replace_load(spark, new, target, partition_by)
+
+
+def _stored_version(spark: SparkSession, target: str,
+                    partition_by: Sequence[str] | None) -> Version | None:
+    """The version that a load starts from; None before the first one."""
+    base = versions.latest(spark, target)
+    if base is None and path_exists(spark, target):
+        raise ValueError(f"{target} is a plain folder of files; full_refresh can take it over")
+    if base and tuple(partition_by or ()) != base.partition_by:
+        raise ValueError(f"{target} is stored by {base.partition_by}, not {tuple(partition_by or ())}")
+    return base
+
+
+def _as_stored(new: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns that are stored, cast to their stored types; others as they are."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return new.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`")
+                        for c in new.columns])
 
 
 @dataclass
 class StagedAppend:
-    """Rows staged for an append-new-keys load, not yet published."""
+    """Rows written for an append-new-keys load, not yet committed."""
     target: str
-    rows: DataFrame          # re-read from where they are staged
-    path: str                # the staging folder, or the first version's name
+    rows: DataFrame          # re-read from the load's folder
+    load: str
     count: int
-    first: bool              # the target does not exist yet
-    partition_by: Sequence[str] | None = None
+    base: Version | None     # the version that the load started from
+    schema: T.StructType
+    partition_by: tuple[str, ...] = ()
+    notes: dict = field(default_factory=dict)
+
+    @property
+    def first(self) -> bool:
+        """Whether this load creates the table."""
+        return self.base is None
 
     def publish(self) -> int:
-        """Make the first version current, or append the staged rows to the
-        target and drop the staging folder."""
+        """Commit the version that has these rows, too."""
         spark = self.rows.sparkSession
-        if self.first:
-            switch_version(spark, self.target, self.path)
-            return self.count
-        if self.count:
-            _writer(self.rows, "append", self.partition_by).parquet(table_folder(spark, self.target))
-        discard(spark, self.path)
+        base = self.base
+        if not self.count and base and self.notes in ({}, base.notes):
+            discard(spark, load_folder(self.target, self.load))
+            return 0
+        versions.commit(
+            spark, self.target, base, self.schema, self.partition_by,
+            (*(base.parts if base else ()),
+             *versions.written_parts(spark, self.target, self.load, len(self.partition_by))),
+            self.notes or (base.notes if base else None), base.merged if base else None)
         return self.count
 
 
@@ -333,32 +316,44 @@ def _key_bytes_bound(schema: T.StructType) -> int | None:
 
 def stage_append(spark: SparkSession, new: DataFrame, target: str,
                  keys: Sequence[str] | str, sequence: Sequence[str] | str,
-                 partition_by: Sequence[str] | None = None) -> StagedAppend:
-    """Stage the rows an append-new-keys load adds.
-
-    On the first run every row is staged, without de-duplication (S9).
-    Otherwise the batch is reduced to its last row per key and staged; its
-    row count then bounds the size of its keys. Within
-    ``BROADCAST_LIMIT_BYTES`` the batch keys are broadcast and the stored key
-    column is semi-joined against them where it lies -- the stored table is
-    not shuffled. Beyond it, the stored keys are de-duplicated and
-    shuffled for a sort-merge anti join.
+                 partition_by: Sequence[str] | None = None,
+                 cluster_by: Sequence[str] = ()) -> StagedAppend:
+    """Write the rows an append-new-keys load adds (S13, S16), without committing.
+
+    On the first run that is every row, without de-duplication (S9). Otherwise the
+    batch is reduced to its last row per key and staged; its row count then bounds
+    the size of its keys. Within ``BROADCAST_LIMIT_BYTES`` the batch keys are
+    broadcast and the stored key column is semi-joined against them where it lies --
+    the stored table is not shuffled. Beyond it, the stored keys are de-duplicated
+    and shuffled for a sort-merge anti join.
+
+    A stored column that the batch lacks is NULL in the new rows. A column that is
+    not stored (other than the sequence and ``__`` helpers) raises ``KeyError``.
     """
-    if not path_exists(spark, target):
-        # Written once, as a version that becomes current when published.
-        version = f"v-{uuid.uuid4().hex}"
-        folder = f"{target.rstrip('/')}/{version}"
-        _writer(new, "errorifexists", partition_by).parquet(folder)
-        staged = spark.read.parquet(folder).select(*_public(new).columns)
-        return StagedAppend(target, staged, version, staged.count(), True, partition_by)
-    existing = read_table(spark, target)
-    keys = validate_keys(new, existing, keys)
-    latest, cols = latest_keyed(new, keys, sequence)
-    batch, batch_path = stage(spark, latest, "batch")
-    rows = rows_with_new_keys(batch, batch.count(), existing, keys, cols)
-    staged, path = stage(spark, _public(rows).select(*existing.columns), "append")
-    discard(spark, batch_path)
-    return StagedAppend(target, staged, path, staged.count(), False, partition_by)
+    parts = tuple(partition_by or ())
+    base = _stored_version(spark, target, partition_by)
+    if base is None:
+        load = _write(new, target, parts, cluster_by)
+        schema = _nullable(_public(new).schema)
+    else:
+        existing = versions.read(spark, target, base)
+        keys = validate_keys(new, existing, keys)
+        schema = base.schema
+        unknown = [c for c in _public(new).columns
+                   if c not in schema.names and c not in normalize_keys(sequence)]
+        if unknown:
+            raise KeyError(f"columns {', '.join(unknown)} are not stored in {target}")
+        latest, cols = latest_keyed(_as_stored(new, schema), keys, sequence)
+        batch, batch_path = stage(spark, latest, "batch")
+        rows = rows_with_new_keys(batch, batch.count(), existing, keys, cols)
+        load = _write(rows.select(*[
+            F.col(f"`{f.name}`") if f.name in rows.columns else
+            F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]),
+            target, parts, cluster_by)
+        discard(spark, batch_path)
+    found = Version(0, schema, parts, tuple(versions.written_parts(spark, target, load, len(parts))))
+    staged = versions.read(spark, target, found)
+    return StagedAppend(target, staged, load, staged.count(), base, schema, parts)
 
 
 def rows_with_new_keys(batch: DataFrame, batch_rows: int, existing: DataFrame,
@@ -391,70 +386,134 @@ def append_rows(spark: SparkSession, new: DataFrame, target: str,
 
 def append_load(spark: SparkSession, new: DataFrame, target: str,
                 keys: Sequence[str] | str, sequence: Sequence[str] | str,
-                partition_by: Sequence[str] | None = None) -> int:
-    """Append rows whose key is new; returns the appended row count."""
-    return append_rows(spark, new, target, keys, sequence, partition_by)[0]
-
-
-def _touched_partitions(existing: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
-    """Stored rows in the partitions that the (staged) rows ``new`` touch.
-
-    Partition values are joined, those without NULL by equality, so that Spark
-    prunes the scan at run time, and those with a NULL NULL-safely. The smallest
-    and largest values bound the scan when it is planned.
-    """
-    touched = new.select(*cols).distinct()
-    null = F.lit(False)
-    for c in cols:
-        null = null | F.col(c).isNull()
-    ends = touched.agg(F.count_if(null).alias("nulls"), *[f(F.when(~null, F.col(c))).alias(f"{n}_{c}")
-                       for c in cols for n, f in (("low", F.min), ("high", F.max))]).first()
-    inside = ~null
-    for c in cols:
-        inside = inside & F.col(c).between(F.lit(ends[f"low_{c}"]), F.lit(ends[f"high_{c}"]))
-    rows = existing.where(inside).join(touched.where(inside), cols, "left_semi")
-    if ends["nulls"]:
-        some = touched.where(null).select(*[F.col(c).alias(f"__t_{c}") for c in cols])
-        same = F.lit(True)
-        for c in cols:
-            same = same & F.col(c).eqNullSafe(F.col(f"__t_{c}"))
-        rows = rows.unionByName(existing.where(null).join(some, same, "left_semi"))
-    return rows
+                partition_by: Sequence[str] | None = None, notes: dict | None = None) -> int:
+    """Append rows whose key is new; returns the appended row count. ``notes`` are
+    kept with the version."""
+    s = stage_append(spark, new, target, keys, sequence, partition_by)
+    s.notes = notes or {}
+    return s.publish()
 
 
 def upsert_load(spark: SparkSession, new: DataFrame, target: str,
                 keys: Sequence[str] | str, sequence: Sequence[str] | str | None = None,
-                partition_by: Sequence[str] | None = None) -> int:
+                partition_by: Sequence[str] | None = None, notes: dict | None = None) -> int:
     """Keyed upsert (S14); returns the number of rows whose key was new.
 
-    ``new`` is staged and so evaluated once. With ``partition_by`` (which must
-    be part of the key) only partitions the arriving rows touch are read, merged
-    and rewritten (dynamic partition overwrite); otherwise the table is replaced.
+    ``new`` is staged and so evaluated once. With ``partition_by`` (which must be
+    part of the key) only partitions the arriving rows touch are read, merged and
+    written again; the others stay as they are in the next version. Either way the
+    load shows whole or not at all.
+
+    The table gets the union of the columns, as ``merge.upsert`` does: one that is
+    new is NULL in stored rows, one that the arriving rows lack is NULL in them.
+    ``notes`` are kept with the version.
     """
     keys = normalize_keys(keys)
-    if partition_by and not set(partition_by) <= set(keys):
+    parts = tuple(partition_by or ())
+    if not set(parts) <= set(keys):
         raise ValueError("partition columns must be part of the upsert key")
-    if not path_exists(spark, target):
-        return first_load(spark, new, target, partition_by)
-    arriving, arriving_path = stage(spark, new, "arriving")
-    existing = read_table(spark, target)
-    if partition_by:
-        # Values of partition folders are read with an inferred type.
-        existing = existing.select(*[
-            F.col(c).cast(arriving.schema[c].dataType).alias(c) if c in partition_by else F.col(c)
-            for c in existing.columns])
-        existing = _touched_partitions(existing, arriving, list(partition_by))
-    # A sequence column that is not stored still orders the arriving rows.
-    extra = [c for c in normalize_keys(sequence or []) if c not in existing.columns] if sequence else []
-    merged = merged_with_flag(existing, arriving.select(*existing.columns, *extra), keys, sequence,
-                              "__new")
+    base = _stored_version(spark, target, partition_by)
+    if base is None:
+        return replace_load(spark, new, target, partition_by, notes)
+    validate_keys(new, versions.read(spark, target, base), keys)
+    near = _touched(spark, new, target, base)
+    merged = merged_with_flag(near.stored, near.arriving, keys, sequence, "__new")
     staged, path = stage(spark, merged, "upsert")
     n_new = staged.where("__new").count()
-    if partition_by:
-        (_writer(staged, "overwrite", partition_by).option("partitionOverwriteMode", "dynamic")
-         .parquet(table_folder(spark, target)))
-    else:
-        _replace(staged, target, None)
+    _commit_touched(spark, target, base, near, staged, notes)
     discard(spark, path)
-    discard(spark, arriving_path)
     return n_new
+
+
+@dataclass
+class _Touched:
+    """Arriving rows, staged, and the stored rows of the partitions they touch."""
+    arriving: DataFrame
+    stored: DataFrame
+    folders: set[str]
+    path: str
+
+
+def _touched(spark: SparkSession, new: DataFrame, target: str, base: Version) -> _Touched:
+    parts = base.partition_by
+    # Staged by partition, so that the folders tell which partitions are touched.
+    typed, path = _as_stored(new, base.schema), scratch_path(spark, "arriving")
+    (typed.hint("rebalance", *parts).write.partitionBy(*parts) if parts else typed.write).parquet(
+        load_folder(path, "v-staged"))
+    found = tuple(versions.written_parts(spark, path, "v-staged", len(parts)))
+    arriving = versions.read(spark, path, Version(0, _nullable(typed.schema), parts, found))
+    folders = {folder for _, folder in found}
+    stored = versions.read(spark, target, base, [p for p in base.parts if p[1] in folders])
+    return _Touched(arriving, stored, folders, path)
+
+
+def _commit_touched(spark: SparkSession, target: str, base: Version, near: _Touched,
+                    rows: DataFrame, notes: dict | None) -> None:
+    """Commit a version in which ``rows`` take the place of the touched partitions."""
+    load = _write(rows, target, base.partition_by)
+    versions.commit(
+        spark, target, base, _nullable(_public(rows).schema), base.partition_by,
+        [p for p in base.parts if p[1] not in near.folders]
+        + versions.written_parts(spark, target, load, len(base.partition_by)),
+        base.notes if notes is None else notes, base.merged)
+    discard(spark, near.path)
+
+
+def merge_load(spark: SparkSession, new: DataFrame, target: str,
+               combine: Callable[[DataFrame, DataFrame], DataFrame],
+               partition_by: Sequence[str] | None = None, notes: dict | None = None) -> None:
+    """Replace the partitions that the rows ``new`` touch by ``combine(stored rows of
+    these partitions, new)``, all or nothing; the whole table without partitions."""
+    base = _stored_version(spark, target, partition_by)
+    if base is None:
+        replace_load(spark, new, target, partition_by, notes)
+        return
+    near = _touched(spark, new, target, base)
+    _commit_touched(spark, target, base, near, combine(near.stored, near.arriving), notes)
+
+
+def compact(spark: SparkSession, target: str, file_bytes: int = 128 << 20,
+            cluster_by: Sequence[str] = ()) -> int:
+    """Merge small files of a stored table into files of about ``file_bytes``;
+    returns the number of parts rewritten.
+
+    In each partition the parts whose files are small on average are rewritten
+    together, if that gives fewer files. Rows stay the same, and readers of earlier
+    versions keep their files. A version remembers which loads went into which
+    (``merged``), so that what was computed from those loads stays valid.
+    """
+    base = versions.latest(spark, target)
+    if base is None:
+        return 0
+    by_folder: dict[str, list[tuple[tuple[str, str], int, int]]] = {}
+    for load, folder in base.parts:
+        p, fs = hadoop(spark, f"{load_folder(target, load)}/{folder}".rstrip("/"))
+        sizes = [s.getLen() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
+        by_folder.setdefault(folder, []).append(((load, folder), len(sizes), sum(sizes)))
+    chosen: list[tuple[str, str]] = []
+    total = 0
+    for found in by_folder.values():
+        small = [(part, n, size) for part, n, size in found if size < n * file_bytes / 2]
+        size = sum(x[2] for x in small)
+        if sum(x[1] for x in small) > max(1, math.ceil(size / file_bytes)):
+            chosen += [x[0] for x in small]
+            total += size
+    if not chosen:
+        return 0
+    rows = versions.read(spark, target, base, chosen)
+    files = max(1, math.ceil(total / file_bytes))
+    if base.partition_by:
+        load = _write(rows, target, base.partition_by)
+    elif cluster_by:
+        load = versions.new_load()
+        rows.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by).write.parquet(
+            load_folder(target, load))
+    else:
+        load = _write(rows.coalesce(files), target, ())
+    sources = sorted({x for x, _ in chosen})
+    versions.commit(
+        spark, target, base, base.schema, base.partition_by,
+        [p for p in base.parts if p not in set(chosen)]
+        + versions.written_parts(spark, target, load, len(base.partition_by)),
+        base.notes, base.merged | {load: sources})
+    return len(chosen)
