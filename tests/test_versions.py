@@ -115,19 +115,19 @@ def test_failure_between_two_partitions_leaves_every_old_row(spark, scratch, kin
     old = spark.createDataFrame([(p, k, "old") for p in (None, *values) for k in (1, 2)], schema)
     tables.first_load(spark, old, target, ["p"])
     new = spark.createDataFrame([(None, 1, "new"), *((p, 1, "new") for p in values)], schema)
-    commit, write = versions.commit, tables._write
+    commit, write = versions.commit, tables.write_load
 
     def half(df, folder, parts, cluster_by=()):
         if folder == target:  # one partition is written, then the driver is lost
             write(df.where(f"p = {values[0]}"), folder, parts, cluster_by)
             raise RuntimeError("lost between two partitions")
         return write(df, folder, parts, cluster_by)
-    tables._write = half
+    tables.write_load = half
     try:
         with pytest.raises(RuntimeError):
             tables.upsert_load(spark, new, target, ["p", "k"], partition_by=["p"])
     finally:
-        tables._write, versions.commit = write, commit
+        tables.write_load, versions.commit = write, commit
     assert stored(spark, target) == rows(old)
     assert tables.upsert_load(spark, new, target, ["p", "k"], partition_by=["p"]) == 0
     assert stored(spark, target) == rows(merge.upsert(old, new, ["p", "k"]))

@@ -286,6 +286,7 @@ SELECT * REPLACE ({checkout} AS checkout) FROM latest_new n
 WHERE NOT EXISTS (SELECT 1 FROM old_batch o WHERE o.timesheet_id IS NOT DISTINCT FROM n.timesheet_id)"""
     q["append_absent_column"] = _views(append.format(checkout="CAST(NULL AS BIGINT)"), batches=True,
                                        extra=_LATEST_NEW)
+    q["append_indexed"] = _views(append.format(checkout="checkout"), batches=True, extra=_LATEST_NEW)
     q["maintained_attendance"] = with_policy("c", """
 SELECT employee_id, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
        COUNT(*) AS days, CAST(coalesce(SUM(work_seconds), 0) AS BIGINT) AS work_seconds,

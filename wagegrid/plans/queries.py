@@ -21,9 +21,10 @@ from ..config import scratch_path
 from ..functions.pay import round_double
 from ..functions.timeofday import parse_time, seconds_of_day
 from ..operators import dedupe, merge, quality, rates
+from ..operators.spread import left_join_spread
 from ..schemas import EMPLOYEES, RESULT
 from ..sources import csv as csv_io
-from ..sources import maintained, tables, testdata
+from ..sources import keyindex, maintained, tables, testdata
 from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,8 +191,8 @@ def dedupe_employees_nulls_last(spark, sf_dir):
 
 
 def _join_left(ts: DataFrame, emp: DataFrame) -> DataFrame:
-    return (ts.join(emp.select("employee_id", "branch_id", "salary"), "employee_id", "left")
-              .select("timesheet_id", "employee_id", "date", "branch_id", "salary"))
+    return (left_join_spread(ts, emp.select("employee_id", "branch_id", "salary"), "employee_id")
+            .select("timesheet_id", "employee_id", "date", "branch_id", "salary"))
 
 
 @query("join_left_raw")
@@ -509,6 +510,16 @@ def maintained_latest_nulls_last(spark, sf_dir):
     return _maintained_latest(spark, sf_dir, nulls_first=False)
 
 
+@query("append_indexed")
+def append_indexed(spark, sf_dir):
+    """S13/J3 with the key index: only files that may hold an arriving key are scanned."""
+    target, index = _scratch(spark, "appended"), _scratch(spark, "appended-keys")
+    for batch in _batches(spark, sf_dir):
+        keyindex.append_indexed(spark, batch, target, "timesheet_id", "arrival", index,
+                                cluster_by=["date", "timesheet_id"]).publish()
+    return tables.read_table(spark, target)
+
+
 @query("compact_appends")
 def compact_appends(spark, sf_dir):
     """S13 + S6: a first load and two appends, whose small files are then merged."""

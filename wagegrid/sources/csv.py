@@ -9,14 +9,15 @@ text and parsed by the rules that use them.
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .versions import first_line
 from ..schemas import EMPLOYEE_ID, EMPLOYEES, MISSPELT_EMPLOYEE_ID, TIMESHEETS_TEXT
 
 
@@ -41,15 +42,28 @@ def repair_header(df: DataFrame) -> DataFrame:
 def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
     """The files of ``path`` by their header (the names in file order).
 
-    Reads the first line of each file, many files at a time.
+    Tasks read the headers, one file each and no further than its first rows; the
+    driver, which has listed the files, opens none. Files without a line have none.
     """
-    files = sorted(spark.read.text(path).inputFiles())
-    with ThreadPoolExecutor(16) as pool:
-        lines = list(pool.map(lambda f: first_line(spark, f), files))
+    # A session of its own, so that these settings hold for this read alone.
+    alone = spark.newSession()
+    alone.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))  # no file is split
+    alone.conf.set("spark.sql.files.openCostInBytes", str(1 << 60))    # one file a task
+    alone.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = (alone.read.text(path).select("value", "_metadata.file_path")
+             .mapInArrow(first, "value string, file string"))
     found: dict[tuple[str, ...], list[str]] = {}
-    for file, line in zip(files, lines):
-        if line:
-            found.setdefault(tuple(next(csv.reader([line]))), []).append(file)
+    for r in lines.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+        header = tuple(next(csv.reader([r.value]), ()))
+        if header:
+            found.setdefault(header, []).extend(map(unquote, r.files))
     return found
 
 
@@ -57,8 +71,8 @@ def read_csv_named(spark: SparkSession, path: str, schema: T.StructType,
                    repair: bool = True, arrival: bool = False) -> DataFrame:
     """Scan that binds columns by header name, then casts to ``schema``.
 
-    Files are grouped by their header, so files whose columns are in another
-    order bind rightly; a file that lacks a declared column fails the scan.
+    Files are grouped by their header, which tasks read, so files whose columns are
+    in another order bind rightly; a file that lacks a declared column fails the scan.
     Every field is read as text first, the header is repaired, and each
     declared column is cast (ANSI: a malformed value fails the scan; string
     columns such as times stay text). Columns not in ``schema`` are dropped.

@@ -126,8 +126,8 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
-def _write(df: DataFrame, target: str, partition_by: Sequence[str],
-           cluster_by: Sequence[str] = ()) -> str:
+def write_load(df: DataFrame, target: str, partition_by: Sequence[str],
+               cluster_by: Sequence[str] = ()) -> str:
     """Write the rows into a new load folder of ``target``; returns the load.
 
     A partition folder gets few files. Without partitions, ``cluster_by`` sorts the
@@ -148,7 +148,7 @@ def replace_load(spark: SparkSession, df: DataFrame, target: str,
                  partition_by: Sequence[str] | None = None, notes: dict | None = None) -> int:
     """Write ``df`` as the whole next version of the table; returns its rows."""
     base, partition_by = versions.latest(spark, target), tuple(partition_by or ())
-    load = _write(df, target, partition_by)
+    load = write_load(df, target, partition_by)
     made = versions.commit(spark, target, base, _nullable(_public(df).schema), partition_by,
                            versions.written_parts(spark, target, load, len(partition_by)), notes)
     return versions.read(spark, target, made).count()
@@ -301,6 +301,7 @@ class StagedAppend:
 # fixed key widths (hash-relation overhead included), not an estimate. It picks
 # the join's plan; the rows are the same either way.
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
+HASHED_KEY_BYTES = 16  # what a lookup in the key index sends of a key
 
 
 def _key_bytes_bound(schema: T.StructType) -> int | None:
@@ -316,8 +317,8 @@ def _key_bytes_bound(schema: T.StructType) -> int | None:
 
 def stage_append(spark: SparkSession, new: DataFrame, target: str,
                  keys: Sequence[str] | str, sequence: Sequence[str] | str,
-                 partition_by: Sequence[str] | None = None,
-                 cluster_by: Sequence[str] = ()) -> StagedAppend:
+                 partition_by: Sequence[str] | None = None, cluster_by: Sequence[str] = (),
+                 holders: Callable[[DataFrame], list[str]] | None = None) -> StagedAppend:
     """Write the rows an append-new-keys load adds (S13, S16), without committing.
 
     On the first run that is every row, without de-duplication (S9). Otherwise the
@@ -325,7 +326,8 @@ def stage_append(spark: SparkSession, new: DataFrame, target: str,
     the size of its keys. Within ``BROADCAST_LIMIT_BYTES`` the batch keys are
     broadcast and the stored key column is semi-joined against them where it lies --
     the stored table is not shuffled. Beyond it, the stored keys are de-duplicated
-    and shuffled for a sort-merge anti join.
+    and shuffled for a sort-merge anti join. ``holders`` may name, for a batch within
+    that bound, the only files that can hold one of its keys (see ``keyindex``).
 
     A stored column that the batch lacks is NULL in the new rows. A column that is
     not stored (other than the sequence and ``__`` helpers) raises ``KeyError``.
@@ -333,7 +335,7 @@ def stage_append(spark: SparkSession, new: DataFrame, target: str,
     parts = tuple(partition_by or ())
     base = _stored_version(spark, target, partition_by)
     if base is None:
-        load = _write(new, target, parts, cluster_by)
+        load = write_load(new, target, parts, cluster_by)
         schema = _nullable(_public(new).schema)
     else:
         existing = versions.read(spark, target, base)
@@ -345,8 +347,11 @@ def stage_append(spark: SparkSession, new: DataFrame, target: str,
             raise KeyError(f"columns {', '.join(unknown)} are not stored in {target}")
         latest, cols = latest_keyed(_as_stored(new, schema), keys, sequence)
         batch, batch_path = stage(spark, latest, "batch")
-        rows = rows_with_new_keys(batch, batch.count(), existing, keys, cols)
-        load = _write(rows.select(*[
+        n = batch.count()
+        if holders and n * HASHED_KEY_BYTES <= BROADCAST_LIMIT_BYTES:
+            existing = versions.read(spark, target, base, files=holders(batch))
+        rows = rows_with_new_keys(batch, n, existing, keys, cols)
+        load = write_load(rows.select(*[
             F.col(f"`{f.name}`") if f.name in rows.columns else
             F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]),
             target, parts, cluster_by)
@@ -450,7 +455,7 @@ def _touched(spark: SparkSession, new: DataFrame, target: str, base: Version) ->
 def _commit_touched(spark: SparkSession, target: str, base: Version, near: _Touched,
                     rows: DataFrame, notes: dict | None) -> None:
     """Commit a version in which ``rows`` take the place of the touched partitions."""
-    load = _write(rows, target, base.partition_by)
+    load = write_load(rows, target, base.partition_by)
     versions.commit(
         spark, target, base, _nullable(_public(rows).schema), base.partition_by,
         [p for p in base.parts if p[1] not in near.folders]
@@ -503,13 +508,13 @@ def compact(spark: SparkSession, target: str, file_bytes: int = 128 << 20,
     rows = versions.read(spark, target, base, chosen)
     files = max(1, math.ceil(total / file_bytes))
     if base.partition_by:
-        load = _write(rows, target, base.partition_by)
+        load = write_load(rows, target, base.partition_by)
     elif cluster_by:
         load = versions.new_load()
         rows.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by).write.parquet(
             load_folder(target, load))
     else:
-        load = _write(rows.coalesce(files), target, ())
+        load = write_load(rows.coalesce(files), target, ())
     sources = sorted({x for x, _ in chosen})
     versions.commit(
         spark, target, base, base.schema, base.partition_by,

@@ -31,9 +31,10 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 LOAD = "__load"        # the outermost folder level; tables have no such column
@@ -193,22 +194,31 @@ def written_parts(spark: SparkSession, root: str, load: str, levels: int) -> lis
 
 
 def read(spark: SparkSession, root: str, at: Version,
-         parts: Iterable[tuple[str, str]] | None = None) -> DataFrame:
-    """The rows of a version (or of some of its parts), in its columns.
+         parts: Iterable[tuple[str, str]] | None = None, files: Sequence[str] | None = None,
+         extra: dict[str, Column] | None = None) -> DataFrame:
+    """The rows of a version (or of some of its parts, or files), in its columns.
 
     The schema is the version's, so a column that older files lack is NULL there
     and partition values have their declared types. Filters on partition columns
-    prune folders.
+    prune folders. ``files`` are URIs as Spark tells them; those of other versions
+    are left out. ``extra`` columns may use file metadata and the load.
     """
-    parts = at.parts if parts is None else tuple(parts)
-    if not parts:
-        return spark.createDataFrame([], at.schema)
     root = root.rstrip("/")
-    paths = [f"{load_folder(root, load)}/{part}" if part else load_folder(root, load)
-             for load, part in parts]
+    if files is not None:
+        own, paths = set(at.parts), []
+        for path in map(unquote, files):
+            load, *folder = path.rpartition(f"/{LOAD}=")[2].split("/")[:-1]
+            if (load, "/".join(folder)) in own:
+                paths.append(path)
+    else:
+        paths = [f"{load_folder(root, load)}/{part}" if part else load_folder(root, load)
+                 for load, part in (at.parts if parts is None else parts)]
+    if not paths:
+        return spark.createDataFrame([], at.schema)
     schema = T.StructType(at.schema.fields + [T.StructField(LOAD, T.StringType())])
     return (spark.read.schema(schema).option("basePath", root).parquet(*paths)
-            .select(*[f"`{c}`" for c in at.schema.names]))
+            .select(*[f"`{c}`" for c in at.schema.names],
+                    *[c.alias(name) for name, c in (extra or {}).items()]))
 
 
 def clean(spark: SparkSession, root: str, hours: float | None = None) -> list[str]:
