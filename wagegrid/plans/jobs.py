@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from ..sources import versions
 from ..sources.maintained import covered_loads, refresh_state, uncovered_parts
 from ..sources.tables import (append_load, cast_to_schema, full_refresh, full_refresh_table,
                               read_table, show_table, stage_append, upsert_load)
+from ..sources.versions import Version
 from ..functions.timeofday import parse_time
 
 PARTITIONS = ("year", "month")
@@ -166,20 +168,26 @@ def incremental_job(spark: SparkSession, employees_csv: str, timesheets_csv: str
     p = _policy_for(policy, "incremental")
     wh = warehouse.rstrip("/")
     timesheets, employees = f"{wh}/timesheets_python", f"{wh}/employees_python"
-    emp = read_employees_csv(spark, employees_csv, by_name=True, arrival=True)
-    ts = read_timesheets_csv(spark, timesheets_csv, by_name=True, arrival=True)
-    counts = {}
-    for name, rows, target, keys, cluster in (
-            ("employees", emp, employees, ["employee_id", "branch_id"], ()),
-            ("timesheets", ts, timesheets, ["timesheet_id"], ("date", "timesheet_id"))):
-        counts[name] = stage_append(spark, rows, target, keys, "__arrival",
-                                    cluster_by=cluster).publish()
-
     sums, latest = f"{wh}/attendance_sums_{p.name}", f"{wh}/employees_latest_{p.name}"
-    ts_now = refresh_state(spark, timesheets, sums, lambda rows: attendance_sums(rows, p), add_sums,
-                           PARTITIONS)
-    emp_now = refresh_state(spark, employees, latest, lambda rows: _latest(rows, p),
-                            lambda stored, more: _latest(stored.unionByName(more), p))
+
+    def take_employees() -> tuple[int, Version]:
+        rows = read_employees_csv(spark, employees_csv, by_name=True, arrival=True)
+        n = stage_append(spark, rows, employees, ["employee_id", "branch_id"], "__arrival").publish()
+        return n, refresh_state(spark, employees, latest, lambda rows: _latest(rows, p),
+                                lambda stored, more: _latest(stored.unionByName(more), p))
+
+    def take_timesheets() -> tuple[int, Version]:
+        rows = read_timesheets_csv(spark, timesheets_csv, by_name=True, arrival=True)
+        n = stage_append(spark, rows, timesheets, ["timesheet_id"], "__arrival",
+                         cluster_by=("date", "timesheet_id")).publish()
+        return n, refresh_state(spark, timesheets, sums, lambda rows: attendance_sums(rows, p),
+                                add_sums, PARTITIONS)
+
+    # Neither needs the other, so their Spark jobs run side by side.
+    with ThreadPoolExecutor(2) as pool:
+        both = [pool.submit(take) for take in (take_employees, take_timesheets)]
+    (n_employees, emp_now), (n_timesheets, ts_now) = [x.result() for x in both]
+    counts = {"employees": n_employees, "timesheets": n_timesheets}
 
     target = f"{wh}/salary_per_hours_{p.name}"
     scope, have = read_table(spark, sums), versions.latest(spark, target)
