@@ -136,3 +136,44 @@ def test_neighbours_of_mixed_dimensions(llm):
     df = llm.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     got = sorted((r.query_id, r.vec_id) for r in hnsw.search(df, df, k=3).collect())
     assert got == [(1, 2), (2, 1), (3, 4), (4, 3)]
+
+
+def test_pairs_at_cluster_borders_are_found_and_audited(llm):
+    """Isolated pairs just above the limit among unstructured vectors, many clusters."""
+    rng = np.random.RandomState(3)
+    x = rng.randn(12_000, 64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.randn(1500, 64)
+    side -= (side * x[:1500]).sum(axis=1, keepdims=True) * x[:1500]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    both = np.concatenate([x, 0.952 * x[:1500] + np.sqrt(1 - 0.952 ** 2) * side])
+    df = llm.createDataFrame([(k, v.tolist()) for k, v in enumerate(both)], "vec_id bigint, embedding array<double>")
+    got = vecdedup.near_duplicates(df, shard_size=300).collect()
+    ends = sum(r.n_links for r in got)
+    assert 2985 <= ends <= 3000
+    found = llm.createDataFrame(got)
+    assert vecdedup.audit_recall(df, found) == pytest.approx(ends / 3000, abs=0.005)
+    # An audit tells of links that the result denies.
+    lost = found.withColumn("n_links", found["n_links"] * (found["vec_id"] % 10 != 0).cast("int"))
+    true = sum(r.n_links for r in got if r.vec_id % 10) / 3000
+    assert vecdedup.audit_recall(df, lost) == pytest.approx(true, abs=0.005)
+
+
+def test_an_id_with_two_vectors_is_two_rows(llm):
+    rows = [(7, [1.0, 0.0, 0.0]), (7, [0.0, 1.0, 0.0]), (3, [1.0, 0.01, 0.0]), (1, [0.9, 0.0, 0.9]),
+            (50, [0.0, 0.0, 1.0]), (50, [1.0, 0.0, 0.1])]
+    df = llm.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vecdedup.near_duplicates(df).collect())
+    assert got == [(1, 0, 1), (3, 2, 3), (7, 0, 7), (7, 2, 3), (50, 0, 50), (50, 2, 3)]
+    found = sorted((r["rank"], r.vec_id) for r in hnsw.search(df, df.where("vec_id = 50"), k=2).collect())
+    assert found == [(1, 1), (1, 7), (2, 3), (2, 3)] or found == [(1, 1), (1, 7), (2, 3), (2, 7)]
+
+
+def test_audits_take_many_queries_and_mixed_dimensions(llm, cloud, monkeypatch):
+    rows = _rows(cloud[:300]) + [(900 + k, [1.0, float(k)], 0, "x", 1) for k in range(4)]
+    df = llm.createDataFrame(rows, SCHEMA)
+    good = hnsw.exact_neighbours
+    monkeypatch.setattr(hnsw, "exact_neighbours", lambda *a, **k: good(*a, most=64, **k))
+    found = hnsw.search(df, df, k=3)
+    assert hnsw.audit_recall(df, df, found, k=3) >= 0.95
+    assert vecdedup.audit_recall(df, vecdedup.near_duplicates(df)) >= 0.99

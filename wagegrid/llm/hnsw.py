@@ -29,6 +29,7 @@ from .vectors import as_matrix, exact_neighbours, norms, spread, valid
 
 INDEX = ("shard int, dim int, ids array<bigint>, vectors binary, level_sizes array<int>, "
          "nodes binary, degrees array<int>, neighbours binary")
+INDEX_COLUMNS = [c.split()[0] for c in INDEX.split(", ")]
 QUERY_BLOCK = 1024
 SEED = 7
 
@@ -121,7 +122,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
 
     Returns ``query_id, rank`` (from 1), ``vec_id, score`` (cosine in double
     precision), nearest first, ties to smaller ids; fewer rows where there are
-    fewer candidates. A query's own id is no candidate. Null, zero or non-finite
+    fewer candidates. A query's own id is no candidate. An id with different vectors
+    is as many rows: each is a candidate under its id, and each is a query with a
+    ranking of its own, so its id then has that many ranks 1. Null, zero or non-finite
     vectors (and null ids) take no part on either side. Rows that repeat an id
     and vector count once. Vectors of another dimension than a query's are no
     candidates. Other columns are not read; empty tables give no rows.
@@ -131,45 +134,56 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     rows = store(rows.withColumn("nth", F.row_number().over(same))
                  .where(F.col("nth") <= k + 1).drop("nth"), "hnsw-vectors")
     built = index(rows, shard_size, degree, build_width)
-    asked = valid(queries, id_col, vector_col).distinct()
+    # A number tells queries apart that share an id.
+    asked = store(valid(queries, id_col, vector_col).distinct().withColumn(
+        "number", F.monotonically_increasing_id()), "hnsw-asked")
     total = asked.count()
     blocks = max(1, -(-total // QUERY_BLOCK))
     shards = max(1, -(-rows.count() // shard_size))
 
     def block(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("id")
+        table = table.combine_chunks().sort_by([("id", "ascending"), ("number", "ascending")])
         q = as_matrix(table["vec"].combine_chunks())
         return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()),
                          "q_dim": pa.array([q.shape[1]], pa.int32()),
+                         "q_numbers": pa.array([table["number"].to_pylist()], pa.list_(pa.int64())),
                          "q_ids": pa.array([table["id"].to_pylist()], pa.list_(pa.int64())),
                          "q_vectors": pa.array([q.tobytes()], pa.binary())})
 
     packed = store(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
                    .withColumn("q_dim", F.size("vec")).groupBy("block", "q_dim")
-                   .applyInArrow(block, "block int, q_dim int, q_ids array<bigint>, q_vectors binary"),
+                   .applyInArrow(block, "block int, q_dim int, q_numbers array<bigint>, q_ids array<bigint>, "
+                                          "q_vectors binary"),
                    "hnsw-queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, shard = None, None
         for batch in batches:
             for n in range(batch.num_rows):
-                row = batch.slice(n, 1).to_pylist()[0]
-                q_ids = np.array(row["q_ids"], np.int64)
+                row = batch.slice(n, 1)
+                now = (row["shard"][0].as_py(), row["dim"][0].as_py())
+                if now != key:  # the rows of a shard come one after the other
+                    key = now
+                    shard = _unpack(row.select(INDEX_COLUMNS).to_pylist()[0])
+                row = row.select(["q_dim", "q_numbers", "q_ids", "q_vectors"]).to_pylist()[0]
+                q_ids, numbers = (np.array(row[c], np.int64) for c in ("q_ids", "q_numbers"))
                 q = np.frombuffer(row["q_vectors"]).reshape(len(q_ids), row["q_dim"])
-                ids, vecs, x, nodes, graphs = _unpack(row)
                 for a in range(0, len(q_ids), 256):
-                    yield _nearest(q_ids[a:a + 256], q[a:a + 256], ids, vecs, x, nodes, graphs,
-                                   k, width)
-
-    units = (packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-             .join(built, "shard").where("q_dim = dim")
-             .repartitionByRange(spread(packed.sparkSession, blocks * shards), "shard", "block"))
-    found = units.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                    yield _nearest(numbers[a:a + 256], q_ids[a:a + 256], q[a:a + 256], *shard, k, width)
+
+    spark = packed.sparkSession
+    chunks = min(blocks, -(-2 * spread(spark, blocks * shards) // shards))
+    asks = packed.withColumn("chunk", F.col("block") % chunks).withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    copies = built.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    found = (asks.join(copies, ["shard", "chunk"]).where("q_dim = dim")
+             .mapInArrow(run, "number bigint, query_id bigint, vec_id bigint, score double"))
+    best = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _nearest(q_ids, q, ids, vecs, x, nodes, graphs, k: int, width: int) -> pa.RecordBatch:
+def _nearest(numbers, q_ids, q, ids, vecs, x, nodes, graphs, k: int, width: int) -> pa.RecordBatch:
     """The best ``k`` of one shard for each query, scored in double precision."""
     qx = unit(q)
     at = _descend(x, nodes[:-1], graphs[:-1], qx) if len(nodes) > 1 else np.zeros(len(q), np.int64)
@@ -185,13 +199,13 @@ def _nearest(q_ids, q, ids, vecs, x, nodes, graphs, k: int, width: int) -> pa.Re
     nth = np.arange(len(owner)) - np.searchsorted(owner, owner)
     keep = nth < k
     return pa.RecordBatch.from_arrays(
-        [pa.array(q_ids[owner[keep]]), pa.array(ids[point[keep]]), pa.array(score[keep])],
-        names=["query_id", "vec_id", "score"])
+        [pa.array(numbers[owner[keep]]), pa.array(q_ids[owner[keep]]), pa.array(ids[point[keep]]),
+         pa.array(score[keep])], names=["number", "query_id", "vec_id", "score"])
 
 
 def audit_recall(vectors: DataFrame, queries: DataFrame, found: DataFrame, k: int = 5) -> float:
-    """Share of the ``k`` nearest (by brute force, over at most 1024 queries)
-    that ``found``, a result of ``search``, has. 1.0 without queries."""
+    """Share of the ``k`` nearest (by brute force) that ``found``, a result of
+    ``search``, has. 1.0 without queries. Ids should be unique."""
     true = exact_neighbours(vectors, queries, k=k).select("query_id", "vec_id")
     row = (true.join(found.select("query_id", "vec_id", F.lit(1).alias("hit")),
                      ["query_id", "vec_id"], "left")

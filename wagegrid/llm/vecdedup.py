@@ -7,8 +7,8 @@ its ``overlap`` nearest centroids' clusters. A cluster with more than
 builds a robust-pruned graph from its medoid, the adjacency lists of all shards
 are united point by point, and every shard takes the united lists of its points.
 
-Each point is searched in all shards of its home cluster (the nearest
-centroid's), from the shard's medoid and, where it is a member, from itself: a
+Each point is searched in all shards of the clusters of its ``probe`` nearest
+centroids, from the shard's medoid and, where it is a member, from itself: a
 beam search, then the range is expanded from every point found in it until
 nothing new lies in it. What is found is checked on the original vectors in
 double precision and kept as a spanning forest; points in several clusters tie
@@ -56,9 +56,9 @@ def fit_centroids(points: DataFrame, clusters: int, sample: int, rounds: int = 6
     return centre
 
 
-def assign(points: DataFrame, centre: np.ndarray, overlap: int) -> DataFrame:
-    """``cluster, home, id, vec``: a row for each cluster of a point. ``home`` is
-    the nearest centroid's."""
+def assign(points: DataFrame, centre: np.ndarray, probe: int) -> DataFrame:
+    """``cluster, nth, id, vec``: a row for each of a point's ``probe`` nearest
+    centroids, ``nth`` from 0."""
     shared = points.sparkSession.sparkContext.broadcast(centre)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,17 +67,17 @@ def assign(points: DataFrame, centre: np.ndarray, overlap: int) -> DataFrame:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 x = unit(as_matrix(part.column("vec")))
-                near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :overlap]
+                near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :probe]
                 rows = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
                 out = part.take(rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(near.ravel().astype(np.int32)),
-                     pa.array(np.repeat(near[:, 0], near.shape[1]).astype(np.int32)),
+                     pa.array(np.tile(np.arange(near.shape[1], dtype=np.int32), len(x))),
                      out.column("id"), out.column("vec")],
-                    names=["cluster", "home", "id", "vec"])
+                    names=["cluster", "nth", "id", "vec"])
 
     return points.select("id", "vec").mapInArrow(
-        run, "cluster int, home int, id bigint, vec array<double>")
+        run, "cluster int, nth int, id bigint, vec array<double>")
 
 
 def _medoid(x: np.ndarray) -> int:
@@ -160,7 +160,7 @@ BLOCK = 2048  # points of a component that are compared at a time
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    limit: float = 0.95, shard_size: int = 4096, overlap: int = 2,
+                    limit: float = 0.95, shard_size: int = 4096, overlap: int = 2, probe: int = 4,
                     sample: int = 16384, degree: int = 24, width: int = 48,
                     alpha: float = 1.2) -> DataFrame:
     """``id_col, n_links, component_id, kept`` of every row.
@@ -170,31 +170,36 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     ``kept``: whether that is the row's own id. Null, empty, zero or non-finite
     vectors link with nothing: 0 links, their own id. Rows with a null id link
     with nothing and have a null component; rows that repeat an id with the same
-    vector count as copies of each other. Vectors of different dimensions never
+    vector count as copies of each other, and an id with different vectors is as many
+    rows, each with its own links and component. Vectors of different dimensions never
     link. Other columns are not read. An empty table gives no rows.
     """
     if not -1.0 < limit <= 1.0:
         raise ValueError("limit: a cosine")
     rows = store(valid(vectors, id_col, vector_col), "vecdup-rows")
-    points = store(rows.groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-                   .withColumn("dim", F.size("vec")), "vecdup-points")
+    # A point is known by a number of its own; an id may have several points.
+    points = store(rows.groupBy("vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+                   .withColumn("dim", F.size("vec")).withColumn("id", F.monotonically_increasing_id()),
+                   "vecdup-points")
     dims = [r["dim"] for r in points.select("dim").distinct().orderBy("dim").collect()]
     rest = _unlinked(vectors, id_col, vector_col)
     if not dims:
         return _result(rest, id_col)
-    found = [_linked(points.where(F.col("dim") == d), limit, shard_size, overlap, sample, degree,
-                     width, alpha) for d in dims]
+    found = [_linked(points.where(F.col("dim") == d), limit, shard_size, overlap, probe, sample,
+                     degree, width, alpha) for d in dims]
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
     parts = store(connected_components(store(links, "vecdup-links"), "vecdup-components"),
                   "vecdup-parts")
     counts = count_links(points, parts, limit)
-    per_point = (points.select("vec", "id", "copies")
-                 .join(counts, "id", "left")
-                 .join(parts, F.col("id") == F.col("node"), "left")
-                 .select("vec", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                         F.coalesce("component", "id").alias("component_id")))
+    grouped = (points.select("vec", "id", "least", "copies")
+               .join(counts, "id", "left")
+               .join(parts, F.col("id") == F.col("node"), "left")
+               .withColumn("component", F.coalesce("component", "id")))
+    smallest = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    per_point = grouped.join(smallest, "component").select(
+        "vec", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     done = rows.join(per_point, "vec").select("id", "n_links", "component_id")
     return _result(done.unionByName(rest), id_col)
 
@@ -312,15 +317,16 @@ def _unlinked(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col(id_col).cast("bigint").alias("component_id"))
 
 
-def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, sample: int,
-            degree: int, width: int, alpha: float) -> DataFrame:
+def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, probe: int,
+            sample: int, degree: int, width: int, alpha: float) -> DataFrame:
     """Star edges ``u, v`` of the links found among points of one dimension."""
     spark = points.sparkSession
     total = points.count()
     clusters = int(min(max(1, -(-total * overlap // shard_size)), sample // 16))
     overlap = min(overlap, clusters)
     centre = fit_centroids(points, clusters, sample)
-    members = assign(points, centre, overlap)
+    near = store(assign(points, centre, min(max(probe, overlap), clusters)), "vecdup-near")
+    members = near.where(F.col("nth") < overlap)
     # As many rows as centroids, so bounded by the sample.
     sizes = {r["cluster"]: -(-r["n"] // shard_size) for r in
              members.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
@@ -330,9 +336,9 @@ def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, samp
     tasks = spread(spark, sum(sizes.values()))
     units = store(pack_units(members, shard_graphs(members, tasks, degree, width, alpha), tasks),
                   "vecdup-units")
-    # Query blocks of the points at home in each cluster, for all its shards.
-    home = members.where("cluster = home")
-    block = F.pmod(F.shiftright(F.xxhash64("id"), 20), F.ceil(subs * (shard_size / QUERY_BLOCK))).cast("int")
+    # Query blocks of the points near each cluster, for all its shards.
+    asks = -(-probe * shard_size // (overlap * QUERY_BLOCK))
+    block = F.pmod(F.shiftright(F.xxhash64("id"), 20), subs * asks).cast("int")
 
     def pack(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("id")
@@ -342,7 +348,7 @@ def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, samp
             "q_ids": pa.array([table["id"].to_pylist()], pa.list_(pa.int64())),
             "q_vectors": pa.array([as_matrix(table["vec"].combine_chunks()).tobytes()], pa.binary())})
 
-    blocks = store(home.withColumn("block", block).groupBy("cluster", "block").applyInArrow(
+    blocks = store(near.where(F.col("nth") < probe).withColumn("block", block).groupBy("cluster", "block").applyInArrow(
         pack, "cluster int, block int, q_ids array<bigint>, q_vectors binary"),
         "vecdup-queries")
 
@@ -352,8 +358,14 @@ def _linked(points: DataFrame, limit: float, shard_size: int, overlap: int, samp
                 row = batch.slice(n, 1).to_pylist()[0]
                 yield _search_unit(row, limit, width)
 
-    work = blocks.join(units, "cluster").repartitionByRange(
-        spread(spark, blocks.count() * 2), "cluster", "sub", "block")
+    # A unit moves once for each of its chunks, a few where there are few units; the
+    # join is searched where it stands.
+    shards = sum(sizes.values())
+    chunks = min(asks, -(-2 * spread(spark, 4 * shards) // shards))
+    work = (blocks.withColumn("chunk", F.col("block") % chunks)
+            .withColumn("sub", F.explode(F.sequence(F.lit(0), subs.cast("int") - 1)))
+            .join(units.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))),
+                  ["cluster", "sub", "chunk"]))
     return work.mapInArrow(run, "u bigint, v bigint")
 
 
@@ -387,15 +399,15 @@ def _search_unit(row: dict, limit: float, width: int) -> pa.RecordBatch:
         [pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
 
 
-def audit_recall(vectors: DataFrame, found: DataFrame, limit: float = 0.95, sample: int = 512,
+def audit_recall(vectors: DataFrame, found: DataFrame, limit: float = 0.95, sample: int = 16384,
                  id_col: str = "vec_id", vector_col: str = "embedding") -> float:
-    """Share of the true links of ``sample`` rows that ``found``, a result of
-    ``near_duplicates``, counts. Of rows with links the ones with the smallest id
-    hashes are drawn, filled up with others. 1.0 where there are no links."""
-    linked = found.orderBy((F.col("n_links") == 0), F.xxhash64(id_col), id_col).limit(sample)
-    drawn = vectors.join(linked.select(id_col).distinct(), id_col, "left_semi")
-    true = (exact_neighbours(vectors, drawn, limit=limit, id_col=id_col, vector_col=vector_col)
+    """Share of the true links of ``sample`` rows (those of smallest id hash, whatever
+    the result says of them) that ``found``, a result of ``near_duplicates``, counts.
+    1.0 where these rows have no links. Ids should be unique."""
+    drawn = store(found.orderBy(F.xxhash64(id_col), id_col).limit(sample), "audit-rows")
+    asked = vectors.join(drawn.select(id_col).distinct(), id_col, "left_semi")
+    true = (exact_neighbours(vectors, asked, limit=limit, id_col=id_col, vector_col=vector_col)
             .groupBy("query_id").agg(F.count("*").alias("n")))
-    row = (linked.join(true, linked[id_col] == true["query_id"], "left")
-           .agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.sum("n_links").alias("hits")).first())
+    row = (drawn.join(true, drawn[id_col] == true["query_id"])
+           .agg(F.sum("n").alias("n"), F.sum(F.least("n", "n_links")).alias("hits")).first())
     return row["hits"] / row["n"] if row["n"] else 1.0

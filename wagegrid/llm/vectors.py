@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import store
+
 
 def takes_part(id_col: str, vector_col: str) -> Column:
     """Not null (id, vector, components), not empty, finite and not zero."""
@@ -57,15 +59,31 @@ def exact_neighbours(vectors: DataFrame, queries: DataFrame, k: int | None = Non
     """Brute force for an audit: ``query_id, vec_id, score`` of each query's ``k``
     nearest other ids, or of all with a cosine of at least ``limit``.
 
-    ``queries`` (``most`` at most, else an error) go to every task; all rows are
-    compared with them in blocks.
+    Blocks of about ``most`` queries of one dimension go to every task in turn, so
+    the work is rows times queries.
     """
-    asked = valid(queries, id_col, vector_col).limit(most + 1).collect()
-    if len(asked) > most:
-        raise ValueError(f"more than {most} queries")
-    q_ids = np.array([r["id"] for r in asked], np.int64)
-    q = np.array([r["vec"] for r in asked], np.float64)
+    asked = store(valid(queries, id_col, vector_col).distinct().withColumn("dim", F.size("vec")),
+                  "exact-queries")
+    rows = valid(vectors, id_col, vector_col)
+    pairs = vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double")
+    for r in asked.groupBy("dim").count().collect():
+        blocks = -(-r["count"] // most)
+        for block in range(blocks):
+            here = (F.col("dim") == r["dim"]) & (F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)) == block)
+            drawn = asked.where(here).collect()
+            if drawn:
+                pairs = pairs.unionByName(_compared(
+                    rows.where(F.size("vec") == r["dim"]), np.array([q["id"] for q in drawn], np.int64),
+                    np.array([q["vec"] for q in drawn], np.float64), k, limit))
+    if limit is not None:
+        return pairs
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return pairs.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).drop("n")
 
+
+def _compared(rows: DataFrame, q_ids: np.ndarray, q: np.ndarray, k: int | None,
+              limit: float | None) -> DataFrame:
+    """All rows against one block of queries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
@@ -84,11 +102,4 @@ def exact_neighbours(vectors: DataFrame, queries: DataFrame, k: int | None = Non
                     [pa.array(q_ids[row]), pa.array(ids[col]), pa.array(score[row, col])],
                     names=["query_id", "vec_id", "score"])
 
-    if not len(q):
-        return vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double")
-    pairs = (valid(vectors, id_col, vector_col).where(F.size("vec") == q.shape[1])
-             .mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
-    if limit is not None:
-        return pairs
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).drop("n")
+    return rows.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
