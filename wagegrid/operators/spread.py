@@ -9,6 +9,7 @@ match nothing and are spread as well.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +28,13 @@ def hot_keys(rows: DataFrame, key: str, tasks: int) -> list[tuple[object, int]]:
             if x["item"] is not None and x["count"] > piece]
 
 
-def left_join_spread(left: DataFrame, right: DataFrame, key: str,
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, also: Sequence[str] = (),
                      tasks: int | None = None) -> DataFrame:
-    """``left.join(right, key, "left")`` in which no key's rows meet in one task.
+    """``left.join(right, [key, *also], "left")`` in which no key's rows meet in one task.
 
     ``tasks`` is the number of tasks to spread over (the session's shuffle
-    partitions). ``left`` is read twice: once for its key column alone.
+    partitions). ``left`` is read twice: once for its column ``key`` alone, by which
+    hot rows are told (``also`` holds further columns that must be equal).
     """
     spark = left.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -45,5 +47,5 @@ def left_join_spread(left: DataFrame, right: DataFrame, key: str,
         number % F.coalesce("__pieces", F.lit(1))))
     copies = right.join(pieces, key, "left").withColumn("__salt", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.coalesce("__pieces", F.lit(1)).cast("bigint") - 1)))
-    return (salted.drop("__pieces").join(copies.drop("__pieces"), [key, "__salt"], "left")
+    return (salted.drop("__pieces").join(copies.drop("__pieces"), [key, *also, "__salt"], "left")
             .drop("__salt"))
