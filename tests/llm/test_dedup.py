@@ -267,3 +267,29 @@ def test_suffix_odd_rows(odd_docs, no_docs):
     assert sorted((r.rest.source or "") for r in kept.collect()) == sorted(
         (r.source or "") for r in odd_docs.collect())
     assert suffix.remove_repeats(no_docs).collect() == []
+
+
+def test_the_edges_of_a_hub_meet_in_slices(llm):
+    """One component of a third of all nodes: its hub's edges are not in one task."""
+    from pyspark.sql import functions as F
+    from wagegrid.llm import components
+
+    edges = [(i, 0) for i in range(1, 4000)] + [(10_000 + 3 * i + 1, 10_000 + 3 * i) for i in range(3000)]
+    df = llm.createDataFrame(edges, "u bigint, v bigint")
+    before = {k: llm.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        llm.conf.set("spark.sql.adaptive.enabled", "false")
+        for large in (True, False):
+            share = max(2 * len(edges) // (components.PIECES * 8), components.HUB)
+            rows = df if not large else df.unionByName(df.selectExpr("v AS u", "u AS v"))
+            least = rows.groupBy("u").agg(F.count("*").alias("n"))
+            hubs = least.where(F.col("n") >= share).collect()
+            assert len(hubs) == (1 if large else 0)
+            plan = components._star(df, large, len(edges))
+            parts = [r["count"] for r in plan.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(parts) <= 3 * sorted(parts)[len(parts) // 2]
+        found = {r.node: r.component for r in components.connected_components(df).collect()}
+    finally:
+        for k, v in before.items():
+            llm.conf.set(k, v)
+    assert found == {u: v for u, v in edges}

@@ -325,3 +325,17 @@ def test_language_odd_rows(llm, odd_docs, no_docs):
     assert langid.identify(no_docs, model).collect() == []
     nothing = langid.fit(no_docs)
     assert {r.lang_pred for r in langid.identify(odd_docs, nothing).collect()} == {"und"}
+
+
+def test_more_letters_than_numbers():
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha() and chr(c).lower() == chr(c)][:70_000]
+    assert len(letters) == 70_000
+    half = len(letters) // 2
+    texts = {"x": ["".join(letters[k:half:4]) for k in range(4)] * 2,
+             "y": ["".join(letters[half + k::4]) for k in range(4)] * 2}
+    model = langid.train({k: [t for t in v for _ in range(2)] for k, v in texts.items()})
+    numbers = model.numbers()
+    low = langid._letters()
+    assert (numbers[[ord(c) for c in letters if low[ord(c)] in model.alphabet]] >= 2).all()
+    assert len(model.alphabet) > langid.NUMBERS
+    assert [p[0] for p in model.predict([texts["x"][0], texts["y"][1]], numbers)] == ["x", "y"]

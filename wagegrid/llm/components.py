@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from .shared import discard, store
 
 BLOCK = 200_000  # edges contracted at a time within a task
+PIECES = 8       # parts of a task's fair share that a hub's edges are dealt in
+HUB = 100        # edges that no node needs to share with another slice
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,23 +59,32 @@ def contract(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").mapInArrow(run, "u bigint, v bigint")
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star operation on edges with u > v.
+def _star(edges: DataFrame, large: bool, count: int) -> DataFrame:
+    """One star operation on ``count`` edges with u > v, or fewer.
 
     Large: every larger neighbour of a node is linked to its smallest
     neighbour (itself included). Small: every smaller one, and the node.
-    The smallest neighbour is aggregated before the shuffle and joined back,
-    so a node with very many links is never gathered in one place.
+    The smallest neighbour is aggregated before the shuffle and joined back. The
+    edges of a hub, a node with more than its share of them, meet it in slices, by
+    their other end; there are at most ``PIECES`` hubs a task.
     """
+    rows = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) \
+        if large else edges
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(2 * count // (PIECES * tasks), HUB)
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    slices = (F.col("n") / share).cast("bigint") + 1
+    hubs = F.broadcast(least.where(F.col("n") >= share).select("u", slices.alias("slices")))
+    dealt = rows.join(hubs, "u", "left").select(
+        "u", "v", F.pmod(F.xxhash64("v"), F.coalesce("slices", F.lit(1))).alias("slice"))
+    told = least.select("u", F.least("u", "m").alias("m") if large else "m", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), slices - 1)).alias("slice"))
+    met = dealt.join(told, ["u", "slice"])
     if large:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
-        out = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        kept = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        out = kept.unionByName(least.select("u", F.col("m").alias("v")))
+        out = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            least.select("u", F.col("m").alias("v")))
     return out.where("u <> v").distinct()
 
 
@@ -89,7 +100,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     now = store(contract(tidy).distinct(), name)
     mark = _mark(now)
     while mark[0]:
-        after = store(_star(_star(contract(now), True), False), name)
+        after = store(_star(_star(contract(now), True, mark[0]), False, 2 * mark[0]), name)
         discard(now)
         now, before, mark = after, mark, _mark(after)
         if mark == before:

@@ -7,7 +7,8 @@ lower order, whose counts are numbers of different left neighbours. The n-grams
 of all languages share one sorted array of 64-bit keys per order (four 16-bit
 letter numbers, so keys cannot collide); a lookup gives all languages' log
 probabilities at once. The language with the lowest cross-entropy per character
-wins. A text is rejected when that cross-entropy is above what held-back
+wins. Of more than 65,534 learned letters the rarest share their numbers, in turn,
+with others that are rare. A text is rejected when that cross-entropy is above what held-back
 labelled windows of the language reach, by a quarter of the distance to letters
 at random and with an allowance for short texts.
 
@@ -34,6 +35,7 @@ from .tokens import slices
 
 ORDER = 4
 SPACE, UNKNOWN = 0, 1  # numbers of the blank and of letters never learned
+NUMBERS = 0xFFFE       # numbers of learned letters; the rarest share theirs
 UNDETERMINED = "und"
 PART = 1 << 18  # characters scored at a time
 
@@ -100,7 +102,10 @@ class Model:
         """Letter number of every code point."""
         low = _letters()
         of = np.zeros(0x110000, np.uint16)
-        of[self.alphabet] = np.arange(2, len(self.alphabet) + 2)
+        nth = np.arange(len(self.alphabet))
+        beyond = nth >= NUMBERS  # from the last number backwards
+        nth[beyond] = NUMBERS - 1 - (nth[beyond] - NUMBERS) % NUMBERS
+        of[self.alphabet] = nth + 2
         out = of[low]
         out[(low != 0) & (out == 0)] = UNKNOWN
         return out
@@ -200,11 +205,14 @@ def train(samples: dict[str, list[str]]) -> Model:
     fit = {k: [t for i, t in enumerate(v) if i % 4 or len(v) < 4] for k, v in samples.items()}
     held = {k: [t for i, t in enumerate(v) if i % 4 == 0 or len(v) < 4] for k, v in samples.items()}
     low = _letters()
-    seen = np.unique(np.concatenate([np.zeros(0, np.uint32)] + [
+    seen, times = np.unique(np.concatenate([np.zeros(0, np.uint32)] + [
         low[np.frombuffer("".join(v).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        for v in fit.values()]))
-    alphabet = seen[seen > 0][:65000]
-    model = Model(langs, alphabet, [], [], [], [], -float(np.log(len(alphabet) + 2)),
+        for v in fit.values()]), return_counts=True)
+    if len(seen) > NUMBERS:  # the most frequent first
+        seen = seen[np.argsort(-times, kind="stable")]
+    alphabet = seen[seen > 0]
+    letters = min(len(alphabet), NUMBERS)
+    model = Model(langs, alphabet, [], [], [], [], -float(np.log(letters + 2)),
                   np.zeros(len(langs)), np.zeros(len(langs)))
     numbers = model.numbers()
     counts = [_counts_by_order(fit[k], numbers) for k in langs]
@@ -225,7 +233,7 @@ def train(samples: dict[str, list[str]]) -> Model:
             lam[known, j] = cut * kinds[known] / total[known]
             prob[np.searchsorted(grams, keys), j] = (n - cut) / total[ctx]
         if order == 1:
-            lower = np.full((len(grams), len(langs)), 1.0 / (len(alphabet) + 2))
+            lower = np.full((len(grams), len(langs)), 1.0 / (letters + 2))
         else:
             lower = below[np.searchsorted(model.grams[-1],
                                           grams & np.uint64((1 << 16 * (order - 1)) - 1))]

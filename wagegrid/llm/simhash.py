@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.spread import left_join_spread
 from .components import connected_components, forest
 from .shared import store
 from .tokens import slices
@@ -275,7 +276,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = connected_components(links, "simhash-components")
     labelled = (distinct.join(parts, distinct["fp"] == parts["node"], "left")
                 .select("fp", "first", F.coalesce("component", "fp").alias("component")))
+    labelled = store(labelled, "simhash-labels")
     least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_fp = store(labelled.join(least, "component")
+    # A component, or a fingerprint, may have a third of all rows.
+    by_fp = store(left_join_spread(labelled, least, "component")
                   .select("fp", "component", "component_id"), "simhash-groups")
-    return marked.join(by_fp, "fp").select("id", "fp", "component", "component_id")
+    return left_join_spread(marked, by_fp, "fp").select("id", "fp", "component", "component_id")

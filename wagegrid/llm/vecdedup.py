@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.spread import left_join_spread
 from .components import connected_components, forest
 from .graphs import beam_search, build, unit
 from .shared import store
@@ -197,10 +198,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                .join(counts, "id", "left")
                .join(parts, F.col("id") == F.col("node"), "left")
                .withColumn("component", F.coalesce("component", "id")))
+    grouped = store(grouped, "vecdup-grouped")
     smallest = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    per_point = grouped.join(smallest, "component").select(
+    per_point = left_join_spread(grouped, smallest, "component").select(
         "vec", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    done = rows.join(per_point, "vec").select("id", "n_links", "component_id")
+    # A vector may have a third of all rows; hot ones are told by a hash.
+    done = left_join_spread(rows.withColumn("h", F.xxhash64("vec")),
+                            per_point.withColumn("h", F.xxhash64("vec")), "h", ["vec"]).select(
+        "id", "n_links", "component_id")
     return _result(done.unionByName(rest), id_col)
 
 
@@ -256,6 +261,7 @@ def count_links(points: DataFrame, parts: DataFrame, limit: float) -> DataFrame:
         return pa.table({
             "component": pa.array([table["component"][0].as_py()], pa.int64()),
             "block": pa.array([table["block"][0].as_py()], pa.int32()),
+            "blocks": pa.array([table["blocks"][0].as_py()], pa.int32()),
             "dim": pa.array([len(table["vec"][0])], pa.int32()),
             "ids": pa.array([table["id"].to_pylist()], pa.list_(pa.int64())),
             "copies": pa.array([table["copies"].to_pylist()], pa.list_(pa.int64())),
@@ -264,9 +270,9 @@ def count_links(points: DataFrame, parts: DataFrame, limit: float) -> DataFrame:
     large = store(member.where("blocks > 1")
                   .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
                   .groupBy("component", "block").applyInArrow(
-                      pack, "component bigint, block int, dim int, ids array<bigint>, "
+                      pack, "component bigint, block int, blocks int, dim int, ids array<bigint>, "
                             "copies array<bigint>, vectors binary"), "vecdup-blocks")
-    other = large.select("component", F.col("block").alias("o_block"), F.col("ids").alias("o_ids"),
+    other = large.select("component", F.col("block").alias("o_block"),
                          F.col("copies").alias("o_copies"), F.col("vectors").alias("o_vectors"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +286,11 @@ def count_links(points: DataFrame, parts: DataFrame, limit: float) -> DataFrame:
                     [pa.array(ids), pa.array(_near_copies(x, y, copies, limit, same))],
                     names=["id", "n"])
 
-    compared = (large.join(other, "component")
-                .repartition(tasks, "component", "block", "o_block")
+    # Block numbers are paired first; vectors meet by (component, block), so a large
+    # component is in many places.
+    blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
+    compared = (large.withColumn("o_block", F.explode(blocks))
+                .join(other, ["component", "o_block"])
                 .mapInArrow(pairs, "id bigint, n bigint"))
     return small.unionByName(compared).groupBy("id").agg(F.sum("n").alias("n"))
 
