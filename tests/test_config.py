@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
+
 from wagegrid.config import SQL_DEFAULTS, checkpoint_dir, scratch_path, session
 
 
@@ -23,3 +27,17 @@ def test_scratch_paths_live_below_the_checkpoint_folder(spark):
     base = checkpoint_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(base.rstrip("/") + "/x-")
+
+
+@pytest.mark.parametrize("master,registered", [("local[4]", True), ("spark://host:7077", False), ("yarn", False)])
+def test_a_cluster_must_name_its_shared_folder(master, registered):
+    made = []
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None,
+                              setCheckpointDir=made.append)
+    conf = SimpleNamespace(get=lambda key, *default: default[0] if default else "/warehouse/")
+    session_ = SimpleNamespace(sparkContext=context, conf=conf)
+    if registered:
+        assert checkpoint_dir(session_) == "/warehouse/_checkpoints" == checkpoint_dir(session_)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session_)

@@ -69,13 +69,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Staging tables and lineage cuts go there so that they survive the loss of
-    an executor. Where nothing is configured, a folder below the SQL warehouse
-    is registered: that too is shared by driver and executors.
+    an executor. Where nothing is configured, a session on one machine registers a
+    folder below the SQL warehouse; on a cluster, whose executors might not see
+    that folder, it is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()
 
