@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wagegrid.operators import dedupe, merge, rates
 from wagegrid.plans import oracle, queries
-from wagegrid.sources import tables
+from wagegrid.sources import keyindex, maintained, tables, versions
 
 
 def _first_load_dedupes(patch):
@@ -64,9 +64,37 @@ def _resign_date_lost(patch):
 
 
 def _null_partition_lost(patch):
-    good = tables._touched_partitions
-    patch.setattr(tables, "_touched_partitions", lambda e, n, cols: good(e, n, cols).where(
-        "date IS NOT NULL"))
+    good = tables._touched
+
+    def lost(*args):
+        near = good(*args)
+        near.stored = near.stored.where("date IS NOT NULL")
+        return near
+    patch.setattr(tables, "_touched", lost)
+
+
+def _new_column_lost(patch):
+    good = tables.merged_with_flag
+    patch.setattr(tables, "merged_with_flag", lambda stored, *args: good(stored, *args).drop(
+        *({"checkout"} - set(stored.columns))))
+
+
+def _stored_loads_counted_again(patch):
+    patch.setattr(maintained, "uncovered_parts", lambda source, covered: list(source.parts))
+
+
+def _compaction_loses_a_load(patch):
+    good = versions.read
+    patch.setattr(tables.versions, "read", lambda spark, root, at, parts=None, **more: good(
+        spark, root, at, parts if parts is None else list(parts)[1:], **more))
+
+
+def _index_misses_files(patch):
+    patch.setattr(keyindex, "candidate_files", lambda *args: [])
+
+
+def _append_keeps_stored_duplicates(patch):
+    patch.setattr(tables, "latest_keyed", lambda new, keys, seq: merge.with_key_columns(new, keys))
 
 
 BROKEN = [
@@ -76,7 +104,10 @@ BROKEN = [
     ("gross_hours_b", _null_date_dropped), ("employee_rate_a", _zero_hours_give_zero),
     ("employee_rate_b", _zero_hours_give_zero), ("employee_rate_c", _zero_hours_give_zero),
     ("parse_time_coerce", _hour_24_accepted), ("dedupe_employees_nulls_last", _resign_date_lost),
-    ("upsert_partitioned", _null_partition_lost),
+    ("upsert_partitioned", _null_partition_lost), ("upsert_new_column", _new_column_lost),
+    ("append_absent_column", _append_keeps_stored_duplicates),
+    ("maintained_attendance", _stored_loads_counted_again),
+    ("compact_appends", _compaction_loses_a_load), ("append_indexed", _index_misses_files),
 ]
 
 
