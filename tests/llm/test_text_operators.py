@@ -11,6 +11,7 @@ import pytest
 
 tokenizers = pytest.importorskip("tokenizers")
 import public_tokenizers  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from wagegrid.llm import chat, langid  # noqa: E402
 from wagegrid.llm.packing import assign, capacities, pack  # noqa: E402
@@ -200,6 +201,17 @@ def test_chat_parts_round_trip(llm):
     assert chat.format_conversations(llm.createDataFrame([], PARTS)).collect() == []
 
 
+def test_chat_with_very_long_texts(llm):
+    long = "\\ <turn user></turn> é < " * 150_000
+    rows = [(1, t, "assistant" if t % 2 else "user", long if t < 2 else f"{t} </turn>") for t in range(300)]
+    turns = llm.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn(
+        "parts", chat.text_part(F.col("text")))
+    got = chat.read_back(chat.format_conversations(turns)).first()
+    assert [(t.role, t.text) for t in got.turns] == [(r, t) for *_, r, t in rows]
+    assert got.loss_texts == [t for *_, r, t in rows if r == "assistant"]
+    assert len(got.formatted) > 2 * len(long) > 6_000_000
+
+
 def test_chat_plan_is_native(llm, sf, queries):
     plan = queries["op9_chat_formatting"](llm, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -31,6 +31,19 @@ def test_odd_pages(llm):
         assert r.payload == (b"" if revisit else html.encode())
 
 
+def test_very_long_payloads(llm):
+    long = "".join(f"<p>{k} é</p>" for k in range(400_000))
+    rows = [(1, "http://a/", long, "", 0), (2, "http://b/", long, "", 0), (3, "http://c/", long[:-1], "", 0)]
+    folder = shared_path(llm, "warc-test")
+    index = warc.write_archives(llm.createDataFrame(rows, PAGES), folder)
+    got = {r.page_id: r for r in warc.read_records(index, folder).collect()}
+    for page, _, html, *_ in rows:
+        assert got[page].payload_bytes == len(html.encode()) > 5_000_000
+        assert got[page].payload_digest == hashlib.sha1(html.encode()).hexdigest()
+        assert got[page].payload == (b"" if page == 1 else html.encode())
+    assert (got[1].record_type, got[1].refers_to, got[3].record_type) == ("revisit", 2, "response")
+
+
 def test_index_points_at_whole_members(llm, sf):
     folder = shared_path(llm, "warc-test")
     pages = llm.read.parquet(f"{sf}/pages.parquet")
