@@ -19,8 +19,9 @@ PIECES = 8  # parts of a task's fair share that a hot key is cut into
 
 def hot_keys(rows: DataFrame, key: str, tasks: int) -> list[tuple[object, int]]:
     """Keys with more than a ``PIECES``-th of a task's fair share of the rows, and
-    into how many such pieces each is cut: at most ``PIECES * tasks`` keys."""
-    most = PIECES * tasks
+    into how many such pieces each is cut: at most ``PIECES * tasks`` keys, or 100,000
+    where there are more tasks (and larger pieces)."""
+    most = min(PIECES * tasks, 100_000)  # the most that the aggregate can return
     found = rows.selectExpr(f"approx_top_k(`{key}`, {most}, {4 * most}) AS top",
                             f"count(`{key}`) AS n").first()
     piece = max(found.n / most, 1)
