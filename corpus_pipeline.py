@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from wagegrid.llm import langid, packing, simhash, suffix
 from wagegrid.llm.queries_text import PACK_TOKENIZER, SEQ_LEN, training_fold, tokenizer_path
-from wagegrid.llm.shared import ship_package, store
+from wagegrid.llm.shared import discard, ship_package, store
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a learned language (see ``langid``); texts that
-    are null, hold no letter or look like no learned language go."""
+    are null, hold no letter or look like no learned language go. Ids play no part:
+    rows with null or repeated ids stay or go by their text. Without a labelled text
+    no language is learned and every row goes; an empty table stays empty."""
     ship_package(spark)
     model = langid.fit(training_fold(docs))
     return langid.identify(docs.select(*COLUMNS), model).where(~F.col("rejected")).select(*COLUMNS)
@@ -62,7 +64,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as pieces of sequences of 2048 tokens."""
+    """The documents as pieces of sequences of 2048 tokens. Every row is a document of
+    its own, repeated rows and null ids too; a null text is empty and has the end
+    token alone. An empty table gives no piece."""
     ship_package(spark)
     return packing.pack(docs, tokenizer_path(PACK_TOKENIZER), seq_len=SEQ_LEN, end_id=1)
 
@@ -76,8 +80,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each one's result written and reread."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages applied to ``documents``, each one's result written and reread; a
+    result goes when the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
