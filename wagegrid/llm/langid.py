@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .shared import store
-from .tokens import slices
+from .tokens import forget_encoders, slices
 
 ORDER = 4
 SPACE, UNKNOWN = 0, 1  # numbers of the blank and of letters never learned
@@ -305,6 +305,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     kept = docs.drop(*added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         learned, numbers = shared.value, None
         for whole in batches:
             if numbers is None:

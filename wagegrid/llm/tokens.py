@@ -287,6 +287,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def forget_encoders() -> None:
+    """Release the words that an earlier stage has left in this worker."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES
            ) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes of text, one row at least."""
