@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import os
 import shutil
 from decimal import Decimal
@@ -386,14 +387,14 @@ def test_incremental_job_rerun_after_failure_completes(spark, scratch, monkeypat
     def run_all(wh, crash_at=0, after=False):
         shutil.copytree(first, wh)  # after the first run
         if crash_at:
-            calls = {"n": 0}
+            calls = itertools.count(1)
 
             def flaky(*args, **kwargs):
-                calls["n"] += 1
-                if calls["n"] == crash_at and not after:
+                n = next(calls)  # this call's number: two threads commit side by side
+                if n == crash_at and not after:
                     raise RuntimeError("driver lost")
                 made = commit(*args, **kwargs)
-                if calls["n"] == crash_at:
+                if n == crash_at:
                     raise RuntimeError("driver lost")
                 return made
             monkeypatch.setattr(versions, "commit", flaky)
