@@ -291,7 +291,7 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 20, doc_col: str = "doc_id"
     terms = store(_item_terms(asked), "lexical-terms")
     index = store(_index(docs.select(F.col(doc_col).cast("bigint").alias("id"),
                                      F.col(doc_text).alias("text")), _bitmap(terms)),
-                  "lexical-index", by=("owner",))
+                  "lexical-index", by=("owner",), wide=True)
     directory = index.where(F.col("owner") == DIRECTORY).select("shard", "doc_ids", "lens")
     n, total = directory.agg(
         F.sum(F.size("lens").cast("bigint")),
@@ -329,7 +329,7 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 20, doc_col: str = "doc_id"
             F.col("shard").alias("at_shard"), every.alias("at_block"), "names", "dfs", "docs", "tfs")
         bundles = _stage(bundles, lists, owner)
         if owner < OWNERS - 1:
-            bundles = store(bundles, f"lexical-stage{owner}")
+            bundles = store(bundles, f"lexical-stage{owner}", wide=True)
             if before:
                 discard(before)
             before = bundles

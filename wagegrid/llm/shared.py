@@ -16,6 +16,12 @@ from ..config import checkpoint_dir
 # When set, Spark drops an execution's shuffle files as soon as it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+# Parquet looks at the size of what it holds after 100 rows only; with rows of
+# megabytes, row groups and pages of hundreds of them. Then writers hold that, and
+# readers, and each (de)compressor has a page outside the heap.
+_WIDE = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1",
+         "parquet.page.size.row.check.min": "1"}
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh location below the folder that ``spark.checkpoint.dir`` names."""
@@ -61,9 +67,10 @@ def _setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
-def store(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+def store(df: DataFrame, name: str, by: tuple[str, ...] = (), wide: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder, with a folder for each
-    value of the columns ``by``, and read it back.
+    value of the columns ``by``, and read it back. ``wide``: a row can have megabytes,
+    so sizes are looked at after every row.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
     The shuffle files behind the table are released once it is written.
@@ -71,7 +78,8 @@ def store(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     with _setting(spark, _CLEANUP, "true"):
-        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+        out = df.write.partitionBy(*by) if by else df.write
+        out.options(**(_WIDE if wide else {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
