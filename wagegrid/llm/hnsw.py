@@ -9,8 +9,9 @@ precision, and the shards' results are merged by (score, id).
 
 Of equal vectors only the ``k + 1`` smallest ids are indexed: ties go to smaller
 ids, so no other can be among the ``k`` nearest of any query (one of them may be
-the query itself). A shard holds about ``shard_size`` vectors and a unit of work
-one shard and one block of queries, whatever the table's size.
+the query itself). A shard holds about ``shard_size`` vectors whatever the table's
+size. A task searches one chunk of the blocks in one group of the shards, shard by
+shard, and keeps the best of each query.
 """
 
 from __future__ import annotations
@@ -20,17 +21,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .graphs import beam_search, build, unit
-from .shared import store
+from .shared import discard, store
 from .vectors import as_matrix, exact_neighbours, norms, spread, valid
 
 INDEX = ("shard int, dim int, ids array<bigint>, vectors binary, level_sizes array<int>, "
          "nodes binary, degrees array<int>, neighbours binary")
 INDEX_COLUMNS = [c.split()[0] for c in INDEX.split(", ")]
+ASKED = "block int, q_dim int, q_numbers array<bigint>, q_ids array<bigint>, q_vectors binary"
+ASKED_COLUMNS = [c.split()[0] for c in ASKED.split(", ")]
 QUERY_BLOCK = 1024
+HELD = 64 << 20  # bytes of vectors of a task's queries, or of its shards
 SEED = 7
 
 
@@ -100,7 +104,7 @@ def index(rows: DataFrame, shard_size: int, degree: int, width: int) -> DataFram
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
     dealt = dealt.withColumn("dim", F.size("vec"))
     tasks = spread(dealt.sparkSession, shards)
-    return store(dealt.repartitionByRange(tasks, "shard").groupBy("shard", "dim").applyInArrow(one, INDEX), "hnsw-index")
+    return store(dealt.repartitionByRange(tasks, "shard").groupBy("shard", "dim").applyInArrow(one, INDEX), "hnsw-index", wide=True)
 
 
 def _unpack(row: dict):
@@ -134,12 +138,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     rows = store(rows.withColumn("nth", F.row_number().over(same))
                  .where(F.col("nth") <= k + 1).drop("nth"), "hnsw-vectors")
     built = index(rows, shard_size, degree, build_width)
+    n_rows, row_bytes = _size(rows)
+    discard(rows)
     # A number tells queries apart that share an id.
     asked = store(valid(queries, id_col, vector_col).distinct().withColumn(
         "number", F.monotonically_increasing_id()), "hnsw-asked")
-    total = asked.count()
+    total, asked_bytes = _size(asked)
     blocks = max(1, -(-total // QUERY_BLOCK))
-    shards = max(1, -(-rows.count() // shard_size))
+    shards = max(1, -(-n_rows // shard_size))
 
     def block(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([("id", "ascending"), ("number", "ascending")])
@@ -152,37 +158,73 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
 
     packed = store(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
                    .withColumn("q_dim", F.size("vec")).groupBy("block", "q_dim")
-                   .applyInArrow(block, "block int, q_dim int, q_numbers array<bigint>, q_ids array<bigint>, "
-                                          "q_vectors binary"),
-                   "hnsw-queries")
+                   .applyInArrow(block, ASKED), "hnsw-queries", wide=True)
+    discard(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, shard = None, None
+        held, best = {}, {}  # by dimension: blocks of queries, and what is found so far
         for batch in batches:
             for n in range(batch.num_rows):
                 row = batch.slice(n, 1)
-                now = (row["shard"][0].as_py(), row["dim"][0].as_py())
-                if now != key:  # the rows of a shard come one after the other
-                    key = now
+                if row["shard"][0].as_py() is None:  # a task's queries come before its shards
+                    row = row.select(ASKED_COLUMNS).to_pylist()[0]
+                    ids = np.array(row["q_ids"], np.int64)
+                    held.setdefault(row["q_dim"], []).append(
+                        (np.array(row["q_numbers"], np.int64), ids,
+                         np.frombuffer(row["q_vectors"]).reshape(len(ids), row["q_dim"])))
+                elif (dim := row["dim"][0].as_py()) in held:
                     shard = _unpack(row.select(INDEX_COLUMNS).to_pylist()[0])
-                row = row.select(["q_dim", "q_numbers", "q_ids", "q_vectors"]).to_pylist()[0]
-                q_ids, numbers = (np.array(row[c], np.int64) for c in ("q_ids", "q_numbers"))
-                q = np.frombuffer(row["q_vectors"]).reshape(len(q_ids), row["q_dim"])
-                for a in range(0, len(q_ids), 256):
-                    yield _nearest(numbers[a:a + 256], q_ids[a:a + 256], q[a:a + 256], *shard, k, width)
+                    new = [_nearest(numbers[a:a + 256], ids[a:a + 256], q[a:a + 256], *shard, k, width)
+                           for numbers, ids, q in held[dim] for a in range(0, len(ids), 256)]
+                    best[dim] = _merged([best[dim], *new] if dim in best else new, k)
+        for table in best.values():
+            yield from table.to_batches(max_chunksize=10_000)
 
     spark = packed.sparkSession
-    chunks = min(blocks, -(-2 * spread(spark, blocks * shards) // shards))
-    asks = packed.withColumn("chunk", F.col("block") % chunks).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    copies = built.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    found = (asks.join(copies, ["shard", "chunk"]).where("q_dim = dim")
+    groups, chunks = _deal(spark, shards, blocks, row_bytes, asked_bytes)
+    # Every group of shards meets every chunk of queries in a task of its own. Nothing is
+    # joined: a join may be broadcast by what the tables take on disk, not by what the
+    # copies take.
+    asks = packed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn(
+        "unit", F.col("group") * chunks + F.col("block") % chunks).drop("group")
+    copies = built.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).withColumn(
+        "unit", F.col("shard") % groups * chunks + F.col("chunk")).drop("chunk")
+    found = (asks.unionByName(copies, allowMissingColumns=True)
+             .repartitionById(groups * chunks, "unit")
+             .sortWithinPartitions(F.asc_nulls_first("shard"), "dim", "block")
              .mapInArrow(run, "number bigint, query_id bigint, vec_id bigint, score double"))
     best = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
+def _size(rows: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of their vectors."""
+    return rows.agg(F.count("*"), F.coalesce(F.sum(F.size("vec")), F.lit(0)) * 8).first()
+
+
+def _deal(spark: SparkSession, shards: int, blocks: int, row_bytes: int, asked_bytes: int) -> tuple[int, int]:
+    """Into how many groups the shards fall and into how many chunks the blocks, a
+    task for each pair: about as many as the session's shuffle partitions, or four
+    for each core, and such that the copies of both together are small. No group or
+    chunk has much more than ``HELD`` bytes of vectors."""
+    tasks = min(shards * blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                     4 * spark.sparkContext.defaultParallelism))
+    chunks = round((tasks * asked_bytes / max(1, row_bytes)) ** 0.5)
+    chunks = min(blocks, max(1, chunks, -(-tasks // shards), -(-asked_bytes // HELD)))
+    return min(shards, max(-(-tasks // chunks), -(-row_bytes // HELD))), chunks
+
+
+def _merged(batches: list[pa.RecordBatch | pa.Table], k: int) -> pa.Table:
+    """The best ``k`` of each query."""
+    table = pa.concat_tables([t if isinstance(t, pa.Table) else pa.Table.from_batches([t]) for t in batches])
+    number, vec, score = (table[c].to_numpy() for c in ("number", "vec_id", "score"))
+    order = np.lexsort((vec, -score, number))
+    number = number[order]
+    nth = np.arange(len(number)) - np.searchsorted(number, number)
+    return table.take(order[nth < k]).combine_chunks()
+
+
 def _nearest(numbers, q_ids, q, ids, vecs, x, nodes, graphs, k: int, width: int) -> pa.RecordBatch:
     """The best ``k`` of one shard for each query, scored in double precision."""
     qx = unit(q)
